@@ -13,6 +13,11 @@ def is_blank(column: Column) -> Column:
     return F.coalesce(F.trim(column), F.lit("")) == ""
 
 
+def blank(name: str) -> str:
+    """`is_blank` as SQL text, for a column name."""
+    return f"coalesce(trim({name}), '') = ''"
+
+
 def text_or(column: Column, default: str) -> Column:
     """The trimmed text, or `default` when it is NULL or blank."""
     return F.coalesce(F.nullif(F.trim(column), F.lit("")), F.lit(default))

@@ -55,6 +55,6 @@ def push_recency(days: Column) -> Column:
     )
 
 
-def stamp(moment: Column) -> Column:
-    """Text form used by the status report."""
-    return F.date_format(moment, "yyyy-MM-dd HH:mm:ss.SSS")
+def stamp(moment: str) -> str:
+    """SQL text: the text form of a time in the status report."""
+    return f"date_format({moment}, 'yyyy-MM-dd HH:mm:ss.SSS')"

@@ -22,7 +22,7 @@ def profile_repositories(repositories: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_repositories"),
         F.count_distinct("language").alias("unique_languages"),
         F.count_if(F.col("language").isNull()).alias("missing_language"),
-        mean(F.col("stars"), 1).cast("double").alias("avg_stars"),
+        F.expr(mean("stars", 1)).cast("double").alias("avg_stars"),
         F.count_if(F.col("commits_90d") == 0).alias("zero_commit_repos"),
         F.count_if(F.col("active_contributors_90d") <= 1).alias("single_maintainer_repos"),
     )

@@ -1,131 +1,124 @@
 """Status report over all layers.
 
-Every table is read once and reduced to one row per source. All sections are then lines made from
-those few rows, so neither joins nor further scans are needed.
+Every table is read once and reduced to one row per source, its profile. All sections are then lines
+made from those few rows, so neither joins nor further scans are needed. Expressions are kept as SQL
+text because there are some two hundred of them.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repovitals import fixed_values as fx
 from repovitals.functions.numbers import mean, percentage
-from repovitals.functions.text import is_blank
+from repovitals.functions.text import blank
 from repovitals.functions.times import stamp
 from repovitals.schemas import TABLES
 
 REPORTED = tuple(key for key in TABLES if key != "run_log")
-MONEY = "decimal(18,2)"  # two fixed decimals, also in text form
+TWO_DECIMALS = "decimal(18,2)"  # always two of them, also in text form
 
 
-def _sum_if(condition: Column) -> Column:
+def _sum_if(condition: str) -> str:
     """Number of rows that meet the condition; NULL for no rows, unlike a count."""
-    return F.sum(F.when(condition, 1).otherwise(0))
-
-
-def _average(column: str | Column) -> Column:
-    return mean(F.col(column) if isinstance(column, str) else column)
-
-
-def _table_measures() -> dict[str, dict[str, Column]]:
-    """What is measured per table and source, beside the row count.
-
-    `metric_1..3` are the table's own figures; the rest feeds single sections.
-    """
-    category = F.col("risk_category")
-    return {
-        "raw_repositories": {
-            "oldest_record": F.min("created_at"),
-            "newest_record": F.max("created_at"),
-            "metric_1": _sum_if(is_blank(F.col("id"))),
-            "metric_2": _sum_if(F.col("stars") < 0),
-            "metric_3": _sum_if(F.col("forks") < 0),
-        },
-        "raw_contributors": {
-            "metric_1": _sum_if(is_blank(F.col("contributor"))),
-            "metric_2": _sum_if(F.col("total_commits") < 0),
-            "metric_3": _sum_if(F.col("recent_90_days_commits") < 0),
-        },
-        "raw_commits": {
-            "metric_1": F.lit(0),
-            "metric_2": _sum_if(F.col("commits_30d") < 0),
-            "metric_3": _sum_if(F.col("commits_90d") < 0),
-        },
-        "raw_issues": {
-            "metric_1": F.lit(0),
-            "metric_2": _sum_if(F.col("open_issues") < 0),
-            "metric_3": _sum_if(F.col("closed_issues") < 0),
-        },
-        "raw_releases": {
-            "metric_1": F.lit(0),
-            "metric_2": _sum_if(F.col("release_count") < 0),
-            "metric_3": _sum_if(F.col("days_since_last_release") < 0),
-        },
-        "stg_repositories": {
-            "oldest_record": F.min("created_at"),
-            "newest_record": F.max("created_at"),
-            "metric_1": _sum_if(~F.col("valid_flag")),
-            "metric_2": _sum_if(F.col("stars") == 0),
-            "metric_3": _sum_if(F.col("forks") == 0),
-            "last_load": F.max("load_timestamp"),
-            "tally_1": F.count_if(F.col("valid_flag")),
-            "tally_2": F.count_if(~F.col("valid_flag")),
-        },
-        "hub_contributors": {
-            "metric_1": F.count_distinct("repo_full_name"),
-            "metric_2": F.count_distinct("contributor"),
-            "metric_3": _average("total_commits"),
-            "last_load": F.max("load_timestamp"),
-        },
-        "hub_commits": {
-            "oldest_record": F.min("last_commit_date"),
-            "newest_record": F.max("last_commit_date"),
-            "metric_1": F.count_distinct("repo"),
-            "metric_3": _average("commits_90d"),
-            "last_load": F.max("load_timestamp"),
-        },
-        "hub_issues": {
-            "metric_1": F.count_distinct("repo"),
-            "metric_3": _average(F.col("open_issues") + F.col("closed_issues")),
-            "last_load": F.max("load_timestamp"),
-        },
-        "hub_releases": {
-            "oldest_record": F.min("last_release_date"),
-            "newest_record": F.max("last_release_date"),
-            "metric_1": F.count_distinct("repo"),
-            "metric_3": _average("release_count"),
-            "last_load": F.max("load_timestamp"),
-        },
-        "repo_entryline": {
-            "oldest_record": F.min("created_at"),
-            "newest_record": F.max("created_at"),
-            "metric_1": F.count_distinct("language"),
-            "metric_2": _average("stars"),
-            "metric_3": _average("commits_90d"),
-            "last_load": F.max("enriched_at"),
-            "tally_1": F.count_if(F.col("commits_90d") == 0),
-            "tally_2": F.count_if(F.col("active_contributors_90d") == 0),
-            "tally_3": F.count_if(F.col("release_count") == 0),
-        },
-        "risk_product": {
-            "oldest_record": F.min("last_updated"),
-            "newest_record": F.max("last_updated"),
-            "metric_1": F.count_distinct("risk_category"),
-            "metric_2": _average("risk_score"),
-            "metric_3": _sum_if(category == fx.HIGH),
-            "last_load": F.max("last_updated"),
-            "tally_1": F.count_if(category == fx.HIGH),
-            "tally_2": F.count_if(category == fx.MEDIUM),
-            "tally_3": F.count_if(category == fx.LOW),
-            "average": _average("risk_score"),
-        },
-    }
-
-
-MEASURES = {
+    return f"sum(int({condition} is true))"
+
+
+def _in_category(name: str) -> str:
+    return f"risk_category = '{name}'"
+
+
+def _span(column: str) -> dict[str, str]:
+    return {"oldest_record": f"min({column})", "newest_record": f"max({column})"}
+
+
+#: What is measured per table and source beside the row count. `metric_1..3` are the table's own
+#: figures, `last_load` its newest load, and the tallies and the average feed single sections.
+MEASURES: dict[str, dict[str, str]] = {
+    "raw_repositories": {
+        **_span("created_at"),
+        "metric_1": _sum_if(blank("id")),
+        "metric_2": _sum_if("stars < 0"),
+        "metric_3": _sum_if("forks < 0"),
+    },
+    "raw_contributors": {
+        "metric_1": _sum_if(blank("contributor")),
+        "metric_2": _sum_if("total_commits < 0"),
+        "metric_3": _sum_if("recent_90_days_commits < 0"),
+    },
+    "raw_commits": {
+        "metric_1": "0",
+        "metric_2": _sum_if("commits_30d < 0"),
+        "metric_3": _sum_if("commits_90d < 0"),
+    },
+    "raw_issues": {
+        "metric_1": "0",
+        "metric_2": _sum_if("open_issues < 0"),
+        "metric_3": _sum_if("closed_issues < 0"),
+    },
+    "raw_releases": {
+        "metric_1": "0",
+        "metric_2": _sum_if("release_count < 0"),
+        "metric_3": _sum_if("days_since_last_release < 0"),
+    },
+    "stg_repositories": {
+        **_span("created_at"),
+        "metric_1": _sum_if("not valid_flag"),
+        "metric_2": _sum_if("stars = 0"),
+        "metric_3": _sum_if("forks = 0"),
+        "last_load": "max(load_timestamp)",
+        "tally_1": "count_if(valid_flag)",
+        "tally_2": "count_if(not valid_flag)",
+    },
+    "hub_contributors": {
+        "metric_1": "count(distinct repo_full_name)",
+        "metric_2": "count(distinct contributor)",
+        "metric_3": mean("total_commits"),
+        "last_load": "max(load_timestamp)",
+    },
+    "hub_commits": {
+        **_span("last_commit_date"),
+        "metric_1": "count(distinct repo)",
+        "metric_3": mean("commits_90d"),
+        "last_load": "max(load_timestamp)",
+    },
+    "hub_issues": {
+        "metric_1": "count(distinct repo)",
+        "metric_3": mean("open_issues + closed_issues"),
+        "last_load": "max(load_timestamp)",
+    },
+    "hub_releases": {
+        **_span("last_release_date"),
+        "metric_1": "count(distinct repo)",
+        "metric_3": mean("release_count"),
+        "last_load": "max(load_timestamp)",
+    },
+    "repo_entryline": {
+        **_span("created_at"),
+        "metric_1": "count(distinct language)",
+        "metric_2": mean("stars"),
+        "metric_3": mean("commits_90d"),
+        "last_load": "max(enriched_at)",
+        "tally_1": "count_if(commits_90d = 0)",
+        "tally_2": "count_if(active_contributors_90d = 0)",
+        "tally_3": "count_if(release_count = 0)",
+    },
+    "risk_product": {
+        **_span("last_updated"),
+        "metric_1": "count(distinct risk_category)",
+        "metric_2": mean("risk_score"),
+        "metric_3": _sum_if(_in_category(fx.HIGH)),
+        "last_load": "max(last_updated)",
+        "tally_1": f"count_if({_in_category(fx.HIGH)})",
+        "tally_2": f"count_if({_in_category(fx.MEDIUM)})",
+        "tally_3": f"count_if({_in_category(fx.LOW)})",
+        "average": mean("risk_score"),
+    },
+}
+MEASURE_TYPES = {
     "oldest_record": "timestamp_ntz",
     "newest_record": "timestamp_ntz",
     "metric_1": "double",
@@ -135,37 +128,32 @@ MEASURES = {
     "tally_1": "bigint",
     "tally_2": "bigint",
     "tally_3": "bigint",
-    "average": MONEY,
+    "average": TWO_DECIMALS,
 }
 
 
 def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per table and source with every measure; a report's unused measures are pruned."""
-
-    def profile(key: str, measures: dict[str, Column]) -> DataFrame:
-        none = F.lit(None)
-        return (
-            tables[key]
-            .groupBy("data_source")
-            .agg(
-                F.count(F.lit(1)).alias("record_count"),
-                *(column.alias(name) for name, column in measures.items()),
-            )
-            .select(
-                F.lit(key).alias("table_key"),
-                F.lit(TABLES[key].layer).alias("layer"),
-                F.lit(TABLES[key].label).alias("table_name"),
-                "data_source",
-                "record_count",
-                *(
-                    (F.col(name) if name in measures else none).cast(kind).alias(name)
-                    for name, kind in MEASURES.items()
-                ),
-            )
+    """One row per table and source with every measure; those a report does not use are pruned."""
+
+    def profile(key: str) -> DataFrame:
+        measures = MEASURES[key]
+        counted = tables[key].groupBy("data_source").agg(
+            F.expr("count(1) as record_count"),
+            *(F.expr(f"{text} as {name}") for name, text in measures.items()),
+        )
+        return counted.selectExpr(
+            f"'{key}' as table_key",
+            f"'{TABLES[key].layer}' as layer",
+            f"'{TABLES[key].label}' as table_name",
+            "data_source",
+            "record_count",
+            *(
+                f"cast({name if name in measures else 'null'} as {kind}) as {name}"
+                for name, kind in MEASURE_TYPES.items()
+            ),
         )
 
-    profiles = (profile(key, measures) for key, measures in _table_measures().items())
-    return reduce(DataFrame.unionByName, profiles)
+    return reduce(DataFrame.union, map(profile, REPORTED))
 
 
 def status_table_stats(tables: dict[str, DataFrame]) -> DataFrame:
@@ -176,55 +164,54 @@ def status_table_stats(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-# Every section is a list of (table key, columns of a line): a line is made from each profile row
-# of its table. The columns of a line depend on the section; `_lines` turns them into rows.
-Line = tuple[str, dict[str, Column]]
+# A section is a list of (table key, columns of a line): each profile row of that table gives one
+# line with these columns.
+Line = tuple[str, dict[str, str]]
 
 
 def _lines(profile: DataFrame, lines: list[Line]) -> DataFrame:
-    made = [
-        F.when(
-            F.col("table_key") == key,
-            F.struct(*(column.alias(name) for name, column in columns.items())),
-        )
+    made = (
+        f"case when table_key = '{key}' then struct("
+        + ", ".join(f"{text} as {name}" for name, text in columns.items())
+        + ") end"
         for key, columns in lines
-    ]
-    return profile.select(F.explode(F.array_compact(F.array(*made))).alias("line")).select("line.*")
+    )
+    return profile.selectExpr(f"inline(array_compact(array({', '.join(made)})))")
 
 
-def _known(value: Column) -> Column:
+def _looked_up(count: str) -> str:
     """A NULL source equals no source, not even itself, so counts looked up for it are 0."""
-    return F.when(F.col("data_source").isNull(), F.lit(0).cast("bigint")).otherwise(value)
+    return f"if(data_source is null, 0, {count})"
 
 
-def _elsewhere(key: str, measure: str = "record_count") -> Column:
-    """A measure of another table for the row's source; 0 when that table has no such source.
+def _with_flow(profile: DataFrame) -> DataFrame:
+    """Add the row counts of the later layers to each row, 0 where they lack its source.
 
-    The window holds the at most ten profile rows of a source.
+    The window holds the profile rows of one source, at most one per table.
     """
-    of_table = F.when(F.col("table_key") == key, F.col(measure))
-    return F.coalesce(F.max(of_table).over(Window.partitionBy("data_source")), F.lit(0))
 
+    def rows_of(key: str, name: str) -> str:
+        count = f"if(table_key = '{key}', record_count, 0)"
+        return f"max({count}) over (partition by data_source) as {name}"
 
-def _with_flow(profile: DataFrame) -> DataFrame:
-    return profile.select(
+    return profile.selectExpr(
         "*",
-        _elsewhere("stg_repositories").alias("staged"),
-        _elsewhere("repo_entryline").alias("enriched"),
-        _elsewhere("risk_product").alias("curated"),
+        rows_of("stg_repositories", "staged"),
+        rows_of("repo_entryline", "enriched"),
+        rows_of("risk_product", "curated"),
     )
 
 
 def _flow_lines() -> list[Line]:
     def line(key: str, order: int, text: str, before: str, after: str) -> Line:
-        source_value, target_value = _known(F.col(before)), _known(F.col(after))
+        source_value, target_value = _looked_up(before), _looked_up(after)
         return key, {
-            "display_order": F.lit(order),
-            "data_source": F.col("data_source"),
-            "description": F.lit(text),
+            "display_order": str(order),
+            "data_source": "data_source",
+            "description": f"'{text}'",
             "source_value": source_value,
             "target_value": target_value,
-            "percent_complete": percentage(target_value, source_value).cast(MONEY),
+            "percent_complete": f"cast({percentage(target_value, source_value)} as {TWO_DECIMALS})",
         }
 
     return [
@@ -234,162 +221,160 @@ def _flow_lines() -> list[Line]:
     ]
 
 
-def _quality_lines() -> list[Line]:
-    def line(key: str, name: str, tally: str) -> Line:
-        hits, rows = _known(F.col(tally)), _known(F.col("record_count"))
-        return key, {
-            "metric_name": F.lit(name),
-            "data_source": F.col("data_source"),
-            "metric_value": hits,
-            "metric_percent": percentage(hits, rows).cast(MONEY),
-        }
-
+def _load_lines() -> list[Line]:
     return [
-        line("stg_repositories", fx.QUALITY_INVALID, "tally_2"),
-        line("repo_entryline", fx.QUALITY_NO_COMMITS, "tally_1"),
-        line("repo_entryline", fx.QUALITY_NO_CONTRIBUTORS, "tally_2"),
-        line("repo_entryline", fx.QUALITY_NO_RELEASES, "tally_3"),
+        (
+            key,
+            {
+                "layer": "layer",
+                "metric_name": f"'{label}'",
+                "data_source": "data_source",
+                "metric_value": "last_load",
+                "record_count": "record_count",
+            },
+        )
+        for key, label in fx.LAST_LOAD_LABELS.items()
     ]
 
 
-def _risk_lines() -> list[Line]:
-    def line(name: str, value: Column, percent: Column) -> Line:
-        return "risk_product", {
-            "metric_name": F.lit(name),
-            "data_source": F.col("data_source"),
-            "metric_value": value.cast("string"),
-            "metric_percent": percent.cast(MONEY),
-        }
+def _share_line(key: str, name: str, hits: str, rows: str) -> Line:
+    return key, {
+        "metric_name": f"'{name}'",
+        "data_source": "data_source",
+        "metric_value": hits,
+        "metric_percent": f"cast({percentage(hits, rows)} as {TWO_DECIMALS})",
+    }
 
-    def share(name: str, tally: str) -> Line:
-        return line(name, F.col(tally), percentage(F.col(tally), F.col("record_count")))
 
+def _quality_lines() -> list[Line]:
+    found = (
+        ("stg_repositories", fx.QUALITY_INVALID, "tally_2"),
+        ("repo_entryline", fx.QUALITY_NO_COMMITS, "tally_1"),
+        ("repo_entryline", fx.QUALITY_NO_CONTRIBUTORS, "tally_2"),
+        ("repo_entryline", fx.QUALITY_NO_RELEASES, "tally_3"),
+    )
     return [
-        share(fx.RISK_HIGH, "tally_1"),
-        share(fx.RISK_MEDIUM, "tally_2"),
-        share(fx.RISK_LOW, "tally_3"),
-        line(fx.RISK_AVERAGE, F.col("average"), F.lit(None)),
+        _share_line(key, name, _looked_up(tally), _looked_up("record_count"))
+        for key, name, tally in found
     ]
 
 
-def _load_lines() -> list[Line]:
+def _risk_lines() -> list[Line]:
+    """Counts and the average share a column, so both are text: '12' and '57.47'."""
+    categories = ((fx.RISK_HIGH, "tally_1"), (fx.RISK_MEDIUM, "tally_2"), (fx.RISK_LOW, "tally_3"))
+    lines = [_share_line("risk_product", name, tally, "record_count") for name, tally in categories]
+    average = _share_line("risk_product", fx.RISK_AVERAGE, "average", "record_count")
+    average[1]["metric_percent"] = f"cast(null as {TWO_DECIMALS})"
+    lines.append(average)
     return [
-        (
-            key,
-            {
-                "layer": F.col("layer"),
-                "metric_name": F.lit(label),
-                "data_source": F.col("data_source"),
-                "metric_value": F.col("last_load"),
-                "record_count": F.col("record_count"),
-            },
-        )
-        for key, label in fx.LAST_LOAD_LABELS.items()
+        (key, {**line, "metric_value": f"cast({line['metric_value']} as string)"})
+        for key, line in lines
     ]
 
 
+def _as_double(frame: DataFrame, column: str) -> DataFrame:
+    return frame.withColumn(column, F.col(column).cast("double"))
+
+
 def status_data_flow(tables: dict[str, DataFrame]) -> DataFrame:
     """How many rows each layer passed on to the next, per source of the earlier layer."""
     flow = _lines(_with_flow(table_profile(tables)), _flow_lines())
-    return flow.withColumn("percent_complete", F.col("percent_complete").cast("double"))
+    return _as_double(flow, "percent_complete")
 
 
 def status_last_loads(tables: dict[str, DataFrame]) -> DataFrame:
+    """Newest load and row count per table and source."""
     return _lines(table_profile(tables), _load_lines())
 
 
 def status_quality(tables: dict[str, DataFrame]) -> DataFrame:
-    quality = _lines(table_profile(tables), _quality_lines())
-    return quality.withColumn("metric_percent", F.col("metric_percent").cast("double"))
+    """Invalid rows and inactive repositories per source."""
+    return _as_double(_lines(table_profile(tables), _quality_lines()), "metric_percent")
 
 
 def status_risk(tables: dict[str, DataFrame]) -> DataFrame:
-    risk = _lines(table_profile(tables), _risk_lines())
-    return risk.withColumn("metric_percent", F.col("metric_percent").cast("double"))
-
-
-def _report_line(
-    order: int,
-    section: str,
-    metric: Column,
-    value: Column,
-    percent: Column | None = None,
-    *,
-    layer: bool = False,
-    table: bool = False,
-    span: bool = False,
-) -> dict[str, Column]:
-    text, time = F.lit(None).cast("string"), F.lit(None).cast("timestamp_ntz")
+    """Category counts and average score per source."""
+    return _as_double(_lines(table_profile(tables), _risk_lines()), "metric_percent")
+
+
+def _report_line(order: int, section: str, **columns: str) -> dict[str, str]:
+    """A line of the whole report; columns that are not given are NULL."""
     return {
-        "section_order": F.lit(order),
-        "section_name": F.lit(section),
-        "layer": F.col("layer") if layer else text,
-        "table_name": F.col("table_name") if table else text,
-        "data_source": F.col("data_source"),
-        "metric_name": metric,
-        "metric_value": value.cast("string"),
-        "metric_percent": text if percent is None else percent,
-        "oldest_record": F.col("oldest_record") if span else time,
-        "newest_record": F.col("newest_record") if span else time,
+        "section_order": str(order),
+        "section_name": f"'{section}'",
+        "layer": "cast(null as string)",
+        "table_name": "cast(null as string)",
+        "data_source": "data_source",
+        "metric_name": "",
+        "metric_value": "",
+        "metric_percent": "cast(null as string)",
+        "oldest_record": "cast(null as timestamp_ntz)",
+        "newest_record": "cast(null as timestamp_ntz)",
+        **columns,
     }
 
 
-def _percent_text(percent: Column) -> Column:
-    return F.concat(percent.cast("string"), F.lit("%"))
+def _percent(text: str) -> str:
+    return f"concat(cast({text} as string), '%')"
 
 
-def pipeline_status(tables: dict[str, DataFrame]) -> DataFrame:
-    """The whole report: five sections as text, in one ten-column frame, sorted."""
-    lines: list[Line] = [
+def _report_lines() -> list[Line]:
+    tables = [
         (
             key,
             _report_line(
-                1, fx.SECTION_TABLES, F.lit(fx.METRIC_RECORD_COUNT), F.col("record_count"),
-                layer=True, table=True, span=True,
+                1, fx.SECTION_TABLES, layer="layer", table_name="table_name",
+                metric_name=f"'{fx.METRIC_RECORD_COUNT}'",
+                metric_value="cast(record_count as string)",
+                oldest_record="oldest_record", newest_record="newest_record",
             ),
         )
         for key in REPORTED
     ]
-    lines += [
+    flow = [
         (
             key,
             _report_line(
-                2, fx.SECTION_FLOW, line["description"],
-                F.concat(
-                    line["source_value"].cast("string"), F.lit(" → "),
-                    line["target_value"].cast("string"),
-                ),
-                _percent_text(line["percent_complete"]),
+                2, fx.SECTION_FLOW, metric_name=line["description"],
+                metric_value=f"concat({line['source_value']}, ' → ', {line['target_value']})",
+                metric_percent=_percent(line["percent_complete"]),
             ),
         )
         for key, line in _flow_lines()
     ]
-    lines += [
+    loads = [
         (
             key,
             _report_line(
-                3, fx.SECTION_LOADS, line["metric_name"], stamp(line["metric_value"]),
-                F.concat(line["record_count"].cast("string"), F.lit(" records")), layer=True,
+                3, fx.SECTION_LOADS, layer="layer", metric_name=line["metric_name"],
+                metric_value=stamp(line["metric_value"]),
+                metric_percent=f"concat({line['record_count']}, ' records')",
             ),
         )
         for key, line in _load_lines()
     ]
-    lines += [
+    shares = [
         (
             key,
             _report_line(
-                order, section, line["metric_name"], line["metric_value"],
-                _percent_text(line["metric_percent"]),
+                order, section, metric_name=line["metric_name"],
+                metric_value=f"cast({line['metric_value']} as string)",
+                metric_percent=_percent(line["metric_percent"]),
             ),
         )
-        for order, section, made in (
+        for order, section, lines in (
             (4, fx.SECTION_QUALITY, _quality_lines()),
             (5, fx.SECTION_RISK, _risk_lines()),
         )
-        for key, line in made
+        for key, line in lines
     ]
+    return [*tables, *flow, *loads, *shares]
+
+
+def pipeline_status(tables: dict[str, DataFrame]) -> DataFrame:
+    """The whole report: five sections as text, in one ten-column frame, sorted."""
     order = ("section_order", "data_source", "layer", "table_name", "metric_name")
-    report = _lines(_with_flow(table_profile(tables)), lines)
+    report = _lines(_with_flow(table_profile(tables)), _report_lines())
     return report.orderBy(*(F.col(name).asc_nulls_last() for name in order))
 
 

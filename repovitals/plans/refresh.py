@@ -26,10 +26,17 @@ FROM_RAW: tuple[tuple[str, str, Callable[..., DataFrame]], ...] = (
 
 
 def enrich_stored(store: LayerStore, as_of: Column, source: str = fx.SOURCE) -> DataFrame:
-    """`enrich` over the stored stage and hub tables, busy repositories apart."""
+    """`enrich` over the stored stage and hub tables, busy repositories apart.
+
+    The short list of busy repositories is written down first: the plan mentions it often, and none
+    of those places should count the hubs again.
+    """
     commits, issues, releases = (
         store.read(key) for key in ("hub_commits", "hub_issues", "hub_releases")
     )
+    busy = store.keep(
+        f"busy_repositories_{source}", busy_repositories(commits, issues, releases, source=source)
+    )
     return enrich(
         store.read("stg_repositories"),
         store.read("hub_contributors"),
@@ -38,7 +45,7 @@ def enrich_stored(store: LayerStore, as_of: Column, source: str = fx.SOURCE) ->
         releases,
         as_of,
         source,
-        busy=busy_repositories(commits, issues, releases, source=source),
+        busy=busy,
     )
 
 

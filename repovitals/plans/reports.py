@@ -32,7 +32,7 @@ def _in_category(name: str) -> Column:
 
 
 def _average_score() -> Column:
-    return mean(F.col("risk_score")).cast("double").alias("avg_risk_score")
+    return F.expr(mean("risk_score")).cast("double").alias("avg_risk_score")
 
 
 def _riskiest_first() -> list[Column]:
@@ -52,7 +52,7 @@ def report_summary(product: DataFrame, source: str = fx.SOURCE) -> DataFrame:
     return counted.select(
         "*",
         *(
-            percentage(F.col(f"{level}_risk_count"), F.col("total_repos"), 1)
+            F.expr(percentage(f"{level}_risk_count", "total_repos", 1))
             .cast("double")
             .alias(f"{level}_pct")
             for level in ("high", "medium", "low")

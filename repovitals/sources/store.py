@@ -75,6 +75,12 @@ class LayerStore:
         target = f"{self.path(key)}/data_source={source}"
         frame.select(*columns).write.mode("overwrite").parquet(target)
 
+    def keep(self, name: str, frame: DataFrame) -> DataFrame:
+        """Compute a small helper frame once, write it beside the tables, and read it from there."""
+        target = f"{self.root}/{name}"
+        frame.write.mode("overwrite").parquet(target)
+        return self.spark.read.schema(frame.schema).parquet(target)
+
     def append(self, key: str, frame: DataFrame) -> None:
         """Add rows, of whatever sources they are."""
         writer = frame.select(*TABLES[key].schema.names).write.mode("append")
