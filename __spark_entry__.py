@@ -43,10 +43,10 @@ def as_of():
 def land_raw(spark: SparkSession, sf_dir: str) -> rv.LayerStore:
     """A new store holding the raw tables."""
     store = rv.LayerStore(spark, shared_folder(spark))
-    store.create_tables()
 
     def land(key: str) -> None:
-        rv.write_raw(store, key, star_schema.RAW_DERIVATIONS[key](spark, sf_dir), as_of())
+        derived = star_schema.RAW_DERIVATIONS[key](spark, sf_dir)
+        rv.write_raw(store, key, derived, as_of(), "truncate")
 
     with ThreadPoolExecutor(len(RAW_TABLES)) as pool:
         for done in [pool.submit(land, key) for key in RAW_TABLES]:
@@ -82,7 +82,7 @@ def _on_layer(table: str, job: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _on_store(job: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
-    return lambda spark, sf_dir: job(full_store(spark, sf_dir).read_all())
+    return lambda spark, sf_dir: job(full_store(spark, sf_dir).read_layers())
 
 
 def _on_events(job: Callable[[DataFrame], DataFrame]) -> Query:

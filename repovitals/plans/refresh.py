@@ -28,8 +28,8 @@ FROM_RAW: tuple[tuple[str, str, Callable[..., DataFrame]], ...] = (
 def enrich_stored(store: LayerStore, as_of: Column, source: str = fx.SOURCE) -> DataFrame:
     """`enrich` over the stored stage and hub tables, busy repositories apart.
 
-    The short list of busy repositories is written down first: the plan mentions it often, and none
-    of those places should count the hubs again.
+    The short list of busy repositories is written down first: the plan would mention it often, and
+    none of those places should count the hubs again. Mostly it is empty, and then the plain joins do.
     """
     commits, issues, releases = (
         store.read(key) for key in ("hub_commits", "hub_issues", "hub_releases")
@@ -45,7 +45,7 @@ def enrich_stored(store: LayerStore, as_of: Column, source: str = fx.SOURCE) ->
         releases,
         as_of,
         source,
-        busy=busy,
+        busy=None if busy.isEmpty() else busy,
     )
 
 
@@ -79,4 +79,4 @@ def refresh(
             done.result()
     write("repo_entryline", enrich_stored(store, as_of, source))
     write("risk_product", risk_product(store.read("repo_entryline"), as_of, source))
-    return load_metrics(store.read_all(), source)
+    return load_metrics(store.read_layers(), source)

@@ -204,9 +204,7 @@ def event_lines(spark: SparkSession, folder: str, keep: tuple[str, ...] = ()) ->
 
     `keep` names columns of `events` to carry along.
     """
-    event = F.col("event_id")
-    slot = F.get_json_object("props", "$.k")
-    number = slot.cast("bigint")
+    event, slot, number = F.col("event_id"), F.col("slot"), F.col("slot").cast("bigint")
     plain = F.concat(F.lit("repo-"), slot)
     owned = F.concat(F.lit("org/repo-"), slot)
     name = (
@@ -228,7 +226,8 @@ def event_lines(spark: SparkSession, folder: str, keep: tuple[str, ...] = ()) ->
     moment = F.when(_every(event, 211, 0), "not-a-date").otherwise(
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     )
-    return table(spark, folder, "events").select(
+    events = table(spark, folder, "events").withColumn("slot", F.get_json_object("props", "$.k"))
+    return events.select(
         *keep,
         kind.alias("type"),
         moment.alias("created_at"),

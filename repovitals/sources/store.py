@@ -60,8 +60,9 @@ class LayerStore:
         frame = self.spark.read.schema(table.schema).parquet(self.path(key))
         return frame.select(*table.schema.names)
 
-    def read_all(self) -> dict[str, DataFrame]:
-        return {key: self.read(key) for key in TABLES}
+    def read_layers(self) -> dict[str, DataFrame]:
+        """All tables but the run log."""
+        return {key: self.read(key) for key in TABLES if key != "run_log"}
 
     def replace(self, key: str, frame: DataFrame, source: str) -> None:
         """Make `frame` the whole content of one source; other sources stay.
