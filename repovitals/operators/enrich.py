@@ -61,24 +61,68 @@ def _left_joined(repositories: DataFrame, activity: list[DataFrame]) -> DataFram
     return reduce(lambda left, hub: left.join(hub, "full_name", "left"), activity, repositories)
 
 
+def _slices(rows: Column, slice_rows: int) -> Column:
+    return F.greatest(F.ceil(rows / slice_rows), F.lit(1)).cast("bigint")
+
+
 def _busy_joined(
-    repositories: DataFrame, contributors: DataFrame, hubs: list[DataFrame]
+    repositories: DataFrame, contributors: DataFrame, hubs: list[DataFrame], slice_rows: int
 ) -> DataFrame:
     """Left joins for the few busy repositories, without gathering their hub rows in one task.
 
     A repository absent from a hub gets one row of NULLs there, so inner joins give the left-join
-    result; AQE can split either side of an inner join, but not the right side of a left join.
-    The distinct names are at most as many as `busy` has, so broadcasting them is bounded.
+    result, and an inner join may be cut up: the rows of a name are divided into slices of about
+    `slice_rows` on both sides and each slice meets each slice of the other side. A side is copied
+    once per slice of the other, which is less than one copy per `slice_rows` rows that come out.
+
+    Rows are assigned to slices by their position in the stored hub, so a task that is run again
+    assigns them alike, and equal rows are spread too. What is broadcast has one row per busy name.
     """
     names = F.broadcast(repositories.select("full_name").distinct())
-    joined = repositories.join(contributors.join(names, "full_name", "left_semi"), "full_name", "left")
-    for hub in hubs:
-        rows = hub.join(names, "full_name", "left_semi")
-        seen = rows.select("full_name").distinct()
-        absent = names.join(seen, "full_name", "left_anti")
-        complete = rows.unionByName(absent, allowMissingColumns=True)
-        joined = joined.join(complete, "full_name")
-    return joined
+    numbered = [
+        hub.withColumn(f"row_{i}", F.monotonically_increasing_id()).join(names, "full_name", "left_semi")
+        for i, hub in enumerate(hubs)
+    ]
+    sizes = names
+    for i, hub in enumerate(numbered):
+        counted = hub.groupBy("full_name").agg(F.count(F.lit(1)).alias(f"rows_{i}"))
+        sizes = sizes.join(counted, "full_name", "left")
+    sizes = sizes.fillna(0)
+
+    people = contributors.join(names, "full_name", "left_semi")
+    joined = repositories.join(people, "full_name", "left")
+    left_rows = F.lit(1)
+    for i, hub in enumerate(numbered):
+        absent = sizes.filter(F.col(f"rows_{i}") == 0).select("full_name")
+        complete = hub.unionByName(absent, allowMissingColumns=True)
+        if i == 0:
+            joined = F.broadcast(joined).join(complete, "full_name")
+        else:
+            slices = F.broadcast(
+                sizes.select(
+                    "full_name",
+                    _slices(left_rows, slice_rows).alias("left_slices"),
+                    _slices(F.col(f"rows_{i}"), slice_rows).alias("right_slices"),
+                )
+            )
+            left_position = F.xxhash64(*(f"row_{k}" for k in range(i)))
+            left = joined.join(slices, "full_name").withColumns(
+                {
+                    "left_slice": F.pmod(left_position, F.col("left_slices")),
+                    "right_slice": F.explode(F.sequence(F.lit(0), F.col("right_slices") - 1)),
+                }
+            )
+            right = complete.join(slices, "full_name").withColumns(
+                {
+                    "left_slice": F.explode(F.sequence(F.lit(0), F.col("left_slices") - 1)),
+                    "right_slice": F.pmod(F.xxhash64(f"row_{i}"), F.col("right_slices")),
+                }
+            )
+            keys = ["full_name", "left_slice", "right_slice"]
+            sides = [side.drop("left_slices", "right_slices") for side in (left, right)]
+            joined = sides[0].join(sides[1], keys).drop("left_slice", "right_slice")
+        left_rows = left_rows * F.greatest(F.col(f"rows_{i}"), F.lit(1))
+    return joined.drop(*(f"row_{i}" for i in range(len(hubs))))
 
 
 def enrich(
@@ -90,6 +134,7 @@ def enrich(
     as_of: Column,
     source: str = fx.SOURCE,
     busy: DataFrame | None = None,
+    slice_rows: int = BUSY_ROWS,
 ) -> DataFrame:
     """Join the valid staged rows with the four hubs; absent activity counts as none.
 
@@ -110,7 +155,7 @@ def enrich(
         )
 
     people = contributors_agg(contributors, source).withColumnRenamed("repo_full_name", "full_name")
-    hubs = [activity(hub) for hub in (releases, issues, commits)]
+    hubs = [activity(hub) for hub in (commits, issues, releases)]
 
     if busy is None:
         joined = _left_joined(valid, [people, *hubs])
@@ -121,7 +166,7 @@ def enrich(
             return frame.join(names, "full_name", "left_anti")
 
         calm = _left_joined(without_busy(valid), [people, *map(without_busy, hubs)])
-        rest = _busy_joined(valid.join(names, "full_name", "left_semi"), people, hubs)
+        rest = _busy_joined(valid.join(names, "full_name", "left_semi"), people, hubs, slice_rows)
         joined = calm.unionByName(rest)
 
     counters = {

@@ -143,10 +143,13 @@ def report_repo(product: DataFrame, full_name: str, source: str = fx.SOURCE) ->
 def report_export(product: DataFrame, source: str = fx.SOURCE) -> DataFrame:
     """All rows, riskiest first.
 
-    Scores take few values; with the name in the sort key the ranges of the sort stay even.
+    The sort is by ranges of its key. Scores take about a hundred values and a name may repeat, so
+    the key goes on through all columns to a row number: no range has to hold a whole score or name.
     """
     columns = TABLES["risk_product"].schema.names
-    return _of(product, source).select(*columns).orderBy(*_riskiest_first())
+    ties = [F.col(name).asc_nulls_last() for name in columns if name not in ("risk_score", "full_name")]
+    numbered = _of(product, source).select(*columns, F.monotonically_increasing_id().alias("row_id"))
+    return numbered.orderBy(*_riskiest_first(), *ties, "row_id").select(*columns)
 
 
 def export_csv(product: DataFrame, path: str, source: str = fx.SOURCE) -> DataFrame:

@@ -63,15 +63,17 @@ def test_busy_way_gives_the_same_rows(spark, frame, as_of):
             repository("calm"), repository("lonely"), repository("hot2"), repository("bad", valid_flag=False),
         ],
         hub_contributors=[{"repo_full_name": "hot", "contributor": str(i), "recent_90_days_commits": i} for i in range(5)],
-        hub_commits=many("hot", 40) + many("calm", 2) + many("bad", 30) + many("UNKNOWN/UNKNOWN", 50),
+        hub_commits=[{"repo": "hot", "commits_30d": 1}] * 40 + many("calm", 2) + many("bad", 30) + many("UNKNOWN/UNKNOWN", 50),
         hub_issues=many("hot2", 25) + many("calm", 1),
         hub_releases=many("hot", 3) + many("hot2", 20),
     )
     busy = busy_repositories(*tables[2:], busy_rows=10)
     assert rows(busy) == [("UNKNOWN/UNKNOWN",), ("bad",), ("hot",), ("hot2",)]
-    plain, split = enrich(*tables, as_of), enrich(*tables, as_of, busy=busy)
-    assert split.columns == plain.columns
-    assert rows(split) == rows(plain)
+    plain = enrich(*tables, as_of)
+    for slice_rows in (4, 1000):
+        split = enrich(*tables, as_of, busy=busy, slice_rows=slice_rows)
+        assert split.columns == plain.columns
+        assert rows(split) == rows(plain)
     assert plain.count() == 2 * 40 * 3 + 2 + 1 + 25 * 20
 
 
