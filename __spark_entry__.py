@@ -196,6 +196,11 @@ def _event_type_sets(events: DataFrame) -> DataFrame:
     )
 
 
+def _last_name(product: DataFrame) -> DataFrame:
+    """Which names there are depends on the data, so the last of them is asked for."""
+    return rv.report_repo(product, F.lower(product.agg(F.max("full_name")).scalar()))
+
+
 def _profile(enriched: DataFrame) -> DataFrame:
     """The profile counts missing languages as NULL, which the stage has named 'Unknown'."""
     language = F.nullif(F.col("language"), F.lit(fx.NO_LANGUAGE))
@@ -236,7 +241,7 @@ def queries() -> dict[str, Query]:
         "report_top_display": _on_layer("risk_product", lambda t: rv.report_top_display(t, 20)),
         "report_by_language": _on_layer("risk_product", rv.report_by_language),
         "report_search": _on_layer("risk_product", lambda t: rv.report_search(t, "brand_1")),
-        "report_repo": _on_layer("risk_product", lambda t: rv.report_repo(t, "BRAND#17/Repo-1")),
+        "report_repo": _on_layer("risk_product", _last_name),
         "report_export": _on_layer("risk_product", rv.report_export),
         "export_round_trip": _export_round_trip,
         "dataset_profile": _on_layer("repo_entryline", _profile),

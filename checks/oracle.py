@@ -455,7 +455,7 @@ where upper(full_name) like upper('%brand_1%') {_RISKIEST} limit 20""",
     when 'MEDIUM' then 'MEDIUM RISK: Some concerns identified. Monitor regularly and have contingency plans.'
     else 'LOW RISK: Repository appears healthy and well-maintained. Suitable for production use with standard monitoring.'
   end as interpretation
-from risk_product where lower(full_name) = 'brand#17/repo-1' {_RISKIEST} limit 1""",
+from risk_product where full_name = (select max(full_name) from risk_product) {_RISKIEST} limit 1""",
     "report_export": "select * from risk_product",
     "export_round_trip": "select * from risk_product",
     "dataset_profile": f"""select count(*) as total_repositories, count(distinct language) filter (language <> 'Unknown') as unique_languages,

@@ -129,7 +129,7 @@ def interpretation() -> Column:
     )
 
 
-def report_repo(product: DataFrame, full_name: str, source: str = fx.SOURCE) -> DataFrame:
+def report_repo(product: DataFrame, full_name: str | Column, source: str = fx.SOURCE) -> DataFrame:
     """One repository, its name matched in any case, with what its category means."""
     return (
         _of(product, source)
