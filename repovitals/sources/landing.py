@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -30,7 +32,10 @@ def read_event_log(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(paths)
     )
-    events = lines.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    # Naming every field keeps Spark from skipping some while parsing: which lines are bad must not
+    # depend on the columns a query asks for. A line with none of the fields is no event.
+    known = reduce(Column.__or__, (F.col(field.name).isNotNull() for field in EVENT_LINE.fields))
+    events = lines.filter(F.col(CORRUPT).isNull() & known).drop(CORRUPT)
     if limit is None:
         return events
     return events.orderBy("created_at", "repo.name", "actor.login", "type").limit(limit)

@@ -69,12 +69,13 @@ def test_event_log_skips_bad_lines_in_all_matching_files(spark, tmp_path):
         return json.dumps({"type": "PushEvent", "created_at": f"2020-01-0{i}T00:00:00Z", "repo": {"name": f"o/{i}", "id": 1},
                            "actor": {"login": "x"}, "payload": {"big": [1]}})
 
-    for hour, lines in {12: [line(1), line(2)[:30], "", line(3)], 14: ["not json", line(4)]}.items():
+    for hour, lines in {12: [line(1), line(2)[:30], "", line(3)], 14: ["not json", line(4), '{"type": "PushEvent", "repo": "text"}', "{}"]}.items():
         with gzip.open(tmp_path / f"2020-01-01-{hour}.json.gz", "wt") as file:
             file.write("\n".join(lines))
     log = read_event_log(spark, str(tmp_path / "2020-01-01-*.json.gz"))
     assert rows(log, "repo.name") == [("o/1",), ("o/3",), ("o/4",)]
     assert log.columns == ["type", "created_at", "repo", "actor"]
+    assert log.count() == 3 and len(rows(log, "type")) == 3  # whatever is asked for
     assert rows(read_event_log(spark, str(tmp_path), limit=2), "repo.name") == [("o/1",), ("o/3",)]
 
 
