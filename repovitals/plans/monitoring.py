@@ -7,6 +7,7 @@ text because there are some two hundred of them.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -132,7 +133,11 @@ MEASURE_TYPES = {
 }
 
 
-def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
+#: Tables whose row counts the flow section sets beside those of the layer before.
+FLOW_TARGETS = {"stg_repositories": "staged", "repo_entryline": "enriched", "risk_product": "curated"}
+
+
+def table_profile(tables: dict[str, DataFrame], keys: Iterable[str] = REPORTED) -> DataFrame:
     """One row per table and source with every measure; those a report does not use are pruned."""
 
     def profile(key: str) -> DataFrame:
@@ -153,7 +158,7 @@ def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
             ),
         )
 
-    return reduce(DataFrame.union, map(profile, REPORTED))
+    return reduce(DataFrame.union, map(profile, keys))
 
 
 def status_table_stats(tables: dict[str, DataFrame]) -> DataFrame:
@@ -169,14 +174,18 @@ def status_table_stats(tables: dict[str, DataFrame]) -> DataFrame:
 Line = tuple[str, dict[str, str]]
 
 
-def _lines(profile: DataFrame, lines: list[Line]) -> DataFrame:
+def _lines(tables: dict[str, DataFrame], lines: list[Line], *, flow: bool = False) -> DataFrame:
+    """The lines as rows. Only the tables they are made from are read."""
+    needed = {key for key, _ in lines} | (set(FLOW_TARGETS) if flow else set())
+    profile = table_profile(tables, [key for key in REPORTED if key in needed])
     made = (
         f"case when table_key = '{key}' then struct("
         + ", ".join(f"{text} as {name}" for name, text in columns.items())
         + ") end"
         for key, columns in lines
     )
-    return profile.selectExpr(f"inline(array_compact(array({', '.join(made)})))")
+    line = f"inline(array_compact(array({', '.join(made)})))"
+    return (_with_flow(profile) if flow else profile).selectExpr(line)
 
 
 def _looked_up(count: str) -> str:
@@ -189,16 +198,12 @@ def _with_flow(profile: DataFrame) -> DataFrame:
 
     The window holds the profile rows of one source, at most one per table.
     """
-
-    def rows_of(key: str, name: str) -> str:
-        count = f"if(table_key = '{key}', record_count, 0)"
-        return f"max({count}) over (partition by data_source) as {name}"
-
     return profile.selectExpr(
         "*",
-        rows_of("stg_repositories", "staged"),
-        rows_of("repo_entryline", "enriched"),
-        rows_of("risk_product", "curated"),
+        *(
+            f"max(if(table_key = '{key}', record_count, 0)) over (partition by data_source) as {name}"
+            for key, name in FLOW_TARGETS.items()
+        ),
     )
 
 
@@ -278,23 +283,23 @@ def _as_double(frame: DataFrame, column: str) -> DataFrame:
 
 def status_data_flow(tables: dict[str, DataFrame]) -> DataFrame:
     """How many rows each layer passed on to the next, per source of the earlier layer."""
-    flow = _lines(_with_flow(table_profile(tables)), _flow_lines())
+    flow = _lines(tables, _flow_lines(), flow=True)
     return _as_double(flow, "percent_complete")
 
 
 def status_last_loads(tables: dict[str, DataFrame]) -> DataFrame:
     """Newest load and row count per table and source."""
-    return _lines(table_profile(tables), _load_lines())
+    return _lines(tables, _load_lines())
 
 
 def status_quality(tables: dict[str, DataFrame]) -> DataFrame:
     """Invalid rows and inactive repositories per source."""
-    return _as_double(_lines(table_profile(tables), _quality_lines()), "metric_percent")
+    return _as_double(_lines(tables, _quality_lines()), "metric_percent")
 
 
 def status_risk(tables: dict[str, DataFrame]) -> DataFrame:
     """Category counts and average score per source."""
-    return _as_double(_lines(table_profile(tables), _risk_lines()), "metric_percent")
+    return _as_double(_lines(tables, _risk_lines()), "metric_percent")
 
 
 def _report_line(order: int, section: str, **columns: str) -> dict[str, str]:
@@ -318,7 +323,7 @@ def _percent(text: str) -> str:
     return f"concat(cast({text} as string), '%')"
 
 
-def _report_lines() -> list[Line]:
+def _report_sections() -> dict[str, list[Line]]:
     tables = [
         (
             key,
@@ -353,34 +358,47 @@ def _report_lines() -> list[Line]:
         )
         for key, line in _load_lines()
     ]
-    shares = [
-        (
-            key,
-            _report_line(
-                order, section, metric_name=line["metric_name"],
-                metric_value=f"cast({line['metric_value']} as string)",
-                metric_percent=_percent(line["metric_percent"]),
-            ),
-        )
-        for order, section, lines in (
-            (4, fx.SECTION_QUALITY, _quality_lines()),
-            (5, fx.SECTION_RISK, _risk_lines()),
-        )
-        for key, line in lines
-    ]
-    return [*tables, *flow, *loads, *shares]
 
+    def shares(order: int, section: str, lines: list[Line]) -> list[Line]:
+        return [
+            (
+                key,
+                _report_line(
+                    order, section, metric_name=line["metric_name"],
+                    metric_value=f"cast({line['metric_value']} as string)",
+                    metric_percent=_percent(line["metric_percent"]),
+                ),
+            )
+            for key, line in lines
+        ]
 
-def pipeline_status(tables: dict[str, DataFrame]) -> DataFrame:
-    """The whole report: five sections as text, in one ten-column frame, sorted."""
+    return {
+        fx.SECTION_TABLES: tables,
+        fx.SECTION_FLOW: flow,
+        fx.SECTION_LOADS: loads,
+        fx.SECTION_QUALITY: shares(4, fx.SECTION_QUALITY, _quality_lines()),
+        fx.SECTION_RISK: shares(5, fx.SECTION_RISK, _risk_lines()),
+    }
+
+
+def _report(tables: dict[str, DataFrame], sections: Iterable[str]) -> DataFrame:
+    made = _report_sections()
+    lines = [line for section in sections for line in made[section]]
     order = ("section_order", "data_source", "layer", "table_name", "metric_name")
-    report = _lines(_with_flow(table_profile(tables)), _report_lines())
+    report = _lines(tables, lines, flow=fx.SECTION_FLOW in sections)
     return report.orderBy(*(F.col(name).asc_nulls_last() for name in order))
 
 
+def pipeline_status(tables: dict[str, DataFrame]) -> DataFrame:
+    """The whole report: five sections as text, in one ten-column frame, sorted."""
+    return _report(tables, tuple(_report_sections()))
+
+
 def status_section(tables: dict[str, DataFrame], section: str) -> DataFrame:
-    """One section of the report."""
-    return pipeline_status(tables).filter(F.col("section_name") == section)
+    """One section of the report, made from the tables it is about only."""
+    if section not in _report_sections():
+        raise ValueError(f"unknown section: {section!r}")
+    return _report(tables, (section,))
 
 
 def create_status_view(tables: dict[str, DataFrame], name: str = "pipeline_status") -> None:

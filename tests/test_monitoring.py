@@ -86,7 +86,11 @@ def test_report_is_text_in_order(tables):
 
 
 def test_section_and_view(spark, tables):
-    assert status_section(tables, fx.SECTION_RISK).count() == 4
+    whole = rows(pipeline_status(tables))
+    for section in (fx.SECTION_TABLES, fx.SECTION_FLOW, fx.SECTION_LOADS, fx.SECTION_QUALITY, fx.SECTION_RISK):
+        assert rows(status_section(tables, section)) == [line for line in whole if line[1] == section]
+    with pytest.raises(ValueError):
+        status_section(tables, "No Such Section")
     monitoring.create_status_view(tables, "status_view")
     query = "select metric_value from status_view where section_name = 'Risk Analysis' and metric_name like 'High%'"
     assert rows(spark.sql(query)) == [("1",)]

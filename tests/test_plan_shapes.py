@@ -4,7 +4,9 @@ import pytest
 from conftest import NOW
 
 import repovitals as rv
+from repovitals import fixed_values as fx
 from repovitals.functions.times import ntz
+from repovitals.plans import monitoring
 from repovitals.schemas import TABLES
 
 
@@ -58,6 +60,14 @@ def test_status_reads_each_table_once(filled):
     assert text.count("FileScan") == 12 and "Join" not in text and "Expand" not in text
 
 
+def test_a_section_reads_its_own_tables_only(filled):
+    tables = filled.read_layers()
+    scans = {fx.SECTION_TABLES: 12, fx.SECTION_FLOW: 4, fx.SECTION_LOADS: 7, fx.SECTION_QUALITY: 2, fx.SECTION_RISK: 1}
+    for section, n in scans.items():
+        assert plan(rv.status_section(tables, section)).count("FileScan") == n
+    assert plan(monitoring.status_risk(tables)).count("FileScan") == 1
+
+
 def test_rankings_take_ordered_rows_only(filled):
     product = filled.read("risk_product")
     for df in (rv.report_top(product), rv.report_search(product, "a"), rv.report_by_language(product), rv.report_repo(product, "a")):
