@@ -7,10 +7,11 @@ has succeeded, so a failed one is tried again with the same run id.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from repovitals import fixed_values as fx
@@ -72,6 +73,27 @@ def refresh_if_new(
     return ran
 
 
+class _SkipLog(StreamingQueryListener):
+    """Logs every idle interval of one query as skipped."""
+
+    def __init__(self, store: LayerStore, name: str):
+        self.store, self.name, self.run = store, name, None
+
+    def onQueryStarted(self, event) -> None:
+        if event.name == self.name:
+            self.run = event.runId
+
+    def onQueryProgress(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        if event.runId == self.run:
+            log_run(self.store, None, fx.STAGE_CHECK, fx.STATUS_SKIPPED, fx.MESSAGE_SKIPPED)
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def refresh_periodically(
     store: LayerStore,
     checkpoint: str,
@@ -81,6 +103,10 @@ def refresh_periodically(
 ) -> StreamingQuery:
     """Look for new raw repositories at every interval until the returned query is stopped.
 
-    Spark starts no batch when nothing is new, so idle intervals leave no entry in the log.
+    Spark starts no batch when nothing is new; it then reports the query idle, at most once in
+    `spark.sql.streaming.noDataProgressEventInterval`, and that is logged as skipped.
     """
-    return _arrivals(store, checkpoint, as_of, source).trigger(processingTime=interval).start()
+    name = f"refresh_{uuid.uuid4().hex}"
+    store.spark.streams.addListener(_SkipLog(store, name))
+    arrivals = _arrivals(store, checkpoint, as_of, source).queryName(name)
+    return arrivals.trigger(processingTime=interval).start()

@@ -1,3 +1,4 @@
+import time
 from datetime import datetime
 
 import pytest
@@ -102,7 +103,8 @@ def test_failed_run_is_logged_raised_and_tried_again(landed, tmp_path, monkeypat
     assert row.end_time >= row.start_time
 
 
-def test_periodic_refresh(landed, tmp_path):
+def test_periodic_refresh(spark, landed, tmp_path):
+    spark.conf.set("spark.sql.streaming.noDataProgressEventInterval", "1000")
     query = refresh_periodically(landed, str(tmp_path / "checkpoint"), "1 second", NOW)
     try:
         query.processAllAvailable()
@@ -110,8 +112,14 @@ def test_periodic_refresh(landed, tmp_path):
         landed.land("c", "d")
         query.processAllAvailable()
         assert landed.read("risk_product").count() == 4
+        for _ in range(30):  # idle intervals are logged by and by
+            if ("SKIPPED",) in rows(log(landed), "status"):
+                break
+            time.sleep(1)
+        assert (None, "CHECK_STREAM", "SKIPPED") in states(landed)
     finally:
         query.stop()
+        spark.conf.unset("spark.sql.streaming.noDataProgressEventInterval")
 
 
 def test_latest_state_of_runs(spark):
