@@ -4,7 +4,8 @@ Two relations between sets save work, and both keep the result exact:
 
 * In an index list the entries of one set size and prefix position form a block. Whether sets of two
   blocks can reach the threshold follows from sizes and positions alone, so blocks are skipped whole,
-  and lists give edges of a forest of possible relatives instead of pairs.
+  and long lists give edges of a forest of possible relatives instead of pairs. Two sets that meet in
+  short lists only must do so several times.
 * Within relatives, the overlaps of a set with all others are derived from those of a highly similar
   set already computed: only the lists of the shingles in which the two differ are read.
 
@@ -31,6 +32,10 @@ from .texthash import shingle_set, word_hashes
 COUNTERS = 1 << 18
 #: Shingles of one block of relatives; a larger family is joined block by block.
 BLOCK_SHINGLES = 2_000_000
+#: Linked sets share at least so many shingles of their prefixes (or all that they need to share).
+LEAST_SHARED = 3
+#: Lists of up to so many sets give pairs, which must meet in LEAST_SHARED lists; longer ones give forests.
+SHORT_LIST = 8
 #: Similar sets whose overlaps are kept for deriving those of others.
 LEADERS = 8
 
@@ -91,6 +96,10 @@ def slot_counts(texts: DataFrame, k: int) -> np.ndarray:
     return counts.reshape(-1)
 
 
+def _digest(shingles: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(shingles.tobytes())
+
+
 def least_overlap(size_a, size_b, percent: int):
     """The least intersection with which sets of these sizes reach the threshold."""
     return -((-percent * (size_a + size_b)) // (100 + percent))
@@ -106,10 +115,10 @@ def _prefixes(k: int, percent: int, counts):
             for words in word_hashes(_texts(batch)):
                 shingles = shingle_set(words, k)
                 n = len(shingles)
-                length = n - ceil(percent * n / 100) + 1 if n else 0
+                length = min(n, n - ceil(percent * n / 100) + LEAST_SHARED)
                 order = np.lexsort((shingles, rank[_slot(shingles)]))[:length]
                 sizes.append(n)
-                digests.append(xxhash.xxh3_128_digest(shingles.tobytes()) if n else None)
+                digests.append(_digest(shingles) if n else None)
                 prefixes.append(shingles[order].view(np.int64))
             ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
             flat = np.concatenate([*prefixes, np.empty(0, dtype=np.int64)])
@@ -126,43 +135,56 @@ def _prefixes(k: int, percent: int, counts):
     return run
 
 
+def _fits(size_a, place_a, size_b, place_b, percent: int):
+    """Can sets of these sizes, size_a not above size_b, that share a shingle at these places link?"""
+    most = np.minimum(place_a, place_b) + np.minimum(size_a - place_a, size_b - place_b)
+    return (100 * size_a >= percent * size_b) & (most >= least_overlap(size_a, size_b, percent))
+
+
 def _list_edges(percent: int):
-    """Walk index lists sorted by (token, n, pos, sid) and link what could reach the threshold.
+    """Walk index lists sorted by (token, n, pos, sid) and give edges (a, b, need) of possible relatives.
 
-    Members of a block that is related to any block get an edge to the block's first member; related
-    blocks get an edge between their first members. Of a list only the blocks whose size is within
-    the threshold are kept while it passes.
+    Entries of a short list give pairs, and `need` says in how many short lists a pair must meet.
+    Of a long list, related blocks get an edge (need 0) between their first members, and the members
+    of a block one to its first.
     """
 
+    def short_pairs(token, n, pos, sid, short):
+        for step in range(1, SHORT_LIST):
+            low = np.flatnonzero(short[:-step] & (token[:-step] == token[step:])) if step < len(token) else []
+            if not len(low):
+                return
+            high = low + step
+            fits = _fits(n[low], pos[low], n[high], pos[high], percent)
+            low, high = low[fits], high[fits]
+            need = np.minimum(LEAST_SHARED, least_overlap(n[low], n[high], percent))
+            yield sid[low], sid[high], need
+
+    def forest(size, place, ids):
+        head = np.flatnonzero(
+            np.concatenate(([True], (size[1:] != size[:-1]) | (place[1:] != place[:-1])))
+        )
+        members = np.diff(np.append(head, len(ids)))
+        size, place, first = size[head], place[head], ids[head]
+        yield np.repeat(first, members - 1), np.delete(ids, head)
+        for i in range(1, len(head)):
+            near = slice(np.searchsorted(size, ceil(size[i] * percent / 100)), i)
+            others = first[near][_fits(size[near], place[near], size[i], place[i], percent)]
+            yield others, np.full(len(others), first[i])
+
     def walk(token: np.ndarray, n: np.ndarray, pos: np.ndarray, sid: np.ndarray):
-        a: list[int] = []
-        b: list[int] = []
         starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
-        ends = np.append(starts[1:], len(token))
-        many = ends - starts > 1
-        for start, end in zip(starts[many].tolist(), ends[many].tolist(), strict=True):
-            size, place, ids = n[start:end], pos[start:end], sid[start:end]
-            head = np.flatnonzero(
-                np.concatenate(([True], (size[1:] != size[:-1]) | (place[1:] != place[:-1])))
-            )
-            members = np.diff(np.append(head, end - start))
-            size, place, first = size[head], place[head], ids[head]
-            room = size - place
-            used = (members > 1) & (room >= least_overlap(size, size, percent))
-            for i in range(1, len(head)):
-                low = np.searchsorted(size, ceil(size[i] * percent / 100))
-                near = slice(low, i)
-                fits = np.minimum(room[near], room[i]) >= least_overlap(size[near], size[i], percent)
-                if fits.any():
-                    others = np.flatnonzero(fits) + low
-                    used[others] = used[i] = True
-                    a.extend(first[others].tolist())
-                    b.extend([int(first[i])] * len(others))
-            for i in np.flatnonzero(used & (members > 1)).tolist():
-                own = ids[head[i] + 1 : head[i] + members[i]]
-                a.extend(own.tolist())
-                b.extend([int(first[i])] * len(own))
-        return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        lengths = np.diff(np.append(starts, len(token)))
+        short = np.repeat(lengths <= SHORT_LIST, lengths)
+        parts = list(short_pairs(token, n, pos, sid, short))
+        for start, length in zip(starts.tolist(), lengths.tolist(), strict=True):
+            if length > SHORT_LIST:
+                own = slice(start, start + length)
+                parts.extend((a, b, np.zeros(len(a), np.int64)) for a, b in forest(n[own], pos[own], sid[own]))
+        a, b, need = (np.concatenate([np.empty(0, np.int64), *column]) for column in zip(*parts, strict=True)) if parts else [np.empty(0, np.int64)] * 3
+        return pa.RecordBatch.from_pydict(
+            {"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b)), "need": pa.array(need)}
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = None
@@ -180,24 +202,6 @@ def _list_edges(percent: int):
     return run
 
 
-def _sets(k: int):
-    """The sets of the given texts, where the text still has the digest it is asked for."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            shingles = [shingle_set(words, k).tobytes() for words in word_hashes(_texts(batch))]
-            keep = [
-                xxhash.xxh3_128_digest(found) == wanted
-                for found, wanted in zip(shingles, batch.column("digest").to_pylist(), strict=True)
-            ]
-            out = pa.RecordBatch.from_arrays(
-                [batch.column("digest"), pa.array(shingles, pa.binary())], names=["digest", "shingles"]
-            )
-            yield out.filter(pa.array(keep))
-
-    return run
-
-
 def overlap_links(sets: list[np.ndarray], sides: np.ndarray, percent: int):
     """Yield (i, positions of the sets linked with set i) for each set, in order of size.
 
@@ -246,11 +250,16 @@ def overlap_links(sets: list[np.ndarray], sides: np.ndarray, percent: int):
         yield i, np.flatnonzero(linked)
 
 
-def _join_family(percent: int):
+def _join_family(k: int, percent: int):
     def run(frame):
         import pandas as pd
 
-        sets = [np.frombuffer(s, dtype=np.uint64) for s in frame["shingles"]]
+        sets = [shingle_set(words, k) for words in word_hashes([text or b"" for text in frame["text"]])]
+        # Rows of equal doc_id may have other texts: a class is represented by the text it came from.
+        own = [_digest(s) == wanted for s, wanted in zip(sets, frame["digest"], strict=True)]
+        frame, sets = frame[own], [s for s, keep in zip(sets, own, strict=True) if keep]
+        first = ~frame.duplicated(["digest", "block"]).to_numpy()
+        frame, sets = frame[first], [s for s, keep in zip(sets, first, strict=True) if keep]
         weights = frame["copies"].to_numpy()
         sids = frame["sid"].to_numpy()
         label = np.arange(len(sets))
@@ -297,7 +306,11 @@ def jaccard_groups(documents: DataFrame, k: int = 5, percent: int = 80) -> DataF
     edges = (
         postings.repartition("token")
         .sortWithinPartitions("token", "n", "pos", "sid")
-        .mapInArrow(_list_edges(percent), "a long, b long")
+        .mapInArrow(_list_edges(percent), "a long, b long, need long")
+        .groupBy("a", "b")
+        .agg(F.count("*").alias("met"), F.max("need").alias("need"), F.min("need").alias("least"))
+        .where("least = 0 or met >= need")
+        .select("a", "b")
     )
     families = stored(
         connected_components(edges, f"{folder}/families").select(
@@ -340,14 +353,6 @@ def jaccard_groups(documents: DataFrame, k: int = 5, percent: int = 80) -> DataF
 
 def _link(members: DataFrame, texts: DataFrame, k: int, percent: int, folder: str) -> DataFrame:
     """Rows (sid, near, links): exact links within families, a large family block by block."""
-    wanted = members.select("digest", "first_id")
-    sets = (
-        texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("first_id")))
-        .select("text", "digest")
-        .mapInArrow(_sets(k), "digest binary, shingles binary")
-        .groupBy("digest")
-        .agg(F.first("shingles").alias("shingles"))
-    )
     blocks = members.groupBy("family").agg(
         F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")
     )
@@ -356,13 +361,14 @@ def _link(members: DataFrame, texts: DataFrame, k: int, percent: int, folder: st
         .withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "family", "block", "sid", "copies", "digest",
+            "family", "block", "sid", "copies", "digest", "first_id",
             F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
         )
     )
     return stored(
-        placed.join(sets, "digest")
+        placed.join(texts, F.col("first_id").eqNullSafe(F.col("doc_id")))
+        .select("family", "low", "high", "block", "sid", "copies", "digest", "text")
         .groupBy("family", "low", "high")
-        .applyInPandas(_join_family(percent), "sid long, near long, links long"),
+        .applyInPandas(_join_family(k, percent), "sid long, near long, links long"),
         f"{folder}/linked",
     )
