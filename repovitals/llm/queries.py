@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .language_id import fit_languages, held_out, identify
 from .line_dedup import dedup_lines
 from .set_join import jaccard_groups
 from .storage import ship_package
@@ -21,6 +22,12 @@ def op2_set_relation_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(_table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    identifier = fit_languages(documents.where(~held_out()))
+    return identify(documents, identifier, [F.col("doc_id"), held_out().alias("held_out")])
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -28,6 +35,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_set_relation_join": op2_set_relation_join,
+    "op6_language_id": op6_language_id,
     "op8_line_dedup": op8_line_dedup,
 }
 
