@@ -35,7 +35,7 @@ BLOCK_SHINGLES = 2_000_000
 #: Linked sets share at least so many shingles of their prefixes (or all that they need to share).
 LEAST_SHARED = 3
 #: Lists of up to so many sets give pairs, which must meet in LEAST_SHARED lists; longer ones give forests.
-SHORT_LIST = 8
+SHORT_LIST = 128
 #: Similar sets whose overlaps are kept for deriving those of others.
 LEADERS = 8
 
@@ -149,16 +149,18 @@ def _list_edges(percent: int):
     of a block one to its first.
     """
 
-    def short_pairs(token, n, pos, sid, short):
+    def short_pairs(n, pos, sid, lengths):
+        rank = np.arange(len(n)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        left = np.repeat(np.where(lengths <= SHORT_LIST, lengths, 0), lengths) - rank
+        low = np.flatnonzero(left > 1)
         for step in range(1, SHORT_LIST):
-            low = np.flatnonzero(short[:-step] & (token[:-step] == token[step:])) if step < len(token) else []
+            low = low[left[low] > step]
             if not len(low):
                 return
             high = low + step
             fits = _fits(n[low], pos[low], n[high], pos[high], percent)
-            low, high = low[fits], high[fits]
-            need = np.minimum(LEAST_SHARED, least_overlap(n[low], n[high], percent))
-            yield sid[low], sid[high], need
+            a, b = low[fits], high[fits]
+            yield sid[a], sid[b], np.minimum(LEAST_SHARED, least_overlap(n[a], n[b], percent))
 
     def forest(size, place, ids):
         head = np.flatnonzero(
@@ -175,8 +177,7 @@ def _list_edges(percent: int):
     def walk(token: np.ndarray, n: np.ndarray, pos: np.ndarray, sid: np.ndarray):
         starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
         lengths = np.diff(np.append(starts, len(token)))
-        short = np.repeat(lengths <= SHORT_LIST, lengths)
-        parts = list(short_pairs(token, n, pos, sid, short))
+        parts = list(short_pairs(n, pos, sid, lengths))
         for start, length in zip(starts.tolist(), lengths.tolist(), strict=True):
             if length > SHORT_LIST:
                 own = slice(start, start + length)
@@ -353,16 +354,36 @@ def jaccard_groups(documents: DataFrame, k: int = 5, percent: int = 80) -> DataF
 
 def _link(members: DataFrame, texts: DataFrame, k: int, percent: int, folder: str) -> DataFrame:
     """Rows (sid, near, links): exact links within families, a large family block by block."""
-    blocks = members.groupBy("family").agg(
-        F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")
+    # A family of more than one block is cut by bands of sizes, of which only neighbours can link, and
+    # a large band by a hash. Each of its blocks meets itself and those after it in its reach.
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9)
+    sizes = members.groupBy("family").agg(F.sum("n").alias("family_n"))
+    banded = members.join(sizes, "family").withColumn(
+        "band", F.when(F.col("family_n") > BLOCK_SHINGLES, band).otherwise(F.lit(0)).cast("long")
     )
+    blocks = banded.groupBy("family", "band").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
+    above = blocks.select("family", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
+    below = blocks.select("family", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below"))
+    reach = blocks.join(above, ["family", "band"], "left").join(below, ["family", "band"], "left")
+
+    def partners(shift: int, count: str):
+        numbers = F.when(F.col(count) > 0, F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+        partner = F.transform(
+            F.coalesce(numbers, F.array().cast("array<bigint>")),
+            lambda i: F.struct((F.col("band") + shift).alias("band"), i.alias("part")),
+        )
+        return partner
+
+    me = F.struct("band", "part")
     placed = (
-        members.join(blocks, "family")
-        .withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        banded.join(reach, ["family", "band"])
+        .withColumn("part", F.pmod(F.xxhash64("digest"), F.col("blocks")))
+        .withColumn(
+            "other", F.explode(F.concat(partners(0, "blocks"), partners(1, "above"), partners(-1, "below")))
+        )
         .select(
-            "family", "block", "sid", "copies", "digest", "first_id",
-            F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+            "family", F.xxhash64("band", "part").alias("block"), "sid", "copies", "digest", "first_id",
+            F.least(me, F.col("other")).alias("low"), F.greatest(me, F.col("other")).alias("high"),
         )
     )
     return stored(
