@@ -137,7 +137,8 @@ class LineIndex:
     def postings(self) -> DataFrame:
         """Rows (key, doc_id) of the documents now in the index."""
         signed = self._all("postings", "key binary, doc_id long, held boolean")
-        latest = signed.groupBy("key", "doc_id").agg(F.max_by("held", "change").alias("held"))
+        # Dealt by both columns, else a join on the key would gather a frequent line before it is counted.
+        latest = signed.repartition("key", "doc_id").groupBy("key", "doc_id").agg(F.max_by("held", "change").alias("held"))
         return latest.where("held").select("key", "doc_id")
 
     def _filters(self) -> DataFrame:
