@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from .language_id import fit_languages, held_out, identify
 from .line_dedup import dedup_lines
+from .mixture import mix_to_weights
+from .piece_nbest import decode_pieces, encode_nbest
 from .set_join import jaccard_groups
 from .storage import ship_package
 
@@ -22,6 +24,28 @@ def op2_set_relation_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(_table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+#: Target weights of the mixture: of domains, of languages in a domain, of sources in a language.
+MIX_LEVELS = {
+    "domain": F.when(F.col("source") == "src0", "web")
+    .when(F.length("source") <= 4, "reference")
+    .otherwise("forum"),
+    "language": F.col("lang"),
+    "origin": F.col("source"),
+}
+MIX_WEIGHTS = {
+    "domain": F.when(F.col("domain") == "web", 5).when(F.col("domain") == "reference", 3).otherwise(2),
+    "language": F.when(F.col("language") == "en", 4)
+    .when(F.col("language").isin("de", "es", "fr"), 2)
+    .otherwise(1),
+    "origin": F.lit(1),
+}
+
+
+def op5_hierarchical_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_to_weights(_table(spark, sf_dir, "documents"), MIX_LEVELS, MIX_WEIGHTS, max_epochs=3)
+    return mixed.select("doc_id", "domain", "language", "origin", "n_tokens", "epoch")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     identifier = fit_languages(documents.where(~held_out()))
@@ -33,13 +57,134 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_piece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_nbest(_table(spark, sf_dir, "documents").select("doc_id", "text"), n=4)
+    decoded = decode_pieces(encoded)
+    return decoded.select(
+        "doc_id",
+        "n_pieces",
+        F.sha2(F.array_join("piece_ids", ","), 256).alias("piece_ids_sha256"),
+        "scores",
+        F.size("alternatives").cast("long").alias("n_best"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_set_relation_join": op2_set_relation_join,
+    "op5_hierarchical_mixture": op5_hierarchical_mixture,
     "op6_language_id": op6_language_id,
     "op8_line_dedup": op8_line_dedup,
+    "op9_piece_nbest": op9_piece_nbest,
 }
 
 SQL: dict[str, str] = {
+    "op5_hierarchical_mixture": r"""
+WITH docs AS (
+    SELECT doc_id,
+           CASE WHEN source = 'src0' THEN 'web' WHEN length(source) <= 4 THEN 'reference' ELSE 'forum' END AS domain,
+           coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
+           coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS n_tokens
+    FROM documents
+), leaves AS (
+    SELECT 0 AS root, *, tokens * 3 AS capacity,
+           CASE domain WHEN 'web' THEN 5 WHEN 'reference' THEN 3 ELSE 2 END AS w_domain,
+           CASE WHEN lang = 'en' THEN 4 WHEN lang IN ('de', 'es', 'fr') THEN 2 ELSE 1 END AS w_lang, 1 AS w_source
+    FROM (SELECT domain, lang, source, sum(n_tokens) AS tokens FROM docs GROUP BY ALL)
+), got0 AS (
+    SELECT 0 AS root, least(sum(tokens), sum(capacity))::HUGEINT AS got FROM leaves
+), nodes1 AS (
+    SELECT l.root, l.domain, sum(capacity)::HUGEINT AS capacity, max(w_domain)::HUGEINT AS weight,
+           max(g.got) AS budget
+    FROM leaves l JOIN got0 g USING (root) GROUP BY l.root, l.domain
+), tested1 AS (
+    SELECT *, capacity * (sum(weight) OVER p - coalesce(sum(weight) OVER b, 0))
+              <= weight * (budget - coalesce(sum(capacity) OVER b, 0)) AS filled
+    FROM nodes1
+    WINDOW p AS (PARTITION BY root),
+           b AS (PARTITION BY root ORDER BY capacity::DOUBLE / weight::DOUBLE, domain
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), shared1 AS (
+    SELECT *, budget - sum(CASE WHEN filled THEN capacity ELSE 0 END) OVER p AS rest,
+           sum(CASE WHEN filled THEN 0 ELSE weight END) OVER p AS open_all,
+           sum(CASE WHEN filled THEN 0 ELSE weight END) OVER u AS open_to
+    FROM tested1
+    WINDOW p AS (PARTITION BY root),
+           u AS (PARTITION BY root ORDER BY capacity::DOUBLE / weight::DOUBLE, domain
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), got1 AS (
+    SELECT root, domain, CASE WHEN filled THEN capacity
+        ELSE rest::HUGEINT * open_to::HUGEINT // open_all::HUGEINT
+             - rest::HUGEINT * (open_to - weight)::HUGEINT // open_all::HUGEINT END AS got
+    FROM shared1
+), nodes2 AS (
+    SELECT l.root, l.domain, l.lang, sum(capacity)::HUGEINT AS capacity, max(w_lang)::HUGEINT AS weight,
+           max(g.got) AS budget
+    FROM leaves l JOIN got1 g USING (root, domain) GROUP BY l.root, l.domain, l.lang
+), tested2 AS (
+    SELECT *, capacity * (sum(weight) OVER p - coalesce(sum(weight) OVER b, 0))
+              <= weight * (budget - coalesce(sum(capacity) OVER b, 0)) AS filled
+    FROM nodes2
+    WINDOW p AS (PARTITION BY root, domain),
+           b AS (PARTITION BY root, domain ORDER BY capacity::DOUBLE / weight::DOUBLE, lang
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), shared2 AS (
+    SELECT *, budget - sum(CASE WHEN filled THEN capacity ELSE 0 END) OVER p AS rest,
+           sum(CASE WHEN filled THEN 0 ELSE weight END) OVER p AS open_all,
+           sum(CASE WHEN filled THEN 0 ELSE weight END) OVER u AS open_to
+    FROM tested2
+    WINDOW p AS (PARTITION BY root, domain),
+           u AS (PARTITION BY root, domain ORDER BY capacity::DOUBLE / weight::DOUBLE, lang
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), got2 AS (
+    SELECT root, domain, lang, CASE WHEN filled THEN capacity
+        ELSE rest::HUGEINT * open_to::HUGEINT // open_all::HUGEINT
+             - rest::HUGEINT * (open_to - weight)::HUGEINT // open_all::HUGEINT END AS got
+    FROM shared2
+), nodes3 AS (
+    SELECT l.root, l.domain, l.lang, l.source, sum(capacity)::HUGEINT AS capacity, max(w_source)::HUGEINT AS weight,
+           max(g.got) AS budget
+    FROM leaves l JOIN got2 g USING (root, domain, lang) GROUP BY l.root, l.domain, l.lang, l.source
+), tested3 AS (
+    SELECT *, capacity * (sum(weight) OVER p - coalesce(sum(weight) OVER b, 0))
+              <= weight * (budget - coalesce(sum(capacity) OVER b, 0)) AS filled
+    FROM nodes3
+    WINDOW p AS (PARTITION BY root, domain, lang),
+           b AS (PARTITION BY root, domain, lang ORDER BY capacity::DOUBLE / weight::DOUBLE, source
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), shared3 AS (
+    SELECT *, budget - sum(CASE WHEN filled THEN capacity ELSE 0 END) OVER p AS rest,
+           sum(CASE WHEN filled THEN 0 ELSE weight END) OVER p AS open_all,
+           sum(CASE WHEN filled THEN 0 ELSE weight END) OVER u AS open_to
+    FROM tested3
+    WINDOW p AS (PARTITION BY root, domain, lang),
+           u AS (PARTITION BY root, domain, lang ORDER BY capacity::DOUBLE / weight::DOUBLE, source
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), got3 AS (
+    SELECT root, domain, lang, source, CASE WHEN filled THEN capacity
+        ELSE rest::HUGEINT * open_to::HUGEINT // open_all::HUGEINT
+             - rest::HUGEINT * (open_to - weight)::HUGEINT // open_all::HUGEINT END AS got
+    FROM shared3
+), budgets AS (
+    SELECT l.domain, l.lang, l.source, g.got // l.tokens AS epochs, g.got % l.tokens AS rest
+    FROM leaves l JOIN got3 g USING (domain, lang, source) WHERE g.got > 0 AND l.tokens > 0
+), dealt AS (
+    SELECT d.*, b.epochs, b.rest, e.epoch, md5('42:' || e.epoch || ':' || d.doc_id) AS key
+    FROM docs d JOIN budgets b USING (domain, lang, source), (SELECT unnest(range(4)) AS epoch) e
+    WHERE e.epoch <= b.epochs
+), filled AS (
+    SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source, epoch ORDER BY key
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n_tokens AS before
+    FROM dealt
+), last AS (
+    SELECT domain, lang, source, max(key) AS last_key FROM filled
+    WHERE epoch = epochs AND before < rest AND n_tokens > 0 GROUP BY ALL
+)
+SELECT doc_id, domain, lang AS language, source AS origin, n_tokens, epoch::INT AS epoch
+FROM filled LEFT JOIN last USING (domain, lang, source)
+WHERE epoch < epochs OR key <= last_key
+""",
     "op8_line_dedup": r"""
 WITH lines AS (
     SELECT doc_id, unnest(range(len(parts))) AS place, unnest(parts) AS line
