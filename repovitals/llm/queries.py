@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .fuzzy_hash import fingerprints
 from .language_id import fit_languages, held_out, identify
 from .line_dedup import dedup_lines
 from .mixture import mix_to_weights
@@ -52,6 +53,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents, identifier, [F.col("doc_id"), held_out().alias("held_out")])
 
 
+def op7_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_set_relation_join": op2_set_relation_join,
     "op5_hierarchical_mixture": op5_hierarchical_mixture,
     "op6_language_id": op6_language_id,
+    "op7_piecewise_hash": op7_piecewise_hash,
     "op8_line_dedup": op8_line_dedup,
     "op9_piece_nbest": op9_piece_nbest,
 }
