@@ -292,11 +292,16 @@ def _calibration(identifier: Identifier):
 
 def _labelled_sample(labelled: DataFrame) -> DataFrame:
     """At most SAMPLE_TEXTS rows (text, lang, calibrate) of a language: those whose ids hash least."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    order = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)), "doc_id")
     usable = F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
     labelled = labelled.where(usable)
+    ids = labelled.select("doc_id", "lang")
+    # Ids are thinned by their hash to about half as many again as wanted before they are put in order.
+    counts = ids.groupBy("lang").agg(F.count("*").alias("n"))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / float(1 << 32)
     chosen = (
-        labelled.select("doc_id", "lang")
+        ids.join(counts, "lang")
+        .where((part * F.col("n") < 1.5 * SAMPLE_TEXTS) | (F.col("n") <= SAMPLE_TEXTS))
         .withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= SAMPLE_TEXTS)
         .select("doc_id", "lang", (F.col("place") % CALIBRATION_SHARE == 0).alias("calibrate"))
