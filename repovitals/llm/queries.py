@@ -14,6 +14,7 @@ from .mixture import mix_to_weights
 from .piece_nbest import decode_pieces, encode_nbest
 from .set_join import jaccard_groups
 from .storage import ship_package
+from .url_reputation import ALLOW, BLOCK, judge_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +22,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+URL_RULES = [
+    (ALLOW, "org", "/"),
+    (BLOCK, "example.org", "/es/"),
+    (BLOCK, "example.org", "/en/1"),
+    (ALLOW, "com", "/fr/"),
+    (BLOCK, "com", "/de/"),
+]
+
+
+def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page counts as bad where the label of its number says low quality or toxic."""
+    bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")
+    labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    judged = judge_urls(_table(spark, sf_dir, "pages"), labels, URL_RULES)
+    return judged.select(
+        "page_id", "host", "path", "rule", "verdict",
+        F.round("bad_share", 6).alias("bad_share"), F.round("bad_bound", 6).alias("bad_bound"),
+    )
+
+
 def op2_set_relation_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(_table(spark, sf_dir, "documents"), k=3, percent=90)
 
@@ -77,6 +98,7 @@ def op9_piece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_reputation": op1_url_reputation,
     "op2_set_relation_join": op2_set_relation_join,
     "op5_hierarchical_mixture": op5_hierarchical_mixture,
     "op6_language_id": op6_language_id,
@@ -86,6 +108,65 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_url_reputation": r"""
+WITH urls AS (
+    SELECT page_id,
+           translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages
+), known AS (
+    SELECT doc_id, max((quality = 0 OR toxic = 1)::INT) AS bad
+    FROM labels WHERE quality = 0 OR toxic = 1 OR (quality IS NOT NULL AND toxic IS NOT NULL) GROUP BY doc_id
+), named AS (
+    SELECT host, bad, string_split(regexp_replace(regexp_extract(host, '(?s)^(?:[^@]*@)?([^:@]*)', 1), '\.+$', ''), '.') AS parts
+    FROM urls LEFT JOIN known ON page_id = doc_id
+), placed AS (
+    SELECT *, array_to_string(parts[-2:], '.') IN
+        ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'net.au', 'co.jp', 'ne.jp', 'co.nz', 'com.br', 'co.in') AS two
+    FROM named
+), hosts AS (
+    SELECT host, array_to_string(CASE WHEN two THEN parts[-3:] ELSE parts[-2:] END, '.') AS domain,
+           array_to_string(CASE WHEN two THEN parts[-2:] ELSE parts[-1:] END, '.') AS suffix,
+           count(bad) AS n, coalesce(sum(bad), 0)::BIGINT AS bad
+    FROM placed GROUP BY ALL
+), domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL
+), suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY ALL
+), s0 AS (
+    SELECT *, (SELECT (sum(bad) + 0.5) / (sum(n) + 1) FROM suffixes)::DOUBLE AS mean FROM suffixes
+), ks AS (
+    SELECT 1 / greatest(0.001, least(0.9, coalesce(sum((bad - n * mean) ** 2 - n * mean * (1 - mean))
+           / nullif(sum(n * (n - 1) * mean * (1 - mean)), 0), 0.9))) - 1 AS k FROM s0 WHERE n > 0
+), s1 AS (SELECT suffix, (bad + k * mean) / (n + k) AS mean FROM s0, ks
+), d0 AS (SELECT * FROM domains JOIN s1 USING (suffix)
+), kd AS (
+    SELECT 1 / greatest(0.001, least(0.9, coalesce(sum((bad - n * mean) ** 2 - n * mean * (1 - mean))
+           / nullif(sum(n * (n - 1) * mean * (1 - mean)), 0), 0.9))) - 1 AS k FROM d0 WHERE n > 0
+), d1 AS (SELECT domain, (bad + k * mean) / (n + k) AS mean FROM d0, kd
+), h0 AS (SELECT * FROM hosts JOIN d1 USING (domain)
+), kh AS (
+    SELECT 1 / greatest(0.001, least(0.9, coalesce(sum((bad - n * mean) ** 2 - n * mean * (1 - mean))
+           / nullif(sum(n * (n - 1) * mean * (1 - mean)), 0), 0.9))) - 1 AS k FROM h0 WHERE n > 0
+), posterior AS (
+    SELECT host, bad + k * mean AS a, n - bad + k * (1 - mean) AS b FROM h0, kh
+), bounds AS (
+    SELECT host, a / (a + b) AS share,
+           a / (a + b) - 1.645 * sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1)) AS bound
+    FROM posterior
+), rules(rule, rule_host, rule_path, says) AS (
+    VALUES ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
+           ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'),
+           ('com/de/', 'com', '/de/', 'block')
+), fitting AS (
+    SELECT page_id, max_by(rule, length(rule)) AS rule, max_by(says, length(rule)) AS says
+    FROM urls, rules
+    WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    GROUP BY page_id
+)
+SELECT page_id, host, path, rule, coalesce(says, CASE WHEN bound > 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+       round(share, 6) AS bad_share, round(bound, 6) AS bad_bound
+FROM urls JOIN bounds USING (host) LEFT JOIN fitting USING (page_id)
+""",
     "op5_hierarchical_mixture": r"""
 WITH docs AS (
     SELECT doc_id,
