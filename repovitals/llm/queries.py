@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .fuzzy_hash import fingerprints
 from .language_id import fit_languages, held_out, identify
 from .line_dedup import dedup_lines
+from .lsh_forest import nearest_neighbours
 from .mixture import mix_to_weights
 from .piece_nbest import decode_pieces, encode_nbest
 from .set_join import jaccard_groups
@@ -46,6 +47,10 @@ def op2_set_relation_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(_table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op3_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 #: Target weights of the mixture: of domains, of languages in a domain, of sources in a language.
 MIX_LEVELS = {
     "domain": F.when(F.col("source") == "src0", "web")
@@ -100,6 +105,7 @@ def op9_piece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_set_relation_join": op2_set_relation_join,
+    "op3_hash_prefix_forest": op3_hash_prefix_forest,
     "op5_hierarchical_mixture": op5_hierarchical_mixture,
     "op6_language_id": op6_language_id,
     "op7_piecewise_hash": op7_piecewise_hash,
