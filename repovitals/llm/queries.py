@@ -12,6 +12,7 @@ from .language_id import fit_languages, held_out, identify
 from .line_dedup import dedup_lines
 from .lsh_forest import nearest_neighbours
 from .mixture import mix_to_weights
+from .pii_crf import KINDS, find_personal_data, fit_field, span_text
 from .piece_nbest import decode_pieces, encode_nbest
 from .set_join import jaccard_groups
 from .storage import ship_package
@@ -51,6 +52,20 @@ def op3_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op4_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_personal_data(documents, fit_field(documents))
+    counts = [
+        F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(span_text(F.col("base_spans")), 256).alias("base_sha256"),
+        span_text(F.col("spans")).alias("spans"),
+    )
+
+
 #: Target weights of the mixture: of domains, of languages in a domain, of sources in a language.
 MIX_LEVELS = {
     "domain": F.when(F.col("source") == "src0", "web")
@@ -106,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_set_relation_join": op2_set_relation_join,
     "op3_hash_prefix_forest": op3_hash_prefix_forest,
+    "op4_semi_markov_pii": op4_semi_markov_pii,
     "op5_hierarchical_mixture": op5_hierarchical_mixture,
     "op6_language_id": op6_language_id,
     "op7_piecewise_hash": op7_piecewise_hash,
