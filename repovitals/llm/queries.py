@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .fuzzy_hash import fingerprints
+from .html_paths import main_text
 from .language_id import fit_languages, held_out, identify
 from .line_dedup import dedup_lines
 from .lsh_forest import nearest_neighbours
@@ -117,6 +118,11 @@ def op9_piece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_consensus_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extracted = main_text(_table(spark, sf_dir, "pages"))
+    return extracted.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_set_relation_join": op2_set_relation_join,
@@ -127,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_piecewise_hash": op7_piecewise_hash,
     "op8_line_dedup": op8_line_dedup,
     "op9_piece_nbest": op9_piece_nbest,
+    "op10_consensus_paths": op10_consensus_paths,
 }
 
 SQL: dict[str, str] = {
