@@ -395,4 +395,12 @@ def find_personal_data(documents: DataFrame, weights: dict[str, float]) -> DataF
 
 def span_text(spans: Column) -> Column:
     """kind:start:end of all spans, comma-joined."""
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    def one(s: Column) -> Column:
+        return F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+
+    return F.array_join(F.transform(spans, one), ",")
+
+
+def n_spans(spans: Column, kind: str) -> Column:
+    """How many spans are of a kind."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")

@@ -13,7 +13,7 @@ from .language_id import fit_languages, held_out, identify
 from .line_dedup import dedup_lines
 from .lsh_forest import nearest_neighbours
 from .mixture import mix_to_weights
-from .pii_crf import KINDS, find_personal_data, fit_field, span_text
+from .pii_crf import KINDS, find_personal_data, fit_field, n_spans, span_text
 from .piece_nbest import decode_pieces, encode_nbest
 from .set_join import jaccard_groups
 from .storage import ship_package
@@ -56,12 +56,9 @@ def op3_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_personal_data(documents, fit_field(documents))
-    counts = [
-        F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in KINDS
-    ]
     return found.select(
         "doc_id",
-        *counts,
+        *(n_spans(F.col("spans"), kind).alias(f"n_{kind}") for kind in KINDS),
         F.sha2(span_text(F.col("base_spans")), 256).alias("base_sha256"),
         span_text(F.col("spans")).alias("spans"),
     )
