@@ -29,19 +29,20 @@ from repovitals.sources import star_schema  # noqa: E402
 from repovitals.sources.landing import fit_columns  # noqa: E402
 from repovitals.sources.store import shared_folder  # noqa: E402
 
-try:  # the only guard: the subpackage and the pipeline may be absent
+LLM_QUERIES: dict = {}
+LLM_SQL: dict = {}
+try:  # the only guard: the subpackage and the pipeline built on it may be absent
     from repovitals.llm.queries import QUERIES as LLM_QUERIES
     from repovitals.llm.queries import SQL as LLM_SQL
-except ImportError:
-    LLM_QUERIES, LLM_SQL = {}, {}
-try:
+
     import corpus_pipeline
-except ImportError:
-    pass
-else:
+
     LLM_QUERIES = {"pipeline": corpus_pipeline.run, **LLM_QUERIES}
     if corpus_pipeline.ORACLE_SQL:
         LLM_SQL = {"pipeline": corpus_pipeline.ORACLE_SQL, **LLM_SQL}
+except ModuleNotFoundError as missing:
+    if missing.name not in ("repovitals.llm", "repovitals.llm.queries", "corpus_pipeline"):
+        raise
 
 FLAGSHIP_DATA = "/root/testdata/sf0.001"
 AS_OF = "2001-11-05 00:00:00"
