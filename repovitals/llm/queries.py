@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .fuzzy_hash import fingerprints
@@ -64,25 +64,30 @@ def op4_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Target weights of the mixture: of domains, of languages in a domain, of sources in a language.
-MIX_LEVELS = {
-    "domain": F.when(F.col("source") == "src0", "web")
-    .when(F.length("source") <= 4, "reference")
-    .otherwise("forum"),
-    "language": F.col("lang"),
-    "origin": F.col("source"),
-}
-MIX_WEIGHTS = {
-    "domain": F.when(F.col("domain") == "web", 5).when(F.col("domain") == "reference", 3).otherwise(2),
-    "language": F.when(F.col("language") == "en", 4)
-    .when(F.col("language").isin("de", "es", "fr"), 2)
-    .otherwise(1),
-    "origin": F.lit(1),
-}
+def mix_levels() -> dict[str, Column]:
+    """The tree of the mixture: domains (by source), languages in a domain, sources in a language."""
+    return {
+        "domain": F.when(F.col("source") == "src0", "web")
+        .when(F.length("source") <= 4, "reference")
+        .otherwise("forum"),
+        "language": F.col("lang"),
+        "origin": F.col("source"),
+    }
+
+
+def mix_weights() -> dict[str, Column]:
+    """Target weights of the nodes among their siblings."""
+    return {
+        "domain": F.when(F.col("domain") == "web", 5).when(F.col("domain") == "reference", 3).otherwise(2),
+        "language": F.when(F.col("language") == "en", 4)
+        .when(F.col("language").isin("de", "es", "fr"), 2)
+        .otherwise(1),
+        "origin": F.lit(1),
+    }
 
 
 def op5_hierarchical_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mix_to_weights(_table(spark, sf_dir, "documents"), MIX_LEVELS, MIX_WEIGHTS, max_epochs=3)
+    mixed = mix_to_weights(_table(spark, sf_dir, "documents"), mix_levels(), mix_weights(), max_epochs=3)
     return mixed.select("doc_id", "domain", "language", "origin", "n_tokens", "epoch")
 
 
