@@ -14,7 +14,7 @@ from repovitals.llm.language_id import fit_languages, held_out, identify
 from repovitals.llm.line_dedup import dedup_lines
 from repovitals.llm.mixture import mix_to_weights
 from repovitals.llm.piece_nbest import encode_nbest
-from repovitals.llm.queries import MIX_LEVELS, MIX_WEIGHTS
+from repovitals.llm.queries import mix_levels, mix_weights
 from repovitals.llm.set_join import jaccard_groups
 from repovitals.llm.storage import stored, workspace
 
@@ -45,7 +45,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the proportions of the target weights, none twice."""
-    return mix_to_weights(docs, MIX_LEVELS, MIX_WEIGHTS, percent=MIX_PERCENT).select(*COLUMNS)
+    return mix_to_weights(docs, mix_levels(), mix_weights(), percent=MIX_PERCENT).select(*COLUMNS)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
