@@ -203,10 +203,10 @@ def _list_edges(percent: int):
     return run
 
 
-def overlap_links(sets: list[np.ndarray], sides: np.ndarray, percent: int):
+def overlap_links(sets: list[np.ndarray], percent: int, sides: np.ndarray | None = None):
     """Yield (i, positions of the sets linked with set i) for each set, in order of size.
 
-    sides: one value per set. If there are two, only pairs across them count.
+    sides: if given, one value per set; only pairs across them count then.
     """
     sizes = np.array([len(s) for s in sets])
     codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
@@ -225,7 +225,6 @@ def overlap_links(sets: list[np.ndarray], sides: np.ndarray, percent: int):
 
     leaders: list[tuple[int, np.ndarray]] = []
     oldest = 0
-    across = len(np.unique(sides)) > 1
     for i in np.argsort(sizes, kind="stable").tolist():
         apart, best = sizes[i], None
         for leader, overlap in leaders:
@@ -246,7 +245,7 @@ def overlap_links(sets: list[np.ndarray], sides: np.ndarray, percent: int):
                 oldest = (oldest + 1) % LEADERS
         linked = 100 * overlap >= percent * (sizes[i] + sizes - overlap)
         linked[i] = False
-        if across:
+        if sides is not None:
             linked &= sides != sides[i]
         yield i, np.flatnonzero(linked)
 
@@ -265,7 +264,8 @@ def _join_family(k: int, percent: int):
         sids = frame["sid"].to_numpy()
         label = np.arange(len(sets))
         links = np.zeros(len(sets), dtype=np.int64)
-        for i, others in overlap_links(sets, frame["block"].to_numpy(), percent):
+        sides = None if frame["within"].all() else frame["block"].to_numpy()
+        for i, others in overlap_links(sets, percent, sides) if sets else ():
             if len(others):
                 links[i] += weights[others].sum()
                 joined = np.unique(label[np.append(others, i)])
@@ -388,7 +388,8 @@ def _link(members: DataFrame, texts: DataFrame, k: int, percent: int, folder: st
     )
     return stored(
         placed.join(texts, F.col("first_id").eqNullSafe(F.col("doc_id")))
-        .select("family", "low", "high", "block", "sid", "copies", "digest", "text")
+        .withColumn("within", F.col("low") == F.col("high"))
+        .select("family", "low", "high", "within", "block", "sid", "copies", "digest", "text")
         .groupBy("family", "low", "high")
         .applyInPandas(_join_family(k, percent), "sid long, near long, links long"),
         f"{folder}/linked",
