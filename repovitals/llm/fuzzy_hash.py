@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .batches import sliced
 from .storage import ship_package
 from .texthash import mix
 
@@ -185,4 +186,4 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     )
     dealt = placed.select("bucket", F.lit(0).alias("guest"), "doc_id", "text").unionByName(guests)
     ordered = dealt.repartition("bucket").sortWithinPartitions("bucket", "guest", F.desc("doc_id"), "text")
-    return ordered.mapInArrow(_against_next, _SCHEMA)
+    return ordered.mapInArrow(sliced(_against_next), _SCHEMA)

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .batches import sliced
 from .storage import ship_package, stored, workspace
 from .url_reputation import url_host
 
@@ -241,7 +242,7 @@ def winning_paths(pages: DataFrame) -> DataFrame:
     """
     votes = (
         pages.select(url_host(F.col("url")).alias("host"), "html")
-        .mapInArrow(_vote, "host string, path string, votes long")
+        .mapInArrow(sliced(_vote), "host string, path string, votes long")
         .groupBy("host", "path")
         .agg(F.sum("votes").alias("votes"))
     )
@@ -266,4 +267,4 @@ def main_text(pages: DataFrame) -> DataFrame:
     met = pages.withColumn("_own", url_host(F.col("url"))).join(winners, F.col("_own") == F.col("_host"), "left")
     shown = met.select(*(F.col(f"`{c}`") for c in kept), F.col("html").alias("_html"), F.col("_path"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shown.schema.fields[:-2])
-    return shown.mapInArrow(_extract, f"{fields}, text string")
+    return shown.mapInArrow(sliced(_extract), f"{fields}, text string")

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .batches import sliced
 from .storage import ship_package
 from .texthash import mix
 
@@ -33,7 +34,7 @@ STANDARD_ERRORS = 3.0
 SLACK_BITS = 0.5
 _OTHER, _FIRST = 1, 2
 _CHUNK = 1 << 19
-_CACHED = 1 << 20
+_CACHED = 1 << 18
 _BITS = np.uint64(8)
 
 
@@ -320,7 +321,7 @@ def fit_languages(labelled: DataFrame) -> Identifier:
     sample = _labelled_sample(labelled).cache()
     fit = sample.where("not calibrate").select("text", "lang")
     letters = (
-        fit.mapInArrow(_count_letters, "letter long, n long")
+        fit.mapInArrow(sliced(_count_letters), "letter long, n long")
         .groupBy("letter")
         .agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "letter")
@@ -330,7 +331,7 @@ def fit_languages(labelled: DataFrame) -> Identifier:
     known = np.array([row.letter for row in letters], dtype=np.uint32)
     rarest_last = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
     rows = (
-        fit.mapInArrow(_count_ngrams(known), "lang string, code long, n long")
+        fit.mapInArrow(sliced(_count_ngrams(known)), "lang string, code long, n long")
         .groupBy("lang", "code")
         .agg(F.sum("n").alias("n"))
         .withColumn("place", F.row_number().over(rarest_last))
@@ -355,7 +356,7 @@ def fit_languages(labelled: DataFrame) -> Identifier:
 def _calibrate(identifier: Identifier, texts: DataFrame) -> None:
     """Set each language's limit and the sharpness of the score from texts the models have not seen."""
     rows = texts.mapInArrow(
-        _calibration(identifier), "lang string, bits array<double>, error array<double>"
+        sliced(_calibration(identifier)), "lang string, bits array<double>, error array<double>"
     ).collect()
     if not rows:
         return
@@ -409,7 +410,7 @@ def identify(documents: DataFrame, identifier: Identifier, keep: list[Column] |
     shown = documents.select(*keep, F.col("text").alias("_text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shown.schema.fields[:-1])
     return shown.mapInArrow(
-        _predict(spark.sparkContext.broadcast(identifier)),
+        sliced(_predict(spark.sparkContext.broadcast(identifier))),
         f"{fields}, lang_pred string, score double, accepted boolean, bits_per_char double",
     )
 

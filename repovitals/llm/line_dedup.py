@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .batches import sliced
 from .cuckoo import CuckooFilter
 from .storage import stored, workspace
 
@@ -57,7 +58,7 @@ def line_keys(documents: DataFrame) -> DataFrame:
     return (
         documents.where("doc_id is not null")
         .select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
-        .mapInArrow(_keys, "key binary, doc_id long")
+        .mapInArrow(sliced(_keys), "key binary, doc_id long")
     )
 
 
@@ -228,7 +229,7 @@ class LineIndex:
         rest = [F.col(f"`{c}`") for c in columns if c != text]
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*rest).schema)
         out = met.select(*rest, cut).mapInArrow(
-            _cut_lines, f"{fields}{', ' if fields else ''}`{text}` string, n_lines long, n_dropped long"
+            sliced(_cut_lines), f"{fields}{', ' if fields else ''}`{text}` string, n_lines long, n_dropped long"
         )
         return out.select(*(f"`{c}`" for c in columns), "n_lines", "n_dropped")
 

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import sliced
 from .storage import ship_package
 from .texthash import mix
 
@@ -33,8 +34,8 @@ BYTES_PENALTY = 10.0
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 _RAW_SPACE = ("the space mark itself, occurring in a text",)
 _LONG_WORD = 48
-_WORDS_AT_ONCE = 40_000
-_KNOWN_WORDS = 300_000
+_WORDS_AT_ONCE = 8_000
+_KNOWN_WORDS = 100_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -386,7 +387,7 @@ def decode(pieces: Pieces, ids) -> str:
     return joined[1:].decode("utf-8", "surrogatepass") if joined[:1] == b" " else joined.decode("utf-8", "surrogatepass")
 
 
-_RUN = 1_000_000
+_RUN = 500_000
 _SCHEMA = (
     "piece_ids array<int>, n_pieces long, scores array<double>, "
     "alternatives array<array<struct<word:int,piece_ids:array<int>>>>"
@@ -450,7 +451,7 @@ def encode_nbest(documents: DataFrame, n: int = 4, model: str = MODEL) -> DataFr
     kept = [F.col(f"`{c}`") for c in documents.columns if c.lower() not in _ADDED]
     shown = documents.select(*kept, F.col("text").alias("_text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shown.schema.fields[:-1])
-    return shown.mapInArrow(_encode(model, n), f"{fields}, {_SCHEMA}")
+    return shown.mapInArrow(sliced(_encode(model, n)), f"{fields}, {_SCHEMA}")
 
 
 def _decode(path: str):
@@ -470,4 +471,4 @@ def decode_pieces(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     kept = [F.col(f"`{c}`") for c in encoded.columns if c.lower() != "decoded"]
     shown = encoded.select(*kept, F.col("piece_ids").alias("_ids"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shown.schema.fields[:-1])
-    return shown.mapInArrow(_decode(model), f"{fields}, decoded string")
+    return shown.mapInArrow(sliced(_decode(model)), f"{fields}, decoded string")

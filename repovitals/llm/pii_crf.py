@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .batches import sliced
 from .storage import ship_package
 
 KINDS = ("email", "ip", "card", "phone")
@@ -345,7 +346,7 @@ def fit_field(documents: DataFrame) -> dict[str, float]:
     rows = (
         usable.where(part * n < SAMPLE_TEXTS)
         .mapInArrow(
-            _examples,
+            sliced(_examples),
             "candidates array<struct<kind:string,start:bigint,end:bigint,features:array<string>>>, true array<int>",
         )
         .limit(SAMPLE_ZONES)
@@ -389,7 +390,7 @@ def find_personal_data(documents: DataFrame, weights: dict[str, float]) -> DataF
     shown = documents.select(*kept, F.col("text").alias("_text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shown.schema.fields[:-1])
     return shown.mapInArrow(
-        _find(spark.sparkContext.broadcast(weights)), f"{fields}, base_spans {_SPANS}, spans {_SPANS}"
+        sliced(_find(spark.sparkContext.broadcast(weights))), f"{fields}, base_spans {_SPANS}, spans {_SPANS}"
     )
 
 

@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import release, sliced
 from .components import connected_components
 from .storage import stored, workspace
 from .texthash import shingle_set, word_hashes
@@ -85,7 +86,7 @@ def _add_counts(frame):
 def slot_counts(texts: DataFrame, k: int) -> np.ndarray:
     """How many shingles of all texts fall on each counter: 64 rows of fixed size reach the driver."""
     parts = (
-        texts.mapInArrow(_count_slots(k), "part int, counts binary")
+        texts.mapInArrow(sliced(_count_slots(k)), "part int, counts binary")
         .groupBy("part")
         .applyInPandas(_add_counts, "part int, counts binary")
         .collect()
@@ -271,6 +272,7 @@ def _join_family(k: int, percent: int):
                 joined = np.unique(label[np.append(others, i)])
                 if len(joined) > 1:
                     label[np.isin(label, joined)] = joined[0]
+        release()
         return pd.DataFrame({"sid": sids, "near": sids[label], "links": links})
 
     return run
@@ -293,7 +295,7 @@ def jaccard_groups(documents: DataFrame, k: int = 5, percent: int = 80) -> DataF
     counts = spark.sparkContext.broadcast(slot_counts(texts.select("text"), k))
     found = stored(
         texts.mapInArrow(
-            _prefixes(k, percent, counts), "doc_id long, n long, digest binary, prefix array<long>"
+            sliced(_prefixes(k, percent, counts)), "doc_id long, n long, digest binary, prefix array<long>"
         ).withColumn("sid", F.xxhash64("digest")),
         f"{folder}/documents",
     )
