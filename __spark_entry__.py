@@ -150,11 +150,11 @@ def _raw_from_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("raw_repositories")
 
 
-def _capped_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _union_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ("id", "full_name", "name", "owner", "html_url", "updated_at")
     events = rv.repos_from_events(star_schema.event_lines(spark, sf_dir), as_of())
     found = rv.repos_from_search(star_schema.search_pages(spark, sf_dir))
-    return rv.capped_union([events.select(*columns), found.select(*columns)], limit=1000)
+    return rv.union_by_priority([events.select(*columns), found.select(*columns)])
 
 
 def _truncate_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,7 +270,7 @@ def queries() -> dict[str, Query]:
         "event_type_sets": _on_events(_event_type_sets),
         "search_to_repos": _on_pages(rv.repos_from_search),
         "days_since": _on_pages(lambda pages: rv.push_ages(pages, ntz("2001-09-01 12:00:00"))),
-        "capped_union": _capped_union,
+        "capped_union": _union_by_priority,
         "raw_from_sources": _raw_from_sources,
         "truncate_columns": _truncate_columns,
         "conform_schema": _on_raw(

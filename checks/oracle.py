@@ -339,7 +339,7 @@ from (select *, json_extract_string(props, '$.k')::bigint as k from events)"""
 
 
 def event_repos(lines: str) -> str:
-    return f"""select 'gh_' || md5(repo)[1:12] as id, repo as full_name,
+    return f"""select 'gh_' || md5(repo) as id, repo as full_name,
   if(contains(repo, '/'), substring(repo, strpos(repo, '/') + 1), repo) as name,
   if(contains(repo, '/'), split_part(repo, '/', 1), 'unknown') as owner,
   'https://github.com/' || repo as html_url,
@@ -490,10 +490,8 @@ from event_lines where repo <> '' group by repo""",
 from (select id, pushed_at,
         floor((epoch_us(timestamp '2001-09-01 12:00:00') - epoch_us(pushed_at)) / 86400000000.0)::bigint as days_since_push
       from search_repos)""",
-    "capped_union": f"""select * from (
-  select 1 as priority, id, full_name, name, owner, html_url, updated_at from event_repos
-  union all select 2, id, full_name, name, owner, html_url, updated_at from ({_SEARCH}))
-order by priority, id, full_name limit 1000""",
+    "capped_union": f"""select 1 as priority, id, full_name, name, owner, html_url, updated_at from event_repos
+  union all select 2, id, full_name, name, owner, html_url, updated_at from ({_SEARCH})""",
     "raw_from_sources": f"""select 'git_hub' as data_source, id, name, full_name, owner, 'Unknown' as language, 0::bigint as stars, 0::bigint as forks,
   html_url, null::timestamp as created_at, updated_at, {AS_OF} as load_timestamp from event_repos
 union all select 'git_hub', id, name, full_name, owner, coalesce(language, 'Unknown'), stars, forks, html_url, created_at,

@@ -1,12 +1,12 @@
 """Layered repository-health analytics on Spark: ingest, cleanse, enrich, score, monitor, report."""
 
 from repovitals.operators.activity import event_type_counts, event_type_maps, repos_from_events
-from repovitals.operators.enrich import busy_repositories, contributors_agg, enrich
+from repovitals.operators.enrich import contributors_agg, enrich, frequent_names
 from repovitals.operators.hubs import hub_commits, hub_contributors, hub_issues, hub_releases
 from repovitals.operators.metrics import load_metrics
 from repovitals.operators.quality import dq_findings, profile_repositories
 from repovitals.operators.risk import risk_factors, risk_product
-from repovitals.operators.search import capped_union, push_ages, repos_from_search
+from repovitals.operators.search import push_ages, repos_from_search, union_by_priority
 from repovitals.operators.stage import cleanse_repositories, stage_repositories
 from repovitals.plans.monitoring import pipeline_status, status_section
 from repovitals.plans.refresh import refresh
@@ -28,12 +28,11 @@ from repovitals.streaming.run_log import run_log_latest
 
 __all__ = [
     "LayerStore",
-    "busy_repositories",
-    "capped_union",
     "cleanse_repositories",
     "contributors_agg",
     "dq_findings",
     "enrich",
+    "frequent_names",
     "event_type_counts",
     "event_type_maps",
     "export_csv",
@@ -66,5 +65,6 @@ __all__ = [
     "stage_repositories",
     "status_section",
     "to_raw_repositories",
+    "union_by_priority",
     "write_raw",
 ]

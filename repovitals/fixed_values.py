@@ -116,5 +116,4 @@ MESSAGE_SKIPPED = "No new data in stream, skipping pipeline execution"
 MESSAGE_STARTED = "New data detected, starting pipeline execution"
 MESSAGE_COMPLETED = "Pipeline completed successfully for new data"
 MESSAGE_ERROR_PREFIX = "Pipeline failed: "
-MESSAGE_WIDTH = 500
 REFRESH_INTERVAL = "2 minutes"

@@ -43,8 +43,8 @@ def name_of(full_name: Column) -> Column:
 
 
 def stable_id(full_name: Column) -> Column:
-    """A repeatable identifier made from the repository name."""
-    return F.concat(F.lit(fx.EVENT_ID_PREFIX), F.substring(F.md5(full_name), 1, 12))
+    """A repeatable identifier made from the repository name, by its whole digest."""
+    return F.concat(F.lit(fx.EVENT_ID_PREFIX), F.md5(full_name))
 
 
 def shortened_name(full_name: Column) -> Column:

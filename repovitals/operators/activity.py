@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from repovitals import fixed_values as fx
@@ -62,8 +62,9 @@ def repos_from_events(events: DataFrame, as_of: Column) -> DataFrame:
 def event_type_counts(events: DataFrame) -> DataFrame:
     """One row per repository and event type, with the repository's number of types."""
     counts = _named_events(events).groupBy("full_name", "event_type").agg(F.count(F.lit(1)).alias("n"))
-    types = counts.groupBy("full_name").agg(F.count(F.lit(1)).alias("n_types"))
-    return counts.join(types, "full_name").select("full_name", "event_type", "n", "n_types")
+    # The log is read once; a repository's rows here are as many as it has types.
+    n_types = F.count(F.lit(1)).over(Window.partitionBy("full_name"))
+    return counts.withColumn("n_types", n_types).select("full_name", "event_type", "n", "n_types")
 
 
 def event_type_maps(events: DataFrame) -> DataFrame:

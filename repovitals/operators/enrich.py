@@ -10,12 +10,8 @@ from pyspark.sql import functions as F
 from repovitals import fixed_values as fx
 from repovitals.schemas import TABLES
 
-#: A repository with more hub rows than this is kept out of the shuffled join.
-BUSY_ROWS = 1_000_000
-#: At most this many busy names per hub; a name beyond them holds under 1/500 of the hub.
-BUSY_NAMES = 500
-#: Counters of the frequency sketch; it overlooks no name holding more than 0.04 % of the rows.
-SKETCH_COUNTERS = 10_000
+#: No salted part of a name holds more than about 1 / (this x partitions) of a hub's rows.
+PARTS_PER_PARTITION = 4
 
 
 def contributors_agg(contributors: DataFrame, source: str = fx.SOURCE) -> DataFrame:
@@ -35,94 +31,48 @@ def contributors_agg(contributors: DataFrame, source: str = fx.SOURCE) -> DataFr
     )
 
 
-def busy_repositories(
-    *hubs: DataFrame, source: str = fx.SOURCE, busy_rows: int = BUSY_ROWS
-) -> DataFrame:
-    """Names that hold very many rows of some hub, at most `BUSY_NAMES` per hub.
+def frequent_names(hub: DataFrame) -> DataFrame:
+    """Rows (full_name, salts) of the names that hold more than their share of a hub, counted exactly.
 
-    A mergeable sketch reads one column and shuffles one small buffer per task. It only decides
-    which way a row takes through `enrich`, never what comes out.
+    salts says into how many parts such a name is cut. Rows are counted per name in the map tasks
+    first; fewer names than PARTS_PER_PARTITION x partitions can be over that share of all rows, so
+    the list is bounded whatever the hub holds.
     """
-
-    def names(hub: DataFrame) -> DataFrame:
-        top = F.expr(f"approx_top_k(repo, {BUSY_NAMES}, {SKETCH_COUNTERS})")
-        return (
-            hub.filter(F.col("data_source") == source)
-            .agg(top.alias("top"))
-            .select(F.inline("top"))
-            .filter(F.col("count") > busy_rows)
-            .select(F.col("item").alias("full_name"))
-        )
-
-    return reduce(DataFrame.unionByName, map(names, hubs)).distinct()
+    parts = PARTS_PER_PARTITION * int(hub.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = hub.groupBy("full_name").agg(F.count(F.lit(1)).alias("n"))
+    total = hub.agg(F.count(F.lit(1))).scalar()
+    salts = F.ceil(F.col("n") * parts / total).cast("int")
+    return counts.select("full_name", salts.alias("salts")).filter("salts > 1")
 
 
-def _left_joined(repositories: DataFrame, activity: list[DataFrame]) -> DataFrame:
-    return reduce(lambda left, hub: left.join(hub, "full_name", "left"), activity, repositories)
+def _left_join_salted(left: DataFrame, hub: DataFrame) -> DataFrame:
+    """`left` with all rows of `hub` of its name, or one row of NULLs; no name is left to one task.
 
-
-def _slices(rows: Column, slice_rows: int) -> Column:
-    return F.greatest(F.ceil(rows / slice_rows), F.lit(1)).cast("bigint")
-
-
-def _busy_joined(
-    repositories: DataFrame, contributors: DataFrame, hubs: list[DataFrame], slice_rows: int
-) -> DataFrame:
-    """Left joins for the few busy repositories, without gathering their hub rows in one task.
-
-    A repository absent from a hub gets one row of NULLs there, so inner joins give the left-join
-    result, and an inner join may be cut up: the rows of a name are divided into slices of about
-    `slice_rows` on both sides and each slice meets each slice of the other side. A side is copied
-    once per slice of the other, which is less than one copy per `slice_rows` rows that come out.
-
-    Rows are assigned to slices by their position in the stored hub, so a task that is run again
-    assigns them alike, and equal rows are spread too. What is broadcast has one row per busy name.
+    A frequent name's hub rows are dealt over its salts and its left rows copied to each. Frequent
+    names without a left row, such as the placeholder of unnamed rows, are dropped before the shuffle.
+    A salt that got no row gives no result: the name has rows in the hub, under another salt. Rows are
+    dealt by their place in the stored hub, so equal rows are spread and a task run again deals alike.
     """
-    names = F.broadcast(repositories.select("full_name").distinct())
-    numbered = [
-        hub.withColumn(f"row_{i}", F.monotonically_increasing_id()).join(names, "full_name", "left_semi")
-        for i, hub in enumerate(hubs)
-    ]
-    sizes = names
-    for i, hub in enumerate(numbered):
-        counted = hub.groupBy("full_name").agg(F.count(F.lit(1)).alias(f"rows_{i}"))
-        sizes = sizes.join(counted, "full_name", "left")
-    sizes = sizes.fillna(0)
-
-    people = contributors.join(names, "full_name", "left_semi")
-    joined = repositories.join(people, "full_name", "left")
-    left_rows = F.lit(1)
-    for i, hub in enumerate(numbered):
-        absent = sizes.filter(F.col(f"rows_{i}") == 0).select("full_name")
-        complete = hub.unionByName(absent, allowMissingColumns=True)
-        if i == 0:
-            joined = F.broadcast(joined).join(complete, "full_name")
-        else:
-            slices = F.broadcast(
-                sizes.select(
-                    "full_name",
-                    _slices(left_rows, slice_rows).alias("left_slices"),
-                    _slices(F.col(f"rows_{i}"), slice_rows).alias("right_slices"),
-                )
-            )
-            left_position = F.xxhash64(*(f"row_{k}" for k in range(i)))
-            left = joined.join(slices, "full_name").withColumns(
-                {
-                    "left_slice": F.pmod(left_position, F.col("left_slices")),
-                    "right_slice": F.explode(F.sequence(F.lit(0), F.col("right_slices") - 1)),
-                }
-            )
-            right = complete.join(slices, "full_name").withColumns(
-                {
-                    "left_slice": F.explode(F.sequence(F.lit(0), F.col("left_slices") - 1)),
-                    "right_slice": F.pmod(F.xxhash64(f"row_{i}"), F.col("right_slices")),
-                }
-            )
-            keys = ["full_name", "left_slice", "right_slice"]
-            sides = [side.drop("left_slices", "right_slices") for side in (left, right)]
-            joined = sides[0].join(sides[1], keys).drop("left_slice", "right_slice")
-        left_rows = left_rows * F.greatest(F.col(f"rows_{i}"), F.lit(1))
-    return joined.drop(*(f"row_{i}" for i in range(len(hubs))))
+    frequent = frequent_names(hub)
+    wanted = left.select(F.col("full_name").alias("left_name")).join(
+        F.broadcast(frequent), F.col("left_name") == F.col("full_name"), "left_semi"
+    )
+    known = frequent.join(wanted.distinct(), F.col("full_name") == F.col("left_name"), "left").select(
+        "full_name", "salts", F.col("left_name").isNotNull().alias("wanted")
+    )
+    dealt = (
+        hub.withColumn("place", F.monotonically_increasing_id())
+        .join(F.broadcast(known), "full_name", "left")
+        .filter("salts is null or wanted")
+        .withColumn("salt", F.coalesce(F.pmod(F.xxhash64("place"), F.col("salts")).cast("int"), F.lit(0)))
+        .withColumn("met", F.lit(True))
+        .drop("place", "salts", "wanted")
+    )
+    copied = left.join(F.broadcast(frequent), "full_name", "left").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))
+    )
+    joined = copied.join(dealt, ["full_name", "salt"], "left")
+    return joined.filter("salts is null or met").drop("salt", "salts", "met")
 
 
 def enrich(
@@ -133,14 +83,12 @@ def enrich(
     releases: DataFrame,
     as_of: Column,
     source: str = fx.SOURCE,
-    busy: DataFrame | None = None,
-    slice_rows: int = BUSY_ROWS,
 ) -> DataFrame:
     """Join the valid staged rows with the four hubs; absent activity counts as none.
 
-    Several hub rows of one repository give several output rows. All five inputs are shuffled once,
-    on the name, and the four joins share that partitioning. `busy` (see `busy_repositories`) names
-    the repositories with too many hub rows for one task; without it all go the shuffled way.
+    Several hub rows of one repository give several output rows. Contributors come as one row per
+    repository; each hub is read for its counts of names and for its rows, and joined with frequent
+    names salted.
     """
     of_source = F.col("data_source") == source
     valid = stage.filter(of_source & F.col("valid_flag")).drop(
@@ -157,17 +105,7 @@ def enrich(
     people = contributors_agg(contributors, source).withColumnRenamed("repo_full_name", "full_name")
     hubs = [activity(hub) for hub in (commits, issues, releases)]
 
-    if busy is None:
-        joined = _left_joined(valid, [people, *hubs])
-    else:
-        names = F.broadcast(busy)
-
-        def without_busy(frame: DataFrame) -> DataFrame:
-            return frame.join(names, "full_name", "left_anti")
-
-        calm = _left_joined(without_busy(valid), [people, *map(without_busy, hubs)])
-        rest = _busy_joined(valid.join(names, "full_name", "left_semi"), people, hubs, slice_rows)
-        joined = calm.unionByName(rest)
+    joined = reduce(_left_join_salted, hubs, valid.join(people, "full_name", "left"))
 
     counters = {
         **dict.fromkeys(

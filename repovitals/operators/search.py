@@ -1,4 +1,4 @@
-"""Landed search pages to repositories, and the top-up union of several repository sources."""
+"""Landed search pages to repositories, and the union of several repository sources."""
 
 from __future__ import annotations
 
@@ -57,14 +57,11 @@ def push_ages(pages: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def capped_union(frames: list[DataFrame], limit: int | None = None) -> DataFrame:
-    """Repositories of several sources, earlier sources first, topped up to `limit`.
-
-    Without a limit nothing is sorted or dropped. With one, each source fills what the sources
-    before it left over, in id order.
+def union_by_priority(frames: list[DataFrame]) -> DataFrame:
+    """Repositories of several sources with the number of their source as `priority`, from 1. No row is
+    dropped and nothing is sorted; columns a source lacks are NULL.
     """
     ranked = (
         frame.withColumn("priority", F.lit(position)) for position, frame in enumerate(frames, 1)
     )
-    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), ranked)
-    return union if limit is None else union.orderBy("priority", "id", "full_name").limit(limit)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), ranked)

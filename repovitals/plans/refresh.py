@@ -5,12 +5,13 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 from repovitals import fixed_values as fx
-from repovitals.operators.enrich import busy_repositories, enrich
+from repovitals.operators.enrich import enrich
 from repovitals.operators.hubs import hub_commits, hub_contributors, hub_issues, hub_releases
-from repovitals.operators.metrics import load_metrics
+from repovitals.operators.metrics import risk_counts, run_metrics
 from repovitals.operators.risk import risk_product
 from repovitals.operators.stage import stage_repositories
 from repovitals.sources.store import LayerStore
@@ -26,33 +27,15 @@ FROM_RAW: tuple[tuple[str, str, Callable[..., DataFrame]], ...] = (
 
 
 def enrich_stored(store: LayerStore, as_of: Column, source: str = fx.SOURCE) -> DataFrame:
-    """`enrich` over the stored stage and hub tables, busy repositories apart.
-
-    The short list of busy repositories is written down first: the plan would mention it often, and
-    none of those places should count the hubs again. Mostly it is empty, and then the plain joins do.
-    """
-    commits, issues, releases = (
-        store.read(key) for key in ("hub_commits", "hub_issues", "hub_releases")
-    )
-    busy = store.keep(
-        f"busy_repositories_{source}", busy_repositories(commits, issues, releases, source=source)
-    )
-    return enrich(
-        store.read("stg_repositories"),
-        store.read("hub_contributors"),
-        commits,
-        issues,
-        releases,
-        as_of,
-        source,
-        busy=None if busy.isEmpty() else busy,
-    )
+    """`enrich` over the stored stage and hub tables."""
+    keys = ("stg_repositories", "hub_contributors", "hub_commits", "hub_issues", "hub_releases")
+    return enrich(*map(store.read, keys), as_of, source)
 
 
 def refresh(
     store: LayerStore, as_of: Column, source: str = fx.SOURCE, mode: str = "snapshot"
 ) -> DataFrame:
-    """Rebuild every layer of one source from its raw tables; returns the load counters.
+    """Rebuild every layer of one source from its raw tables; returns the counters of this run.
 
     Each layer is written and read back: a lost executor then costs the running job only, and the
     status report needs the tables anyway. The five jobs that depend on raw tables alone run side
@@ -64,11 +47,16 @@ def refresh(
     if mode not in ("snapshot", "append"):
         raise ValueError(f"unknown mode: {mode!r}")
 
+    written: dict[str, dict[str, int]] = {}
+
     def write(key: str, frame: DataFrame) -> None:
+        counts = Observation()
+        frame = frame.observe(counts, F.count(F.lit(1)).alias("rows"), *(risk_counts() if key == "risk_product" else ()))
         if mode == "snapshot":
             store.replace(key, frame, source)
         else:
             store.append(key, frame)
+        written[key] = counts.get
 
     def from_raw(step: tuple[str, str, Callable[..., DataFrame]]) -> None:
         target, raw, job = step
@@ -79,4 +67,4 @@ def refresh(
             done.result()
     write("repo_entryline", enrich_stored(store, as_of, source))
     write("risk_product", risk_product(store.read("repo_entryline"), as_of, source))
-    return load_metrics(store.read_layers(), source)
+    return run_metrics(store.read("raw_repositories"), written, source)

@@ -143,8 +143,9 @@ _PRODUCT = (
     ("last_updated", TIME),
 )
 _RUN_LOG = (
+    *_texts("stream"),
     ("run_id", COUNT),
-    *_texts("pipeline_name", "stage", "status", "message"),
+    *_texts("source", "pipeline_name", "stage", "status", "message"),
     ("ts", TIME),
 )
 
@@ -255,7 +256,7 @@ SEARCH_ITEM = StructType(
 )
 
 
-def conform(frame: DataFrame, table: Table, as_of, *, fit_widths: bool = False) -> DataFrame:
+def conform(frame: DataFrame, table: Table, as_of) -> DataFrame:
     """Fit `frame` to a table contract: add absent columns with their default, cast, and order.
 
     A default fills a column that is absent; it does not replace a NULL the frame brings along.
@@ -265,8 +266,6 @@ def conform(frame: DataFrame, table: Table, as_of, *, fit_widths: bool = False)
     for wanted in table.schema.fields:
         if wanted.name in present:
             column = F.col(wanted.name).cast(wanted.dataType)
-            if fit_widths and wanted.name in table.widths:
-                column = clip(column, table.widths[wanted.name])
         else:
             default = table.defaults.get(wanted.name)
             column = (as_of if default == LOAD_TIME else F.lit(default)).cast(wanted.dataType)

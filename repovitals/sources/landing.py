@@ -15,15 +15,12 @@ from repovitals.schemas import EVENT_LINE, SEARCH_ITEM, TABLES
 CORRUPT = "_corrupt"
 
 
-def read_event_log(
-    spark: SparkSession, paths: str | list[str], limit: int | None = None
-) -> DataFrame:
+def read_event_log(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Events of all landed JSON-lines files below `paths` (plain or gzip); bad lines are skipped.
 
     A gzip file cannot be split, so one task reads one file. The aggregation that follows combines
     events in that task before anything is shuffled; spreading the raw lines first would cost more.
-    Paths may hold globs, and hours that never landed are simply not matched. `limit` keeps the
-    first events by time and is off unless asked for.
+    Paths may hold globs, and hours that never landed are simply not matched.
     """
     schema = StructType([*EVENT_LINE.fields, StructField(CORRUPT, StringType())])
     lines = (
@@ -35,30 +32,53 @@ def read_event_log(
     # Naming every field keeps Spark from skipping some while parsing: which lines are bad must not
     # depend on the columns a query asks for. A line with none of the fields is no event.
     known = reduce(Column.__or__, (F.col(field.name).isNotNull() for field in EVENT_LINE.fields))
-    events = lines.filter(F.col(CORRUPT).isNull() & known).drop(CORRUPT)
-    if limit is None:
-        return events
-    return events.orderBy("created_at", "repo.name", "actor.login", "type").limit(limit)
+    return lines.filter(F.col(CORRUPT).isNull() & known).drop(CORRUPT)
 
 
 def read_search_pages(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Landed search responses, one JSON document per file; pages are ordered by file name."""
+    """Landed search responses, one JSON document per file, ordered by path.
+
+    The last number in a file's name counts as a number: page_2 comes before page_10. Files of equal
+    name in several folders are told apart, and ordered, by their whole paths.
+    """
     schema = StructType([StructField("items", ArrayType(SEARCH_ITEM))])
     return (
         spark.read.schema(schema)
         .option("multiLine", True)
         .json(paths)
-        .select(F.col("_metadata.file_name").alias("page"), "items")
+        .select(_page_order(F.col("_metadata.file_path")).alias("page"), "items")
+    )
+
+
+def _page_order(path: Column) -> Column:
+    """folder, name up to its last number, that number, whole path."""
+    name = F.substring_index(path, "/", -1)
+    number = F.regexp_extract(name, r"([0-9]+)[^0-9]*$", 1)
+    return F.struct(
+        F.regexp_replace(path, r"[^/]*$", "").alias("folder"),
+        F.regexp_replace(name, r"[0-9]+[^0-9]*$", "").alias("prefix"),
+        F.coalesce(F.try_to_number(F.nullif(number, F.lit("")), F.lit("9" * 38)), F.lit(0)).alias("number"),
+        path.alias("path"),
     )
 
 
+def too_wide(frame: DataFrame, widths: dict[str, int]) -> DataFrame:
+    """One row with the number of values of each column that are wider than the table they go to."""
+    return frame.agg(
+        *(F.count_if(F.length(name) > width).alias(name) for name, width in widths.items() if name in frame.columns)
+    )
+
+
+def named_language(language: Column) -> Column:
+    """A missing language is named so."""
+    return F.when(language.isNull() | (language == ""), fx.NO_LANGUAGE).otherwise(language)
+
+
 def fit_columns(frame: DataFrame, widths: dict[str, int]) -> DataFrame:
     """Cut text columns to the widths of the table they go to; a missing language is named so."""
     columns = {name: clip(F.col(name), width) for name, width in widths.items()}
     if "language" in columns:
-        language = F.col("language")
-        missing = language.isNull() | (language == "")
-        columns["language"] = F.when(missing, fx.NO_LANGUAGE).otherwise(columns["language"])
+        columns["language"] = clip(named_language(F.col("language")), widths["language"])
     return frame.withColumns({name: columns[name] for name in frame.columns if name in columns})
 
 
@@ -73,4 +93,4 @@ def to_raw_repositories(repositories: DataFrame, source: str = fx.SOURCE) -> Dat
     if "language" not in frame.columns:
         frame = frame.withColumn("language", F.lit(None).cast("string"))
     known = [name for name in table.schema.names if name in frame.columns]
-    return fit_columns(frame.select(*known), table.widths)
+    return frame.select(*known).withColumn("language", named_language(F.col("language")))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,25 +11,26 @@ from pyspark.sql import functions as F
 
 from repovitals.schemas import TABLES, conform
 
+#: Rows that were only ever added. Later versions are numbered by time.
+VERSION_0 = "0" * 20
 SAFE_SOURCE = re.compile(r"[A-Za-z0-9_\-]+")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder for tables that belong to this session.
-
-    It lies in the folder the cluster shares (`spark.checkpoint.dir`). A temporary folder of this
-    machine serves only where Spark runs on this machine alone.
-    """
+    """A new folder for tables that belong to this session, in the folder that the cluster shares."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        shared = tempfile.mkdtemp(prefix="repovitals-")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     return f"{shared.rstrip('/')}/repovitals/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
 class LayerStore:
-    """Read and write the tables below one root folder, partitioned by data source."""
+    """Read and write the tables below one root folder, partitioned by data source.
+
+    A source's rows lie in a version folder. Replacing them writes another one, which counts from the
+    moment Spark has committed it (its _SUCCESS file); until then, and if the write fails, readers see
+    the version before. That one is kept, older ones are removed.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -46,67 +47,111 @@ class LayerStore:
                 *(F.lit(None).cast(c.dataType).alias(c.name) for c in table.schema.fields)
             )
             writer = empty.write.mode("ignore")
-            if "data_source" in table.schema.names:
+            if _by_source(key):
                 writer = writer.partitionBy("data_source")
             writer.parquet(self.path(key))
 
+    def _folders(self, parent: str, prefix: str) -> list[str]:
+        """Names of the folders below `parent` that begin with `prefix`, in order."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(parent)
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(path):
+            return []
+        names = [status.getPath().getName() for status in files.listStatus(path) if status.isDirectory()]
+        return sorted(name for name in names if name.startswith(prefix))
+
+    def _committed(self, folder: str) -> list[str]:
+        """The versions of a folder that readers may see, oldest first; VERSION_0 is not written at once."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        files = path(folder).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return [
+            name
+            for name in self._folders(folder, "version=")
+            if name == f"version={VERSION_0}" or files.exists(path(f"{folder}/{name}/_SUCCESS"))
+        ]
+
+    def _current(self, folder: str) -> str:
+        return (self._committed(folder) or [f"version={VERSION_0}"])[-1]
+
     def read(self, key: str) -> DataFrame:
         """A table with its contract's columns. A filter on data_source prunes directories.
 
         The schema is given, not inferred: a source named "1" stays text. NULL and '' sources
         share a directory and come back as NULL.
         """
-        table = TABLES[key]
-        frame = self.spark.read.schema(table.schema).parquet(self.path(key))
+        table, path = TABLES[key], self.path(key)
+        reader = self.spark.read.schema(table.schema)
+        groups = [f"{path}/{name}" for name in self._folders(path, "data_source=")] if _by_source(key) else [path]
+        shown = [f"{group}/{self._committed(group)[-1]}" for group in groups if self._committed(group)]
+        frame = reader.option("basePath", path).parquet(*shown) if shown else reader.parquet(path)
         return frame.select(*table.schema.names)
 
     def read_layers(self) -> dict[str, DataFrame]:
         """All tables but the run log."""
         return {key: self.read(key) for key in TABLES if key != "run_log"}
 
-    def replace(self, key: str, frame: DataFrame, source: str) -> None:
-        """Make `frame` the whole content of one source; other sources stay.
+    def _write_version(self, folder: str, frame: DataFrame) -> None:
+        """Write the next version of a folder and remove all but the one before it."""
+        older = self._committed(folder)
+        last = int(older[-1].removeprefix("version=")) if older else 0
+        version = max(time.time_ns(), last + 1)
+        frame.write.parquet(f"{folder}/version={version:0{len(VERSION_0)}d}")
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        files = path(folder).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for name in older[:-1]:
+            files.delete(path(f"{folder}/{name}"), True)
 
-        Writing the source's own directory also empties it when `frame` is empty, which a dynamic
-        partition overwrite would not.
-        """
+    def replace(self, key: str, frame: DataFrame, source: str) -> None:
+        """Make `frame` the whole content of one source; other sources stay. Nothing changes if it fails."""
         if not SAFE_SOURCE.fullmatch(source):
             raise ValueError(f"not usable as a directory name: {source!r}")
         columns = [name for name in TABLES[key].schema.names if name != "data_source"]
-        target = f"{self.path(key)}/data_source={source}"
-        frame.select(*columns).write.mode("overwrite").parquet(target)
+        self._write_version(f"{self.path(key)}/data_source={source}", frame.select(*columns))
 
-    def keep(self, name: str, frame: DataFrame) -> DataFrame:
-        """Compute a small helper frame once, write it beside the tables, and read it from there."""
-        target = f"{self.root}/{name}"
-        frame.write.mode("overwrite").parquet(target)
-        return self.spark.read.schema(frame.schema).parquet(target)
+    def compact(self, key: str) -> None:
+        """Rewrite a table without sources, such as the run log, as one file."""
+        if _by_source(key):
+            raise ValueError(f"{key} is kept by source")
+        self._write_version(self.path(key), self.read(key).coalesce(1))
 
     def append(self, key: str, frame: DataFrame) -> None:
-        """Add rows, of whatever sources they are."""
-        writer = frame.select(*TABLES[key].schema.names).write.mode("append")
-        if "data_source" in TABLES[key].schema.names:
-            writer = writer.partitionBy("data_source")
-        writer.parquet(self.path(key))
+        """Add rows, of whatever sources they are, to what readers see now."""
+        rows, path = frame.select(*TABLES[key].schema.names), self.path(key)
+        if not _by_source(key):
+            rows.write.mode("append").parquet(f"{path}/{self._current(path)}")
+            return
+        version = F.lit(VERSION_0)
+        for name in self._folders(path, "data_source="):
+            current = self._current(f"{path}/{name}").removeprefix("version=")
+            if current != VERSION_0:
+                version = F.when(F.col("data_source") == name.removeprefix("data_source="), current).otherwise(version)
+        rows.withColumn("version", version).write.mode("append").partitionBy("data_source", "version").parquet(path)
+
+
+def _by_source(key: str) -> bool:
+    return "data_source" in TABLES[key].schema.names
 
 
 def write_raw(
     store: LayerStore, key: str, frame: DataFrame, as_of: Column, mode: str = "append"
 ) -> None:
-    """Write a raw table: absent columns get their defaults, text is cut to the column widths.
+    """Write a raw table: absent columns get their defaults.
 
-    `overwrite` replaces the sources that `frame` contains; `truncate` replaces the whole table.
+    `overwrite` replaces the sources that `frame` contains; `truncate` replaces the whole table. Text is
+    kept whole: cut names would be one join key. `fit_columns` cuts where that is wanted, and
+    `too_wide` counts what it would cut.
     """
     if mode not in ("append", "overwrite", "truncate"):
         raise ValueError(f"unknown mode: {mode!r}")
-    fitted = conform(frame, TABLES[key], as_of, fit_widths=True)
+    fitted = conform(frame, TABLES[key], as_of)
     if mode == "append":
         store.append(key, fitted)
         return
     scope = "dynamic" if mode == "overwrite" else "static"
     (
-        fitted.write.mode("overwrite")
+        fitted.withColumn("version", F.lit(VERSION_0))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", scope)
-        .partitionBy("data_source")
+        .partitionBy("data_source", "version")
         .parquet(store.path(key))
     )

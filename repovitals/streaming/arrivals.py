@@ -2,7 +2,7 @@
 
 The stream over the raw repositories directory serves as trigger only: a batch means that there are
 new files, and the refresh re-reads the full raw tables. The checkpoint moves on after the refresh
-has succeeded, so a failed one is tried again with the same run id.
+has succeeded, so a failed one is tried again as the same run.
 """
 
 from __future__ import annotations
@@ -19,21 +19,30 @@ from repovitals.functions.times import now_utc, ntz
 from repovitals.plans.refresh import refresh
 from repovitals.schemas import TABLES
 from repovitals.sources.store import LayerStore
-from repovitals.streaming.run_log import log_run
+from repovitals.streaming.run_log import Entry, entry, log_entries
 
 
 def run_refresh(
-    store: LayerStore, run_id: int, as_of: datetime | str | None = None, source: str = fx.SOURCE
+    store: LayerStore,
+    run: tuple[str, int],
+    as_of: datetime | str | None = None,
+    source: str = fx.SOURCE,
+    before: list[Entry] | None = None,
 ) -> None:
-    """One logged refresh; an error is logged and raised again."""
-    log_run(store, run_id, fx.STAGE_RUN, fx.STATUS_STARTED, fx.MESSAGE_STARTED)
+    """One logged refresh; an error is logged whole and raised again. `before`: entries to log first."""
+    started = entry(run, source, fx.STAGE_RUN, fx.STATUS_STARTED, fx.MESSAGE_STARTED)
+    log_entries(store, [*(before or []), started])
     try:
         refresh(store, ntz(as_of or now_utc()), source)
     except Exception as error:
         message = f"{fx.MESSAGE_ERROR_PREFIX}{error}"
-        log_run(store, run_id, fx.STAGE_RUN, fx.STATUS_ERROR, message)
+        log_entries(store, [entry(run, source, fx.STAGE_RUN, fx.STATUS_ERROR, message)])
         raise
-    log_run(store, run_id, fx.STAGE_RUN, fx.STATUS_COMPLETED, fx.MESSAGE_COMPLETED)
+    log_entries(store, [entry(run, source, fx.STAGE_RUN, fx.STATUS_COMPLETED, fx.MESSAGE_COMPLETED)])
+
+
+def _skipped(source: str) -> Entry:
+    return entry(None, source, fx.STAGE_CHECK, fx.STATUS_SKIPPED, fx.MESSAGE_SKIPPED)
 
 
 def _arrivals(
@@ -41,15 +50,20 @@ def _arrivals(
     checkpoint: str,
     as_of: datetime | str | None,
     source: str,
-    finished: list[int] | None = None,
+    finished: list[int],
+    waiting: list[Entry],
 ) -> DataStreamWriter:
     key = "raw_repositories"
     new_files = store.spark.readStream.schema(TABLES[key].schema).parquet(store.path(key))
 
-    def on_batch(_: DataFrame, batch_id: int) -> None:
-        run_refresh(store, batch_id, as_of, source)
-        if finished is not None:
-            finished.append(batch_id)
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        # The query's id lives in its checkpoint: a batch tried again is the same run, and one of
+        # another checkpoint, whose batches count from 0 too, is another.
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        before = waiting[:]
+        run_refresh(store, (stream, batch_id), as_of, source, before)
+        del waiting[: len(before)]
+        finished.append(batch_id)
 
     return new_files.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
 
@@ -65,19 +79,21 @@ def refresh_if_new(
     Returns whether a refresh ran. Meant to be called by whatever schedules jobs on the cluster.
     """
     finished: list[int] = []
-    arrivals = _arrivals(store, checkpoint, as_of, source, finished)
+    arrivals = _arrivals(store, checkpoint, as_of, source, finished, [])
     arrivals.trigger(availableNow=True).start().awaitTermination()
     ran = bool(finished)
     if not ran:
-        log_run(store, None, fx.STAGE_CHECK, fx.STATUS_SKIPPED, fx.MESSAGE_SKIPPED)
+        log_entries(store, [_skipped(source)])
     return ran
 
 
 class _SkipLog(StreamingQueryListener):
-    """Logs every idle interval of one query as skipped."""
+    """Keeps an entry for every idle interval of one query. They are written with the next run's first
+    entry, or when the query ends; the listener then takes itself away.
+    """
 
-    def __init__(self, store: LayerStore, name: str):
-        self.store, self.name, self.run = store, name, None
+    def __init__(self, store: LayerStore, name: str, source: str, waiting: list[Entry]):
+        self.store, self.name, self.source, self.waiting, self.run = store, name, source, waiting, None
 
     def onQueryStarted(self, event) -> None:
         if event.name == self.name:
@@ -88,10 +104,12 @@ class _SkipLog(StreamingQueryListener):
 
     def onQueryIdle(self, event) -> None:
         if event.runId == self.run:
-            log_run(self.store, None, fx.STAGE_CHECK, fx.STATUS_SKIPPED, fx.MESSAGE_SKIPPED)
+            self.waiting.append(_skipped(self.source))
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        if event.runId == self.run:
+            self.store.spark.streams.removeListener(self)
+            log_entries(self.store, self.waiting)
 
 
 def refresh_periodically(
@@ -104,9 +122,11 @@ def refresh_periodically(
     """Look for new raw repositories at every interval until the returned query is stopped.
 
     Spark starts no batch when nothing is new; it then reports the query idle, at most once in
-    `spark.sql.streaming.noDataProgressEventInterval`, and that is logged as skipped.
+    `spark.sql.streaming.noDataProgressEventInterval`, and that is logged as skipped, together with
+    the next run or when the query ends. `store.compact("run_log")` makes one file of a long log.
     """
     name = f"refresh_{uuid.uuid4().hex}"
-    store.spark.streams.addListener(_SkipLog(store, name))
-    arrivals = _arrivals(store, checkpoint, as_of, source).queryName(name)
+    waiting: list[Entry] = []
+    store.spark.streams.addListener(_SkipLog(store, name, source, waiting))
+    arrivals = _arrivals(store, checkpoint, as_of, source, [], waiting).queryName(name)
     return arrivals.trigger(processingTime=interval).start()

@@ -2,26 +2,35 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from repovitals import fixed_values as fx
-from repovitals.functions.times import now_utc, ntz
+from repovitals.functions.times import now_utc
 from repovitals.schemas import TABLES, conform
 from repovitals.sources.store import LayerStore
 
 
-def log_run(store: LayerStore, run_id: int | None, stage: str, status: str, message: str) -> None:
-    """Add one entry. A run's entries are never changed, so a repeated one does no harm."""
-    entry = store.spark.range(1).select(
-        F.lit(run_id).alias("run_id"),
-        F.lit(fx.PIPELINE).alias("pipeline_name"),
-        F.lit(stage).alias("stage"),
-        F.lit(status).alias("status"),
-        F.lit(message[: fx.MESSAGE_WIDTH]).alias("message"),
-        ntz(now_utc()).alias("ts"),
-    )
-    store.append("run_log", conform(entry, TABLES["run_log"], ntz(now_utc())))
+Entry = tuple[str | None, int | None, str, str, str, datetime]
+
+
+def entry(run: tuple[str, int] | None, source: str, stage: str, status: str, message: str) -> Entry:
+    """An entry of now. A run is named by its stream (the query id of its checkpoint) and batch."""
+    stream, batch = run or (None, None)
+    return (stream, batch, source, stage, status, message, now_utc())
+
+
+def log_entries(store: LayerStore, entries: list[Entry]) -> None:
+    """Add entries, in one file. A run's entries are never changed, so a repeated one does no harm."""
+    if not entries:
+        return
+    rows = store.spark.createDataFrame(
+        entries,
+        "stream string, run_id long, source string, stage string, status string, message string, ts timestamp_ntz",
+    ).withColumn("pipeline_name", F.lit(fx.PIPELINE))
+    store.append("run_log", conform(rows.coalesce(1), TABLES["run_log"], F.col("ts")))
 
 
 def _ended() -> Column:
@@ -38,7 +47,7 @@ def run_log_latest(log: DataFrame) -> DataFrame:
     started = F.when(F.col("status") == fx.STATUS_STARTED, F.col("ts"))
     return (
         log.filter(F.col("stage") == fx.STAGE_RUN)
-        .groupBy("run_id", "pipeline_name")
+        .groupBy("stream", "run_id", "source", "pipeline_name")
         .agg(
             F.max_by("status", latest).alias("status"),
             F.max_by("message", latest).alias("message"),

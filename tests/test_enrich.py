@@ -1,6 +1,7 @@
 from conftest import rows
+from pyspark.sql import functions as F
 
-from repovitals import busy_repositories, contributors_agg, enrich
+from repovitals import contributors_agg, enrich, frequent_names
 
 
 def inputs(frame, **tables):
@@ -55,7 +56,7 @@ def test_several_hub_rows_give_several_rows(frame, as_of):
     assert df.count() == 12
 
 
-def test_busy_way_gives_the_same_rows(spark, frame, as_of):
+def test_frequent_names_are_cut_and_give_the_same_rows(spark, frame, as_of):
     tables = inputs(
         frame,
         stg_repositories=[
@@ -67,15 +68,14 @@ def test_busy_way_gives_the_same_rows(spark, frame, as_of):
         hub_issues=many("hot2", 25) + many("calm", 1),
         hub_releases=many("hot", 3) + many("hot2", 20),
     )
-    busy = busy_repositories(*tables[2:], busy_rows=10)
-    assert rows(busy) == [("UNKNOWN/UNKNOWN",), ("bad",), ("hot",), ("hot2",)]
-    plain = enrich(*tables, as_of)
-    for slice_rows in (4, 1000):
-        split = enrich(*tables, as_of, busy=busy, slice_rows=slice_rows)
-        assert split.columns == plain.columns
-        assert rows(split) == rows(plain)
-    assert plain.count() == 2 * 40 * 3 + 2 + 1 + 25 * 20
-
-
-def test_no_hub_is_busy_by_default(frame):
-    assert rows(busy_repositories(frame("hub_commits", many("a", 50)), frame("hub_issues", []))) == []
+    hub = tables[2].withColumnRenamed("repo", "full_name")
+    assert rows(frequent_names(hub)) == [("UNKNOWN/UNKNOWN", 7), ("bad", 4), ("hot", 6)]  # of 122 rows, 16 parts
+    got = enrich(*tables, as_of)
+    assert got.count() == 2 * 40 * 3 + 2 + 1 + 25 * 20
+    by_name = {r.full_name: r.n for r in got.groupBy("full_name").agg(F.count("*").alias("n")).collect()}
+    assert by_name == {"hot": 240, "calm": 2, "lonely": 1, "hot2": 500}
+    hot = got.filter("full_name = 'hot2'")
+    pairs = {tuple(r) for r in hot.select("open_issues", "release_count").collect()}
+    assert pairs == {(i, r) for i in range(25) for r in range(20)}
+    assert rows(hot.select("commits_30d").distinct()) == [(0,)]
+    assert rows(got.filter("full_name = 'hot'").groupBy("release_count").count()) == [(0, 80), (1, 80), (2, 80)]

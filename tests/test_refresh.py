@@ -6,8 +6,9 @@ from conftest import NOW, rows
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryException
 
-from repovitals import refresh, refresh_if_new, refresh_periodically, run_log_latest, write_raw
+from repovitals import load_metrics, refresh, refresh_if_new, refresh_periodically, run_log_latest, write_raw
 from repovitals import fixed_values as fx
+from repovitals.plans import refresh as plan
 from repovitals.schemas import TABLES
 from repovitals.streaming import arrivals
 
@@ -69,6 +70,38 @@ def states(store):
     return [tuple(r) for r in log(store).orderBy("ts", "status").select("run_id", "stage", "status").collect()]
 
 
+def test_counters_are_those_of_the_run(landed, as_of):
+    first = refresh(landed, as_of, mode="append").first()
+    second = refresh(landed, as_of, mode="append").first()
+    assert (first.final_records, first.contributors_loaded, first.enriched_records, first.risk_records) == (2, 1, 2, 2)
+    # The second run stages as much again; every copy of 'a' meets every copy, 'b' is there twice.
+    assert (second.final_records, second.contributors_loaded, second.enriched_records) == (2, 1, 2**4 + 2)
+    assert second.high_risk + second.medium_risk + second.low_risk == second.risk_records == 2 + 2**4 + 2
+    assert load_metrics(landed.read_layers()).first().final_records == 4
+
+
+def test_failed_refresh_leaves_the_old_layers(landed, as_of, monkeypatch):
+    refresh(landed, as_of)
+    before = content(landed)
+    landed.land("c")
+
+    def broken(*_):
+        return landed.read("repo_entryline").withColumn("full_name", F.raise_error(F.lit("no")).cast("string"))
+
+    monkeypatch.setattr(plan, "risk_product", broken)
+    with pytest.raises(Exception, match="no"):
+        refresh(landed, as_of)
+    assert rows(landed.read("risk_product")) == before["risk_product"]
+
+
+def test_runs_of_two_checkpoints_are_two(landed, tmp_path):
+    for name in ("one", "two"):
+        assert refresh_if_new(landed, str(tmp_path / name), NOW) is True
+    latest = run_log_latest(log(landed)).collect()
+    assert [(r.run_id, r.status, r.source) for r in latest] == [(0, "COMPLETED", "git_hub")] * 2
+    assert len({r.stream for r in latest}) == 2
+
+
 def test_one_run_per_arrival_and_none_when_idle(landed, tmp_path):
     checkpoint = str(tmp_path / "checkpoint")
     assert refresh_if_new(landed, checkpoint, NOW) is True
@@ -96,10 +129,11 @@ def test_failed_run_is_logged_raised_and_tried_again(landed, tmp_path, monkeypat
             refresh_if_new(landed, checkpoint, NOW)
     (row,) = run_log_latest(log(landed)).collect()
     assert (row.run_id, row.status) == (0, "ERROR")
-    assert row.message.startswith("Pipeline failed: xxx") and len(row.message) == 500
+    assert row.message == f"Pipeline failed: {'x' * 600}"
+    stream = row.stream
     assert refresh_if_new(landed, checkpoint, NOW) is True
     (row,) = run_log_latest(log(landed)).collect()
-    assert (row.run_id, row.status, row.message) == (0, "COMPLETED", fx.MESSAGE_COMPLETED)
+    assert (row.stream, row.run_id, row.status, row.message) == (stream, 0, "COMPLETED", fx.MESSAGE_COMPLETED)
     assert row.end_time >= row.start_time
 
 
@@ -112,29 +146,34 @@ def test_periodic_refresh(spark, landed, tmp_path):
         landed.land("c", "d")
         query.processAllAvailable()
         assert landed.read("risk_product").count() == 4
-        for _ in range(30):  # idle intervals are logged by and by
+        time.sleep(4)  # some idle intervals, which write nothing by themselves
+        assert ("SKIPPED",) not in rows(log(landed), "status")
+        listeners = spark._jsparkSession.streams().listListeners()
+        query.stop()
+        for _ in range(30):
             if ("SKIPPED",) in rows(log(landed), "status"):
                 break
             time.sleep(1)
         assert (None, "CHECK_STREAM", "SKIPPED") in states(landed)
+        assert len(spark._jsparkSession.streams().listListeners()) == len(listeners) - 1
     finally:
         query.stop()
         spark.conf.unset("spark.sql.streaming.noDataProgressEventInterval")
 
 
 def test_latest_state_of_runs(spark):
-    def entry(run, status, minute, stage="FULL_PIPELINE"):
-        return (run, "GITHUB_RISK", stage, status, status.lower(), datetime(2020, 1, 1, 0, minute))
+    def entry(run, status, minute, stage="FULL_PIPELINE", stream="s"):
+        return (stream, run, "git_hub", "GITHUB_RISK", stage, status, status.lower(), datetime(2020, 1, 1, 0, minute))
 
     df = spark.createDataFrame(
         [
             entry(1, "STARTED", 0), entry(1, "COMPLETED", 0),  # same time: the final one is later
             entry(2, "STARTED", 1), entry(2, "ERROR", 2), entry(2, "STARTED", 3),  # tried again
-            entry(3, "STARTED", 4), entry(None, "SKIPPED", 9, "CHECK_STREAM"),
+            entry(3, "STARTED", 4), entry(3, "COMPLETED", 5, stream="t"), entry(None, "SKIPPED", 9, "CHECK_STREAM"),
         ],
         TABLES["run_log"].schema,
     )
     start, end = F.minute("start_time"), F.minute("end_time")
     assert rows(run_log_latest(df).select("run_id", "status", start, end)) == [
-        (1, "COMPLETED", 0, 0), (2, "STARTED", 1, None), (3, "STARTED", 4, None),
+        (1, "COMPLETED", 0, 0), (2, "STARTED", 1, None), (3, "COMPLETED", None, 5), (3, "STARTED", 4, None),
     ]

@@ -4,7 +4,8 @@ import pytest
 from conftest import NOW, rows
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from repovitals import capped_union, push_ages, repos_from_search
+from pyspark.sql import functions as F
+from repovitals import union_by_priority, push_ages, repos_from_search
 from repovitals.functions.times import ntz
 from repovitals.schemas import SEARCH_ITEM
 
@@ -41,8 +42,9 @@ def test_push_ages_are_full_days(pages):
     ]
 
 
-def test_union_tops_up_in_order_of_sources(spark):
+def test_union_keeps_all_rows_with_their_priority(spark):
     first = spark.createDataFrame([("b", "x"), ("a", "y")], "id string, full_name string")
-    second = spark.createDataFrame([("a", "z"), ("c", "w")], "id string, full_name string")
-    assert [r.full_name for r in capped_union([first, second], 3).collect()] == ["y", "x", "z"]
-    assert capped_union([first, second]).count() == 4
+    second = spark.createDataFrame([("a", "z"), ("c", "w")], "id string, full_name string").withColumn("more", F.lit(1))
+    assert rows(union_by_priority([first, second]), "priority", "full_name", "more") == [
+        (1, "x", None), (1, "y", None), (2, "w", 1), (2, "z", 1),
+    ]

@@ -3,6 +3,7 @@ import json
 
 import pytest
 from conftest import NOW, rows
+from pyspark.sql import functions as F
 
 from repovitals import (
     LayerStore,
@@ -13,6 +14,7 @@ from repovitals import (
     write_raw,
 )
 from repovitals.schemas import TABLES, conform
+from repovitals.sources.landing import too_wide
 from repovitals.sources.store import shared_folder
 
 
@@ -48,7 +50,7 @@ def test_raw_writes(store, spark, as_of):
     write_raw(store, "raw_releases", one("git_lab", "b"), as_of)
     table = store.read("raw_releases")
     assert rows(table, "repo", "release_count", "last_release_date", "days_since_last_release", "load_timestamp") == [
-        ("b", 0, None, 999, NOW), ("x" * 400, 0, None, 999, NOW),
+        ("b", 0, None, 999, NOW), ("x" * 500, 0, None, 999, NOW),
     ]
     write_raw(store, "raw_releases", one("git_hub", "c"), as_of, "overwrite")
     assert rows(store.read("raw_releases"), "repo") == [("b",), ("c",)]
@@ -76,7 +78,6 @@ def test_event_log_skips_bad_lines_in_all_matching_files(spark, tmp_path):
     assert rows(log, "repo.name") == [("o/1",), ("o/3",), ("o/4",)]
     assert log.columns == ["type", "created_at", "repo", "actor"]
     assert log.count() == 3 and len(rows(log, "type")) == 3  # whatever is asked for
-    assert rows(read_event_log(spark, str(tmp_path), limit=2), "repo.name") == [("o/1",), ("o/3",)]
 
 
 def test_search_pages_are_ordered_by_file(spark, tmp_path, store, as_of):
@@ -91,10 +92,60 @@ def test_search_pages_are_ordered_by_file(spark, tmp_path, store, as_of):
     assert rows(found, "full_name") == [("a",), ("b",), ("c" * 500,)]
     write_raw(store, "raw_repositories", to_raw_repositories(found), as_of)
     assert rows(store.read("raw_repositories"), "full_name", "language", "forks") == [
-        ("a", "Unknown", 2), ("b", "Unknown", 2), ("c" * 400, "Unknown", 2),
+        ("a", "Unknown", 2), ("b", "Unknown", 2), ("c" * 500, "Unknown", 2),
     ]
 
 
+def test_long_names_stay_apart(store, spark, as_of):
+    long = "x" * 400
+    df = spark.createDataFrame([("git_hub", f"{long}{end}") for end in "ab"], "data_source string, repo string")
+    write_raw(store, "raw_releases", df, as_of)
+    assert rows(store.read("raw_releases"), "repo") == [(f"{long}a",), (f"{long}b",)]
+    assert rows(too_wide(df, TABLES["raw_releases"].widths), "repo", "data_source") == [(2, 0)]
+
+
+def test_failed_replacement_leaves_the_old_rows(store, frame):
+    new = frame("hub_issues", [{"repo": "b"}])
+    store.append("hub_issues", frame("hub_issues", [{"repo": "a"}]))
+    for old in ([("a",)], [("b",)]):
+        failing = new.withColumn("repo", F.raise_error(F.lit("no")).cast("string"))
+        with pytest.raises(Exception, match="no"):
+            store.replace("hub_issues", failing, "git_hub")
+        assert rows(store.read("hub_issues"), "repo") == old
+        store.replace("hub_issues", new, "git_hub")
+        assert rows(store.read("hub_issues"), "repo") == [("b",)]
+    store.append("hub_issues", frame("hub_issues", [{"repo": "c"}, {"repo": "d", "data_source": "git_lab"}]))
+    assert rows(store.read("hub_issues"), "repo") == [("b",), ("c",), ("d",)]
+
+
+def test_pages_come_in_the_order_of_their_numbers(spark, tmp_path):
+    for folder, numbers in (("one", (10, 2, 1)), ("two", (1,))):
+        (tmp_path / folder).mkdir()
+        for number in numbers:
+            items = [{"id": 7, "full_name": f"{folder}-{number}"}, {"id": 100 + number, "full_name": f"{folder}-{number}"}]
+            (tmp_path / folder / f"page_{number}.json").write_text(json.dumps({"items": items}))
+    found = repos_from_search(read_search_pages(spark, str(tmp_path / "*")))
+    assert rows(found, "id", "full_name") == [("101", "one-1"), ("102", "one-2"), ("110", "one-10"), ("7", "one-1")]
+
+
+def test_log_can_be_compacted(store, frame, spark):
+    store.create_tables()
+    for i in range(4):
+        store.append("run_log", frame_of_log(spark, i))
+    before = rows(store.read("run_log"))
+    store.compact("run_log")
+    assert rows(store.read("run_log")) == before and len(store.read("run_log").inputFiles()) == 1
+    store.append("run_log", frame_of_log(spark, 9))
+    assert store.read("run_log").count() == 5
+    with pytest.raises(ValueError):
+        store.compact("hub_issues")
+
+
+def frame_of_log(spark, i):
+    schema = TABLES["run_log"].schema
+    return spark.createDataFrame([tuple(i if name == "run_id" else None for name in schema.names)], schema)
+
+
 def test_shared_folder_lies_in_the_folder_of_the_session(spark):
     assert shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_folder(spark) != shared_folder(spark)
