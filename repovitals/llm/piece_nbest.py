@@ -20,6 +20,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ _WORDS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 _RAW_SPACE = ("the space mark itself, occurring in a text",)
 _LONG_WORD = 48
 _WORDS_AT_ONCE = 8_000
-_KNOWN_WORDS = 100_000
+_KNOWN_WORDS = 150_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -64,6 +65,10 @@ class Pieces:
                 np.array([self.scores[p] for p in pieces])[order],
             )
 
+        lengths = np.array([len(c) for c in self.contents], dtype=np.int64)
+        table = np.frombuffer(b"".join(self.contents), dtype=np.uint8)
+        self.spellings = table, np.cumsum(lengths) - lengths, lengths
+
     def spell(self, char: str) -> list[int]:
         return [self.byte_ids[b] for b in char.encode("utf-8", "surrogatepass")]
 
@@ -454,11 +459,28 @@ def encode_nbest(documents: DataFrame, n: int = 4, model: str = MODEL) -> DataFr
     return shown.mapInArrow(sliced(_encode(model, n)), f"{fields}, {_SCHEMA}")
 
 
+def decode_all(pieces: Pieces, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+    """`decode` for many texts at once: ids of all of them, and how many each has."""
+    table, starts, lengths = pieces.spellings
+    n = lengths[ids]
+    ends = np.cumsum(n)
+    joined = table[np.repeat(starts[ids] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+    bounds = np.append(0, ends)[np.append(0, np.cumsum(counts))].tolist()
+    data = joined.tobytes()
+    out = []
+    for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
+        begin += data[begin : begin + 1] == b" " and begin < end
+        out.append(data[begin:end].decode("utf-8", "surrogatepass"))
+    return out
+
+
 def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load_pieces(path)
         for batch in batches:
-            texts = [decode(pieces, ids or []) for ids in batch.column("_ids").to_pylist()]
+            lists = batch.column("_ids")
+            counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            texts = decode_all(pieces, lists.flatten().to_numpy(zero_copy_only=False), counts)
             rest = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*rest, pa.array(texts, pa.string())], names=[*batch.schema.names[:-1], "decoded"])
 
