@@ -8,6 +8,7 @@ job then reads stored tables, as it does in production.
 from __future__ import annotations
 
 import sys
+import tempfile
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
@@ -46,6 +47,7 @@ except ModuleNotFoundError as missing:
 
 FLAGSHIP_DATA = "/root/testdata/sf0.001"
 AS_OF = "2001-11-05 00:00:00"
+EVENTS_AS_OF = "2024-02-10 00:00:00"
 
 _landed: dict[tuple[str, str], rv.LayerStore] = {}
 _refreshed: dict[tuple[str, str], rv.LayerStore] = {}
@@ -55,9 +57,16 @@ def as_of():
     return ntz(AS_OF)
 
 
+def session_folder(spark: SparkSession) -> str:
+    """A new folder below spark.checkpoint.dir; set here for a session on this machine that lacks it."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="repovitals-"))
+    return shared_folder(spark)
+
+
 def land_raw(spark: SparkSession, sf_dir: str) -> rv.LayerStore:
     """A new store holding the raw tables."""
-    store = rv.LayerStore(spark, shared_folder(spark))
+    store = rv.LayerStore(spark, session_folder(spark))
 
     def land(key: str) -> None:
         derived = star_schema.RAW_DERIVATIONS[key](spark, sf_dir)
@@ -124,7 +133,7 @@ def _streaming_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _event_log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the events as gzip JSON lines, each 97th line damaged, and read them back."""
-    folder = shared_folder(spark)
+    folder = session_folder(spark)
     line = F.to_json(F.struct("type", "created_at", "repo", "actor"))
     damaged = F.substring(line, F.lit(1), F.floor(F.length(line) / 2).cast("int"))
     lines = star_schema.event_lines(spark, sf_dir, keep=("event_id",)).select(
@@ -135,14 +144,14 @@ def _event_log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _export_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = shared_folder(spark)
+    folder = session_folder(spark)
     rv.export_csv(full_store(spark, sf_dir).read("risk_product"), folder)
     return spark.read.schema(TABLES["risk_product"].schema).option("header", True).csv(folder)
 
 
 def _raw_from_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repositories from events and search pages, landed in a raw table and read back."""
-    store = rv.LayerStore(spark, shared_folder(spark))
+    store = rv.LayerStore(spark, session_folder(spark))
     events = rv.repos_from_events(star_schema.event_lines(spark, sf_dir), as_of())
     found = rv.repos_from_search(star_schema.search_pages(spark, sf_dir))
     rv.write_raw(store, "raw_repositories", rv.to_raw_repositories(events), as_of(), "truncate")
@@ -157,6 +166,42 @@ def _union_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rv.union_by_priority([events.select(*columns), found.select(*columns)])
 
 
+def _search_page_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the search pages as JSON documents, one file each, and read them back in their order."""
+    folder = session_folder(spark)
+    pages = star_schema.search_pages(spark, sf_dir)
+    body = pages.select(
+        F.concat(F.lit("page_"), F.col("page").cast("string")).alias("file"), F.to_json(F.struct("items")).alias("value")
+    )
+    body.repartition("file").write.partitionBy("file").text(folder)
+    return rv.repos_from_search(rv.read_search_pages(spark, f"{folder}/*"))
+
+
+def _enrich_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hubs with up to four rows a repository, the last name (by text) with forty times as many."""
+    store = full_store(spark, sf_dir)
+    stage = store.read("stg_repositories")
+    last = stage.filter("valid_flag").agg(F.max("full_name")).scalar()
+
+    def several(key: str, up_to: int) -> DataFrame:
+        rows = store.read(key)
+        copies = (F.length("repo") % up_to + 1) * F.when(F.col("repo") == last, 40).otherwise(1)
+        return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), copies.cast("int")))).drop("copy")
+
+    hubs = [several("hub_commits", 2), several("hub_issues", 3), several("hub_releases", 4)]
+    return rv.enrich(stage, store.read("hub_contributors"), *hubs, as_of()).groupBy("full_name").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *(F.sum(c).alias(f"sum_{c}") for c in ("commits_90d", "open_issues", "release_count", "total_contributors")),
+    )
+
+
+def _load_metrics_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of the second of two appending refreshes."""
+    store = land_raw(spark, sf_dir)
+    rv.refresh(store, as_of(), mode="append")
+    return rv.refresh(store, as_of(), mode="append")
+
+
 def _truncate_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents as input: their text is wider than every column it goes to."""
     documents = star_schema.table(spark, sf_dir, "documents").select(
@@ -173,9 +218,15 @@ def _truncate_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run log in which each order is a run, open, finished or failed."""
 
-    def entry(stage: str, status: str, message, ts, run_id=F.col("o_orderkey")):
+    # Four streams number their batches alike.
+    batch = F.expr("o_orderkey div 4")
+    stream = F.concat(F.lit("stream-"), (F.col("o_orderkey") % 4).cast("string"))
+
+    def entry(stage: str, status: str, message, ts, run_id=batch):
         return F.struct(
+            stream.alias("stream"),
             run_id.alias("run_id"),
+            F.lit(fx.SOURCE).alias("source"),
             F.lit(fx.PIPELINE).alias("pipeline_name"),
             F.lit(stage).alias("stage"),
             F.lit(status).alias("status"),
@@ -238,11 +289,13 @@ def queries() -> dict[str, Query]:
         "hub_releases": _on_raw("raw_releases", lambda t: rv.hub_releases(t, as_of())),
         "contributors_agg": _on_layer("hub_contributors", rv.contributors_agg),
         "enrich_entryline": lambda spark, sf_dir: enrich_stored(full_store(spark, sf_dir), as_of()),
+        "enrich_fanout": _enrich_fanout,
         "risk_factors": _on_layer("repo_entryline", rv.risk_factors),
         "risk_product": _on_layer("repo_entryline", lambda t: rv.risk_product(t, as_of())),
         "pipeline_end_to_end": _end_to_end,
         "streaming_refresh": _streaming_refresh,
         "load_metrics": _on_store(rv.load_metrics),
+        "load_metrics_append": _load_metrics_append,
         "status_table_stats": _on_store(monitoring.status_table_stats),
         "status_data_flow": _on_store(monitoring.status_data_flow),
         "status_last_loads": _on_store(monitoring.status_last_loads),
@@ -266,9 +319,14 @@ def queries() -> dict[str, Query]:
         ),
         "events_to_repos": _on_events(lambda lines: rv.repos_from_events(lines, as_of())),
         "event_log_scan": _event_log_scan,
+        "events_to_contributors": _on_events(lambda lines: rv.contributors_from_events(lines, ntz(EVENTS_AS_OF))),
+        "events_to_commits": _on_events(lambda lines: rv.commits_from_events(lines, ntz(EVENTS_AS_OF))),
+        "events_to_issues": _on_events(lambda lines: rv.issues_from_events(lines, ntz(EVENTS_AS_OF))),
         "event_type_counts": _on_events(rv.event_type_counts),
         "event_type_sets": _on_events(_event_type_sets),
         "search_to_repos": _on_pages(rv.repos_from_search),
+        "search_to_issues": _on_pages(rv.issues_from_search),
+        "search_page_scan": _search_page_scan,
         "days_since": _on_pages(lambda pages: rv.push_ages(pages, ntz("2001-09-01 12:00:00"))),
         "capped_union": _union_by_priority,
         "raw_from_sources": _raw_from_sources,

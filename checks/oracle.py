@@ -8,6 +8,12 @@ nothing is shared with the package but the results.
 from __future__ import annotations
 
 AS_OF = "timestamp '2001-11-05 00:00:00'"
+EVENTS_AS_OF = "timestamp '2024-02-10 00:00:00'"
+
+
+def _recent(days: int) -> str:
+    return f"moment <= {EVENTS_AS_OF} and moment > {EVENTS_AS_OF} - interval {days} day"
+
 
 CTES: dict[str, str] = {}
 
@@ -162,6 +168,12 @@ left join hub_issues i on i.repo = s.full_name
 left join hub_releases r on r.repo = s.full_name
 where s.valid_flag"""
 
+# What a second appending run enriches: every table then holds two copies, and each meets each.
+CTES["twice"] = """
+select full_name, 2 * if(full_name in (select repo from hub_commits), 2, 1)
+  * if(full_name in (select repo from hub_issues), 2, 1) * if(full_name in (select repo from hub_releases), 2, 1) as copies
+from repo_entryline"""
+
 # Factors in tenths: each threshold that is passed takes its share off the worst factor, 10.
 CTES["factor_tenths"] = """
 select *,
@@ -415,6 +427,15 @@ FINAL: dict[str, str] = {
     "hub_releases": "select * from hub_releases",
     "contributors_agg": "select * from contributors_agg",
     "enrich_entryline": "select * from repo_entryline",
+    "enrich_fanout": """select s.full_name, sum(n)::bigint as n_rows, sum(n * commits_90d)::bigint as sum_commits_90d,
+  sum(n * open_issues)::bigint as sum_open_issues, sum(n * release_count)::bigint as sum_release_count,
+  sum(n * total_contributors)::bigint as sum_total_contributors
+from (select *, if(full_name = max(full_name) over (), 40, 1) as k,
+        if(full_name in (select repo from hub_commits), (length(full_name) % 2 + 1) * k, 1)
+        * if(full_name in (select repo from hub_issues), (length(full_name) % 3 + 1) * k, 1)
+        * if(full_name in (select repo from hub_releases), (length(full_name) % 4 + 1) * k, 1) as n
+      from repo_entryline) s
+group by s.full_name""",
     "risk_factors": """select full_name, f_stars / 10 as stars_risk_factor, f_commits / 10 as commits_risk_factor,
   f_contributors / 10 as contributors_risk_factor, f_release / 10 as release_risk_factor,
   f_issues / 10 as issues_risk_factor from factor_tenths""",
@@ -430,6 +451,19 @@ from (select count(*) as total_records, count(*) filter ({_INVALID}) as invalid_
       where data_source = 'git_hub') r,
   (select count(*) - count(distinct full_name) as duplicates_removed from cleansed) d,
   (select count(*) as risk_records, {_COUNTS.format("high_risk", "medium_risk", "low_risk")} from risk_product) c""",
+    "load_metrics_append": f"""select total_records, total_records - invalid_records as valid_records, invalid_records,
+  duplicates_removed, (select count(*) from stg_repositories) as final_records,
+  (select count(*) from hub_contributors) as contributors_loaded, (select count(*) from hub_commits) as commits_loaded,
+  (select count(*) from hub_issues) as issues_loaded, (select count(*) from hub_releases) as releases_loaded,
+  (select sum(copies)::bigint from twice) as enriched_records, c.*
+from (select count(*) as total_records, count(*) filter ({_INVALID}) as invalid_records from raw_repositories
+      where data_source = 'git_hub') r,
+  (select count(*) - count(distinct full_name) as duplicates_removed from cleansed) d,
+  (select sum(k)::bigint as risk_records, coalesce(sum(k) filter (risk_category = 'HIGH'), 0)::bigint as high_risk,
+     coalesce(sum(k) filter (risk_category = 'MEDIUM'), 0)::bigint as medium_risk,
+     coalesce(sum(k) filter (risk_category = 'LOW'), 0)::bigint as low_risk
+   from (select p.risk_category, 1 + copies / times as k from risk_product p
+         join (select *, count(*) over (partition by full_name) as times from twice) using (full_name))) c""",
     "status_table_stats": "select * exclude (last_load) from table_stats",
     "status_data_flow": "select * from data_flow",
     "status_last_loads": "select * from last_loads",
@@ -477,6 +511,17 @@ union all select 'owner_casing_variants', count(*) from raw_repositories where l
   union all select 0.75, quantile_cont(stars, 0.75) from raw_repositories)""",
     "events_to_repos": "select * from event_repos",
     "event_log_scan": event_repos("(select * from event_lines where event_id % 97 <> 0)"),
+    "events_to_contributors": f"""select repo as repo_full_name, login as contributor,
+  count(*) filter (type = 'PushEvent') as total_commits,
+  count(*) filter (type = 'PushEvent' and {_recent(90)}) as recent_90_days_commits
+from event_lines where repo <> '' and login <> '' group by repo, login""",
+    "events_to_commits": f"""select repo, count(*) filter ({_recent(30)}) as commits_30d, count(*) filter ({_recent(90)}) as commits_90d,
+  count(*) filter ({_recent(180)}) as commits_180d, max(moment)::timestamp as last_commit_date
+from event_lines where repo <> '' and type = 'PushEvent' group by repo""",
+    "events_to_issues": f"""select repo, count(*) as open_issues, count(*) filter ({_recent(90)}) as issues_last_90d
+from event_lines where repo <> '' and type in ('IssuesEvent', 'IssueCommentEvent') group by repo""",
+    "search_to_issues": "select full_name as repo, open_issues from search_repos",
+    "search_page_scan": _SEARCH,
     "event_type_counts": """select repo as full_name, type as event_type, count(*) as n,
   count(*) over (partition by repo) as n_types
 from event_lines where repo <> '' group by repo, type""",
@@ -502,7 +547,7 @@ union all select 'git_hub', id, name, full_name, owner, coalesce(language, 'Unkn
 from (select doc_id, text, source, if(doc_id % 5 = 0, null, lang) as lang from documents)""",
     "conform_schema": f"""select data_source, repo, release_count, last_release_date, 999::bigint as days_since_last_release,
   {AS_OF} as load_timestamp from raw_releases""",
-    "run_log_latest": """select o_orderkey as run_id, 'GITHUB_RISK' as pipeline_name,
+    "run_log_latest": """select 'stream-' || o_orderkey % 4 as stream, o_orderkey // 4 as run_id, 'git_hub' as source, 'GITHUB_RISK' as pipeline_name,
   case o_orderstatus when 'F' then 'COMPLETED' when 'P' then 'ERROR' else 'STARTED' end as status,
   case o_orderstatus when 'F' then 'Pipeline completed successfully for new data'
     when 'P' then 'Pipeline failed: ' || o_orderpriority else 'New data detected, starting pipeline execution' end as message,

@@ -122,22 +122,8 @@ def main(arguments: list[str]) -> None:
     for target, raw, job in FROM_RAW:
         timed(target, lambda t=target, r=raw, j=job: store.replace(t, j(store.read(r), as_of), "git_hub"))
     hubs = [store.read(key) for key in ("hub_commits", "hub_issues", "hub_releases")]
-    share = max(total // 50, 1)
-    busy = None
-
-    def list_busy() -> None:
-        nonlocal busy
-        busy = store.keep("busy", rv.busy_repositories(*hubs, busy_rows=share))
-
-    timed("busy_repositories", list_busy)
     stage, people = store.read("stg_repositories"), store.read("hub_contributors")
-    run("enrich, no busy list", lambda: rv.enrich(stage, people, *hubs, as_of))
-    timed(
-        "enrich, busy list",
-        lambda: store.replace(
-            "repo_entryline", rv.enrich(stage, people, *hubs, as_of, busy=busy, slice_rows=share), "git_hub"
-        ),
-    )
+    timed("enrich", lambda: store.replace("repo_entryline", rv.enrich(stage, people, *hubs, as_of), "git_hub"))
     enriched = store.read("repo_entryline")
     timed("risk_product", lambda: store.replace("risk_product", rv.risk_product(enriched, as_of), "git_hub"))
     product, layers = store.read("risk_product"), store.read_layers()

@@ -1,12 +1,19 @@
 """Layered repository-health analytics on Spark: ingest, cleanse, enrich, score, monitor, report."""
 
-from repovitals.operators.activity import event_type_counts, event_type_maps, repos_from_events
+from repovitals.operators.activity import (
+    commits_from_events,
+    contributors_from_events,
+    event_type_counts,
+    event_type_maps,
+    issues_from_events,
+    repos_from_events,
+)
 from repovitals.operators.enrich import contributors_agg, enrich, frequent_names
 from repovitals.operators.hubs import hub_commits, hub_contributors, hub_issues, hub_releases
 from repovitals.operators.metrics import load_metrics
 from repovitals.operators.quality import dq_findings, profile_repositories
 from repovitals.operators.risk import risk_factors, risk_product
-from repovitals.operators.search import push_ages, repos_from_search, union_by_priority
+from repovitals.operators.search import issues_from_search, push_ages, repos_from_search, union_by_priority
 from repovitals.operators.stage import cleanse_repositories, stage_repositories
 from repovitals.plans.monitoring import pipeline_status, status_section
 from repovitals.plans.refresh import refresh
@@ -29,17 +36,21 @@ from repovitals.streaming.run_log import run_log_latest
 __all__ = [
     "LayerStore",
     "cleanse_repositories",
+    "commits_from_events",
     "contributors_agg",
+    "contributors_from_events",
     "dq_findings",
     "enrich",
-    "frequent_names",
     "event_type_counts",
     "event_type_maps",
     "export_csv",
+    "frequent_names",
     "hub_commits",
     "hub_contributors",
     "hub_issues",
     "hub_releases",
+    "issues_from_events",
+    "issues_from_search",
     "load_metrics",
     "pipeline_status",
     "profile_repositories",

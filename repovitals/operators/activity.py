@@ -59,6 +59,61 @@ def repos_from_events(events: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
+def _activity(events: DataFrame, as_of: Column, wanted: Column, days: tuple[int, ...]) -> DataFrame:
+    """Per (repository, actor), of the events `wanted`: n, last, and n_<days> of the days before as_of.
+
+    Grouped by actor first, so a repository with a large share of the log is spread over all tasks.
+    """
+    moment = parsed_iso(F.col("created_at"))
+
+    def recent(n: int) -> Column:
+        return F.count_if(wanted & (moment <= as_of) & (moment > as_of - F.make_dt_interval(days=F.lit(n))))
+
+    return (
+        _named_events(events)
+        .groupBy("full_name", "login")
+        .agg(
+            F.count_if(wanted).alias("n"),
+            F.max(F.when(wanted, moment)).alias("last"),
+            *(recent(n).alias(f"n_{n}") for n in days),
+        )
+    )
+
+
+def contributors_from_events(events: DataFrame, as_of: Column) -> DataFrame:
+    """Raw contributors: the actors of each repository with their pushes, in all and in 90 days.
+
+    Every actor seen counts; one without a push has none. Events without an actor belong to nobody.
+    """
+    per_actor = _activity(events, as_of, F.col("event_type") == fx.PUSH_EVENT, (90,))
+    return per_actor.filter("login <> ''").select(
+        F.col("full_name").alias("repo_full_name"),
+        F.col("login").alias("contributor"),
+        F.col("n").alias("total_commits"),
+        F.col("n_90").alias("recent_90_days_commits"),
+    )
+
+
+def commits_from_events(events: DataFrame, as_of: Column) -> DataFrame:
+    """Raw commits: pushes of each repository that has any, in 30, 90 and 180 days, and the last one."""
+    days = (30, 90, 180)
+    per_actor = _activity(events, as_of, F.col("event_type") == fx.PUSH_EVENT, days)
+    return per_actor.filter("n > 0").groupBy(F.col("full_name").alias("repo")).agg(
+        *(F.sum(f"n_{n}").alias(f"commits_{n}d") for n in days), F.max("last").alias("last_commit_date")
+    )
+
+
+def issues_from_events(events: DataFrame, as_of: Column) -> DataFrame:
+    """Raw issues: issue events of each repository that has any, as open issues, and those of 90 days.
+
+    The log does not say which of them closed an issue, so closed issues are left to the default.
+    """
+    per_actor = _activity(events, as_of, F.col("event_type").isin(*fx.ISSUE_EVENTS), (90,))
+    return per_actor.filter("n > 0").groupBy(F.col("full_name").alias("repo")).agg(
+        F.sum("n").alias("open_issues"), F.sum("n_90").alias("issues_last_90d")
+    )
+
+
 def event_type_counts(events: DataFrame) -> DataFrame:
     """One row per repository and event type, with the repository's number of types."""
     counts = _named_events(events).groupBy("full_name", "event_type").agg(F.count(F.lit(1)).alias("n"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,39 +38,36 @@ def frequent_names(hub: DataFrame) -> DataFrame:
     """
     parts = PARTS_PER_PARTITION * int(hub.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = hub.groupBy("full_name").agg(F.count(F.lit(1)).alias("n"))
-    total = hub.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     salts = F.ceil(F.col("n") * parts / total).cast("int")
     return counts.select("full_name", salts.alias("salts")).filter("salts > 1")
 
 
-def _left_join_salted(left: DataFrame, hub: DataFrame) -> DataFrame:
+def _left_join_salted(left: DataFrame, hub: DataFrame, names: DataFrame) -> DataFrame:
     """`left` with all rows of `hub` of its name, or one row of NULLs; no name is left to one task.
 
-    A frequent name's hub rows are dealt over its salts and its left rows copied to each. Frequent
-    names without a left row, such as the placeholder of unnamed rows, are dropped before the shuffle.
-    A salt that got no row gives no result: the name has rows in the hub, under another salt. Rows are
-    dealt by their place in the stored hub, so equal rows are spread and a task run again deals alike.
+    names: all names of `left`, each once. A frequent name's hub rows are dealt over its salts and its
+    left rows copied to each; frequent names that are not among `names`, such as the placeholder of
+    unnamed rows, are dropped before the shuffle. A salt that got no row gives no result: the name has
+    rows in the hub, under another salt. Rows are dealt by their place in the stored hub, so equal rows
+    are spread and a task run again deals alike.
     """
-    frequent = frequent_names(hub)
-    wanted = left.select(F.col("full_name").alias("left_name")).join(
-        F.broadcast(frequent), F.col("left_name") == F.col("full_name"), "left_semi"
-    )
-    known = frequent.join(wanted.distinct(), F.col("full_name") == F.col("left_name"), "left").select(
-        "full_name", "salts", F.col("left_name").isNotNull().alias("wanted")
+    known = F.broadcast(
+        frequent_names(hub).join(names.withColumn("wanted", F.lit(True)), "full_name", "left")
     )
     dealt = (
         hub.withColumn("place", F.monotonically_increasing_id())
-        .join(F.broadcast(known), "full_name", "left")
+        .join(known, "full_name", "left")
         .filter("salts is null or wanted")
         .withColumn("salt", F.coalesce(F.pmod(F.xxhash64("place"), F.col("salts")).cast("int"), F.lit(0)))
         .withColumn("met", F.lit(True))
         .drop("place", "salts", "wanted")
     )
-    copied = left.join(F.broadcast(frequent), "full_name", "left").withColumn(
+    copied = left.join(known, "full_name", "left").withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))
     )
     joined = copied.join(dealt, ["full_name", "salt"], "left")
-    return joined.filter("salts is null or met").drop("salt", "salts", "met")
+    return joined.filter("salts is null or met").drop("salt", "salts", "wanted", "met")
 
 
 def enrich(
@@ -105,7 +100,10 @@ def enrich(
     people = contributors_agg(contributors, source).withColumnRenamed("repo_full_name", "full_name")
     hubs = [activity(hub) for hub in (commits, issues, releases)]
 
-    joined = reduce(_left_join_salted, hubs, valid.join(people, "full_name", "left"))
+    names = valid.select("full_name").distinct()
+    joined = valid.join(people, "full_name", "left")
+    for hub in hubs:
+        joined = _left_join_salted(joined, hub, names)
 
     counters = {
         **dict.fromkeys(

@@ -12,8 +12,8 @@ from repovitals.functions.text import is_blank
 
 #: A value is an outlier this many interquartile ranges above the upper quartile.
 OUTLIER_RANGES = 3
-#: Values are first counted in blocks of 2^BLOCK_BITS neighbouring values.
-BLOCK_BITS = 16
+#: Bits of a value that one step of the selection finds.
+STEP_BITS = 16
 
 
 def profile_repositories(repositories: DataFrame) -> DataFrame:
@@ -31,51 +31,43 @@ def profile_repositories(repositories: DataFrame) -> DataFrame:
 def exact_quantiles(frame: DataFrame, column: str, shares: list[float]) -> DataFrame:
     """Exact interpolated quantiles of a whole-number column, one row (`share`, `quantile`) each.
 
-    A radix selection: count values per block of 2^16 neighbours, find by running count the block
-    that holds each wanted rank, then count single values in those few blocks only. No task gets
-    the values themselves. The running counts are over at most (value range / 2^16) blocks, 65,536
-    of them for a 32-bit range, and over 2^16 values per block.
+    A radix selection on the counts of single values, 16 bits a step from the top: of the values that
+    share the bits found so far, counts by the next 16 bits are put in order, and the one that
+    holds the wanted rank gives those bits. A step has at most 2^16 counts for each rank wanted, whatever
+    the range of the column; the column is read once and counted in the map tasks.
     """
     values = frame.select(F.col(column).cast("bigint").alias("value")).filter("value is not null")
-    block = F.shiftright("value", BLOCK_BITS)
-
-    per_block = values.groupBy(block.alias("block")).agg(F.count(F.lit(1)).alias("n"))
-    in_order = Window.orderBy("block")
-    placed = per_block.select(
-        "block",
-        "n",
-        (F.sum("n").over(in_order) - F.col("n")).alias("before"),
-        F.sum("n").over(Window.partitionBy()).alias("total"),
-    )
+    per_value = values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
     position = (F.col("total") - 1) * F.col("share")
-    ranks = F.array(F.floor(position), F.ceil(position))
+    # The wanted ranks: at most two rows for each share.
     wanted = (
-        placed.select(
-            "*", F.explode(F.array(*(F.lit(float(share)) for share in shares))).alias("share")
-        )
-        .select("*", position.alias("position"), F.explode(F.array_distinct(ranks)).alias("rank"))
-        .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
-        .select("block", "before", "share", "position", "rank")
-    )
-
-    # At most two blocks per wanted share.
-    blocks = F.broadcast(wanted.select("block", "before").distinct())
-    per_value = (
-        values.withColumn("block", block)
-        .join(blocks, "block")
-        .groupBy("block", "before", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    in_block = Window.partitionBy("block").orderBy("value")
-    ranked = per_value.select(
-        "block", "value", "n",
-        (F.col("before") + F.sum("n").over(in_block) - F.col("n")).alias("first_rank"),
+        per_value.agg(F.sum("n").alias("total"))
+        .filter("total > 0")
+        .select("total", F.explode(F.array(*(F.lit(float(share)) for share in shares))).alias("share"))
+        .select("share", position.alias("position"))
+        .select("*", F.explode(F.array_distinct(F.array(F.floor("position"), F.ceil("position")))).alias("rank"))
+        .select("*", F.lit(0).cast("bigint").alias("bits"), F.lit(0).cast("bigint").alias("before"))
     )
-    hit = (F.col("rank") >= F.col("first_rank")) & (F.col("rank") < F.col("first_rank") + F.col("n"))
-    at_rank = ranked.join(F.broadcast(wanted.drop("before")), "block").filter(hit)
-    low, high = F.min("value"), F.max("value")
+    for shift in range(64 - STEP_BITS, -1, -STEP_BITS):
+        above = shift + STEP_BITS
+        known = F.lit(0).cast("bigint") if above == 64 else F.shiftright("value", above)
+        counted = (
+            per_value.withColumn("bits", known)
+            .join(F.broadcast(wanted.select("bits", "before").distinct()), "bits")
+            .groupBy("bits", "before", F.shiftright("value", shift).alias("next"))
+            .agg(F.sum("n").alias("n"))
+        )
+        in_order = Window.partitionBy("bits").orderBy("next")
+        placed = counted.select("bits", "next", "n", (F.col("before") + F.sum("n").over(in_order) - F.col("n")).alias("first"))
+        hit = (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("n"))
+        wanted = (
+            placed.join(F.broadcast(wanted.drop("before")), "bits")
+            .filter(hit)
+            .select("share", "position", "rank", F.col("next").alias("bits"), F.col("first").alias("before"))
+        )
+    low, high = F.min("bits"), F.max("bits")
     fraction = F.max("position") - F.min("rank")
-    return at_rank.groupBy("share").agg((low + (high - low) * fraction).alias("quantile"))
+    return wanted.groupBy("share").agg((low + (high - low) * fraction).alias("quantile"))
 
 
 def _finding(name: str, rows: DataFrame) -> DataFrame:

@@ -43,6 +43,13 @@ def repos_from_search(pages: DataFrame) -> DataFrame:
     )
 
 
+def issues_from_search(pages: DataFrame) -> DataFrame:
+    """Raw issues: the open issues that search says each repository has."""
+    return _first_item_per_id(pages).select(
+        F.col("full_name").alias("repo"), F.col("open_issues_count").alias("open_issues")
+    )
+
+
 def push_ages(pages: DataFrame, as_of: Column) -> DataFrame:
     """Full days since each repository's last push, and the recency band they fall in."""
     pushed = parsed_iso(F.col("pushed_at"))

@@ -137,15 +137,37 @@ MEASURE_TYPES = {
 FLOW_TARGETS = {"stg_repositories": "staged", "repo_entryline": "enriched", "risk_product": "curated"}
 
 
-def table_profile(tables: dict[str, DataFrame], keys: Iterable[str] = REPORTED) -> DataFrame:
-    """One row per table and source with every measure; those a report does not use are pruned."""
+def _measured(table: DataFrame, measures: dict[str, str], apart: bool) -> DataFrame:
+    """The measures per source. apart: each DISTINCT count after the first is made by itself.
+
+    Two of them together would multiply all rows before they are shuffled. A NULL source is a
+    group like any other when the parts, one row per source each, are laid over one another.
+    """
+    distinct = [name for name, text in measures.items() if "distinct" in text][1:] if apart else []
+
+    def grouped(names: list[str], *more: str) -> DataFrame:
+        columns = [F.expr(text) for text in more] + [F.expr(f"{measures[name]} as {name}") for name in names]
+        return table.groupBy("data_source").agg(*columns)
+
+    parts = [grouped([name for name in measures if name not in distinct], "count(1) as record_count")]
+    parts += [grouped([name]) for name in distinct]
+    if len(parts) == 1:
+        return parts[0]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return stacked.groupBy("data_source").agg(*(F.max(name).alias(name) for name in ["record_count", *measures]))
+
+
+def table_profile(
+    tables: dict[str, DataFrame], keys: Iterable[str] = REPORTED, apart: bool = False
+) -> DataFrame:
+    """One row per table and source with every measure; those a report does not use are pruned.
+
+    apart: see `_measured`; for reports that use several DISTINCT counts of a table.
+    """
 
     def profile(key: str) -> DataFrame:
         measures = MEASURES[key]
-        counted = tables[key].groupBy("data_source").agg(
-            F.expr("count(1) as record_count"),
-            *(F.expr(f"{text} as {name}") for name, text in measures.items()),
-        )
+        counted = _measured(tables[key], measures, apart)
         return counted.selectExpr(
             f"'{key}' as table_key",
             f"'{TABLES[key].layer}' as layer",
@@ -163,7 +185,7 @@ def table_profile(tables: dict[str, DataFrame], keys: Iterable[str] = REPORTED)
 
 def status_table_stats(tables: dict[str, DataFrame]) -> DataFrame:
     """Row count, time span and three figures per table and source."""
-    return table_profile(tables).select(
+    return table_profile(tables, apart=True).select(
         "layer", "table_name", "data_source", "record_count",
         "oldest_record", "newest_record", "metric_1", "metric_2", "metric_3",
     )

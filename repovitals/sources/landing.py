@@ -38,8 +38,8 @@ def read_event_log(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def read_search_pages(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Landed search responses, one JSON document per file, ordered by path.
 
-    The last number in a file's name counts as a number: page_2 comes before page_10. Files of equal
-    name in several folders are told apart, and ordered, by their whole paths.
+    Numbers in the path count as numbers: page_2 comes before page_10. Files of equal name in several
+    folders are told apart, and ordered, by their whole paths.
     """
     schema = StructType([StructField("items", ArrayType(SEARCH_ITEM))])
     return (
@@ -51,15 +51,14 @@ def read_search_pages(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def _page_order(path: Column) -> Column:
-    """folder, name up to its last number, that number, whole path."""
-    name = F.substring_index(path, "/", -1)
-    number = F.regexp_extract(name, r"([0-9]+)[^0-9]*$", 1)
-    return F.struct(
-        F.regexp_replace(path, r"[^/]*$", "").alias("folder"),
-        F.regexp_replace(name, r"[0-9]+[^0-9]*$", "").alias("prefix"),
-        F.coalesce(F.try_to_number(F.nullif(number, F.lit("")), F.lit("9" * 38)), F.lit(0)).alias("number"),
-        path.alias("path"),
-    )
+    """The path with each number behind its number of digits, so that text order is number order."""
+    parts = F.regexp_extract_all(path, F.lit("[0-9]+|[^0-9]+"), F.lit(0))
+
+    def sortable(part: Column) -> Column:
+        digits = F.ltrim(part, F.lit("0"))
+        return F.when(part.rlike("^[0-9]"), F.concat(F.lpad(F.length(digits).cast("string"), 5, "0"), digits)).otherwise(part)
+
+    return F.struct(F.array_join(F.transform(parts, sortable), "").alias("order"), path.alias("path"))
 
 
 def too_wide(frame: DataFrame, widths: dict[str, int]) -> DataFrame:

@@ -30,7 +30,7 @@ def test_repositories(events, as_of):
     assert (a.owner, a.name, a.html_url) == ("org", "a/b", "https://github.com/org/a/b")
     assert a.updated_at == datetime(2020, 1, 3, 10)  # junk does not count as a late time
     assert (a.n_events, a.total_contributors, a.push_events, a.issue_events) == (5, 3, 2, 2)
-    assert a.id.startswith("gh_") and len(a.id) == 15
+    assert a.id.startswith("gh_") and len(a.id) == 35
     plain = got["plain"]
     assert (plain.owner, plain.name, plain.updated_at) == ("unknown", "plain", NOW)
 

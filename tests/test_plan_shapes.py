@@ -43,16 +43,10 @@ def test_deduplication_limits_groups_before_the_shuffle(filled, as_of):
     assert "WindowGroupLimit" in before and text.count("Exchange") == 1
 
 
-def test_enrich_shuffles_each_input_once(spark, filled, as_of):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        hubs = [filled.read(k) for k in ("hub_contributors", "hub_commits", "hub_issues", "hub_releases")]
-        text = plan(rv.enrich(filled.read("stg_repositories"), *hubs, as_of))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # Stage and three hubs once; contributors once per pair and once per repository.
-    assert text.count("Exchange hashpartitioning") == 6
-    assert text.count("SortMergeJoin") == 4 and "Expand" not in text
+def test_enrich_joins_without_cross_products(filled, as_of):
+    keys = ("stg_repositories", "hub_contributors", "hub_commits", "hub_issues", "hub_releases")
+    text = plan(rv.enrich(*map(filled.read, keys), as_of))
+    assert "CartesianProduct" not in text and "NestedLoop" not in text and "Expand" not in text
 
 
 def test_status_reads_each_table_once(filled):
@@ -68,6 +62,17 @@ def test_a_section_reads_its_own_tables_only(filled):
     assert plan(monitoring.status_risk(tables)).count("FileScan") == 1
 
 
+def test_table_figures_multiply_no_rows(filled):
+    text = plan(monitoring.status_table_stats(filled.read_layers()))
+    assert "Expand" not in text and text.count("FileScan") == 13  # contributors are counted by themselves
+
+
+def test_event_types_are_counted_in_one_scan(spark, tmp_path):
+    events = spark.read.schema("type string, created_at string, repo struct<name:string>, actor struct<login:string>")
+    df = rv.event_type_counts(events.json(str(tmp_path)))
+    assert plan(df).count("FileScan") == 1 and "Join" not in plan(df)
+
+
 def test_rankings_take_ordered_rows_only(filled):
     product = filled.read("risk_product")
     for df in (rv.report_top(product), rv.report_search(product, "a"), rv.report_by_language(product), rv.report_repo(product, "a")):
