@@ -34,7 +34,7 @@ BLOCKS = frozenset(
     "form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td "
     "tfoot th thead tr ul button option".split()
 )
-CONTAINERS = BLOCKS - frozenset("p h1 h2 h3 h4 h5 h6 hr head pre li dd dt address caption figcaption legend option summary".split())
+CONTAINERS = BLOCKS - frozenset("html p h1 h2 h3 h4 h5 h6 hr head pre li dd dt address caption figcaption legend option summary".split())
 _HEADERS = frozenset(("header", "masthead"))
 _NEVER_DROPPED = frozenset(("html", "body", "main", "article"))
 #: Shares of a block's text that its container and those above it count.

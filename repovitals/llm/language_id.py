@@ -64,15 +64,15 @@ class Symbols:
             self.table[letters == letter] = _FIRST + number
 
     def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols of all texts with runs of blanks as one and a blank around each, and where each ends."""
+        """Symbols of all texts, runs of blanks as one and one more at each end, and where each text ends."""
         points = _points("\n".join(texts) + "\n")
         ends = np.cumsum([len(t) + 1 for t in texts])
         found = self.table[points]
         keep = np.ones(len(found), dtype=bool)
         keep[1:] = (found[1:] > 0) | (found[:-1] > 0)
-        keep[ends - 1] = True
         if len(ends) > 1:  # a text's last blank is also the blank before the next
             keep[ends[:-1]] = found[ends[:-1]] > 0
+        keep[ends - 1] = True
         kept = np.cumsum(keep)
         return found[keep], kept[ends - 1]
 
