@@ -40,7 +40,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of each group of near duplicates (five words, 0.8) the document of least id, once."""
     groups = stored(jaccard_groups(docs.select("doc_id", "text"), k=5, percent=80), f"{workspace(spark)}/groups")
     gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
