@@ -103,10 +103,14 @@ class CuckooFilter:
         return np.uint64(number << 56) | (low.astype(np.uint64) << np.uint64(16)) | mark.astype(np.uint64)
 
     def remove(self, hashes: np.ndarray) -> None:
-        """Remove one mark for each hash; only hashes that were inserted may be given."""
+        """Remove one mark for each hash; only hashes that were inserted may be given.
+
+        The largest table goes first: hashes that share mark and buckets there share them in all smaller ones,
+        so whichever of their marks goes, those left serve the others. The reverse does not hold.
+        """
         for value in hashes:
             one = np.array([value], dtype=np.uint64)
-            for number, table in enumerate(self.tables):
+            for number, table in reversed(list(enumerate(self.tables))):
                 mark, first, second = self._places(table, one)
                 kept_aside = np.flatnonzero(self.aside == self._code(number, first, mark)[0])
                 if len(kept_aside):

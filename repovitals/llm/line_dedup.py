@@ -4,7 +4,8 @@ Keys of lines are spread over shards. Each shard has a cuckoo filter over its ke
 filters stand exact tables: postings (key, doc_id) and reference counts (key, refs, keeper). What
 arrives is held against the filters first; only keys that a filter may have seen are looked up in the
 exact tables, all others (most lines occur once) are appended. Removing a document lowers the
-counts, and a key nobody holds any more leaves its filter, so its lines come back elsewhere.
+counts, and a key nobody holds any more leaves its filter, so its lines come back elsewhere. Each key
+that is held owns one mark of its filter, also one that the filter took for another.
 
 The index is a folder of Parquet tables with one part per change. A change counts once all its parts
 are written; one that failed is not read, and its parts are overwritten when it is run again.
@@ -96,6 +97,14 @@ def _judge(key, fresh, old):
     return _frame(int(key[0]), fresh["key"], fresh["refs"], fresh["keeper"], seen, filters)
 
 
+def _enter(key, missed, old):
+    """Give the keys that a shard's filter took for known ones a mark of their own."""
+    filters = _load(old, 0)
+    if len(missed):
+        filters.insert(_hashes(missed["key"]))
+    return _frame(int(key[0]), [], [], [], [], filters)
+
+
 def _forget(key, gone, old):
     filters = _load(old, 0)
     if len(gone):
@@ -181,8 +190,15 @@ class LineIndex:
                 "key",
                 (F.col("more") + F.coalesce("refs", F.lit(0))).alias("refs"),
                 F.least("least", "keeper").alias("keeper"),
+                F.col("refs").isNull().alias("missed"),
             )
-            first = first.unionByName(again)
+            again = stored(again, f"{scratch}/again")
+            # A key that only seemed to be seen leans on another key's mark, which may go with that key.
+            missed = again.where("missed").select(self._shard(), "key")
+            filters = (
+                missed.groupBy("shard").cogroup(filters.groupBy("shard")).applyInPandas(_enter, _JUDGED)
+            ).select("shard", "filter")
+            first = first.unionByName(again.select("key", "refs", "keeper"))
         self._commit(new.withColumn("held", F.lit(True)), first, filters)
 
     def remove(self, doc_ids: DataFrame) -> None:

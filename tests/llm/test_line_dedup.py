@@ -101,3 +101,31 @@ def test_filter_rarely_errs():
     filters.insert(hashes[:50_000])
     assert filters.contains(hashes[:50_000]).all()
     assert filters.contains(hashes[50_000:]).mean() < 0.002
+
+
+def test_keys_of_equal_mark_come_and_go(spark, texts, monkeypatch):
+    """All lines share one mark and its buckets: whichever goes, the others are still known."""
+    monkeypatch.setattr("repovitals.llm.line_dedup._hashes", _one_hash)
+    index = LineIndex(spark, workspace(spark), shards=1)
+    rows = [(1, "the first of the lines"), (2, "the second of the lines"), (3, "the second of the lines"), (4, "the second of the lines")]
+    index.add(texts(rows[:1]))
+    index.add(texts(rows[1:3]))
+    index.remove(texts(rows[:1]))
+    index.add(texts(rows[3:]))
+    assert sorted((r.refs, r.keeper) for r in index.counts().collect()) == [(3, 2)]
+    assert got(index.apply(texts(rows[1:]))) == brute(rows[1:])
+
+
+def _one_hash(keys):
+    return np.full(len(keys), 1 << 60 | 5, dtype=np.uint64)
+
+
+def test_filter_removes_from_the_right_table():
+    """Two hashes that share mark and bucket in the first, small table only."""
+    old, new = np.array([3 << 48 | 1], dtype=np.uint64), np.array([3 << 48 | 1 | 1 << 10], dtype=np.uint64)
+    filters = CuckooFilter(16)
+    filters.insert(old)
+    filters._grow(1 << 16)
+    filters.insert(new)
+    filters.remove(new)
+    assert filters.contains(old).all()
