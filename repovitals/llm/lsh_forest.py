@@ -2,8 +2,8 @@
 
 In each tree every vector has a long string of hash bits, one per hyperplane. A query descends to the
 vectors that share the longest prefix with its own string; all trees then ascend together, one bit at
-a time, until enough candidates are met. How many are enough is found by searching a bounded number
-of sample queries exactly. Candidates are scored on the original vectors in double precision.
+a time, until enough candidates are met, up to the roots if need be. How many are enough is found by
+searching a bounded number of sample queries exactly. Candidates are scored on the original vectors in double precision.
 
 Trees are cut into cells by their first bits, so a cell's part of a sorted array fits in one task; a
 large cell is split into blocks, to all of which its queries go. Equal vectors are one class.
@@ -12,10 +12,11 @@ large cell is split into blocks, to all of which its queries go. Equal vectors a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .storage import stored, workspace
@@ -29,6 +30,8 @@ GOAL_QUERIES = 128
 GOAL = 0.94
 #: Vectors of one block of a cell.
 BLOCK = 8_192
+#: Bits by which the cells of queries without enough candidates are widened at a time.
+ASCENT = 2
 _SEED = 20_240_601
 
 
@@ -115,7 +118,10 @@ def _sample_rows(rows) -> pa.RecordBatch:
 
 
 def _enough(classes: DataFrame, goal: np.ndarray, strings: np.ndarray, k: int) -> tuple[int, int]:
-    """(candidates that reach the goal, shortest prefix that gives them) on the sample queries."""
+    """(candidates that reach the goal, shortest prefix that gives them) on the sample queries.
+
+    A tree meets a class once, so TREES * (k + 1) candidates hold at least k + 1 different classes.
+    """
     rows = classes.mapInArrow(_exact_sample(goal, strings, k), "q int, class_id long, score double, level int")
     rows = rows.cache()
     best = Window.partitionBy("q").orderBy(F.desc("score"), "class_id")
@@ -136,8 +142,8 @@ def _enough(classes: DataFrame, goal: np.ndarray, strings: np.ndarray, k: int) -
         levels = _levels(at_least, wanted[middle])
         recall = np.mean([np.mean(np.array(t) >= x) for t, x in zip(true, levels, strict=True)])
         low, high = (low, middle) if recall >= GOAL else (middle + 1, high)
-    levels = _levels(at_least, wanted[low])
-    return int(wanted[low]), int(levels.min())
+    enough = max(int(wanted[low]), TREES * (k + 1))
+    return enough, int(_levels(at_least, enough).min())
 
 
 def _levels(at_least: np.ndarray, enough: float) -> np.ndarray:
@@ -145,8 +151,8 @@ def _levels(at_least: np.ndarray, enough: float) -> np.ndarray:
     return np.where(at_least >= enough, np.arange(at_least.shape[1]), 0).max(axis=1)
 
 
-def _count_levels(depth: int):
-    """For the queries of a block: how many of its points share each prefix length."""
+def _count_levels(depth: int, top: int):
+    """For the queries of a block: how many of its points share each prefix length from depth to top."""
 
     def run(key, points, queries):
         import pandas as pd
@@ -154,7 +160,7 @@ def _count_levels(depth: int):
         strings = np.sort(points["string"].to_numpy())
         own = queries["string"].to_numpy()
         out = []
-        for level in range(depth, BITS + 1):
+        for level in range(depth, top + 1):
             width = BITS - level
             first = own >> width << width
             n = np.searchsorted(strings, first + (1 << width)) - np.searchsorted(strings, first)
@@ -218,11 +224,75 @@ def _usable(embeddings: DataFrame) -> DataFrame:
     return rows.where(F.size("embedding") == length.select("length").limit(1).scalar())
 
 
+def _ascend(
+    spark: SparkSession, folder: str, pending: DataFrame, enough: int, shortest: int, k: int
+) -> DataFrame:
+    """Rows (query, class_id, score) of the classes (class_id) asked for, from the hashed classes in the folder.
+
+    The first cells are cut just below the shortest prefix of the sample queries, where nearly all
+    queries meet enough candidates. The others go on in larger and larger cells until they do too, or
+    have met all points; only the cells that they are in are made.
+    """
+    # Read anew for each use, or Spark could not tell the columns of points and queries apart.
+    hashed = spark.read.parquet(f"{folder}/hashed").schema
+
+    def strings(kind: str, depth: int) -> DataFrame:
+        rows = spark.read.schema(hashed).parquet(f"{folder}/hashed")
+        rows = rows.select("class_id", "vector", F.posexplode(kind).alias("tree", "string"))
+        return rows.withColumn("cell", F.shiftright("string", BITS - depth))
+
+    block = ["tree", "cell", "block"]
+    found = []
+    depth, top = max(0, shortest - 1), BITS
+    while True:
+        at = f"{folder}/depth={depth}"
+        wanted = strings("queries", depth).join(pending, "class_id", "left_semi")
+        cells = strings("points", depth).join(wanted.select("tree", "cell").distinct(), ["tree", "cell"], "left_semi")
+        sizes = cells.groupBy("tree", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        sizes = stored(sizes, f"{at}/cells")
+        points = strings("points", depth).join(sizes, ["tree", "cell"]).withColumn(
+            "block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")
+        )
+        sizes = spark.read.schema(sizes.schema).parquet(f"{at}/cells")
+        queries = wanted.join(sizes, ["tree", "cell"]).withColumn(
+            "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        )
+        levels = (
+            points.select(*block, "string").groupBy(*block)
+            .cogroup(queries.select(*block, "class_id", "string").groupBy(*block))
+            .applyInPandas(_count_levels(depth, top), "query long, level int, n long")
+            .groupBy("query", "level")
+            .agg(F.sum("n").alias("n"))
+            .where(F.col("n") >= enough)
+            .groupBy("query")
+            .agg(F.max("level").alias("level"))
+            .withColumnRenamed("query", "class_id")
+        )
+        if depth == 0:  # all points are met
+            levels = pending.join(levels, "class_id", "left").withColumn("level", F.coalesce("level", F.lit(0)))
+        levels = stored(levels, f"{at}/levels")
+        # At level 0 every tree has all points: one of them is enough.
+        ready = queries.join(levels, "class_id").where("level > 0 or tree = 0")
+        scored = (
+            points.select(*block, "class_id", "string", "vector").groupBy(*block)
+            .cogroup(ready.select(*block, "class_id", "string", "level", "vector").groupBy(*block))
+            .applyInPandas(_score_block(k), "query long, class_id long, score double")
+        )
+        found.append(stored(scored, f"{at}/scored"))
+        if depth == 0:
+            break
+        pending = stored(pending.join(levels.select("class_id"), "class_id", "left_anti"), f"{at}/open")
+        if pending.isEmpty():
+            break
+        depth, top = max(0, depth - ASCENT), depth - 1
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
 def nearest_neighbours(embeddings: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     """Rows (query_id, rank, vec_id, score): of each query its k nearest by inner product that were found.
 
     embeddings: vec_id, embedding. is_query: an expression on vec_id. All rows are candidates, but the
-    query's own. Nearest first, equal scores by smaller vec_id; fewer rows where there are fewer
+    query's own. Nearest first, equal scores by smaller vec_id; fewer rows only where there are fewer
     candidates. Vectors that are NULL or zero, hold NULL or a value that is not finite, or have another
     length than most, and rows without vec_id, take no part. Rows of equal vec_id are further vectors
     under that number. Every row is indexed; fitting uses at most FIT_VECTORS vectors, and GOAL_QUERIES
@@ -272,45 +342,7 @@ def nearest_neighbours(embeddings: DataFrame, is_query: Column, k: int = 20) ->
         f"{folder}/hashed",
     )
     enough, shortest = _enough(hashed, wanted.astype(np.float64), planes.of_queries(wanted), k)
-    depth = max(0, shortest - 1)
-    cell = F.shiftright("string", BITS - depth)
-    trees = F.posexplode("points").alias("tree", "string")
-    points = hashed.select("class_id", "vector", trees).withColumn("cell", cell)
-    sizes = points.groupBy("tree", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    sizes = stored(sizes, f"{folder}/cells")
-    points = points.join(sizes, ["tree", "cell"]).withColumn(
-        "block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")
-    )
-    # Read anew, or Spark could not tell the columns of points and queries apart.
-    hashed, sizes = (
-        spark.read.schema(t.schema).parquet(f"{folder}/{name}") for t, name in ((hashed, "hashed"), (sizes, "cells"))
-    )
-    queries = (
-        hashed.join(asked.select("class_id").distinct(), "class_id", "left_semi")
-        .select("class_id", "vector", F.posexplode("queries").alias("tree", "string"))
-        .withColumn("cell", cell)
-        .join(sizes, ["tree", "cell"])
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    )
-    block = ["tree", "cell", "block"]
-    levels = (
-        points.select(*block, "string").groupBy(*block)
-        .cogroup(queries.select(*block, "class_id", "string").groupBy(*block))
-        .applyInPandas(_count_levels(depth), "query long, level int, n long")
-        .groupBy("query", "level")
-        .agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= enough)
-        .groupBy("query")
-        .agg(F.max("level").alias("level"))
-    )
-    levels = stored(levels, f"{folder}/levels").withColumnRenamed("query", "class_id")
-    ready = queries.join(levels, "class_id", "left").withColumn("level", F.coalesce("level", F.lit(depth)))
-    scored = (
-        points.select(*block, "class_id", "string", "vector").groupBy(*block)
-        .cogroup(ready.select(*block, "class_id", "string", "level", "vector").groupBy(*block))
-        .applyInPandas(_score_block(k), "query long, class_id long, score double")
-        .distinct()
-    )
+    scored = _ascend(spark, folder, stored(asked.select("class_id").distinct(), f"{folder}/open"), enough, shortest, k)
     best = Window.partitionBy("query").orderBy(F.desc("score"), "class_id")
     near = stored(
         scored.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1).drop("place"),

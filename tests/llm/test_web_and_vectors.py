@@ -135,3 +135,14 @@ def test_blocks_of_broken_markup():
     assert texts("<script>var t='</p>'</script>x<style>p{}") == ["x"]
     assert texts("<article><header><h1>H</h1></header><p>x</p></article><header>y</header>") == ["H", "x"]
     assert texts("") == []
+
+
+def test_sparse_regions_get_all_their_neighbours(spark, monkeypatch):
+    """The goal sample came from a denser region: its shortest prefix is far too long for these vectors."""
+    monkeypatch.setattr("repovitals.llm.lsh_forest._enough", lambda *_: (4_000, 6))
+    matrix = vectors(60)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(matrix)], "vec_id long, embedding array<float>")
+    found: dict = {}
+    for row in nearest_neighbours(frame, F.col("vec_id") % 20 == 0, 20).collect():
+        found.setdefault(row.query_id, set()).add(row.vec_id)
+    assert found == {q: set(exact(np.arange(60), matrix, q, 20)[0]) for q in (0, 20, 40)}
