@@ -1,8 +1,9 @@
 """Main text of web pages by consensus: the pages of a host vote on where their articles stand.
 
 Every page scores its containers by the text that stands in them and names each by its path of tags and
-classes, numbers left out. Votes are counted per host and path in Spark. Each page is then read
-again at its host's winning path; a page without it is read at its own best container.
+classes, numbers left out. The best one is widened to the ancestor that holds the whole article, and
+each path gets a vote by how well its text agrees with that. Votes are counted per host and path in
+Spark. Each page is then read again at its host's winning path; a page without it is read at its own.
 """
 
 from __future__ import annotations
@@ -37,10 +38,12 @@ BLOCKS = frozenset(
 CONTAINERS = BLOCKS - frozenset("html p h1 h2 h3 h4 h5 h6 hr head pre li dd dt address caption figcaption legend option summary".split())
 _HEADERS = frozenset(("header", "masthead"))
 _NEVER_DROPPED = frozenset(("html", "body", "main", "article"))
-#: Shares of a block's text that its container and those above it count.
-SHARES = (1.0, 0.5, 0.25)
-#: Containers of one page that get votes.
-VOTES = 5
+#: A container counts this share of what the one below it counts of a block.
+SHARE = 0.5
+#: From this share of linked characters on, text beside the article is a list of links.
+LINKED = 1 / 3
+#: What a vote is worth for a path that misses some of the page's article, and for one above it.
+PARTIAL, ABOVE = 0.5, 0.85
 
 _TAG = re.compile(r"""<!--|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""")
 _LOOSE_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
@@ -69,7 +72,7 @@ def _drops(name: str, attributes: dict[str, str], path: tuple[str, ...]) -> bool
 
 
 def _step(name: str, attributes: dict[str, str]) -> str:
-    names = sorted(_NUMBER.sub("#", c) for c in attributes.get("class", "").lower().split())
+    names = sorted(_NUMBER.sub("#", c) for c in attributes.get("class", "").lower().replace("/", "|").split())
     return ".".join([name, *names])
 
 
@@ -101,7 +104,10 @@ def _tags(html: str) -> Iterator[tuple[int, int, str, str, str]]:
         at = html.find("<", end)
 
 
-def read_blocks(html: str) -> list[tuple[str, tuple[str, ...], int]]:
+Block = tuple[str, tuple[str, ...], int]
+
+
+def read_blocks(html: str) -> list[Block]:
     """Blocks of text outside boilerplate, in page order: (text, path of its containers, linked characters)."""
     unended = _UNENDED.search(html)
     if unended:  # the page breaks off within a tag
@@ -177,44 +183,90 @@ def read_blocks(html: str) -> list[tuple[str, tuple[str, ...], int]]:
     return blocks
 
 
-def container_scores(blocks: list[tuple[str, tuple[str, ...], int]]) -> dict[str, float]:
-    """For each container path the text in it: all of its own blocks, less of those further down.
+def container_scores(blocks: list[Block]) -> dict[str, float]:
+    """For each container path the text in it: all of its own blocks, ever less of those further down.
 
     Linked text does not count, and what stands in no container but the page itself counts little.
     """
     scores: dict[str, float] = {}
     for text, path, linked in blocks:
-        worth = max(0, len(text) - 2 * linked)
-        for share, depth in zip(SHARES, range(len(path), 0, -1), strict=False):
+        worth = float(max(0, len(text) - 2 * linked))
+        for depth in range(len(path), 0, -1):
             name = "/".join(path[:depth])
-            scores[name] = scores.get(name, 0.0) + share * worth
+            scores[name] = scores.get(name, 0.0) + worth
+            worth *= SHARE
     return scores
 
 
-def best_paths(scores: dict[str, float], n: int) -> list[tuple[str, float]]:
-    """The n best paths with their scores as shares of the best; equal scores by longer path, then name."""
-    best = sorted(((p, s) for p, s in scores.items() if s > 0), key=lambda x: (-x[1], -x[0].count("/"), x[0]))[:n]
-    return [(path, score / best[0][1]) for path, score in best]
-
+def article_path(blocks: list[Block]) -> tuple[str, ...]:
+    """The path that holds the whole article; () if no container has text of its own.
 
-def text_at(blocks: list[tuple[str, tuple[str, ...], int]], path: str | None) -> str:
-    """The blocks in the containers of a path; of a page that has none, in its own best container."""
-    def within(wanted: str) -> list[str]:
-        steps = tuple(wanted.split("/"))
+    That is the best container, or the highest one above it that adds text to the article: all that
+    an article element holds, and elsewhere the text beside it in which links are few. Where lists of links
+    beside it are more than the text that would be won, it is not widened; a main element may hold
+    as many of them as there is text in the article.
+    """
+    scores = {path: score for path, score in container_scores(blocks).items() if score > 0}
+    if not scores:
+        return ()
+    best = tuple(min(scores, key=lambda p: (-scores[p], -p.count("/"), p)).split("/"))
+    for depth in range(len(best) - 1, 0, -1):
+        above = best[:depth]
+        inside = sum(len(text) for text, own, _ in blocks if own[: len(best)] == best)
+        beside: dict[str, list[int]] = {}
+        for text, own, linked in blocks:
+            if own[:depth] == above and own[: len(best)] != best:
+                sums = beside.setdefault("/".join(own[depth : depth + 1]), [0, 0])
+                sums[0] += len(text)
+                sums[1] += min(linked, len(text))
+        won = sum(n for n, linked in beside.values() if linked < LINKED * n)
+        links = sum(n for n, linked in beside.values() if linked >= LINKED * n)
+        name = above[-1].partition(".")[0]
+        if name == "article" and won + links or won and (links <= won or name == "main" and links <= inside):
+            best = above
+    return best
+
+
+def path_votes(blocks: list[Block]) -> dict[str, float]:
+    """For each path that holds text of the page's article: how well the two agree (F1 of characters).
+
+    A path that misses some of the article counts less, as does one above it, so that single pages
+    do not widen what most others agree on.
+    """
+    article = article_path(blocks)
+    if not article:
+        return {}
+    whole = 0
+    held: dict[str, list[int]] = {}
+    for text, path, _ in blocks:
+        in_article = len(text) if path[: len(article)] == article else 0
+        whole += in_article
+        for depth in range(1, len(path) + 1):
+            sums = held.setdefault("/".join(path[:depth]), [0, 0])
+            sums[0] += len(text)
+            sums[1] += in_article
+    name = "/".join(article)
+    return {
+        path: 2 * both / (own + whole) * (PARTIAL if both < whole else 1.0 if path == name else ABOVE)
+        for path, (own, both) in held.items()
+        if both
+    }
+
+
+def text_at(blocks: list[Block], path: str | None) -> str:
+    """The blocks in the containers of a path; of a page that has none, those of its own article."""
+    def within(steps: tuple[str, ...]) -> list[str]:
         return [text for text, own, _ in blocks if own[: len(steps)] == steps]
 
-    found = within(path) if path else []
-    if not found:
-        own = best_paths(container_scores(blocks), 1)
-        found = within(own[0][0]) if own else [text for text, _, _ in blocks]
-    return "\n".join(found)
+    found = within(tuple(path.split("/"))) if path else []
+    return "\n".join(found or within(article_path(blocks)))
 
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hosts, paths, votes = [], [], []
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            for path, share in best_paths(container_scores(read_blocks(html or "")), VOTES):
+            for path, share in path_votes(read_blocks(html or "")).items():
                 hosts.append(host)
                 paths.append(path)
                 votes.append(round(share * 1_000_000))

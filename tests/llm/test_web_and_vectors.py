@@ -146,3 +146,22 @@ def test_sparse_regions_get_all_their_neighbours(spark, monkeypatch):
     for row in nearest_neighbours(frame, F.col("vec_id") % 20 == 0, 20).collect():
         found.setdefault(row.query_id, set()).add(row.vec_id)
     assert found == {q: set(exact(np.arange(60), matrix, q, 20)[0]) for q in (0, 20, 40)}
+
+
+LONG_TEXT = "<p>Here is a sentence of the body that goes on for a while.</p>"
+SITE = '<body><div class="links"><a href=a>Some other page of this site</a> <a href=b>And one more of them</a></div>{}</body>'
+
+
+@pytest.mark.parametrize(
+    ("html", "n"),
+    [
+        (f"<article><h1>Title</h1><p>Lead</p><div class=body>{LONG_TEXT * 9}</div></article>", 11),
+        (f"<div class=post><h1>Title</h1><div class=in><div class=body>{LONG_TEXT * 9}</div></div></div>", 10),
+        (f"<div class=post><div class=a>{LONG_TEXT * 6}</div><div class=b>{LONG_TEXT * 4}</div></div>", 10),
+        (f"<article><div class=a><div><div><div>{LONG_TEXT * 6}</div></div></div></div><div class=b>{LONG_TEXT}</div></article>", 7),
+    ],
+)
+def test_articles_in_nested_and_split_containers(spark, html, n):
+    pages = spark.createDataFrame([(f"http://a.com/{i}", SITE.format(html)) for i in range(3)], "url string, html string")
+    for row in main_text(pages).collect():
+        assert len(row.text.split("\n")) == n and "other page" not in row.text
