@@ -36,6 +36,9 @@ BLOCKS = frozenset(
     "tfoot th thead tr ul button option".split()
 )
 CONTAINERS = BLOCKS - frozenset("html p h1 h2 h3 h4 h5 h6 hr head pre li dd dt address caption figcaption legend option summary".split())
+#: Words of discussions, which may well be longer than the article; and first words of names that tell of a layout.
+_COMMENTS = frozenset("comment comments disqus reply replies respond".split())
+_LAYOUT = frozenset("with without has no not".split())
 _HEADERS = frozenset(("header", "masthead"))
 _NEVER_DROPPED = frozenset(("html", "body", "main", "article"))
 #: A container counts this share of what the one below it counts of a block.
@@ -49,6 +52,7 @@ _TAG = re.compile(r"""<!--|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"
 _LOOSE_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.IGNORECASE)
 _UNENDED = re.compile(r"<[A-Za-z/!][^<>]*\Z")
+_MARK = "\0"
 _WORD = re.compile(r"[a-z]+")
 _NUMBER = re.compile(r"[0-9]+")
 _ENDS = {name: re.compile(rf"</{name}(?=[\s>/])[^>]*(?:>|\Z)", re.IGNORECASE) for name in RAW}
@@ -58,17 +62,29 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(text)} if "=" in text else {}
 
 
-def _drops(name: str, attributes: dict[str, str], path: tuple[str, ...]) -> bool:
-    """Is the element something other than the article? A header within an article belongs to it."""
+def _named(attributes: dict[str, str]) -> set[str]:
+    """Boilerplate words that begin or end one of the element's names."""
+    found = set()
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
+        words = _WORD.findall(name)
+        if words and words[0] not in _LAYOUT:
+            found |= {words[0], words[-1]} & WORDS
+    return found
+
+
+def _drops(name: str, attributes: dict[str, str], path: tuple[str, ...]) -> tuple[bool, set[str]]:
+    """Is the element something other than the article, by its tag or role, or by which words of its names?
+
+    A header within an article belongs to it.
+    """
     if name in _NEVER_DROPPED:
-        return False
+        return False, set()
     inside = any(step.partition(".")[0] in ("article", "main") for step in path)
     if name in DROPPED:
-        return not (inside and name in _HEADERS)
+        return not (inside and name in _HEADERS), set()
     if attributes.get("role", "").lower() in ROLES:
-        return True
-    words = set(_WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
-    return bool((words & WORDS) - (_HEADERS if inside else frozenset()))
+        return True, set()
+    return False, _named(attributes) - (_HEADERS if inside else frozenset())
 
 
 def _step(name: str, attributes: dict[str, str]) -> str:
@@ -108,11 +124,44 @@ Block = tuple[str, tuple[str, ...], int]
 
 
 def read_blocks(html: str) -> list[Block]:
-    """Blocks of text outside boilerplate, in page order: (text, path of its containers, linked characters)."""
+    """Blocks of text outside boilerplate, in page order: (text, path of its containers, linked characters).
+
+    What its names call boilerplate is kept all the same if it holds most of the page's unlinked text, a
+    main element or an unlinked h1, discussions apart; and if nothing would be left without it.
+    """
+    blocks, named = _blocks(html, frozenset())
+    if named:
+        total = 0
+        sums: dict[str, int] = {}
+        holds = set()
+        for text, path, linked in _blocks(html, None)[0]:
+            worth = max(0, len(text) - linked)
+            total += worth
+            heading = "h1" in path and 2 * worth > len(text)
+            for i, step in enumerate(path):
+                if step.startswith(_MARK):
+                    sums[step] = sums.get(step, 0) + worth
+                    if heading or any(inner.partition(".")[0] == "main" for inner in path[i:]):
+                        holds.add(step)
+        names = {m for m, n in sums.items() if not m.endswith(_MARK) and (m in holds or 2 * n > total)}
+        if names:
+            blocks = _blocks(html, frozenset(int(m.strip(_MARK)) for m in names))[0]
+        if not blocks:
+            blocks = _blocks(html, frozenset(int(m.strip(_MARK)) for m in sums))[0]
+    return blocks
+
+
+def _blocks(html: str, kept: frozenset[int] | None) -> tuple[list[Block], bool]:
+    """The blocks of a page, and has it containers dropped by name? Those that start at the places in kept are not.
+
+    With None no container is dropped by name: its step is its place between marks (two at the end for
+    discussions), and h1 is a step.
+    """
     unended = _UNENDED.search(html)
     if unended:  # the page breaks off within a tag
         html = html[: unended.start()]
-    blocks = []
+    blocks: list[Block] = []
+    named = False
     stack: list[tuple[str, str, bool]] = []  # name, step, drops what is in it
     path: tuple[str, ...] = ()
     dropping = 0
@@ -150,8 +199,8 @@ def read_blocks(html: str) -> list[Block]:
                 if stack and stack[-1][0] == name:
                     dropping -= stack.pop()[2]
             elif not attributes.endswith("/") and name in ("span", "ins", "label", "a"):
-                drops = _drops(name, _attributes(attributes), path)
-                if drops:
+                drops, words = _drops(name, _attributes(attributes), path)
+                if drops or words:
                     stack.append((name, "", True))
                     dropping += 1
             continue
@@ -166,13 +215,22 @@ def read_blocks(html: str) -> list[Block]:
                         break
                 path = tuple(step for _, step, _ in stack if step)
                 in_link = 0
-        elif not attributes.endswith("/") and (name in CONTAINERS or name in ("li", "p", "dd", "dt")):
+        elif not attributes.endswith("/") and (
+            name in CONTAINERS or name in ("li", "p", "dd", "dt") or kept is None and name == "h1"
+        ):
             known = _attributes(attributes)
-            drops = _drops(name, known, path)
-            if name in CONTAINERS or drops:
+            drops, words = _drops(name, known, path)
+            step = _step(name, known) if name in CONTAINERS else "h1" if name == "h1" else ""
+            if words:
+                named = True
+                if kept is None:
+                    step = f"{_MARK}{start}{_MARK if words & _COMMENTS else ''}"
+                else:
+                    drops = start not in kept
+            if step or drops:
                 if name in ("p", "li", "dd", "dt", "tr", "td", "th", "option") and stack and stack[-1][0] == name:
                     dropping -= stack.pop()[2]
-                stack.append((name, _step(name, known) if name in CONTAINERS else "", drops))
+                stack.append((name, step, drops))
                 dropping += drops
                 path = tuple(step for _, step, _ in stack if step)
             elif name in ("p", "li") and stack and stack[-1][0] == name and stack[-1][2]:
@@ -180,7 +238,7 @@ def read_blocks(html: str) -> list[Block]:
     if done < len(html) and not dropping:
         pieces.append(html[done:])
     close()
-    return blocks
+    return blocks, named
 
 
 def container_scores(blocks: list[Block]) -> dict[str, float]:
@@ -307,7 +365,7 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     The article without boilerplate, character references decoded; white space within a block is one
     space, blocks are trimmed and joined by a newline in page order. A NULL or empty page, and one
-    without text outside boilerplate, has an empty text. Pages without a host vote together. A page
+    without text, has an empty text. Pages without a host vote together. A page
     that breaks off is read as far as it goes. Rows may repeat; all other columns are kept.
     """
     spark = pages.sparkSession

@@ -165,3 +165,14 @@ def test_articles_in_nested_and_split_containers(spark, html, n):
     pages = spark.createDataFrame([(f"http://a.com/{i}", SITE.format(html)) for i in range(3)], "url string, html string")
     for row in main_text(pages).collect():
         assert len(row.text.split("\n")) == n and "other page" not in row.text
+
+
+@pytest.mark.parametrize(
+    "wrapper", ["class='content with-sidebar'", "class='layout-sidebar-right'", "class=no-sidebar", "id=main-search", "class='sidebar-left'"]
+)
+def test_names_of_a_layout_do_not_drop_the_article(wrapper):
+    html = f"<body><div {wrapper}><div class=sidebar>Aside</div><h2>Title</h2>{LONG_TEXT}<div class=comments>{LONG_TEXT * 9}</div></div></body>"
+    assert [t for t, _, _ in read_blocks(html)] == ["Title", LONG_TEXT[3:-4]]
+    plain = f"<body><div {wrapper}><div class='left-sidebar'>Aside</div><h2>Title</h2>{LONG_TEXT}</div><div class=site-header>Site</div></body>"
+    assert [t for t, _, _ in read_blocks(plain)] == ["Title", LONG_TEXT[3:-4]]
+    assert [t for t, _, _ in read_blocks("<div class=notice>All there is</div>")] == ["All there is"]
