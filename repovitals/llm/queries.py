@@ -12,12 +12,15 @@ from .html_paths import main_text
 from .language_id import fit_languages, held_out, identify
 from .line_dedup import dedup_lines
 from .lsh_forest import nearest_neighbours
+from .minmax_hash import minmax_groups
 from .mixture import mix_to_weights
+from .multi_index import mine_hard_negatives
 from .pii_crf import KINDS, find_personal_data, fit_field, n_spans, span_text
 from .piece_nbest import decode_pieces, encode_nbest
 from .set_join import jaccard_groups
 from .storage import ship_package
 from .url_reputation import ALLOW, BLOCK, judge_urls
+from .whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -125,6 +128,19 @@ def op10_consensus_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extracted.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"), components=32)
+
+
+def op13_minmax_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_groups(_table(spark, sf_dir, "documents"), k=4, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_set_relation_join": op2_set_relation_join,
@@ -136,8 +152,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_piece_nbest": op9_piece_nbest,
     "op10_consensus_paths": op10_consensus_paths,
+    "op11_multi_index": op11_multi_index,
+    "op12_whitening": op12_whitening,
+    "op13_minmax_hash": op13_minmax_hash,
 }
 
+
+def _groups_sql(k: int, percent: int, columns: str) -> str:
+    """Groups of documents by their shingles: all links by a join on shingles, all ways along them by recursion."""
+    return rf"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS words
+    FROM documents
+), shingles AS (
+    SELECT doc_id, unnest(list_distinct(list_transform(range(1, greatest(len(words) - {k - 1}, 1) + 1),
+                          lambda i: array_to_string(words[i:i + {k - 1}], ' ')))) AS shingle
+    FROM docs WHERE len(words) > 0
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), met AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM met JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * shared >= {percent} * (x.n + y.n - shared)
+), reached AS (
+    SELECT doc_id AS node, doc_id AS other FROM docs UNION SELECT node, b FROM reached JOIN links ON other = a
+), groups AS (SELECT node, min(other) AS component_id FROM reached GROUP BY node
+), degrees AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, {columns}
+FROM docs JOIN groups ON node = doc_id LEFT JOIN sizes USING (doc_id) LEFT JOIN degrees ON a = doc_id
+"""
+
 SQL: dict[str, str] = {
     "op1_url_reputation": r"""
 WITH urls AS (
@@ -323,4 +369,27 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """,
+    "op2_set_relation_join": _groups_sql(3, 90, "coalesce(n_links, 0)::BIGINT AS n_links"),
+    "op11_multi_index": r"""
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND vec_id IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(embedding) > 0
+), scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, (row_number() OVER p)::INT AS rank, vec_id AS negative_id, positive_score,
+       score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW p AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 10
+""",
+    "op13_minmax_hash": _groups_sql(4, 80, "doc_id = component_id AS kept"),
 }
