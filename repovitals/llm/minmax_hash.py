@@ -7,8 +7,8 @@ a run of values of different permutations; sets that agree in a band meet in a b
 
 Within a bucket pairs are not listed. First every set is held against its bucket's hub, the smallest
 set it can link with, and what links becomes a component. Only where a bucket still holds several
-components are sets of different ones compared, by signature, and what may link is held against the
-full sets. A large bucket is cut into pieces, each of which meets each. Equal sets are one class.
+components its sets are sent to blocks of full sets, in which overlaps are counted through lists of
+shingles, those within the bucket's largest component left out. Equal sets are one class.
 """
 
 from __future__ import annotations
@@ -30,13 +30,8 @@ PERMUTATIONS = 64
 VALUES = 2 * PERMUTATIONS
 #: Linked sets miss each other in all bands with at most this chance.
 MISS = 1e-6
-#: Signatures of linked sets agree in fewer values than this many standard deviations below the mean
-#: with a chance of about 10**-8.
-DEVIATIONS = 5.5
-#: Members of a bucket that are compared with each other in one task at a time.
-PIECE = 4_096
-#: Shingles whose texts are sent to one task to be confirmed.
-BLOCK_SHINGLES = 1_000_000
+#: Shingles whose texts are sent to one task to be confirmed, or of each side of two blocks that meet.
+BLOCK_SHINGLES = 400_000
 #: Shingles hashed at a time.
 _RUN = 1 << 17
 _SEED = 20_240_613
@@ -48,10 +43,9 @@ def rows_of(percent: int) -> int:
     return max((r for r in (1, 2, 4, 8) if (1 - share**r) ** (VALUES // r) <= MISS), default=1)
 
 
-def least_agreement(percent: int) -> int:
-    """Of VALUES, how many signatures of linked sets share at least."""
-    share = percent / 100
-    return int(np.floor(VALUES * share - DEVIATIONS * np.sqrt(VALUES * share * (1 - share))))
+def estimate(a: np.ndarray, b: np.ndarray) -> float:
+    """The similarity of two sets as their signatures show it: the share of equal values."""
+    return float((a == b).mean())
 
 
 def _factors() -> tuple[np.ndarray, np.ndarray]:
@@ -100,16 +94,14 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 
 def _sign_rows(k: int, rows: int):
-    """Rows (doc_id, text_key, n, digest, bands, lanes); a lane is the last 16 bits of a value."""
+    """Rows (doc_id, text_key, n, digest, bands): the set's size, its digest, and a key for each band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [text or b"" for text in batch.column("text").to_pylist()]
             sets = [shingle_set(words, k) for words in word_hashes(texts)]
             some = [s for s in sets if len(s)]
-            values = signatures(some)
-            keys = iter(band_keys(values, rows).view(np.int64))
-            lanes = iter(values.astype(np.uint16))
+            keys = iter(band_keys(signatures(some), rows).view(np.int64))
             bands = [next(keys) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -118,9 +110,8 @@ def _sign_rows(k: int, rows: int):
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
-                    pa.array([next(lanes).tobytes() if len(s) else None for s in sets], pa.binary()),
                 ],
-                names=["doc_id", "text_key", "n", "digest", "bands", "lanes"],
+                names=["doc_id", "text_key", "n", "digest", "bands"],
             )
 
     return run
@@ -158,67 +149,6 @@ def _hub_pairs(percent: int):
     return run
 
 
-def _cross_pairs(percent: int, rows: int):
-    """Walk buckets of several components, sorted by (key, low, high), and give the pairs that may link.
-
-    A pair is given in the first band that it shares only, and where its pieces are the two named.
-    """
-    least = least_agreement(percent)
-
-    def pairs(band: int, low: int, high: int, n, sid, label, piece, lanes):
-        order = np.lexsort((sid, n))
-        n, sid, label, piece, lanes = (x[order] for x in (n, sid, label, piece, lanes))
-        reach = np.searchsorted(n * percent, 100 * n, side="right")
-        for i in range(len(n)):
-            after = np.arange(i + 1, reach[i])
-            other = label[after] != label[i]
-            if low != high:
-                other &= piece[after] != piece[i]
-            after = after[other]
-            if not len(after):
-                continue
-            same = lanes[after] == lanes[i]
-            near = same.sum(axis=1) >= least
-            first = same[near].reshape(-1, VALUES // rows, rows).all(axis=2).argmax(axis=1)
-            for j in after[near][first == band].tolist():
-                yield sid[i], sid[j], label[i], label[j]
-
-    def walk(columns) -> pa.RecordBatch:
-        key, band, low, high, n, sid, label, piece, lanes = columns
-        found = []
-        edges = (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
-        bounds = np.concatenate(([0], np.flatnonzero(edges) + 1, [len(key)]))
-        for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            own = slice(begin, end)
-            found.extend(pairs(band[begin], low[begin], high[begin], n[own], sid[own], label[own], piece[own], lanes[own]))
-        names = ("a", "b", "label_a", "label_b")
-        return pa.RecordBatch.from_pydict(
-            {name: pa.array([row[i] for row in found], pa.int64()) for i, name in enumerate(names)}
-        )
-
-    names = ("key", "band", "low", "high", "n", "sid", "label", "piece")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            now = [batch.column(c).to_numpy() for c in names]
-            lanes = np.frombuffer(b"".join(batch.column("lanes").to_pylist()), dtype=np.uint16)
-            now.append(lanes.reshape(-1, VALUES))
-            if kept is not None:
-                now = [np.concatenate(pair) for pair in zip(kept, now, strict=True)]
-            same = (now[0] == now[0][-1]) & (now[2] == now[2][-1]) & (now[3] == now[3][-1])
-            cut = int(np.flatnonzero(same)[0])
-            kept = [column[cut:] for column in now]
-            if cut:
-                yield walk([column[:cut] for column in now])
-        if kept is not None:
-            yield walk(kept)
-
-    return run
-
-
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Do two sorted sets reach the similarity?"""
     small, large = (a, b) if len(a) <= len(b) else (b, a)
@@ -236,19 +166,21 @@ def _root(of: dict, x: int) -> int:
     return x
 
 
+def _sets(texts, k: int) -> list[np.ndarray]:
+    return [shingle_set(words, k) for words in word_hashes([text or b"" for text in texts])]
+
+
 def _confirm(k: int, percent: int):
     """Of the pairs of a block those that link on full sets, less those that others already join."""
 
     def run(key, pairs, texts):
         import pandas as pd
 
-        sets = dict(
-            zip(texts["sid"], (shingle_set(w, k) for w in word_hashes([t or b"" for t in texts["text"]])), strict=True)
-        )
+        sets = dict(zip(texts["sid"], _sets(texts["text"], k), strict=True))
         root: dict[int, int] = {}
         out = []
-        for a, b, one, two in zip(*(pairs[c].tolist() for c in ("a", "b", "label_a", "label_b")), strict=True):
-            one, two = _root(root, one), _root(root, two)
+        for a, b in zip(pairs["a"].tolist(), pairs["b"].tolist(), strict=True):
+            one, two = _root(root, a), _root(root, b)
             if one != two and a in sets and b in sets and linked(sets[a], sets[b], percent):
                 root[one] = two
                 out.append((a, b))
@@ -258,6 +190,46 @@ def _confirm(k: int, percent: int):
     return run
 
 
+def _confirm_blocks(k: int, percent: int):
+    """Links (a, b) between sets of different components in a block, or across two blocks; one for each join.
+
+    Every pair of different components has a member outside the one that is most frequent here, so only
+    those count their overlaps with all others.
+    """
+
+    def run(key, frame):
+        import pandas as pd
+
+        sets = _sets(frame["text"], k)
+        sizes = np.array([len(s) for s in sets])
+        sids, side = frame["sid"].to_numpy(), frame["block"].to_numpy()
+        label = np.unique(frame["label"].to_numpy(), return_inverse=True)[1]
+        codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        by_code = np.argsort(codes, kind="stable")
+        owners = np.repeat(np.arange(len(sets)), sizes)[by_code]
+        bounds = np.searchsorted(codes[by_code], np.arange(codes.max(initial=-1) + 2))
+        own = np.split(codes, np.cumsum(sizes)[:-1])
+        root: dict[int, int] = {}
+        out = []
+        for i in np.flatnonzero(label != np.bincount(label).argmax()).tolist():
+            shared = own[i][bounds[own[i] + 1] - bounds[own[i]] > 1].tolist()
+            if not shared:
+                continue
+            overlap = np.bincount(np.concatenate([owners[bounds[t] : bounds[t + 1]] for t in shared]), minlength=len(sets))
+            met = (100 * overlap >= percent * (sizes[i] + sizes - overlap)) & (label != label[i])
+            if key[0] != key[1]:
+                met &= side != side[i]
+            for j in np.flatnonzero(met).tolist():
+                one, two = _root(root, int(label[i])), _root(root, int(label[j]))
+                if one != two:
+                    root[one] = two
+                    out.append((sids[i], sids[j]))
+        release()
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
 def minmax_groups(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id, kept), one per row of documents.
 
@@ -282,7 +254,7 @@ def minmax_groups(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     found = stored(
         texts.mapInArrow(
             sliced(_sign_rows(k, rows)),
-            "doc_id long, text_key long, n long, digest binary, bands array<long>, lanes binary",
+            "doc_id long, text_key long, n long, digest binary, bands array<long>",
         ),
         f"{folder}/documents",
     )
@@ -292,7 +264,7 @@ def minmax_groups(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFr
         .groupBy("digest")
         .agg(
             F.first("n").alias("n"), F.min("doc_id").alias("first_id"), F.min("text_key").alias("text_key"),
-            F.first("bands").alias("bands"), F.first("lanes").alias("lanes"),
+            F.first("bands").alias("bands"),
         )
         .withColumn("sid", F.xxhash64("digest")),
         f"{folder}/classes",
@@ -308,66 +280,21 @@ def minmax_groups(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     families = connected_components(pairs, f"{folder}/families").select(
         F.col("node").alias("sid"), F.col("root").alias("family")
     )
-    related = stored(classes.select("sid", "n", "text_key", "bands", "lanes").join(families, "sid"), f"{folder}/related")
-    # A block's texts are sent together; which block a set is in says only where it is confirmed.
+    related = stored(classes.select("sid", "n", "text_key", "bands").join(families, "sid"), f"{folder}/related")
+    # Sets of a family are confirmed together; a large family is dealt over blocks.
     sizes = related.groupBy("family").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("long").alias("blocks"))
-    placed = related.select("sid", "family", "text_key").join(stored(sizes, f"{folder}/sizes"), "family")
+    placed = related.join(stored(sizes, f"{folder}/sizes"), "family")
     block = F.xxhash64("family", F.pmod(F.xxhash64("sid"), F.col("blocks")))
-    members = stored(placed.select("sid", "text_key", block.alias("block")), f"{folder}/members")
-    wanted = members.select("sid", "text_key")
+    members = stored(placed.select("sid", "text_key", "bands", block.alias("block")), f"{folder}/members")
+    # The same join for every size: beside all texts, those wanted may be few or most.
+    wanted = members.select("sid", "text_key").hint("merge")
     sources = stored(
         texts.select("text_key", "text").join(wanted, "text_key").groupBy("sid").agg(F.first("text").alias("text")),
         f"{folder}/texts",
     )
-
-    def confirmed(candidates: DataFrame, name: str) -> DataFrame:
-        ends = [
-            members.select(F.col("sid").alias(end), F.col("block").alias(f"block_{end}")) for end in ("a", "b")
-        ]
-        dealt = candidates.join(ends[1], "b").join(ends[0], "a").select(
-            "a", "b", "label_a", "label_b",
-            F.least("block_a", "block_b").alias("low"), F.greatest("block_a", "block_b").alias("high"),
-        )
-        dealt = stored(dealt, f"{folder}/{name}_dealt")
-        # Read anew, or Spark could not tell the columns of the two sides apart.
-        again = spark.read.schema(dealt.schema).parquet(f"{folder}/{name}_dealt")
-        needed = again.select("low", "high", F.explode(F.array("a", "b")).alias("sid")).distinct()
-        return stored(
-            dealt.groupBy("low", "high")
-            .cogroup(needed.join(sources, "sid").select("low", "high", "sid", "text").groupBy("low", "high"))
-            .applyInPandas(_confirm(k, percent), "a long, b long"),
-            f"{folder}/{name}",
-        )
-
-    by_hub = confirmed(pairs.select("a", "b", F.col("a").alias("label_a"), F.col("b").alias("label_b")), "hub_links")
+    by_hub = _hub_links(pairs, members, sources, k, percent, folder)
     roots = connected_components(by_hub, f"{folder}/hub_components")
-    labelled = related.join(roots, F.col("sid") == F.col("node"), "left").select(
-        "sid", "n", "bands", "lanes", F.coalesce("root", "sid").alias("label")
-    )
-    labelled = stored(labelled, f"{folder}/labelled")
-    postings = labelled.select("sid", "n", "label", F.posexplode("bands").alias("band", "key"))
-    mixed = stored(
-        postings.groupBy("key")
-        .agg(F.min("label").alias("first"), F.max("label").alias("last"), F.count("*").alias("members"))
-        .where("first <> last")
-        .select("key", F.ceil(F.col("members") / PIECE).cast("int").alias("pieces")),
-        f"{folder}/mixed",
-    )
-    piece = F.pmod(F.xxhash64("sid"), F.col("pieces")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
-    crossing = (
-        labelled.select("sid", "n", "label", "lanes", F.posexplode("bands").alias("band", "key"))
-        .join(mixed, "key")
-        .withColumn("piece", piece)
-        .withColumn("other", other)
-        .withColumn("low", F.least("piece", "other"))
-        .withColumn("high", F.greatest("piece", "other"))
-        .select("key", "band", "low", "high", "n", "sid", "label", "piece", "lanes")
-        .repartition("key", "low", "high")
-        .sortWithinPartitions("key", "low", "high")
-        .mapInArrow(_cross_pairs(percent, rows), "a long, b long, label_a long, label_b long")
-    )
-    across = confirmed(stored(crossing, f"{folder}/cross_pairs"), "cross_links")
+    across = _links_across(members, roots, sources, k, percent, folder)
     components = connected_components(by_hub.unionByName(across), f"{folder}/components")
     own = classes.select("digest", "sid", "first_id").join(components, F.col("sid") == F.col("node"), "left")
     own = stored(own.select("digest", "first_id", F.coalesce("root", "sid").alias("root")), f"{folder}/rooted")
@@ -384,3 +311,65 @@ def minmax_groups(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFr
             F.col("doc_id").eqNullSafe(component).alias("kept"),
         )
     )
+
+
+def _hub_links(pairs: DataFrame, members: DataFrame, sources: DataFrame, k: int, percent: int, folder: str) -> DataFrame:
+    """Those of the pairs (a, b) that link, less those that others already join."""
+    ends = [members.select(F.col("sid").alias(end), F.col("block").alias(f"block_{end}")) for end in ("a", "b")]
+    blocks = F.least("block_a", "block_b").alias("low"), F.greatest("block_a", "block_b").alias("high")
+    dealt = stored(pairs.join(ends[1], "b").join(ends[0], "a").select("a", "b", *blocks), f"{folder}/hub_dealt")
+    # Read anew, or Spark could not tell the columns of the two sides apart.
+    again = pairs.sparkSession.read.schema(dealt.schema).parquet(f"{folder}/hub_dealt")
+    needed = again.select("low", "high", F.explode(F.array("a", "b")).alias("sid")).distinct()
+    return stored(
+        dealt.groupBy("low", "high")
+        .cogroup(needed.join(sources, "sid").select("low", "high", "sid", "text").groupBy("low", "high"))
+        .applyInPandas(_confirm(k, percent), "a long, b long"),
+        f"{folder}/hub_links",
+    )
+
+
+def _links_across(
+    members: DataFrame, roots: DataFrame, sources: DataFrame, k: int, percent: int, folder: str
+) -> DataFrame:
+    """Links (a, b) that join different components of a bucket.
+
+    The sets of a bucket's largest component need not meet each other: they go only where the bucket's
+    other sets are, and those go wherever it has any.
+    """
+    rooted = members.join(roots, F.col("sid") == F.col("node"), "left")
+    rooted = stored(rooted.select("sid", "block", "bands", F.coalesce("root", "sid").alias("label")), f"{folder}/rooted_hubs")
+    counts = stored(rooted.groupBy("label").agg(F.count("*").alias("size")), f"{folder}/label_sizes")
+    labelled = stored(rooted.join(counts, "label"), f"{folder}/labelled")
+    postings = labelled.select("sid", "block", "label", "size", F.explode("bands").alias("key"))
+    mixed = stored(
+        postings.groupBy("key")
+        .agg(
+            F.min("label").alias("first"), F.max("label").alias("last"),
+            F.max_by("label", F.struct("size", "label")).alias("main"),
+        )
+        .where("first <> last")
+        .select("key", "main"),
+        f"{folder}/mixed",
+    )
+    met = stored(postings.select("sid", "block", "label", "key").join(mixed, "key"), f"{folder}/met")
+    blocks = stored(
+        met.groupBy("key").agg(
+            F.collect_set("block").alias("all"),
+            F.collect_set(F.when(F.col("label") != F.col("main"), F.col("block"))).alias("others"),
+        ),
+        f"{folder}/bucket_blocks",
+    )
+    goes = F.when(F.col("label") == F.col("main"), F.col("others")).otherwise(F.col("all"))
+    dealt = (
+        met.join(blocks, "key")
+        .withColumn("other", F.explode(goes))
+        .select("sid", "label", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+        .distinct()
+    )
+    return stored(
+        dealt.join(sources, "sid")
+        .groupBy("low", "high")
+        .applyInPandas(_confirm_blocks(k, percent), "a long, b long"),
+        f"{folder}/cross_links",
+    )
