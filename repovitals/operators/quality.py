@@ -12,8 +12,10 @@ from repovitals.functions.text import is_blank
 
 #: A value is an outlier this many interquartile ranges above the upper quartile.
 OUTLIER_RANGES = 3
-#: Bits of a value that one step of the selection finds.
-STEP_BITS = 16
+#: Ranges into which the different values of a column are cut, and the accuracy of their bounds: that
+#: many different values are told apart.
+RANGES = 256
+BOUND_ACCURACY = 4 * RANGES
 
 
 def profile_repositories(repositories: DataFrame) -> DataFrame:
@@ -31,43 +33,51 @@ def profile_repositories(repositories: DataFrame) -> DataFrame:
 def exact_quantiles(frame: DataFrame, column: str, shares: list[float]) -> DataFrame:
     """Exact interpolated quantiles of a whole-number column, one row (`share`, `quantile`) each.
 
-    A radix selection on the counts of single values, 16 bits a step from the top: of the values that
-    share the bits found so far, counts by the next 16 bits are put in order, and the one that
-    holds the wanted rank gives those bits. A step has at most 2^16 counts for each rank wanted, whatever
-    the range of the column; the column is read once and counted in the map tasks.
+    Values are counted once, so a hot value is one row, and the counts are cut into RANGES ranges of
+    about as many different values each. The ranges' totals are summed up in order, which says in which of
+    them a wanted rank lies; only those are put in order inside. No range is more than its share of
+    the different values, so no task sorts more than that, whatever the column holds.
     """
     values = frame.select(F.col(column).cast("bigint").alias("value")).filter("value is not null")
     per_value = values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    # Where ranges begin decides how much a task sorts, not the result: approximate bounds do.
+    shares_of_range = F.array(*(F.lit(i / RANGES) for i in range(1, RANGES)))
+    bounds = per_value.agg(F.array_distinct(F.percentile_approx("value", shares_of_range, BOUND_ACCURACY)).alias("bounds"))
+    number = F.size(F.filter("bounds", lambda bound: bound <= F.col("value")))
+    ranged = per_value.crossJoin(F.broadcast(bounds)).select("value", "n", number.alias("range"))  # bounds: one row
+    upwards = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (
+        ranged.groupBy("range")
+        .agg(F.sum("n").alias("n"))
+        .select(
+            "range", "n",
+            F.coalesce(F.sum("n").over(upwards), F.lit(0)).alias("before"),
+            F.sum("n").over(Window.partitionBy()).alias("total"),
+        )
+    )
     position = (F.col("total") - 1) * F.col("share")
-    # The wanted ranks: at most two rows for each share.
+    # At most two ranks for each share, each in one range.
     wanted = (
-        per_value.agg(F.sum("n").alias("total"))
-        .filter("total > 0")
-        .select("total", F.explode(F.array(*(F.lit(float(share)) for share in shares))).alias("share"))
-        .select("share", position.alias("position"))
-        .select("*", F.explode(F.array_distinct(F.array(F.floor("position"), F.ceil("position")))).alias("rank"))
-        .select("*", F.lit(0).cast("bigint").alias("bits"), F.lit(0).cast("bigint").alias("before"))
+        totals.withColumn("share", F.explode(F.array(*(F.lit(float(share)) for share in shares))))
+        .withColumn("position", position)
+        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("position"), F.ceil("position")))))
+        .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
+        .select("range", "before", "share", "position", "rank")
     )
-    for shift in range(64 - STEP_BITS, -1, -STEP_BITS):
-        above = shift + STEP_BITS
-        known = F.lit(0).cast("bigint") if above == 64 else F.shiftright("value", above)
-        counted = (
-            per_value.withColumn("bits", known)
-            .join(F.broadcast(wanted.select("bits", "before").distinct()), "bits")
-            .groupBy("bits", "before", F.shiftright("value", shift).alias("next"))
-            .agg(F.sum("n").alias("n"))
-        )
-        in_order = Window.partitionBy("bits").orderBy("next")
-        placed = counted.select("bits", "next", "n", (F.col("before") + F.sum("n").over(in_order) - F.col("n")).alias("first"))
-        hit = (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("n"))
-        wanted = (
-            placed.join(F.broadcast(wanted.drop("before")), "bits")
-            .filter(hit)
-            .select("share", "position", "rank", F.col("next").alias("bits"), F.col("first").alias("before"))
-        )
-    low, high = F.min("bits"), F.max("bits")
+    by_range = wanted.groupBy("range").agg(
+        F.first("before").alias("before"), F.collect_list(F.struct("share", "position", "rank")).alias("ranks")
+    )
+    in_order = Window.partitionBy("range").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.join(F.broadcast(by_range), "range").withColumn(
+        "first", F.col("before") + F.coalesce(F.sum("n").over(in_order), F.lit(0))
+    )
+    hits = placed.select(
+        "value",
+        F.inline(F.filter("ranks", lambda x: (x["rank"] >= F.col("first")) & (x["rank"] < F.col("first") + F.col("n")))),
+    )
+    low, high = F.min("value"), F.max("value")
     fraction = F.max("position") - F.min("rank")
-    return wanted.groupBy("share").agg((low + (high - low) * fraction).alias("quantile"))
+    return hits.groupBy("share").agg((low + (high - low) * fraction).alias("quantile"))
 
 
 def _finding(name: str, rows: DataFrame) -> DataFrame:

@@ -101,6 +101,26 @@ class LayerStore:
         for name in older[:-1]:
             files.delete(path(f"{folder}/{name}"), True)
 
+    def replace_sources(self, key: str, frame: DataFrame, whole_table: bool = False) -> None:
+        """Make `frame` the whole content of each source it has rows of; with whole_table, of all others too.
+
+        The rows are written in one job. The new versions count once it has succeeded, one source after
+        the other; if it fails, or before, readers see the rows they saw.
+        """
+        path, jvm_path = self.path(key), self.spark._jvm.org.apache.hadoop.fs.Path
+        groups = {name: self._committed(f"{path}/{name}") for name in self._folders(path, "data_source=")}
+        newest = max((int(names[-1].removeprefix("version=")) for names in groups.values() if names), default=0)
+        version = f"{max(time.time_ns(), newest + 1):0{len(VERSION_0)}d}"
+        rows = frame.select(*TABLES[key].schema.names).withColumn("version", F.lit(version))
+        rows.write.mode("append").partitionBy("data_source", "version").parquet(path)
+        files = jvm_path(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for name in self._folders(path, "data_source="):
+            folder = f"{path}/{name}"
+            if whole_table or files.exists(jvm_path(f"{folder}/version={version}")):
+                files.create(jvm_path(f"{folder}/version={version}/_SUCCESS"), True).close()
+                for old in groups.get(name, [])[:-1]:
+                    files.delete(jvm_path(f"{folder}/{old}"), True)
+
     def replace(self, key: str, frame: DataFrame, source: str) -> None:
         """Make `frame` the whole content of one source; other sources stay. Nothing changes if it fails."""
         if not SAFE_SOURCE.fullmatch(source):
@@ -147,11 +167,4 @@ def write_raw(
     if mode == "append":
         store.append(key, fitted)
         return
-    scope = "dynamic" if mode == "overwrite" else "static"
-    (
-        fitted.withColumn("version", F.lit(VERSION_0))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", scope)
-        .partitionBy("data_source", "version")
-        .parquet(store.path(key))
-    )
+    store.replace_sources(key, fitted, whole_table=mode == "truncate")

@@ -153,3 +153,37 @@ def test_shared_folder_lies_in_the_folder_of_the_session(spark):
 
 def test_root_may_end_in_a_slash(spark):
     assert LayerStore(spark, "/x/").path("hub_issues") == "/x/linkmap/hub_repo_issues"
+
+
+def test_overwrite_counts_after_a_replacement(store, frame, as_of):
+    def land(mode, *rows_):
+        data = [{"repo": repo, "data_source": source} for source, repo in rows_]
+        write_raw(store, "raw_issues", frame("raw_issues", data), as_of, mode)
+
+    def seen():
+        return rows(store.read("raw_issues"), "data_source", "repo")
+
+    land("append", ("git_hub", "a"), ("git_lab", "b"), (None, "c"))
+    store.replace("raw_issues", frame("raw_issues", [{"repo": "d"}]), "git_hub")
+    land("overwrite", ("git_hub", "e"), (None, "f"))
+    assert seen() == [(None, "f"), ("git_hub", "e"), ("git_lab", "b")]
+    land("append", ("git_hub", "g"))
+    assert seen() == [(None, "f"), ("git_hub", "e"), ("git_hub", "g"), ("git_lab", "b")]
+    land("truncate", ("git_lab", "h"))
+    assert seen() == [("git_lab", "h")]
+    land("append", ("git_hub", "i"))
+    assert seen() == [("git_hub", "i"), ("git_lab", "h")]
+    land("truncate")
+    assert seen() == []
+
+
+@pytest.mark.parametrize("mode", ["overwrite", "truncate"])
+def test_a_failed_overwrite_leaves_the_old_rows(store, frame, as_of, mode):
+    write_raw(store, "raw_issues", frame("raw_issues", [{"repo": "a"}, {"repo": "b", "data_source": "git_lab"}]), as_of)
+    rows_ = frame("raw_issues", [{"repo": str(i)} for i in range(40)]).repartition(4)
+    broken = rows_.withColumn("open_issues", F.when(F.col("repo") == "7", F.raise_error(F.lit("no"))).otherwise(1))
+    with pytest.raises(Exception):  # noqa: B017
+        write_raw(store, "raw_issues", broken, as_of, mode)
+    assert rows(store.read("raw_issues"), "data_source", "repo") == [("git_hub", "a"), ("git_lab", "b")]
+    write_raw(store, "raw_issues", frame("raw_issues", [{"repo": "c"}]), as_of, mode)
+    assert ("git_hub", "c") in rows(store.read("raw_issues"), "data_source", "repo")
