@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 import tempfile
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
@@ -143,6 +144,70 @@ def _event_log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rv.repos_from_events(rv.read_event_log(spark, folder), as_of())
 
 
+def _events_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event hours taken one arrival after the other: later ones first, some of them again, then folded."""
+    store = rv.LayerStore(spark, session_folder(spark))
+    lines = star_schema.event_lines(spark, sf_dir, keep=("event_id",)).select(
+        F.to_json(F.struct("type", "created_at", "repo", "actor")).alias("value"), (F.col("event_id") % 24).alias("hour")
+    )
+    landed, hours = f"{store.root}/landed", rv.EventHours(store)
+
+    def land(name: str, rows: DataFrame) -> None:
+        rows.write.option("compression", "gzip").partitionBy("hour").text(f"{landed}/{name}")
+
+    land("first", lines.filter("hour >= 12"))
+    hours.absorb(f"{landed}/*/*")
+    land("second", lines.filter("hour < 12"))
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files, conf = path(landed).getFileSystem(spark._jsc.hadoopConfiguration()), spark._jsc.hadoopConfiguration()
+    for hour in (13, 14, 20):
+        copy = spark._jvm.org.apache.hadoop.fs.FileUtil.copy
+        copy(files, path(f"{landed}/first/hour={hour}"), files, path(f"{landed}/again/hour={hour}"), False, conf)
+    hours.absorb(f"{landed}/*/*")
+    hours.fold()
+    hours.absorb(f"{landed}/*/*")
+    return hours.repositories(as_of())
+
+
+def _delta_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product after a second arrival with updates, repositories that become invalid, and more hub rows."""
+    raw = raw_store(spark, sf_dir)
+    store = rv.LayerStore(spark, session_folder(spark))
+    layers = rv.DeltaLayers(store)
+    part = star_schema.table(spark, sf_dir, "part")
+    name = F.concat("p_brand", F.lit("/repo-"), F.col("p_partkey").cast("string"))
+    invalid = part.filter("p_partkey % 29 = 5").select(
+        F.lit(fx.SOURCE).alias("data_source"), F.lit("").alias("id"), F.lit("gone").alias("name"), name.alias("full_name"),
+        F.col("p_brand").alias("owner"), F.lit(1).alias("stars"), F.lit(1).alias("forks"),
+        ntz("2001-06-01 00:00:00").alias("updated_at"),
+    )
+    more = part.filter("p_partkey % 31 = 7").select(
+        F.lit(fx.SOURCE).alias("data_source"), name.alias("repo"),
+        *(F.lit(n).alias(f"commits_{days}d") for n, days in ((1, 30), (2, 90), (3, 180))),
+    )
+    extra = {"raw_repositories": invalid, "raw_commits": more}
+    for second in (False, True):
+        for key in RAW_TABLES:
+            named = "repo_full_name" if key == "raw_contributors" else "full_name" if key == "raw_repositories" else "repo"
+            late = F.coalesce(F.col(named), F.lit("")).rlike("7 *$")
+            if key == "raw_repositories":
+                late = late | F.col("id").endswith("_dup")
+            rows = raw.read(key)
+            rv.write_raw(store, key, rows.filter(late) if second else rows.filter(~late), as_of())
+            if second and key in extra:
+                rv.write_raw(store, key, extra[key], as_of())
+        rv.refresh_changed(layers, AS_OF)
+    return layers.read("risk_product")
+
+
+def _enrich_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enrich over bucketed tables, written first."""
+    store, prefix = full_store(spark, sf_dir), f"colocated_{uuid.uuid4().hex}"
+    keys = ("stg_repositories", "hub_contributors", "hub_commits", "hub_issues", "hub_releases")
+    rv.write_colocated(*map(store.read, keys), prefix, session_folder(spark), buckets=16)
+    return rv.enrich_colocated(spark, prefix, as_of())
+
+
 def _export_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = session_folder(spark)
     rv.export_csv(full_store(spark, sf_dir).read("risk_product"), folder)
@@ -290,6 +355,9 @@ def queries() -> dict[str, Query]:
         "contributors_agg": _on_layer("hub_contributors", rv.contributors_agg),
         "enrich_entryline": lambda spark, sf_dir: enrich_stored(full_store(spark, sf_dir), as_of()),
         "enrich_fanout": _enrich_fanout,
+        "enrich_bucketed": _enrich_bucketed,
+        "delta_refresh": _delta_refresh,
+        "events_incremental": _events_incremental,
         "risk_factors": _on_layer("repo_entryline", rv.risk_factors),
         "risk_product": _on_layer("repo_entryline", lambda t: rv.risk_product(t, as_of())),
         "pipeline_end_to_end": _end_to_end,

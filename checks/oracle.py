@@ -427,6 +427,7 @@ FINAL: dict[str, str] = {
     "hub_releases": "select * from hub_releases",
     "contributors_agg": "select * from contributors_agg",
     "enrich_entryline": "select * from repo_entryline",
+    "enrich_bucketed": "select * from repo_entryline",
     "enrich_fanout": """select s.full_name, sum(n)::bigint as n_rows, sum(n * commits_90d)::bigint as sum_commits_90d,
   sum(n * open_issues)::bigint as sum_open_issues, sum(n * release_count)::bigint as sum_release_count,
   sum(n * total_contributors)::bigint as sum_total_contributors
@@ -510,6 +511,7 @@ union all select 'owner_casing_variants', count(*) from raw_repositories where l
   union all select 0.5, quantile_cont(stars, 0.5) from raw_repositories
   union all select 0.75, quantile_cont(stars, 0.75) from raw_repositories)""",
     "events_to_repos": "select * from event_repos",
+    "events_incremental": "select * from event_repos",
     "event_log_scan": event_repos("(select * from event_lines where event_id % 97 <> 0)"),
     "events_to_contributors": f"""select repo as repo_full_name, login as contributor,
   count(*) filter (type = 'PushEvent') as total_commits,
@@ -557,3 +559,14 @@ from orders""",
 }
 
 SQL: dict[str, str] = {key: _query(final) for key, final in FINAL.items()}
+
+# A second arrival adds rows to two raw tables; everything else is as after a load of all at once.
+_ARRIVED = {
+    "raw_repositories": f"""select 'git_hub', '', 'gone', p_brand || '/repo-' || p_partkey, p_brand, null, 1, 1, null, null,
+  timestamp '2001-06-01 00:00:00', {AS_OF} from part where p_partkey % 29 = 5""",
+    "raw_commits": f"""select 'git_hub', p_brand || '/repo-' || p_partkey, 1, 2, 3, null, {AS_OF} from part where p_partkey % 31 = 7""",
+}
+SQL["delta_refresh"] = SQL["risk_product"]
+for _table, _rows in _ARRIVED.items():
+    _before = f"{_table} as ({CTES[_table].strip()})"
+    SQL["delta_refresh"] = SQL["delta_refresh"].replace(_before, f"{_before[:-1]} union all {_rows})")

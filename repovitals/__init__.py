@@ -15,6 +15,7 @@ from repovitals.operators.quality import dq_findings, profile_repositories
 from repovitals.operators.risk import risk_factors, risk_product
 from repovitals.operators.search import issues_from_search, push_ages, repos_from_search, union_by_priority
 from repovitals.operators.stage import cleanse_repositories, stage_repositories
+from repovitals.plans.delta import DeltaLayers, refresh_changed
 from repovitals.plans.monitoring import pipeline_status, status_section
 from repovitals.plans.refresh import refresh
 from repovitals.plans.reports import (
@@ -28,12 +29,16 @@ from repovitals.plans.reports import (
     report_top,
     report_top_display,
 )
+from repovitals.sources.colocated import enrich_colocated, write_colocated
 from repovitals.sources.landing import read_event_log, read_search_pages, to_raw_repositories
 from repovitals.sources.store import LayerStore, write_raw
 from repovitals.streaming.arrivals import refresh_if_new, refresh_periodically
+from repovitals.streaming.event_hours import EventHours
 from repovitals.streaming.run_log import run_log_latest
 
 __all__ = [
+    "DeltaLayers",
+    "EventHours",
     "LayerStore",
     "cleanse_repositories",
     "commits_from_events",
@@ -41,6 +46,7 @@ __all__ = [
     "contributors_from_events",
     "dq_findings",
     "enrich",
+    "enrich_colocated",
     "event_type_counts",
     "event_type_maps",
     "export_csv",
@@ -58,6 +64,7 @@ __all__ = [
     "read_event_log",
     "read_search_pages",
     "refresh",
+    "refresh_changed",
     "refresh_if_new",
     "refresh_periodically",
     "report_all",
@@ -77,5 +84,6 @@ __all__ = [
     "status_section",
     "to_raw_repositories",
     "union_by_priority",
+    "write_colocated",
     "write_raw",
 ]

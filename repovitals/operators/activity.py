@@ -20,14 +20,9 @@ def _named_events(events: DataFrame) -> DataFrame:
     )
 
 
-def repos_from_events(events: DataFrame, as_of: Column) -> DataFrame:
-    """One row per repository seen in the log.
-
-    Unreadable event times are left out of the maximum; a repository with none readable gets
-    `as_of`. Events are first combined per (repository, actor), which also spreads a repository
-    that holds a large share of the log over all tasks.
-    """
-    per_actor = (
+def actor_states(events: DataFrame) -> DataFrame:
+    """What the events of one (repository, actor) come to, one row each. Such rows can be merged later."""
+    return (
         _named_events(events)
         .groupBy("full_name", "login")
         .agg(
@@ -37,6 +32,19 @@ def repos_from_events(events: DataFrame, as_of: Column) -> DataFrame:
             F.count_if(F.col("event_type").isin(*fx.ISSUE_EVENTS)).alias("issue_events"),
         )
     )
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """States of several loads, of which one (repository, actor) may have several, as one row each."""
+    counts = ("n_events", "push_events", "issue_events")
+    merged = states.groupBy("full_name", "login").agg(
+        F.max("last_event").alias("last_event"), *(F.sum(name).alias(name) for name in counts)
+    )
+    return merged.select("full_name", "login", "n_events", "last_event", "push_events", "issue_events")
+
+
+def repos_from_states(per_actor: DataFrame, as_of: Column) -> DataFrame:
+    """One row per repository, from one row per (repository, actor)."""
     per_repository = per_actor.groupBy("full_name").agg(
         F.max("last_event").alias("last_event"),
         F.sum("n_events").alias("n_events"),
@@ -59,6 +67,16 @@ def repos_from_events(events: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
+def repos_from_events(events: DataFrame, as_of: Column) -> DataFrame:
+    """One row per repository seen in the log.
+
+    Unreadable event times are left out of the maximum; a repository with none readable gets
+    `as_of`. Events are first combined per (repository, actor), which also spreads a repository
+    that holds a large share of the log over all tasks.
+    """
+    return repos_from_states(actor_states(events), as_of)
+
+
 def _activity(events: DataFrame, as_of: Column, wanted: Column, days: tuple[int, ...]) -> DataFrame:
     """Per (repository, actor), of the events `wanted`: n, last, and n_<days> of the days before as_of.
 

@@ -70,6 +70,22 @@ def _left_join_salted(left: DataFrame, hub: DataFrame, names: DataFrame) -> Data
     return joined.filter("salts is null or met").drop("salt", "salts", "wanted", "met")
 
 
+def with_defaults(joined: DataFrame) -> DataFrame:
+    """Joined rows with the counters of absent activity."""
+    counters = {
+        **dict.fromkeys(
+            (
+                "commits_30d", "commits_90d", "commits_180d",
+                "total_contributors", "active_contributors_90d",
+                "open_issues", "closed_issues", "issues_last_90d", "release_count",
+            ),
+            0,
+        ),
+        "days_since_last_release": fx.NO_RELEASE_AGE_DAYS,
+    }
+    return joined.fillna(counters, subset=list(counters))
+
+
 def enrich(
     stage: DataFrame,
     contributors: DataFrame,
@@ -105,19 +121,4 @@ def enrich(
     for hub in hubs:
         joined = _left_join_salted(joined, hub, names)
 
-    counters = {
-        **dict.fromkeys(
-            (
-                "commits_30d", "commits_90d", "commits_180d",
-                "total_contributors", "active_contributors_90d",
-                "open_issues", "closed_issues", "issues_last_90d", "release_count",
-            ),
-            0,
-        ),
-        "days_since_last_release": fx.NO_RELEASE_AGE_DAYS,
-    }
-    return (
-        joined.fillna(counters, subset=list(counters))
-        .withColumn("enriched_at", as_of)
-        .select(*TABLES["repo_entryline"].schema.names)
-    )
+    return with_defaults(joined).withColumn("enriched_at", as_of).select(*TABLES["repo_entryline"].schema.names)

@@ -22,13 +22,27 @@ def read_event_log(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     events in that task before anything is shuffled; spreading the raw lines first would cost more.
     Paths may hold globs, and hours that never landed are simply not matched.
     """
-    schema = StructType([*EVENT_LINE.fields, StructField(CORRUPT, StringType())])
-    lines = (
-        spark.read.schema(schema)
+    return known_events(_event_options(spark.read).json(paths))
+
+
+def stream_event_log(spark: SparkSession, paths: str) -> DataFrame:
+    """The same as a stream of the files that land below `paths` (which may hold globs).
+
+    A file is known by its name: an hour that lands again, in whichever folder, is not read again.
+    """
+    return known_events(_event_options(spark.readStream).option("fileNameOnly", True).json(paths))
+
+
+def _event_options(reader):
+    return (
+        reader.schema(StructType([*EVENT_LINE.fields, StructField(CORRUPT, StringType())]))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(paths)
     )
+
+
+def known_events(lines: DataFrame) -> DataFrame:
+    """Lines that are events, as read with CORRUPT beside the fields of an event."""
     # Naming every field keeps Spark from skipping some while parsing: which lines are bad must not
     # depend on the columns a query asks for. A line with none of the fields is no event.
     known = reduce(Column.__or__, (F.col(field.name).isNotNull() for field in EVENT_LINE.fields))

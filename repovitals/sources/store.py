@@ -70,6 +70,18 @@ class LayerStore:
             if name == f"version={VERSION_0}" or files.exists(path(f"{folder}/{name}/_SUCCESS"))
         ]
 
+    def committed_versions(self, folder: str) -> list[int]:
+        """Numbers of the versions of any folder that readers may see, in order."""
+        return [int(name.removeprefix("version=")) for name in self._committed(folder)]
+
+    def drop_versions(self, folder: str, upto: int) -> None:
+        """Remove the versions of a folder up to a number."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        files = path(folder).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for name in self._folders(folder, "version="):
+            if int(name.removeprefix("version=")) <= upto:
+                files.delete(path(f"{folder}/{name}"), True)
+
     def _current(self, folder: str) -> str:
         return (self._committed(folder) or [f"version={VERSION_0}"])[-1]
 
