@@ -108,19 +108,28 @@ class CuckooFilter:
         The largest table goes first: hashes that share mark and buckets there share them in all smaller ones,
         so whichever of their marks goes, those left serve the others. The reverse does not hold.
         """
-        for value in hashes:
-            one = np.array([value], dtype=np.uint64)
-            for number, table in reversed(list(enumerate(self.tables))):
-                mark, first, second = self._places(table, one)
-                kept_aside = np.flatnonzero(self.aside == self._code(number, first, mark)[0])
-                if len(kept_aside):
-                    self.aside = np.delete(self.aside, kept_aside[0])
-                    break
-                for bucket in (int(first[0]), int(second[0])):
-                    slots = np.flatnonzero(table[bucket] == mark[0])
-                    if len(slots):
-                        table[bucket, slots[0]] = 0
-                        break
-                else:
-                    continue
-                break
+        for number, table in reversed(list(enumerate(self.tables))):
+            later = []
+            while len(hashes):
+                # One hash of each mark and pair of buckets at a time: different ones share no slot.
+                mark, first, second = self._places(table, hashes)
+                code = self._code(number, first, mark)
+                lead = np.unique(code, return_index=True)[1]
+                gone = np.zeros(len(lead), dtype=bool)
+                if len(self.aside):
+                    place = np.unique(self.aside, return_index=True)
+                    at = np.minimum(np.searchsorted(place[0], code[lead]), len(place[0]) - 1)
+                    gone = place[0][at] == code[lead]
+                    self.aside = np.delete(self.aside, place[1][at[gone]])
+                for bucket in (first[lead], second[lead]):
+                    held = (table[bucket] == mark[lead][:, None]) & ~gone[:, None]
+                    hit = np.flatnonzero(held.any(axis=1))
+                    table[bucket[hit], held[hit].argmax(axis=1)] = 0
+                    gone[hit] = True
+                # What this table lacks now, it lacks for all hashes alike.
+                lacking = np.isin(code, code[lead][~gone])
+                later.append(hashes[lacking])
+                rest = ~lacking
+                rest[lead] = False
+                hashes = hashes[rest]
+            hashes = np.concatenate([hashes, *later])

@@ -27,6 +27,8 @@ from .storage import stored, workspace
 
 WHITE = b" \t\n\x0b\x0c\r"
 MIN_CHARS = 10
+#: Keys of a shard, about: its filter and the keys that arrive for it at once are in one task.
+KEYS_PER_SHARD = 1_000_000
 _JUDGED = "shard int, key binary, refs long, keeper long, seen boolean, filter array<binary>"
 
 
@@ -113,12 +115,37 @@ def _forget(key, gone, old):
 
 
 class LineIndex:
-    """The index in one folder. shards is fixed when the folder is new; choose about one per 10**6 keys."""
+    """The index in one folder, which may hold one already: then it goes on from its last complete change.
 
-    def __init__(self, spark: SparkSession, folder: str, shards: int | None = None):
-        self.spark, self.folder = spark, folder
-        self.shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards is fixed with the first documents. Without it there is one for KEYS_PER_SHARD of their keys, times
+    `growth` for what is to come, and as many as there are shuffle partitions at least. One process at a time
+    may change an index.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, shards: int | None = None, growth: int = 2):
+        self.spark, self.folder, self.growth = spark, folder, growth
+        # The filters of a change are written last.
         self.version = 0
+        while self._complete(self._path("filters", self.version + 1)):
+            self.version += 1
+        self.shards = shards
+        if self._complete(f"{folder}/layout"):
+            self.shards = spark.read.schema("shards int").parquet(f"{folder}/layout").first().shards
+            if shards not in (None, self.shards):
+                raise ValueError(f"the index has {self.shards} shards, not {shards}")
+
+    def _complete(self, path: str) -> bool:
+        done = self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        return done.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(done)
+
+    def _lay_out(self, new: DataFrame) -> None:
+        """Fix the number of shards by the first keys, unless it is."""
+        if self._complete(f"{self.folder}/layout"):
+            return
+        if self.shards is None:
+            keys = new.agg(F.approx_count_distinct("key")).first()[0] * self.growth
+            self.shards = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-keys // KEYS_PER_SHARD))
+        stored(self.spark.createDataFrame([(self.shards,)], "shards int"), f"{self.folder}/layout")
 
     def _path(self, table: str, version: int) -> str:
         return f"{self.folder}/{table}/change={version}"
@@ -169,6 +196,7 @@ class LineIndex:
         """Insert documents (doc_id, text). A document already in the index adds what it did not hold."""
         scratch = f"{self.folder}/scratch/change={self.version + 1}"
         new = stored(line_keys(documents).distinct(), f"{scratch}/new")
+        self._lay_out(new)
         arriving = new.groupBy("key").agg(F.count("*").alias("refs"), F.min("doc_id").alias("keeper"))
         judged = stored(
             arriving.select(self._shard(), "key", "refs", "keeper")
@@ -204,6 +232,8 @@ class LineIndex:
     def remove(self, doc_ids: DataFrame) -> None:
         """Take documents (doc_id) out: counts go down, and keys nobody holds leave their filter."""
         scratch = f"{self.folder}/scratch/change={self.version + 1}"
+        if not self.version:
+            return
         wanted = doc_ids.select(F.col("doc_id").cast("long")).distinct()
         gone = stored(self.postings().join(wanted, "doc_id", "left_semi").select("key", "doc_id"), f"{scratch}/gone")
         touched = gone.select("key").distinct()
@@ -226,7 +256,8 @@ class LineIndex:
 
     def repeated(self) -> DataFrame:
         """Rows (doc_id, keys): the lines each document loses, because a document before it holds them."""
-        shared = self.counts().where("refs > 1")
+        # Written, so that both sides of the join are plain shuffles, which Spark splits at a frequent line.
+        shared = stored(self.counts().where("refs > 1"), f"{self.folder}/scratch/shared={self.version}")
         lost = self.postings().join(shared, "key").where("doc_id <> keeper")
         return lost.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
 
@@ -282,7 +313,7 @@ def dedup_lines(documents: DataFrame, batches: int = 2) -> DataFrame:
     replaced); all others are kept as they are, text apart.
     """
     spark = documents.sparkSession
-    index = LineIndex(spark, workspace(spark))
+    index = LineIndex(spark, workspace(spark), growth=2 * batches)
     for i in range(batches):
         index.add(documents.where(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == i))
     return index.apply(documents)

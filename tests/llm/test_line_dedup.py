@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -121,6 +122,57 @@ def test_keys_of_equal_mark_come_and_go(spark, texts):
     assert [(r.refs, r.keeper) for r in index.counts().collect()] == [(3, 2)]
 
 
+def test_an_index_is_found_again_in_its_folder(spark, texts, monkeypatch):
+    rows, folder = corpus(), workspace(spark)
+    LineIndex(spark, folder).add(texts(rows[:20]))
+    again = LineIndex(spark, folder)
+    assert again.version == 1 and again.shards == 4
+    again.add(texts(rows[15:30]))
+    assert got(LineIndex(spark, folder).apply(texts(rows[:30]))) == brute(rows[:30])
+    third = LineIndex(spark, folder)
+    third.remove(texts(rows[:9]))
+    assert got(LineIndex(spark, folder).apply(texts(rows[9:30]))) == brute(rows[9:30])
+    # A change that broke off before its filters were written does not count, and is overwritten.
+    fails = LineIndex(spark, folder)
+    monkeypatch.setattr(fails, "_filters", lambda: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        fails.add(texts(rows[30:]))
+    last = LineIndex(spark, folder)
+    assert last.version == 3
+    last.add(texts(rows[30:]))
+    assert got(LineIndex(spark, folder).apply(texts(rows[9:]))) == brute(rows[9:])
+    with pytest.raises(ValueError):
+        LineIndex(spark, folder, shards=7)
+
+
+def test_shards_follow_the_keys(spark, texts, monkeypatch):
+    monkeypatch.setattr("repovitals.llm.line_dedup.KEYS_PER_SHARD", 3)
+    rows = [(i, "\n".join(f"line number {i} {j}" for j in range(5)) + "\nthe same long line") for i in range(20)]
+    index = LineIndex(spark, workspace(spark))
+    index.add(texts(rows))
+    assert index.shards > 50 and got(index.apply(texts(rows))) == brute(rows)
+    LineIndex(spark, workspace(spark)).remove(texts(rows))  # nothing there yet
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.data())
+def test_filter_keeps_what_is_left(data):
+    """Hashes with few different marks and buckets come and go; those that are left are always found."""
+    some = st.lists(st.tuples(st.integers(1, 3), st.integers(0, 40)), max_size=120)
+    held = []
+    filters = CuckooFilter(16)
+    for _ in range(3):
+        come = [mark << 48 | low for mark, low in data.draw(some)]
+        filters.insert(np.array(come, dtype=np.uint64))
+        held += come
+        gone = data.draw(st.integers(0, len(held)))
+        filters.remove(np.array(held[:gone], dtype=np.uint64))
+        held = held[gone:]
+        assert filters.contains(np.array(held, dtype=np.uint64)).all()
+    filters.remove(np.array(held, dtype=np.uint64))
+    assert not len(filters.aside) and not any(table.any() for table in filters.tables)
+
+
 def test_filter_removes_from_the_right_table():
     """Two hashes that share mark and bucket in the first, small table only."""
     old, new = np.array([3 << 48 | 1], dtype=np.uint64), np.array([3 << 48 | 1 | 1 << 10], dtype=np.uint64)
