@@ -9,11 +9,14 @@ sample of texts, in which the patterns' own finds, and finds written in other wa
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +27,8 @@ KINDS = ("email", "ip", "card", "phone")
 #: Bounds of the training sample: texts, and zones of them.
 SAMPLE_TEXTS = 3_000
 SAMPLE_ZONES = 6_000
+#: A zone of more candidates, such as a table of numbers, is searched but not learnt from.
+ZONE_CANDIDATES = 400
 #: Bounds of an entity: groups of digits, and digits.
 MOST_GROUPS = 8
 MOST_DIGITS, FEWEST_DIGITS = 19, 7
@@ -192,11 +197,11 @@ def _score(weights: dict[str, float], candidate) -> float:
 
 def best_segmentation(candidates: list, scores: list[float]) -> list[int]:
     """Indices of the non-overlapping candidates of highest total score (sorted by end)."""
-    ends = [c[2] for c in candidates]
+    # The candidates before i that end where it starts or earlier are before it in order.
+    places = np.searchsorted([c[2] for c in candidates], [c[1] for c in candidates], side="right").tolist()
     best = [0.0]
     came: list[tuple[int, bool]] = [(0, False)]
-    for i, (candidate, score) in enumerate(zip(candidates, scores, strict=True)):
-        before = int(np.searchsorted(ends[:i], candidate[1], side="right"))
+    for i, (before, score) in enumerate(zip(places, scores, strict=True)):
         take = best[before] + score
         best.append(max(best[i], take))
         came.append((before, True) if take > best[i] else (i, False))
@@ -214,7 +219,7 @@ def marginals(candidates: list, scores: list[float]) -> tuple[np.ndarray, float]
     n = len(candidates)
     ends = np.array([c[2] for c in candidates])
     starts = np.array([c[1] for c in candidates])
-    before = np.array([np.searchsorted(ends[:i], starts[i], side="right") for i in range(n)], dtype=int)
+    before = np.searchsorted(ends, starts, side="right")
     forward = np.zeros(n + 1)
     for i in range(n):
         forward[i + 1] = np.logaddexp(forward[i], forward[before[i]] + scores[i])
@@ -286,15 +291,21 @@ def examples(text: str, seed: int) -> list[tuple[list, set[int]]]:
     out = []
 
     def learn(piece: str, true: list[Span]) -> None:
+        known, in_order = set(true), sorted(true, key=lambda s: s[1])
+        starts = [s[1] for s in in_order]
+        longest = max((s[2] - s[1] for s in true), default=0)
+
+        def near(zone: Zone) -> list[Span]:
+            return in_order[bisect_left(starts, zone.start - longest) : bisect_left(starts, zone.end)]
+
         for zone in zones_of(piece):
-            wanted = {i for i, c in enumerate(zone.candidates) if c[:3] in true}
-            touched = [s for s in true if s[1] < zone.end and zone.start < s[2]]
-            if len(wanted) == len(touched):
+            wanted = {i for i, c in enumerate(zone.candidates) if c[:3] in known}
+            touched = [s for s in near(zone) if s[1] < zone.end and zone.start < s[2]]
+            if len(wanted) == len(touched) and len(zone.candidates) <= ZONE_CANDIDATES:
                 out.append((zone.candidates, wanted))
 
-    if len(text) <= 20_000:
-        learn(text, base)
-    for kind, start, end in base[:20]:
+    learn(text, base)
+    for kind, start, end in base:
         before, after = text[max(0, start - 30) : start], text[end : end + 30]
         new = _rewritten(kind, text[start:end], random)
         learn(before + new + after, [(kind, len(before), len(before) + len(new))])
@@ -309,10 +320,12 @@ def examples(text: str, seed: int) -> list[tuple[list, set[int]]]:
 def added_spans(text: str, base: list[Span], weights: dict[str, float]) -> list[Span]:
     """What the field finds beside the base spans."""
     found = []
+    in_order = sorted((start, end) for _, start, end in base)
+    starts = [start for start, _ in in_order]
+    reach = list(accumulate((end for _, end in in_order), max))  # where all spans up to one have ended
     for zone in zones_of(text):
-        free = [
-            c for c in zone.candidates if not any(c[1] < end and start < c[2] for _, start, end in base)
-        ]
+        before = [bisect_left(starts, c[2]) for c in zone.candidates]
+        free = [c for c, n in zip(zone.candidates, before, strict=True) if not n or reach[n - 1] <= c[1]]
         scores = [_score(weights, c) - MARGIN for c in free]
         found.extend(free[i][:3] for i in best_segmentation(free, scores))
     return found
@@ -327,13 +340,15 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         [("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("features", pa.list_(pa.string()))]
     )
     for batch in batches:
-        zones, true = [], []
+        zones, true, order = [], [], []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            for candidates, wanted in examples(text, (doc_id or 0) & 0x7FFFFFFF):
+            for number, (candidates, wanted) in enumerate(examples(text, (doc_id or 0) & 0x7FFFFFFF)):
+                order.append(xxhash.xxh64_intdigest(f"{doc_id}:{number}") >> 1)
                 zones.append([dict(zip(("kind", "start", "end", "features"), c, strict=True)) for c in candidates])
                 true.append(sorted(wanted))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(zones, pa.list_(kind)), pa.array(true, pa.list_(pa.int32()))], names=["candidates", "true"]
+            [pa.array(zones, pa.list_(kind)), pa.array(true, pa.list_(pa.int32())), pa.array(order, pa.int64())],
+            names=["candidates", "true", "place"],
         )
 
 
@@ -347,8 +362,9 @@ def fit_field(documents: DataFrame) -> dict[str, float]:
         usable.where(part * n < SAMPLE_TEXTS)
         .mapInArrow(
             sliced(_examples),
-            "candidates array<struct<kind:string,start:bigint,end:bigint,features:array<string>>>, true array<int>",
+            "candidates array<struct<kind:string,start:bigint,end:bigint,features:array<string>>>, true array<int>, place long",
         )
+        .orderBy("place", F.xxhash64("candidates"))  # by a hash of (doc_id, zone): the same zones however files are laid out
         .limit(SAMPLE_ZONES)
         .collect()
     )
