@@ -42,7 +42,7 @@ def test_stages(spark):
     assert {r.doc_id: r.text for r in lines.collect()} == want
     assert lines.where(F.length("text") != F.col("n_chars")).count() == 0 and lines.columns == docs.columns
 
-    near = stages["near_duplicates"](spark, docs.union(docs.limit(5)), DATA)
+    near = stages["near_duplicates"](spark, docs.union(docs.orderBy("doc_id").limit(5)), DATA)
     group = {i: root for i, _, root, _ in plain_groups([(i, r.text) for i, r in rows.items()], 5, 80)}
     assert Counter(r.doc_id for r in near.collect()) == Counter({i for i, root in group.items() if i == root})
 
@@ -56,6 +56,28 @@ def test_stages(spark):
         assert decode(pieces, row.piece_ids) == rows[row.doc_id].text
 
 
+def test_near_duplicates_are_told_by_id_and_text(spark, texts):
+    """Repeated and missing ids, against a plain loop over the rows."""
+    words = [f"w{i}" for i in range(40)]
+    near = " ".join([*words[:-1], "other"])
+    rows = [
+        (1, " ".join(words)), (2, near), (2, "a text of its own that nothing else is like"), (2, "a text of its own that nothing else is like"),
+        (None, near), (None, "one two three four five six"), (None, "one two three four five six seven eight nine ten eleven"),
+        (None, "ONE two three four five six"), (7, "one two three four five six"), (3, ""), (4, None), (4, None), (None, None),
+    ]
+    groups: dict = {}
+    unique = list(dict.fromkeys(rows))
+    numbered = plain_groups([(i, text) for i, (_, text) in enumerate(unique)], 5, 80)
+    for i, _, group, _ in numbered:
+        groups.setdefault(group, []).append(unique[i])
+    least = lambda group: min(r[0] for r in group if r[0] is not None) if any(r[0] is not None for r in group) else None
+    got = [(r.doc_id, r.text) for r in dict(corpus_pipeline.STAGES)["near_duplicates"](spark, texts(rows), DATA).collect()]
+    assert len(got) == len(groups) and set(got) <= set(rows)
+    for group in groups.values():
+        assert [r for r in got if r in group][0][0] == least(group)
+    assert (2, rows[2][1]) in got and (2, near) not in got and (None, near) not in got
+
+
 def test_run_is_the_stages_in_order(spark):
     got = corpus_pipeline.run(spark, DATA).collect()
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
@@ -70,5 +92,11 @@ def test_odd_rows_pass_all_stages(spark, odd, none):
     for frame in (odd, none):
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, frame, DATA)
+            if name == "lines":
+                assert {r.doc_id for r in out.collect()} >= {3, 5, 6, 7, None} if frame is odd else out.isEmpty()
+            if name == "near_duplicates":
+                left = Counter((r.doc_id, r.text) for r in out.collect())
+                assert not left if frame is none else left[6, "a"] == left[1, None] == left[8, "one two three four five six seven"] == 1
+                assert frame is none or {i for i, _ in left} == {1, 2, 3, 5, 6, 7, 8, None}
             out.collect()
             assert name == "pieces" or out.columns == [c for c in frame.columns if c not in extra]
