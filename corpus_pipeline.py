@@ -37,10 +37,20 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five words, 0.8) the document of least id, once."""
-    groups = stored(jaccard_groups(docs.select("doc_id", "text"), k=5, percent=80), f"{workspace(spark)}/groups")
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+    """Of each group of near duplicates (five words, 0.8) the document of least id, once.
+
+    A row is told from others by doc_id and text together: of rows of one doc_id only those whose texts are in
+    a group of an earlier one go, and rows without id are in groups like all others, after those with one.
+    """
+    folder = workspace(spark)
+    keyed = docs.select(*COLUMNS).withColumn("row_key", F.xxhash64("doc_id", "text"))
+    groups = jaccard_groups(keyed.select(F.col("row_key").alias("doc_id"), "text"), k=5, percent=80)
+    groups = groups.select(F.col("doc_id").alias("row_key"), F.col("component_id").alias("group")).distinct()
+    ids = keyed.select("row_key", "doc_id").distinct()
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    first = ids.join(stored(groups, f"{folder}/groups"), "row_key").groupBy("group").agg(F.min_by("row_key", order).alias("row_key"))
+    kept = stored(first.select("row_key"), f"{folder}/kept")
+    return keyed.join(kept, "row_key", "left_semi").dropDuplicates(["row_key"]).select(*COLUMNS)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
