@@ -9,10 +9,12 @@ Spark. Each page is then read again at its host's winning path; a page without i
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,14 +74,13 @@ def _named(attributes: dict[str, str]) -> set[str]:
     return found
 
 
-def _drops(name: str, attributes: dict[str, str], path: tuple[str, ...]) -> tuple[bool, set[str]]:
+def _drops(name: str, attributes: dict[str, str], inside: bool) -> tuple[bool, set[str]]:
     """Is the element something other than the article, by its tag or role, or by which words of its names?
 
-    A header within an article belongs to it.
+    A header within (inside) an article belongs to it.
     """
     if name in _NEVER_DROPPED:
         return False, set()
-    inside = any(step.partition(".")[0] in ("article", "main") for step in path)
     if name in DROPPED:
         return not (inside and name in _HEADERS), set()
     if attributes.get("role", "").lower() in ROLES:
@@ -120,39 +121,92 @@ def _tags(html: str) -> Iterator[tuple[int, int, str, str, str]]:
         at = html.find("<", end)
 
 
-Block = tuple[str, tuple[str, ...], int]
+class Page:
+    """The blocks of a page, in order, each (text, node of its container, linked characters).
 
+    The containers of a page are a tree of nodes; 0 is the page. Containers of equal step below one node
+    are one node, so that a node stands for a path of steps; a node's number is above its parent's.
+    """
 
-def read_blocks(html: str) -> list[Block]:
-    """Blocks of text outside boilerplate, in page order: (text, path of its containers, linked characters).
+    def __init__(self):
+        self.blocks: list[tuple[str, int, int]] = []
+        self.parent, self.step, self.depth, self.inside, self.key = [0], [""], [0], [False], [0]
+        self._node: dict[tuple[int, str], int] = {}
+
+    def __iter__(self):
+        return iter(self.blocks)
+
+    def child(self, parent: int, step: str) -> int:
+        node = self._node.get((parent, step))
+        if node is None:
+            node = self._node[parent, step] = len(self.parent)
+            self.parent.append(parent)
+            self.step.append(step)
+            self.depth.append(self.depth[parent] + 1)
+            self.inside.append(self.inside[parent] or step.partition(".")[0] in ("article", "main"))
+            # A number for the whole path, the same on all pages.
+            self.key.append(xxhash.xxh64_intdigest(step, seed=self.key[parent]))
+        return node
+
+    def totals(self, values: Iterable[float], share: float = 1) -> list[float]:
+        """For each node the sum of its blocks' values, and of those further down, ever less by the share."""
+        out = [0.0 if share != 1 else 0] * len(self.parent)
+        for (_, node, _), value in zip(self.blocks, values, strict=True):
+            out[node] += value
+        for node in range(len(out) - 1, 0, -1):
+            out[self.parent[node]] += share * out[node]
+        return out
+
+    def below(self, top: int) -> list[bool]:
+        """Is a node the top or below it?"""
+        out = [node == top for node in range(len(self.parent))]
+        for node in range(top + 1, len(out)):
+            out[node] = out[self.parent[node]]
+        return out
+
+    def path(self, node: int) -> str:
+        steps = []
+        while node:
+            steps.append(self.step[node])
+            node = self.parent[node]
+        return "/".join(reversed(steps))
+
+
+def read_blocks(html: str) -> Page:
+    """The page with its blocks of text outside boilerplate.
 
     What its names call boilerplate is kept all the same if it holds most of the page's unlinked text, a
     main element or an unlinked h1, discussions apart; and if nothing would be left without it.
     """
-    blocks, named = _blocks(html, frozenset())
+    page, named = _blocks(html, frozenset())
     if named:
-        total = 0
-        sums: dict[str, int] = {}
-        holds = set()
-        for text, path, linked in _blocks(html, None)[0]:
-            worth = max(0, len(text) - linked)
-            total += worth
-            heading = "h1" in path and 2 * worth > len(text)
-            for i, step in enumerate(path):
-                if step.startswith(_MARK):
-                    sums[step] = sums.get(step, 0) + worth
-                    if heading or any(inner.partition(".")[0] == "main" for inner in path[i:]):
-                        holds.add(step)
-        names = {m for m, n in sums.items() if not m.endswith(_MARK) and (m in holds or 2 * n > total)}
+        marked, _ = _blocks(html, None)
+        worth = [max(0, len(text) - linked) for text, _, linked in marked]
+        sums, held = marked.totals(worth), marked.totals([1] * len(worth))
+        n = len(marked.parent)
+        titled, main = [False] * n, [False] * n
+        for node in range(1, n):
+            titled[node] = titled[marked.parent[node]] or marked.step[node] == "h1"
+        heading = [titled[node] and 2 * own > len(text) for (text, node, _), own in zip(marked, worth, strict=True)]
+        headings = marked.totals(map(int, heading))
+        for node in range(n - 1, 0, -1):
+            main[node] |= marked.step[node].partition(".")[0] == "main" and held[node] > 0
+            main[marked.parent[node]] |= main[node]
+        marks = {node: marked.step[node] for node in range(n) if marked.step[node].startswith(_MARK) and held[node]}
+        total = sums[0]
+        names = {
+            m for node, m in marks.items()
+            if not m.endswith(_MARK) and (headings[node] or main[node] or 2 * sums[node] > total)
+        }
         if names:
-            blocks = _blocks(html, frozenset(int(m.strip(_MARK)) for m in names))[0]
-        if not blocks:
-            blocks = _blocks(html, frozenset(int(m.strip(_MARK)) for m in sums))[0]
-    return blocks
+            page = _blocks(html, frozenset(int(m.strip(_MARK)) for m in names))[0]
+        if not page.blocks:
+            page = _blocks(html, frozenset(int(m.strip(_MARK)) for m in marks.values()))[0]
+    return page
 
 
-def _blocks(html: str, kept: frozenset[int] | None) -> tuple[list[Block], bool]:
-    """The blocks of a page, and has it containers dropped by name? Those that start at the places in kept are not.
+def _blocks(html: str, kept: frozenset[int] | None) -> tuple[Page, bool]:
+    """The page, and has it containers dropped by name? Those that start at the places in kept are not.
 
     With None no container is dropped by name: its step is its place between marks (two at the end for
     discussions), and h1 is a step.
@@ -160,11 +214,11 @@ def _blocks(html: str, kept: frozenset[int] | None) -> tuple[list[Block], bool]:
     unended = _UNENDED.search(html)
     if unended:  # the page breaks off within a tag
         html = html[: unended.start()]
-    blocks: list[Block] = []
+    page = Page()
     named = False
-    stack: list[tuple[str, str, bool]] = []  # name, step, drops what is in it
-    path: tuple[str, ...] = ()
-    dropping = 0
+    stack: list[tuple[str, int, bool]] = []  # name, node of what it is in, drops what is in it
+    opened: Counter[str] = Counter()
+    here = dropping = 0
     pieces: list[str] = []
     linked = in_link = 0
 
@@ -175,9 +229,23 @@ def _blocks(html: str, kept: frozenset[int] | None) -> tuple[list[Block], bool]:
             text = unescape(text)
         text = " ".join(text.split())
         if text:
-            blocks.append((text, path, linked))
+            page.blocks.append((text, here, linked))
         pieces, linked = [], 0
 
+    def push(name: str, step: str, drops: bool) -> None:
+        nonlocal here, dropping
+        stack.append((name, here, drops))
+        opened[name] += 1
+        dropping += drops
+        here = page.child(here, step) if step else here
+
+    def pop() -> str:
+        nonlocal here, dropping
+        name, here, drops = stack.pop()
+        opened[name] -= 1
+        dropping -= drops
+        return name
+
     done = 0
     for start, end, slash, name, attributes in _tags(html):
         if start > done and not dropping:
@@ -197,29 +265,24 @@ def _blocks(html: str, kept: frozenset[int] | None) -> tuple[list[Block], bool]:
             # Inline elements matter only where their name says they are no part of the article.
             if slash:
                 if stack and stack[-1][0] == name:
-                    dropping -= stack.pop()[2]
+                    pop()
             elif not attributes.endswith("/") and name in ("span", "ins", "label", "a"):
-                drops, words = _drops(name, _attributes(attributes), path)
+                drops, words = _drops(name, _attributes(attributes), page.inside[here])
                 if drops or words:
-                    stack.append((name, "", True))
-                    dropping += 1
+                    push(name, "", True)
             continue
         if not dropping:
             close()
         if slash:
-            if any(opened[0] == name for opened in stack):
-                while True:
-                    opened, _, drops = stack.pop()
-                    dropping -= drops
-                    if opened == name:
-                        break
-                path = tuple(step for _, step, _ in stack if step)
+            if opened[name]:
+                while pop() != name:
+                    pass
                 in_link = 0
         elif not attributes.endswith("/") and (
             name in CONTAINERS or name in ("li", "p", "dd", "dt") or kept is None and name == "h1"
         ):
             known = _attributes(attributes)
-            drops, words = _drops(name, known, path)
+            drops, words = _drops(name, known, page.inside[here])
             step = _step(name, known) if name in CONTAINERS else "h1" if name == "h1" else ""
             if words:
                 named = True
@@ -229,115 +292,115 @@ def _blocks(html: str, kept: frozenset[int] | None) -> tuple[list[Block], bool]:
                     drops = start not in kept
             if step or drops:
                 if name in ("p", "li", "dd", "dt", "tr", "td", "th", "option") and stack and stack[-1][0] == name:
-                    dropping -= stack.pop()[2]
-                stack.append((name, step, drops))
-                dropping += drops
-                path = tuple(step for _, step, _ in stack if step)
+                    pop()
+                push(name, step, drops)
             elif name in ("p", "li") and stack and stack[-1][0] == name and stack[-1][2]:
-                dropping -= stack.pop()[2]
+                pop()
     if done < len(html) and not dropping:
         pieces.append(html[done:])
     close()
-    return blocks, named
+    return page, named
 
 
-def container_scores(blocks: list[Block]) -> dict[str, float]:
-    """For each container path the text in it: all of its own blocks, ever less of those further down.
+def container_scores(page: Page) -> list[float]:
+    """For each container the text in it: all of its own blocks, ever less of those further down.
 
     Linked text does not count, and what stands in no container but the page itself counts little.
     """
-    scores: dict[str, float] = {}
-    for text, path, linked in blocks:
-        worth = float(max(0, len(text) - 2 * linked))
-        for depth in range(len(path), 0, -1):
-            name = "/".join(path[:depth])
-            scores[name] = scores.get(name, 0.0) + worth
-            worth *= SHARE
-    return scores
+    return page.totals((float(max(0, len(text) - 2 * linked)) for text, _, linked in page), SHARE)
 
 
-def article_path(blocks: list[Block]) -> tuple[str, ...]:
-    """The path that holds the whole article; () if no container has text of its own.
+def article_node(page: Page) -> int:
+    """The container that holds the whole article; 0 (the page) if none has text of its own.
 
     That is the best container, or the highest one above it that adds text to the article: all that
     an article element holds, and elsewhere the text beside it in which links are few. Where lists of links
     beside it are more than the text that would be won, it is not widened; a main element may hold
-    as many of them as there is text in the article.
+    as many of them as there is text in the article. Of equally good ones the deepest, then by path.
     """
-    scores = {path: score for path, score in container_scores(blocks).items() if score > 0}
-    if not scores:
-        return ()
-    best = tuple(min(scores, key=lambda p: (-scores[p], -p.count("/"), p)).split("/"))
-    for depth in range(len(best) - 1, 0, -1):
-        above = best[:depth]
-        inside = sum(len(text) for text, own, _ in blocks if own[: len(best)] == best)
-        beside: dict[str, list[int]] = {}
-        for text, own, linked in blocks:
-            if own[:depth] == above and own[: len(best)] != best:
-                sums = beside.setdefault("/".join(own[depth : depth + 1]), [0, 0])
-                sums[0] += len(text)
-                sums[1] += min(linked, len(text))
-        won = sum(n for n, linked in beside.values() if linked < LINKED * n)
-        links = sum(n for n, linked in beside.values() if linked >= LINKED * n)
-        name = above[-1].partition(".")[0]
-        if name == "article" and won + links or won and (links <= won or name == "main" and links <= inside):
+    scores = container_scores(page)
+    most = max(scores[1:], default=0)
+    if most <= 0:
+        return 0
+    tied = [node for node in range(1, len(scores)) if scores[node] == most]
+    deepest = max(page.depth[node] for node in tied)
+    tied = [node for node in tied if page.depth[node] == deepest]
+    best = tied[0] if len(tied) == 1 else min(tied, key=page.path)
+
+    length = page.totals(len(text) for text, _, _ in page)
+    links_in = page.totals(min(linked, len(text)) for text, _, linked in page)
+    children: list[list[int]] = [[] for _ in length]
+    for node in range(1, len(length)):
+        children[page.parent[node]].append(node)
+    child, above = best, page.parent[best]
+    while above:
+        # What is beside the article here, by the containers it is in; what is in none of them is one part too.
+        beside = [(length[x], links_in[x]) for x in children[above] if x != child]
+        beside.append((length[child] - length[best], links_in[child] - links_in[best]))
+        beside.append(tuple(t[above] - sum(t[x] for x in children[above]) for t in (length, links_in)))
+        won = sum(n for n, linked in beside if linked < LINKED * n)
+        links = sum(n for n, linked in beside if linked >= LINKED * n)
+        name = page.step[above].partition(".")[0]
+        if name == "article" and won + links or won and (links <= won or name == "main" and links <= length[best]):
             best = above
+        child, above = above, page.parent[above]
     return best
 
 
-def path_votes(blocks: list[Block]) -> dict[str, float]:
-    """For each path that holds text of the page's article: how well the two agree (F1 of characters).
+def path_votes(page: Page) -> dict[int, float]:
+    """For each container that holds text of the page's article: how well the two agree (F1 of characters).
 
-    A path that misses some of the article counts less, as does one above it, so that single pages
+    One that misses some of the article counts less, as does one above it, so that single pages
     do not widen what most others agree on.
     """
-    article = article_path(blocks)
+    article = article_node(page)
     if not article:
         return {}
-    whole = 0
-    held: dict[str, list[int]] = {}
-    for text, path, _ in blocks:
-        in_article = len(text) if path[: len(article)] == article else 0
-        whole += in_article
-        for depth in range(1, len(path) + 1):
-            sums = held.setdefault("/".join(path[:depth]), [0, 0])
-            sums[0] += len(text)
-            sums[1] += in_article
-    name = "/".join(article)
+    length = page.totals(len(text) for text, _, _ in page)
+    whole = length[article]
+    both = [n if inside else 0 for n, inside in zip(length, page.below(article), strict=True)]
+    above = page.parent[article]
+    while above:
+        both[above] = whole
+        above = page.parent[above]
     return {
-        path: 2 * both / (own + whole) * (PARTIAL if both < whole else 1.0 if path == name else ABOVE)
-        for path, (own, both) in held.items()
-        if both
+        node: 2 * own / (length[node] + whole) * (PARTIAL if own < whole else 1.0 if node == article else ABOVE)
+        for node, own in enumerate(both)
+        if own and node
     }
 
 
-def text_at(blocks: list[Block], path: str | None) -> str:
-    """The blocks in the containers of a path; of a page that has none, those of its own article."""
-    def within(steps: tuple[str, ...]) -> list[str]:
-        return [text for text, own, _ in blocks if own[: len(steps)] == steps]
+def text_at(page: Page, key: int | None) -> str:
+    """The blocks in the containers of a path, given by its key; of a page that has none, those of its own article."""
+    def within(top: int) -> list[str]:
+        inside = page.below(top)
+        return [text for text, node, _ in page if inside[node]]
 
-    found = within(tuple(path.split("/"))) if path else []
-    return "\n".join(found or within(article_path(blocks)))
+    top = page.key.index(key) if key and key in page.key else 0
+    return "\n".join(top and within(top) or within(article_node(page)))
 
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hosts, paths, votes = [], [], []
+        hosts, keys, depths, votes = [], [], [], []
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            for path, share in path_votes(read_blocks(html or "")).items():
+            page = read_blocks(html or "")
+            for node, share in path_votes(page).items():
                 hosts.append(host)
-                paths.append(path)
+                keys.append(page.key[node].to_bytes(8, "big"))
+                depths.append(page.depth[node])
                 votes.append(round(share * 1_000_000))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(votes, pa.int64())],
-            names=["host", "path", "votes"],
+            [pa.array(hosts, pa.string()), pa.array(keys, pa.binary()), pa.array(depths, pa.int32()), pa.array(votes, pa.int64())],
+            names=["host", "path", "depth", "votes"],
         )
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         html, path = batch.column("_html").to_pylist(), batch.column("_path").to_pylist()
-        texts = [text_at(read_blocks(h or ""), p) for h, p in zip(html, path, strict=True)]
+        keys = [int.from_bytes(p, "big") if p else None for p in path]
+        texts = [text_at(read_blocks(h or ""), key) for h, key in zip(html, keys, strict=True)]
         rest = [batch.column(i) for i in range(batch.num_columns - 2)]
         yield pa.RecordBatch.from_arrays(
             [*rest, pa.array(texts, pa.string())], names=[*batch.schema.names[:-2], "text"]
@@ -345,18 +408,19 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def winning_paths(pages: DataFrame) -> DataFrame:
-    """Rows (host, path): the path with most votes among the pages (url, html) of each host.
+    """Rows (host, path): the path with most votes among the pages (url, html) of each host, as a 64-bit key
+    of its steps: of deeply nested pages the names of all paths would be far longer than the pages.
 
     Votes are whole millionths of a page, so their sum does not depend on the order. Equal votes: the
-    longer path, then the one that sorts first.
+    longer path, then the one whose key sorts first.
     """
     votes = (
         pages.select(url_host(F.col("url")).alias("host"), "html")
-        .mapInArrow(sliced(_vote), "host string, path string, votes long")
-        .groupBy("host", "path")
+        .mapInArrow(sliced(_vote), "host string, path binary, depth int, votes long")
+        .groupBy("host", "path", "depth")
         .agg(F.sum("votes").alias("votes"))
     )
-    order = Window.partitionBy("host").orderBy(F.desc("votes"), F.desc(F.length("path") - F.length(F.replace("path", F.lit("/"), F.lit("")))), "path")
+    order = Window.partitionBy("host").orderBy(F.desc("votes"), F.desc("depth"), "path")
     return votes.withColumn("place", F.row_number().over(order)).where(F.col("place") == 1).select("host", "path")
 
 

@@ -4,6 +4,7 @@ import time
 
 import pytest
 
+from repovitals.llm.html_paths import path_votes, read_blocks, text_at
 from repovitals.llm.pii_crf import added_spans, base_spans, best_segmentation, train, zones_of
 
 WEIGHTS = {"phone:": 3.0, "phone:plus=False": 0.5, "card:": -1.0, "ip:": 1.0, "phone:groups=3": 1.0}
@@ -53,3 +54,22 @@ def test_spans_beside_base_spans_only():
     added = added_spans(text, base, WEIGHTS)
     assert added and all(e <= s or t <= b for _, b, e in base for _, s, t in added)
     assert train([]) == {}
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<div>" * 50_000 + "<p>Some text that is there</p>",
+        "<div class='a'>word " * 50_000 + "</div>" * 50_000,
+        "<body>" + "<div class=x{}><p>Some text</p></div>" * 50_000,
+        "".join(f"<div class='c{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}'><p>Some text {i}</p>" for i in range(20_000)),
+        "<div class=sidebar>" * 20_000 + "text" + "</section>" * 20_000,
+        "<main>" + "<div class='ad'>x<span class=ad>y</div>" * 30_000 + "<h1>Title</h1><p>text</p>",
+    ],
+)
+def test_deep_and_wide_pages(html):
+    began = time.process_time()
+    page = read_blocks(html)
+    votes = path_votes(page)
+    text = text_at(page, page.key[max(votes, key=votes.get)] if votes else None)
+    assert text and time.process_time() - began < 4
