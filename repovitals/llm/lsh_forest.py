@@ -183,6 +183,7 @@ def _score_block(k: int):
         strings = points["string"].to_numpy()
         ids = points["class_id"].to_numpy()
         vectors = _matrix(pa.array(points["vector"])).astype(np.float64) if len(points) else np.empty((0, 1))
+        largest = float(np.abs(vectors).max(initial=0.0))
         found: list[tuple] = []
         for query, string, level, vector in zip(
             queries["class_id"], queries["string"], queries["level"], queries["vector"], strict=True
@@ -193,8 +194,11 @@ def _score_block(k: int):
             if begin < end:
                 wanted = np.frombuffer(vector, dtype=np.float32).astype(np.float64)
                 rough = vectors[begin:end] @ wanted
-                keep = min(len(rough), 2 * (k + 1))
-                near = begin + np.argpartition(-rough, keep - 1)[:keep]
+                keep = min(len(rough), k + 1)
+                least = -np.partition(-rough, keep - 1)[keep - 1]
+                # All that may be among the best in exact order: ties, and what rounding may have put behind them.
+                margin = 1e-14 * len(wanted) * np.abs(wanted).max() * largest
+                near = begin + np.flatnonzero(rough >= least - margin)
                 # Summed row by row: the same number in whichever block the two vectors meet.
                 scores = (vectors[near] * wanted).sum(axis=1)
                 best = np.lexsort((ids[near], -scores))[: k + 1]

@@ -1,9 +1,10 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from repovitals.llm.html_paths import main_text, read_blocks
-from repovitals.llm.lsh_forest import nearest_neighbours, shared_prefix
+from repovitals.llm.lsh_forest import _score_block, nearest_neighbours, shared_prefix
 from repovitals.llm.url_reputation import ALLOW, BLOCK, domain_of, judge_urls, suffix_of
 
 RULES = [(ALLOW, "org", "/"), (BLOCK, "example.org", "/es/"), (BLOCK, "example.org", "/en/1")]
@@ -176,3 +177,15 @@ def test_names_of_a_layout_do_not_drop_the_article(wrapper):
     plain = f"<body><div {wrapper}><div class='left-sidebar'>Aside</div><h2>Title</h2>{LONG_TEXT}</div><div class=site-header>Site</div></body>"
     assert [t for t, _, _ in read_blocks(plain)] == ["Title", LONG_TEXT[3:-4]]
     assert [t for t, _, _ in read_blocks("<div class=notice>All there is</div>")] == ["All there is"]
+
+
+def test_ties_of_a_block_go_to_the_smaller_ids():
+    random = np.random.default_rng(3)
+    tied = np.hstack((np.ones((500, 1)), random.standard_normal((500, 7)))).astype(np.float32)
+    tied[:, 1:] = np.where(tied[:, 1:] > 0, 0.5, -0.5) * np.arange(1, 501)[:, None].astype(np.float32)
+    order = random.permutation(500)
+    points = pd.DataFrame({"class_id": order + 1, "string": 0, "vector": [tied[i].tobytes() for i in order]})
+    query = np.eye(8, dtype=np.float32)[0].tobytes()
+    queries = pd.DataFrame({"class_id": [0], "string": [0], "level": [0], "vector": [query]})
+    got = _score_block(20)((0, 0, 0), points, queries)
+    assert got["class_id"].tolist() == list(range(1, 22)) and set(got["score"]) == {1.0}
