@@ -200,6 +200,30 @@ def _delta_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.read("risk_product")
 
 
+def _stage_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staged table after two loads, of which the second brings rows of names that the first had too."""
+    raw = raw_store(spark, sf_dir).read("raw_repositories")
+    layers = rv.DeltaLayers(rv.LayerStore(spark, session_folder(spark)))
+    late = F.col("id").endswith("_dup") | F.coalesce(F.col("stars") % 4 == 1, F.lit(True))
+    for load, rows in enumerate((raw.filter(~late), raw)):
+        layers.upsert_stage(rv.cleanse_repositories(rows, as_of()), load)
+    return layers.read("stg_repositories")
+
+
+def _search_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search pages that land in three arrivals, later pages first, taken after each."""
+    store = rv.LayerStore(spark, session_folder(spark))
+    pages, landed = rv.SearchPages(store), f"{store.root}/landed"
+    bodies = star_schema.search_pages(spark, sf_dir).select(
+        F.col("page"), F.concat(F.lit("page_"), F.col("page").cast("string")).alias("file"), F.to_json(F.struct("items")).alias("value")
+    )
+    for rest in (2, 0, 1):
+        arrival = bodies.filter(F.col("page") % 3 == rest).drop("page")
+        arrival.repartition("file").write.mode("append").partitionBy("file").text(landed)
+        pages.absorb(f"{landed}/*")
+    return pages.repositories()
+
+
 def _enrich_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enrich over bucketed tables, written first."""
     store, prefix = full_store(spark, sf_dir), f"colocated_{uuid.uuid4().hex}"
@@ -358,6 +382,8 @@ def queries() -> dict[str, Query]:
         "enrich_bucketed": _enrich_bucketed,
         "delta_refresh": _delta_refresh,
         "events_incremental": _events_incremental,
+        "stage_upsert": _stage_upsert,
+        "search_stream": _search_stream,
         "risk_factors": _on_layer("repo_entryline", rv.risk_factors),
         "risk_product": _on_layer("repo_entryline", lambda t: rv.risk_product(t, as_of())),
         "pipeline_end_to_end": _end_to_end,

@@ -421,6 +421,7 @@ FINAL: dict[str, str] = {
     **{f"raw_{name}": f"select * from raw_{name}"
        for name in ("repositories", "contributors", "commits", "issues", "releases")},
     "stage_repositories": "select * from stg_repositories",
+    "stage_upsert": "select * from stg_repositories",
     "hub_contributors": "select * from hub_contributors",
     "hub_commits": "select * from hub_commits",
     "hub_issues": "select * from hub_issues",
@@ -524,6 +525,7 @@ from event_lines where repo <> '' and type = 'PushEvent' group by repo""",
 from event_lines where repo <> '' and type in ('IssuesEvent', 'IssueCommentEvent') group by repo""",
     "search_to_issues": "select full_name as repo, open_issues from search_repos",
     "search_page_scan": _SEARCH,
+    "search_stream": _SEARCH,
     "event_type_counts": """select repo as full_name, type as event_type, count(*) as n,
   count(*) over (partition by repo) as n_types
 from event_lines where repo <> '' group by repo, type""",

@@ -35,11 +35,13 @@ from repovitals.sources.store import LayerStore, write_raw
 from repovitals.streaming.arrivals import refresh_if_new, refresh_periodically
 from repovitals.streaming.event_hours import EventHours
 from repovitals.streaming.run_log import run_log_latest
+from repovitals.streaming.search_pages import SearchPages
 
 __all__ = [
     "DeltaLayers",
     "EventHours",
     "LayerStore",
+    "SearchPages",
     "cleanse_repositories",
     "commits_from_events",
     "contributors_agg",

@@ -27,7 +27,12 @@ def _first_item_per_id(pages: DataFrame) -> DataFrame:
 
 def repos_from_search(pages: DataFrame) -> DataFrame:
     """Repositories from search pages (`page`, `items`)."""
-    return _first_item_per_id(pages).select(
+    return repos_from_items(_first_item_per_id(pages))
+
+
+def repos_from_items(items: DataFrame) -> DataFrame:
+    """Repositories from search items, one row each."""
+    return items.select(
         F.col("id").cast("string").alias("id"),
         "full_name",
         "name",

@@ -6,7 +6,7 @@ are rewritten, with the rows of other names as they were. What is read and writt
 the new files, so a small arrival costs its share of the tables, whatever their size.
 
 A staged row is the latest of all raw rows of its name, so the latest of the staged row and the new ones
-takes its place, valid or not; a name whose latest row is not valid leaves enrich and product. Hub rows
+takes its place, valid or not, and a name whose row stays as it is counts as touched by its hubs only; a name whose latest row is not valid leaves enrich and product. Hub rows
 are only added. A row without times has those of the load that brought it.
 """
 
@@ -90,9 +90,38 @@ class DeltaLayers:
                 files.delete(path(f"{self.path(key)}/bucket={bucket}"), True)
         files.delete(path(aside), True)
 
+    def upsert_stage(self, cleansed: DataFrame, load: int) -> DataFrame:
+        """Take new cleansed rows into the staged table; returns, of each name they carry, the row it now has and
+        its kind: new, changed or unchanged (but for its load time).
+
+        Only the buckets of new and changed rows are rewritten. What a load changed is decided once: the same load
+        tried again, after the table was written, would find nothing changed and leave out what comes after.
+        """
+        path, columns = f"{self.root}/upserts/load={load}", TABLES["stg_repositories"].schema.names
+        schema = f"{self._schema('stg_repositories')}, kind string"
+        done = self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        if not done.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(done):
+            bucket = self._bucket("full_name").alias("bucket")
+            buckets = [row.bucket for row in cleansed.select(bucket).distinct().collect()]
+            names = cleansed.select("full_name").distinct()
+            old = self._read("stg_repositories", buckets).select(*columns).join(names, "full_name", "left_semi").select(*columns)
+            latest = latest_per_name(old.unionByName(cleansed.select(*columns)))
+            before = old.select("full_name", F.struct(*columns).alias("before"))
+            same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"before.{c}")) for c in columns if c != "load_timestamp"))
+            kind = F.when(F.col("before").isNull(), "new").when(same, "unchanged").otherwise("changed")
+            sorted_out = latest.join(before, "full_name", "left").withColumn("kind", kind)
+            sorted_out.select(*columns, bucket, "kind").write.mode("overwrite").parquet(path)
+        upserts = self.spark.read.schema(schema).parquet(path)
+        changed = upserts.filter("kind <> 'unchanged'")
+        buckets = [row.bucket for row in changed.select("bucket").distinct().collect()]
+        if buckets:
+            others = self._read("stg_repositories", buckets).select(*columns).join(changed.select("full_name"), "full_name", "left_anti")
+            self._replace("stg_repositories", others.select(*columns).unionByName(changed.select(*columns)), buckets, load)
+        return upserts
+
     def apply(self, news: dict[str, DataFrame], load: int, as_of: Column) -> None:
         """Take the new raw rows of one load, by raw table. The same load may be applied again: rows of
-        hubs are kept by load, and of equal staged rows one stays.
+        hubs are kept by load, and what it changed in the staged table is kept too.
         """
         cleansed = cleanse_repositories(news["raw_repositories"], as_of, self.source)
         added = {key: job(news[raw], as_of, self.source) for key, (raw, job, _) in HUBS.items()}
@@ -101,7 +130,8 @@ class DeltaLayers:
             dealt.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
                 "bucket", "load"
             ).parquet(self.path(key))
-        names = [cleansed.select("full_name"), *(rows.select(F.col(HUBS[key][2]).alias("full_name")) for key, rows in added.items())]
+        changed = self.upsert_stage(cleansed, load).filter("kind <> 'unchanged'").select("full_name")
+        names = [changed, *(rows.select(F.col(HUBS[key][2]).alias("full_name")) for key, rows in added.items())]
         path = f"{self.root}/touched/load={load}"
         reduce(DataFrame.unionByName, names).distinct().write.mode("overwrite").parquet(path)
         touched = self.spark.read.schema("full_name string").parquet(path)
@@ -117,9 +147,6 @@ class DeltaLayers:
             rows = self._read(key, buckets).select(*TABLES[key].schema.names)
             return rows.join(touched, "full_name", "left_anti").select(*rows.columns)
 
-        columns = TABLES["stg_repositories"].schema.names
-        staged = latest_per_name(of_touched("stg_repositories").unionByName(cleansed.select(*columns)))
-        self._replace("stg_repositories", others("stg_repositories").unionByName(staged), buckets, load)
         hubs = [of_touched(key, name) for key, (_, _, name) in HUBS.items()]
         enriched = enrich(of_touched("stg_repositories"), *hubs, as_of, self.source)
         self._replace("repo_entryline", others("repo_entryline").unionByName(enriched), buckets, load)

@@ -13,6 +13,7 @@ from repovitals.functions.text import clip
 from repovitals.schemas import EVENT_LINE, SEARCH_ITEM, TABLES
 
 CORRUPT = "_corrupt"
+_PAGE = StructType([StructField("items", ArrayType(SEARCH_ITEM))])
 
 
 def read_event_log(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -55,13 +56,16 @@ def read_search_pages(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     Numbers in the path count as numbers: page_2 comes before page_10. Files of equal name in several
     folders are told apart, and ordered, by their whole paths.
     """
-    schema = StructType([StructField("items", ArrayType(SEARCH_ITEM))])
-    return (
-        spark.read.schema(schema)
-        .option("multiLine", True)
-        .json(paths)
-        .select(_page_order(F.col("_metadata.file_path")).alias("page"), "items")
-    )
+    return _placed_pages(spark.read.schema(_PAGE).option("multiLine", True).json(paths))
+
+
+def stream_search_pages(spark: SparkSession, paths: str) -> DataFrame:
+    """The same as a stream of the pages that land below `paths`; a page is known by its whole path."""
+    return _placed_pages(spark.readStream.schema(_PAGE).option("multiLine", True).json(paths))
+
+
+def _placed_pages(pages: DataFrame) -> DataFrame:
+    return pages.select(_page_order(F.col("_metadata.file_path")).alias("page"), "items")
 
 
 def _page_order(path: Column) -> Column:

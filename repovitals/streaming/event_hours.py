@@ -1,81 +1,36 @@
-"""Event hours, each taken once: a file stream over landed hours that keeps mergeable states.
+"""Event hours, each taken once: a state per (repository, actor) of all hours that landed.
 
-A batch of the stream reduces the hours that are new to one state per (repository, actor) and writes
-them as one version, named by the batch. A batch that is tried again writes the same version, so an
-hour counts once whether it lands late, out of order or again. What is asked of the log is then made
-from the states: what is read grows with repositories and actors, not with events. Versions are folded
-into one when there are many.
+What is read to answer grows with repositories and actors, not with events.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 
 from repovitals.operators.activity import actor_states, merged_states, repos_from_states
 from repovitals.sources.landing import stream_event_log
 from repovitals.sources.store import LayerStore
-
-STATE = (
-    "full_name string, login string, n_events bigint, last_event timestamp_ntz, push_events bigint, issue_events bigint"
-)
-#: Versions that are read side by side before they are folded into one.
-FOLD_AFTER = 24
+from repovitals.streaming.kept_states import KeptStates
 
 
-class EventHours:
-    """The states of all hours taken so far, in a folder of a store."""
+class EventHours(KeptStates):
+    """The states of all hours taken so far."""
 
     def __init__(self, store: LayerStore, name: str = "event_hours"):
-        self.store, self.spark = store, store.spark
-        self.folder = f"{store.root}/{name}"
-
-    def _version(self, part: str, number: int) -> str:
-        return f"{self.folder}/{part}/version={number:020d}"
-
-    def _read(self, part: str, numbers: list[int]) -> DataFrame:
-        reader = self.spark.read.schema(STATE)
-        paths = [self._version(part, number) for number in numbers]
-        return reader.parquet(*paths) if paths else self.spark.createDataFrame([], STATE)
-
-    def _folded_upto(self) -> int:
-        return max(self.store.committed_versions(f"{self.folder}/folded"), default=0)
-
-    def _open(self) -> list[int]:
-        folded = self._folded_upto()
-        return [n for n in self.store.committed_versions(f"{self.folder}/batches") if n > folded]
-
-    def absorb(self, landed: str) -> int:
-        """Take the hours below `landed` that are new; returns how many batches they came in."""
-        before = len(self._open())
+        super().__init__(store, name)
 
-        def on_batch(batch: DataFrame, batch_id: int) -> None:
-            # Batches count from 0, and a version above 0 is complete only once it is committed.
-            actor_states(batch).write.mode("overwrite").parquet(self._version("batches", batch_id + 1))
+    def schema(self) -> str:
+        counts = "push_events bigint, issue_events bigint"
+        return f"full_name string, login string, n_events bigint, last_event timestamp_ntz, {counts}"
 
-        stream = stream_event_log(self.spark, landed).writeStream.foreachBatch(on_batch)
-        stream.option("checkpointLocation", f"{self.folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-        taken = len(self._open()) - before
-        if len(self._open()) > FOLD_AFTER:
-            self.fold()
-        return taken
+    def stream(self, landed: str) -> DataFrame:
+        return stream_event_log(self.spark, landed)
 
-    def fold(self) -> None:
-        """Make one version of all. Until it is committed readers see the many, afterwards the one."""
-        numbers = self._open()
-        if not numbers:
-            return
-        last = self._folded_upto()
-        self.states().write.mode("overwrite").parquet(self._version("folded", numbers[-1]))
-        self.store.drop_versions(f"{self.folder}/folded", last)
-        self.store.drop_versions(f"{self.folder}/batches", numbers[-1])
+    def reduced(self, batch: DataFrame) -> DataFrame:
+        return actor_states(batch)
 
-    def states(self) -> DataFrame:
-        """One row per (repository, actor) of all hours taken."""
-        folded = self._folded_upto()
-        parts = [self._read("folded", [folded] if folded else []), self._read("batches", self._open())]
-        return merged_states(reduce(DataFrame.unionByName, parts))
+    def merged(self, states: DataFrame) -> DataFrame:
+        return merged_states(states)
 
     def repositories(self, as_of: Column) -> DataFrame:
         """What `repos_from_events` gives for the whole log."""

@@ -13,7 +13,7 @@ import repovitals as rv
 from checks.oracle import SQL
 from repovitals.plans import delta
 from repovitals.schemas import RAW_TABLES
-from repovitals.streaming import event_hours
+from repovitals.streaming import event_hours, kept_states
 
 LAYERS = ("stg_repositories", "hub_contributors", "hub_commits", "hub_issues", "hub_releases", "repo_entryline", "risk_product")
 
@@ -109,6 +109,29 @@ def test_only_the_buckets_of_touched_names_are_read_and_written(store, land, fra
     assert "PartitionFilters: [isnotnull(bucket" in text
 
 
+def test_rows_are_new_changed_or_unchanged(store, frame, as_of):
+    layers = rv.DeltaLayers(store, buckets=64)
+
+    def load(number, *data):
+        cleansed = rv.cleanse_repositories(frame("raw_repositories", list(data)), as_of)
+        before = set(layers._read("stg_repositories").inputFiles())
+        kinds = rows(layers.upsert_stage(cleansed, number), "full_name", "kind")
+        return kinds, before ^ set(layers._read("stg_repositories").inputFiles())
+
+    first = [repository(f"o/{i}", 2) for i in range(6)]
+    assert load(0, *first)[0] == [(f"o/{i}", "new") for i in range(6)]
+    kinds, files = load(1, repository("o/0", 2), repository("o/1", 1, stars=9), repository("o/2", 2, id="z"))
+    assert kinds == [("o/0", "unchanged"), ("o/1", "unchanged"), ("o/2", "unchanged")] and not files
+    second = [repository("o/0", 3, stars=-4), repository("o/1", 2), repository("o/7"), repository("o/2", 2, id="a")]
+    kinds, files = load(2, *second)
+    assert kinds == [("o/0", "changed"), ("o/1", "unchanged"), ("o/2", "changed"), ("o/7", "new")]
+    assert len({path.split("/bucket=")[1].split("/")[0] for path in files}) == 3
+    everything = [*first, repository("o/1", 1, stars=9), repository("o/2", 2, id="z"), *second]
+    assert rows(layers.read("stg_repositories")) == rows(rv.stage_repositories(frame("raw_repositories", everything), as_of))
+    before = rows(layers.read("stg_repositories"))
+    assert load(2, *second)[0] == kinds and rows(layers.read("stg_repositories")) == before  # the same load again
+
+
 def test_the_second_arrival_is_in_the_sql():
     assert SQL["delta_refresh"].count("union all select 'git_hub'") == 2
 
@@ -160,7 +183,7 @@ def test_a_failed_batch_of_hours_is_taken_once(spark, store, tmp_path, as_of, mo
 
 
 def test_many_batches_are_folded(spark, store, tmp_path, as_of, monkeypatch):
-    monkeypatch.setattr(event_hours, "FOLD_AFTER", 1)
+    monkeypatch.setattr(kept_states, "FOLD_AFTER", 1)
     hours, landed = rv.EventHours(store), tmp_path / "landed"
     for hour in range(3):
         hour_file(landed / "a", hour, [event("o/a", f"u{hour}", hour)])
@@ -201,3 +224,22 @@ def test_colocated_enrich_does_not_shuffle(spark, busy, as_of, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert text.count("SortMergeJoin") == 4 and "Exchange" not in text
+
+
+def test_search_pages_in_any_order(spark, store, tmp_path):
+    def page(number, *items):
+        (tmp_path / "pages").mkdir(exist_ok=True)
+        body = {"items": [{"id": i, "full_name": name, "stargazers_count": n} for i, name, n in items]}
+        (tmp_path / "pages" / f"page_{number}.json").write_text(json.dumps(body))
+
+    pages, landed = rv.SearchPages(store), str(tmp_path / "pages")
+    everything = lambda: rows(rv.repos_from_search(rv.read_search_pages(spark, landed)))
+    page(10, (1, "o/a", 1), (2, "o/b", 1), (1, "o/a", 2))
+    assert pages.absorb(landed) == 1 and rows(pages.repositories()) == everything()
+    page(11, (1, "o/a", 3), (3, "o/c", 1), (None, "o/x", 1))
+    page(2, (2, "o/b", 9))
+    assert pages.absorb(landed) == 1 and rows(pages.repositories()) == everything()
+    pages.fold()
+    page(1, (2, "o/b", 10), (None, "o/y", 1))
+    assert pages.absorb(landed) == 1 and pages.absorb(landed) == 0
+    assert rows(pages.repositories()) == everything()
