@@ -173,7 +173,7 @@ def _delta_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The product after a second arrival with updates, repositories that become invalid, and more hub rows."""
     raw = raw_store(spark, sf_dir)
     store = rv.LayerStore(spark, session_folder(spark))
-    layers = rv.DeltaLayers(store)
+    layers = rv.DeltaLayers(store, buckets=16)  # a bucket should be worth a file; the default is for large tables
     part = star_schema.table(spark, sf_dir, "part")
     name = F.concat("p_brand", F.lit("/repo-"), F.col("p_partkey").cast("string"))
     invalid = part.filter("p_partkey % 29 = 5").select(
@@ -203,7 +203,7 @@ def _delta_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stage_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The staged table after two loads, of which the second brings rows of names that the first had too."""
     raw = raw_store(spark, sf_dir).read("raw_repositories")
-    layers = rv.DeltaLayers(rv.LayerStore(spark, session_folder(spark)))
+    layers = rv.DeltaLayers(rv.LayerStore(spark, session_folder(spark)), buckets=16)
     late = F.col("id").endswith("_dup") | F.coalesce(F.col("stars") % 4 == 1, F.lit(True))
     for load, rows in enumerate((raw.filter(~late), raw)):
         layers.upsert_stage(rv.cleanse_repositories(rows, as_of()), load)
