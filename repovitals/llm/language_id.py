@@ -7,11 +7,13 @@ of the language have, judged on labelled texts that the models have not seen.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,20 +24,28 @@ from .texthash import mix
 
 UNDETERMINED = "und"
 ORDER = 4
-#: Bounds of what is fitted: labelled texts of one language, n-grams of one language's model, and
-#: letters of all. They bound the models, not what is predicted on.
+#: Bounds of the labelled rows that are fitted on: ids of one language, and characters of their texts
+#: together. They bound the models, not what is predicted on.
 SAMPLE_TEXTS = 2_000
-MODEL_NGRAMS = 200_000
-LETTERS = 200
+SAMPLE_CHARACTERS = 32_000_000
 #: One labelled text in so many is kept from the models and calibrates rejection and score.
 CALIBRATION_SHARE = 5
 #: Allowance for short texts, in standard errors of their entropy, and beyond, in bits a character.
 STANDARD_ERRORS = 3.0
 SLACK_BITS = 0.5
+#: Share of a language's calibration texts that must fit; the rest may be mislabelled.
+FITTING_SHARE = 0.95
 _OTHER, _FIRST = 1, 2
 _CHUNK = 1 << 19
 _CACHED = 1 << 18
-_BITS = np.uint64(8)
+#: A symbol has 16 bits, so all letters of a sample have one of their own unless it has over 65,534.
+_BITS = np.uint64(16)
+_LETTERS = (1 << 16) - _FIRST
+
+
+def _mask(order: int) -> np.uint64:
+    """The bits of the last `order` symbols of a code."""
+    return np.uint64((1 << int(_BITS) * order) - 1)
 
 
 @cache
@@ -54,14 +64,14 @@ def _points(text: str) -> np.ndarray:
 
 
 class Symbols:
-    """Code points as numbers below 256: blank (all but letters), another letter, the known letters."""
+    """Code points as numbers of 16 bits: blank (all but letters), another letter, the known letters."""
 
     def __init__(self, known: np.ndarray):
         self.known = known
         letters = _letters()
-        self.table = np.where(letters > 0, _OTHER, 0).astype(np.uint8)
-        for number, letter in enumerate(known[:LETTERS].tolist()):
-            self.table[letters == letter] = _FIRST + number
+        number = np.full(len(letters), _OTHER, dtype=np.uint16)
+        number[known] = np.arange(_FIRST, _FIRST + len(known))
+        self.table = np.where(letters > 0, number[letters], 0).astype(np.uint16)
 
     def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of all texts, runs of blanks as one and one more at each end, and where each text ends."""
@@ -77,12 +87,15 @@ class Symbols:
         return found[keep], kept[ends - 1]
 
 
-def _codes(symbols: np.ndarray, order: int) -> np.ndarray:
-    """For each symbol the code of the n-gram that ends there, blanks standing before the first."""
+def _codes(symbols: np.ndarray, ends: np.ndarray, order: int) -> np.ndarray:
+    """For each symbol the code of the n-gram that ends there, blanks standing before each text's first."""
+    lengths = np.diff(ends, prepend=0)
+    place = np.arange(len(symbols)) - np.repeat(ends - lengths, lengths)
     padded = np.concatenate((np.zeros(order - 1, dtype=np.uint64), symbols.astype(np.uint64)))
     out = np.zeros(len(symbols), dtype=np.uint64)
     for i in range(order):
-        out = (out << _BITS) | padded[i : i + len(symbols)]
+        inside = place >= order - 1 - i
+        out = (out << _BITS) | np.where(inside, padded[i : i + len(symbols)], np.uint64(0))
     return out
 
 
@@ -106,8 +119,7 @@ class Model:
         out = np.zeros(len(codes))
         open_ = np.arange(len(codes))
         for order in range(len(self.hashes), 0, -1):
-            mask = np.uint64((1 << 8 * order) - 1)
-            own = codes[open_] & mask
+            own = codes[open_] & _mask(order)
             at, found = self._find(self.hashes[order - 1], mix(own))
             out[open_[found]] += self.logs[order - 1][at[found]]
             open_, own = open_[~found], own[~found]
@@ -134,7 +146,7 @@ def kneser_ney(codes: np.ndarray, counts: np.ndarray, order: int, symbols: int)
     levels = []
     for n in range(order, 0, -1):
         levels.append((n, codes, counts))
-        shorter = codes & np.uint64((1 << 8 * (n - 1)) - 1)
+        shorter = codes & _mask(n - 1)
         codes, counts = np.unique(shorter, return_counts=True)
     lower_codes, lower = np.zeros(1, dtype=np.uint64), np.array([1.0 / symbols])
     floor = 0.0
@@ -144,7 +156,7 @@ def kneser_ney(codes: np.ndarray, counts: np.ndarray, order: int, symbols: int)
         context, which = np.unique(codes >> _BITS, return_inverse=True)
         total = np.bincount(which, weights=counts)
         weight = discount * np.bincount(which) / total
-        below = lower[np.searchsorted(lower_codes, codes & np.uint64((1 << 8 * (n - 1)) - 1))] if n > 1 else lower[0]
+        below = lower[np.searchsorted(lower_codes, codes & _mask(n - 1))] if n > 1 else lower[0]
         p = (counts - discount) / total[which] + weight[which] * below
         if n == 1:
             floor = float(np.log2(weight[0] / symbols))
@@ -215,7 +227,7 @@ class Identifier:
                 size, end = size + len(texts[end]), end + 1
             symbols, ends = self._symbols.of(texts[begin:end])
             starts = np.concatenate(([0], ends[:-1]))
-            at = self._lookup(_codes(symbols, ORDER))
+            at = self._lookup(_codes(symbols, ends, ORDER))
             n = ends - starts
             length[begin:end] = n
             letters[begin:end] = np.maximum.reduceat(symbols, starts) > 0
@@ -264,7 +276,7 @@ def _count_ngrams(known: np.ndarray):
             texts = batch.column("text").to_pylist()
             for language in np.unique(languages).tolist():
                 own = [texts[i] for i in np.flatnonzero(languages == language)]
-                codes, counts = np.unique(_codes(symbols.of(own)[0], ORDER), return_counts=True)
+                codes, counts = np.unique(_codes(*symbols.of(own), ORDER), return_counts=True)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "lang": pa.array([language] * len(codes), pa.string()),
@@ -292,30 +304,47 @@ def _calibration(identifier: Identifier):
 
 
 def _labelled_sample(labelled: DataFrame) -> DataFrame:
-    """At most SAMPLE_TEXTS rows (text, lang, calibrate) of a language: those whose ids hash least."""
-    order = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)), "doc_id")
+    """Rows (text, lang, calibrate): per language the ids that hash least, within both bounds.
+
+    An id's rows are taken together. An id with more characters than the bound is not learnt from.
+    """
     usable = F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
     labelled = labelled.where(usable)
-    ids = labelled.select("doc_id", "lang")
+    ids = (
+        labelled.groupBy("doc_id", "lang")
+        .agg(F.sum(F.length("text")).alias("size"))
+        .where(F.col("size") <= SAMPLE_CHARACTERS)
+    )
     # Ids are thinned by their hash to about half as many again as wanted before they are put in order.
     counts = ids.groupBy("lang").agg(F.count("*").alias("n"))
     part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / float(1 << 32)
+    order = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)), "doc_id")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     chosen = (
         ids.join(counts, "lang")
         .where((part * F.col("n") < 1.5 * SAMPLE_TEXTS) | (F.col("n") <= SAMPLE_TEXTS))
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= SAMPLE_TEXTS)
+        .select("doc_id", "lang", F.row_number().over(order).alias("place"), F.sum("size").over(so_far).alias("sizes"))
+        .where((F.col("place") <= SAMPLE_TEXTS) & (F.col("sizes") <= SAMPLE_CHARACTERS))
         .select("doc_id", "lang", (F.col("place") % CALIBRATION_SHARE == 0).alias("calibrate"))
-        .dropDuplicates(["doc_id", "lang"])
     )
     # At most SAMPLE_TEXTS ids of a language, so small enough to send to every task.
     return labelled.join(F.broadcast(chosen), ["doc_id", "lang"]).select("text", "lang", "calibrate")
 
 
+def _fit_model(symbols: int):
+    def run(counts: pd.DataFrame) -> pd.DataFrame:
+        counts = counts.assign(code=counts["code"].to_numpy().view(np.uint64)).sort_values("code")
+        model = kneser_ney(counts["code"].to_numpy(), counts["n"].to_numpy(), ORDER, symbols)
+        return pd.DataFrame({"lang": [counts["lang"].iloc[0]], "model": [pickle.dumps(model)]})
+
+    return run
+
+
 def fit_languages(labelled: DataFrame) -> Identifier:
     """Models of the languages in labelled (doc_id, text, lang), from a bounded sample of its rows.
 
-    What reaches the driver is bounded: MODEL_NGRAMS counts a language, the calibration rows.
+    What reaches the driver is a model a language, made from at most SAMPLE_CHARACTERS characters of
+    SAMPLE_TEXTS ids, the letters of the sample, and a row for each calibration text.
     """
     ship_package(labelled.sparkSession)
     sample = _labelled_sample(labelled).cache()
@@ -325,28 +354,21 @@ def fit_languages(labelled: DataFrame) -> Identifier:
         .groupBy("letter")
         .agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "letter")
-        .limit(LETTERS)
+        .limit(_LETTERS)
         .collect()
     )
     known = np.array([row.letter for row in letters], dtype=np.uint32)
-    rarest_last = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
     rows = (
         fit.mapInArrow(sliced(_count_ngrams(known)), "lang string, code long, n long")
         .groupBy("lang", "code")
         .agg(F.sum("n").alias("n"))
-        .withColumn("place", F.row_number().over(rarest_last))
-        .where(F.col("place") <= MODEL_NGRAMS)
         .groupBy("lang")
-        .agg(F.collect_list(F.struct("code", "n")).alias("counts"))
+        .applyInPandas(_fit_model(len(known) + _FIRST), "lang string, model binary")
         .collect()
     )
-    languages, models = [], []
-    for row in sorted(rows, key=lambda r: r.lang):
-        codes = np.array([c.code for c in row.counts], dtype=np.int64).view(np.uint64)
-        counts = np.array([c.n for c in row.counts], dtype=np.int64)
-        languages.append(row.lang)
-        models.append(kneser_ney(codes, counts, ORDER, LETTERS + _FIRST))
-    identifier = Identifier(languages, known, models, np.full(len(models), np.inf))
+    rows.sort(key=lambda row: row.lang)
+    models = [pickle.loads(row.model) for row in rows]
+    identifier = Identifier([row.lang for row in rows], known, models, np.full(len(models), np.inf))
     if models:
         _calibrate(identifier, sample.where("calibrate").select("text", "lang"))
     sample.unpersist()
@@ -366,7 +388,7 @@ def _calibrate(identifier: Identifier, texts: DataFrame) -> None:
     for j in range(len(identifier.models)):
         own = least[truth == j, j]
         if len(own):
-            identifier.limits[j] = own.max() + SLACK_BITS
+            identifier.limits[j] = np.quantile(own, FITTING_SHARE, method="lower") + SLACK_BITS
     known = truth >= 0
     bits, truth = bits[known], truth[known]
     losses = {}
@@ -416,5 +438,5 @@ def identify(documents: DataFrame, identifier: Identifier, keep: list[Column] |
 
 
 def held_out() -> Column:
-    """Documents kept from fitting: a third, by a checksum of the id."""
-    return F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    """Documents kept from fitting: a third, by a checksum of the id. One without id is not (nor fitted on)."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
