@@ -32,7 +32,7 @@ SAMPLE_CHARACTERS = 32_000_000
 CALIBRATION_SHARE = 5
 #: Allowance for short texts, in standard errors of their entropy, and beyond, in bits a character.
 STANDARD_ERRORS = 3.0
-SLACK_BITS = 0.5
+SLACK_BITS = 1.0
 #: Share of a language's calibration texts that must fit; the rest may be mislabelled.
 FITTING_SHARE = 0.95
 _OTHER, _FIRST = 1, 2
