@@ -210,6 +210,27 @@ def _stage_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.read("stg_repositories")
 
 
+def _search_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of terms, some of them wildcards only, against an index that took the names in two additions."""
+    product = full_store(spark, sf_dir).read("risk_product")
+    index = rv.NameSearch(rv.LayerStore(spark, session_folder(spark)), buckets=16)
+    index.add(product.filter(F.col("stars") % 3 == 0))
+    index.add(product)
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    terms = part.select(
+        F.explode(
+            F.array(
+                "p_brand",
+                F.lower(F.replace("p_brand", F.lit("#"), F.lit("_"))),
+                F.right("p_brand", F.lit(2)),
+                F.concat(F.lit("-"), (F.col("p_partkey") % 200).cast("string")),
+                F.expr("repeat('_', cast(p_partkey % 3 as int))"),
+            )
+        ).alias("term")
+    )
+    return index.search(product, terms)
+
+
 def _search_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search pages that land in three arrivals, later pages first, taken after each."""
     store = rv.LayerStore(spark, session_folder(spark))
@@ -384,6 +405,7 @@ def queries() -> dict[str, Query]:
         "events_incremental": _events_incremental,
         "stage_upsert": _stage_upsert,
         "search_stream": _search_stream,
+        "search_indexed": _search_indexed,
         "risk_factors": _on_layer("repo_entryline", rv.risk_factors),
         "risk_product": _on_layer("repo_entryline", lambda t: rv.risk_product(t, as_of())),
         "pipeline_end_to_end": _end_to_end,

@@ -485,6 +485,13 @@ from (select language as g, count(*) as repo_count, {mean("risk_score")} as avg_
       order by repo_count desc, g nulls last limit 15)""",
     "report_search": f"""select {_FIGURES}, last_updated from risk_product
 where upper(full_name) like upper('%brand_1%') {_RISKIEST} limit 20""",
+    "search_indexed": f"""select term, place, {_FIGURES}, last_updated
+from (select t.term, row_number() over (partition by t.term {_RISKIEST}) as place, r.*
+  from (select p_brand as term from part union select lower(replace(p_brand, '#', '_')) from part
+    union select right(p_brand, 2) from part union select '-' || (p_partkey % 200) from part
+    union select repeat('_', (p_partkey % 3)::int) from part) t
+  join risk_product r on upper(r.full_name) like upper('%' || t.term || '%'))
+where place <= 20""",
     "report_repo": f"""select {_FIGURES}, last_updated,
   case risk_category
     when 'HIGH' then 'HIGH RISK: This repository shows significant risk factors. Consider finding alternatives or closely monitoring usage.'

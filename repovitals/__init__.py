@@ -17,6 +17,7 @@ from repovitals.operators.search import issues_from_search, push_ages, repos_fro
 from repovitals.operators.stage import cleanse_repositories, stage_repositories
 from repovitals.plans.delta import DeltaLayers, refresh_changed
 from repovitals.plans.monitoring import pipeline_status, status_section
+from repovitals.plans.name_search import NameSearch
 from repovitals.plans.refresh import refresh
 from repovitals.plans.reports import (
     export_csv,
@@ -41,6 +42,7 @@ __all__ = [
     "DeltaLayers",
     "EventHours",
     "LayerStore",
+    "NameSearch",
     "SearchPages",
     "cleanse_repositories",
     "commits_from_events",

@@ -23,7 +23,7 @@ FIGURES = (
 )
 
 
-def _of(product: DataFrame, source: str) -> DataFrame:
+def of_source(product: DataFrame, source: str) -> DataFrame:
     return product.filter(F.col("data_source") == source)
 
 
@@ -35,13 +35,13 @@ def _average_score() -> Column:
     return F.expr(mean("risk_score")).cast("double").alias("avg_risk_score")
 
 
-def _riskiest_first() -> list[Column]:
+def riskiest_first() -> list[Column]:
     return [F.col("risk_score").desc_nulls_first(), F.col("full_name").asc_nulls_last()]
 
 
 def report_summary(product: DataFrame, source: str = fx.SOURCE) -> DataFrame:
     """Counts, average score and share per category in one row; shares are NULL without rows."""
-    counted = _of(product, source).agg(
+    counted = of_source(product, source).agg(
         F.count(F.lit(1)).alias("total_repos"),
         _average_score(),
         _in_category(fx.HIGH).alias("high_risk_count"),
@@ -65,8 +65,8 @@ def report_top(
 ) -> DataFrame:
     """The `n` riskiest repositories, or with `risky=False` the healthiest."""
     healthiest_first = [F.col("risk_score").asc_nulls_last(), F.col("full_name").asc_nulls_last()]
-    order = _riskiest_first() if risky else healthiest_first
-    return _of(product, source).select(*FIGURES).orderBy(*order).limit(n)
+    order = riskiest_first() if risky else healthiest_first
+    return of_source(product, source).select(*FIGURES).orderBy(*order).limit(n)
 
 
 def report_top_display(
@@ -89,7 +89,7 @@ def report_by_language(
     No language and the language 'Unknown' are separate groups of the same display name.
     """
     grouped = (
-        _of(product, source)
+        of_source(product, source)
         .groupBy("language")
         .agg(
             F.count(F.lit(1)).alias("repo_count"),
@@ -103,6 +103,12 @@ def report_by_language(
     return top.withColumn("language", F.coalesce("language", F.lit(fx.NO_LANGUAGE)))
 
 
+def contains_term(name: Column, term: Column) -> Column:
+    """Whether a name contains a term in any case, `%` and `_` being wildcards."""
+    pattern = F.concat(F.lit("%"), F.replace(term, F.lit("\\"), F.lit("\\\\")), F.lit("%"))
+    return F.like(F.upper(name), F.upper(pattern))
+
+
 def report_search(
     product: DataFrame, term: str, n: int = fx.SEARCH_LIMIT, source: str = fx.SOURCE
 ) -> DataFrame:
@@ -110,12 +116,11 @@ def report_search(
 
     `%` and `_` in the term are wildcards; a backslash is an ordinary character.
     """
-    pattern = "%" + term.replace("\\", "\\\\") + "%"
     return (
-        _of(product, source)
-        .filter(F.like(F.upper("full_name"), F.upper(F.lit(pattern))))
+        of_source(product, source)
+        .filter(contains_term(F.col("full_name"), F.lit(term)))
         .select(*FIGURES, "last_updated")
-        .orderBy(*_riskiest_first())
+        .orderBy(*riskiest_first())
         .limit(n)
     )
 
@@ -132,10 +137,10 @@ def interpretation() -> Column:
 def report_repo(product: DataFrame, full_name: str | Column, source: str = fx.SOURCE) -> DataFrame:
     """One repository, its name matched in any case, with what its category means."""
     return (
-        _of(product, source)
+        of_source(product, source)
         .filter(F.upper("full_name") == F.upper(F.lit(full_name)))
         .select(*FIGURES, "last_updated", interpretation().alias("interpretation"))
-        .orderBy(*_riskiest_first())
+        .orderBy(*riskiest_first())
         .limit(1)
     )
 
@@ -148,8 +153,8 @@ def report_export(product: DataFrame, source: str = fx.SOURCE) -> DataFrame:
     """
     columns = TABLES["risk_product"].schema.names
     ties = [F.col(name).asc_nulls_last() for name in columns if name not in ("risk_score", "full_name")]
-    numbered = _of(product, source).select(*columns, F.monotonically_increasing_id().alias("row_id"))
-    return numbered.orderBy(*_riskiest_first(), *ties, "row_id").select(*columns)
+    numbered = of_source(product, source).select(*columns, F.monotonically_increasing_id().alias("row_id"))
+    return numbered.orderBy(*riskiest_first(), *ties, "row_id").select(*columns)
 
 
 def export_csv(product: DataFrame, path: str, source: str = fx.SOURCE) -> DataFrame:
