@@ -467,6 +467,8 @@ from (select count(*) as total_records, count(*) filter ({_INVALID}) as invalid_
    from (select p.risk_category, 1 + copies / times as k from risk_product p
          join (select *, count(*) over (partition by full_name) as times from twice) using (full_name))) c""",
     "status_table_stats": "select * exclude (last_load) from table_stats",
+    "status_stats_incremental": "select * exclude (last_load) from table_stats",
+    "status_incremental": "select * from status",
     "status_data_flow": "select * from data_flow",
     "status_last_loads": "select * from last_loads",
     "status_quality": "select * from quality",

@@ -37,6 +37,7 @@ from repovitals.streaming.arrivals import refresh_if_new, refresh_periodically
 from repovitals.streaming.event_hours import EventHours
 from repovitals.streaming.run_log import run_log_latest
 from repovitals.streaming.search_pages import SearchPages
+from repovitals.streaming.status_states import StatusStates
 
 __all__ = [
     "DeltaLayers",
@@ -44,6 +45,7 @@ __all__ = [
     "LayerStore",
     "NameSearch",
     "SearchPages",
+    "StatusStates",
     "cleanse_repositories",
     "commits_from_events",
     "contributors_agg",

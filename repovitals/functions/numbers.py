@@ -47,11 +47,15 @@ def percentage(part: str, whole: str, digits: int = 2) -> str:
     return f"round(cast({part} as {WHOLE}) * 100 / cast(nullif({whole}, 0) as {WHOLE}), {digits})"
 
 
+def mean_of(total: str, rows: str, digits: int = 2) -> str:
+    """SQL text: rounded average from a total and the number of rows in it."""
+    return f"round(cast({total} as {WHOLE}) / cast(nullif({rows}, 0) as {WHOLE}), {digits})"
+
+
 def mean(column: str, digits: int = 2) -> str:
     """SQL text: rounded average of a column of whole numbers, NULLs left out.
 
     The running total is a plain BIGINT or DOUBLE, which codegen keeps in registers; only the one
     division per group is decimal.
     """
-    rows = f"nullif(count({column}), 0)"
-    return f"round(cast(sum({column}) as {WHOLE}) / cast({rows} as {WHOLE}), {digits})"
+    return mean_of(f"sum({column})", f"count({column})", digits)

@@ -7,8 +7,9 @@ text because there are some two hundred of them.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,22 +24,38 @@ REPORTED = tuple(key for key in TABLES if key != "run_log")
 TWO_DECIMALS = "decimal(18,2)"  # always two of them, also in text form
 
 
-def _sum_if(condition: str) -> str:
+class Measure(NamedTuple):
+    """One figure of a table: an aggregate (sum, count_if, min, max, distinct or mean) of an expression."""
+
+    how: str
+    of: str
+
+    @property
+    def sql(self) -> str:
+        if self.how == "distinct":
+            return f"count(distinct {self.of})"
+        return mean(self.of) if self.how == "mean" else f"{self.how}({self.of})"
+
+
+def _sum_if(condition: str) -> Measure:
     """Number of rows that meet the condition; NULL for no rows, unlike a count."""
-    return f"sum(int({condition} is true))"
+    return Measure("sum", f"int({condition} is true)")
+
+
+NONE = Measure("sum", "0")
 
 
 def _in_category(name: str) -> str:
     return f"risk_category = '{name}'"
 
 
-def _span(column: str) -> dict[str, str]:
-    return {"oldest_record": f"min({column})", "newest_record": f"max({column})"}
+def _span(column: str) -> dict[str, Measure]:
+    return {"oldest_record": Measure("min", column), "newest_record": Measure("max", column)}
 
 
 #: What is measured per table and source beside the row count. `metric_1..3` are the table's own
 #: figures, `last_load` its newest load, and the tallies and the average feed single sections.
-MEASURES: dict[str, dict[str, str]] = {
+MEASURES: dict[str, dict[str, Measure]] = {
     "raw_repositories": {
         **_span("created_at"),
         "metric_1": _sum_if(blank("id")),
@@ -51,17 +68,17 @@ MEASURES: dict[str, dict[str, str]] = {
         "metric_3": _sum_if("recent_90_days_commits < 0"),
     },
     "raw_commits": {
-        "metric_1": "0",
+        "metric_1": NONE,
         "metric_2": _sum_if("commits_30d < 0"),
         "metric_3": _sum_if("commits_90d < 0"),
     },
     "raw_issues": {
-        "metric_1": "0",
+        "metric_1": NONE,
         "metric_2": _sum_if("open_issues < 0"),
         "metric_3": _sum_if("closed_issues < 0"),
     },
     "raw_releases": {
-        "metric_1": "0",
+        "metric_1": NONE,
         "metric_2": _sum_if("release_count < 0"),
         "metric_3": _sum_if("days_since_last_release < 0"),
     },
@@ -70,53 +87,53 @@ MEASURES: dict[str, dict[str, str]] = {
         "metric_1": _sum_if("not valid_flag"),
         "metric_2": _sum_if("stars = 0"),
         "metric_3": _sum_if("forks = 0"),
-        "last_load": "max(load_timestamp)",
-        "tally_1": "count_if(valid_flag)",
-        "tally_2": "count_if(not valid_flag)",
+        "last_load": Measure("max", "load_timestamp"),
+        "tally_1": Measure("count_if", "valid_flag"),
+        "tally_2": Measure("count_if", "not valid_flag"),
     },
     "hub_contributors": {
-        "metric_1": "count(distinct repo_full_name)",
-        "metric_2": "count(distinct contributor)",
-        "metric_3": mean("total_commits"),
-        "last_load": "max(load_timestamp)",
+        "metric_1": Measure("distinct", "repo_full_name"),
+        "metric_2": Measure("distinct", "contributor"),
+        "metric_3": Measure("mean", "total_commits"),
+        "last_load": Measure("max", "load_timestamp"),
     },
     "hub_commits": {
         **_span("last_commit_date"),
-        "metric_1": "count(distinct repo)",
-        "metric_3": mean("commits_90d"),
-        "last_load": "max(load_timestamp)",
+        "metric_1": Measure("distinct", "repo"),
+        "metric_3": Measure("mean", "commits_90d"),
+        "last_load": Measure("max", "load_timestamp"),
     },
     "hub_issues": {
-        "metric_1": "count(distinct repo)",
-        "metric_3": mean("open_issues + closed_issues"),
-        "last_load": "max(load_timestamp)",
+        "metric_1": Measure("distinct", "repo"),
+        "metric_3": Measure("mean", "open_issues + closed_issues"),
+        "last_load": Measure("max", "load_timestamp"),
     },
     "hub_releases": {
         **_span("last_release_date"),
-        "metric_1": "count(distinct repo)",
-        "metric_3": mean("release_count"),
-        "last_load": "max(load_timestamp)",
+        "metric_1": Measure("distinct", "repo"),
+        "metric_3": Measure("mean", "release_count"),
+        "last_load": Measure("max", "load_timestamp"),
     },
     "repo_entryline": {
         **_span("created_at"),
-        "metric_1": "count(distinct language)",
-        "metric_2": mean("stars"),
-        "metric_3": mean("commits_90d"),
-        "last_load": "max(enriched_at)",
-        "tally_1": "count_if(commits_90d = 0)",
-        "tally_2": "count_if(active_contributors_90d = 0)",
-        "tally_3": "count_if(release_count = 0)",
+        "metric_1": Measure("distinct", "language"),
+        "metric_2": Measure("mean", "stars"),
+        "metric_3": Measure("mean", "commits_90d"),
+        "last_load": Measure("max", "enriched_at"),
+        "tally_1": Measure("count_if", "commits_90d = 0"),
+        "tally_2": Measure("count_if", "active_contributors_90d = 0"),
+        "tally_3": Measure("count_if", "release_count = 0"),
     },
     "risk_product": {
         **_span("last_updated"),
-        "metric_1": "count(distinct risk_category)",
-        "metric_2": mean("risk_score"),
+        "metric_1": Measure("distinct", "risk_category"),
+        "metric_2": Measure("mean", "risk_score"),
         "metric_3": _sum_if(_in_category(fx.HIGH)),
-        "last_load": "max(last_updated)",
-        "tally_1": f"count_if({_in_category(fx.HIGH)})",
-        "tally_2": f"count_if({_in_category(fx.MEDIUM)})",
-        "tally_3": f"count_if({_in_category(fx.LOW)})",
-        "average": mean("risk_score"),
+        "last_load": Measure("max", "last_updated"),
+        "tally_1": Measure("count_if", _in_category(fx.HIGH)),
+        "tally_2": Measure("count_if", _in_category(fx.MEDIUM)),
+        "tally_3": Measure("count_if", _in_category(fx.LOW)),
+        "average": Measure("mean", "risk_score"),
     },
 }
 MEASURE_TYPES = {
@@ -137,16 +154,16 @@ MEASURE_TYPES = {
 FLOW_TARGETS = {"stg_repositories": "staged", "repo_entryline": "enriched", "risk_product": "curated"}
 
 
-def _measured(table: DataFrame, measures: dict[str, str], apart: bool) -> DataFrame:
+def _measured(table: DataFrame, measures: dict[str, Measure], apart: bool) -> DataFrame:
     """The measures per source. apart: each DISTINCT count after the first is made by itself.
 
     Two of them together would multiply all rows before they are shuffled. A NULL source is a
     group like any other when the parts, one row per source each, are laid over one another.
     """
-    distinct = [name for name, text in measures.items() if "distinct" in text][1:] if apart else []
+    distinct = [name for name, measure in measures.items() if measure.how == "distinct"][1:] if apart else []
 
     def grouped(names: list[str], *more: str) -> DataFrame:
-        columns = [F.expr(text) for text in more] + [F.expr(f"{measures[name]} as {name}") for name in names]
+        columns = [F.expr(text) for text in more] + [F.expr(f"{measures[name].sql} as {name}") for name in names]
         return table.groupBy("data_source").agg(*columns)
 
     parts = [grouped([name for name in measures if name not in distinct], "count(1) as record_count")]
@@ -157,6 +174,21 @@ def _measured(table: DataFrame, measures: dict[str, str], apart: bool) -> DataFr
     return stacked.groupBy("data_source").agg(*(F.max(name).alias(name) for name in ["record_count", *measures]))
 
 
+def profile_rows(key: str, counted: DataFrame) -> DataFrame:
+    """A table's measures per source as rows of the profile."""
+    return counted.selectExpr(
+        f"'{key}' as table_key",
+        f"'{TABLES[key].layer}' as layer",
+        f"'{TABLES[key].label}' as table_name",
+        "data_source",
+        "record_count",
+        *(
+            f"cast({name if name in MEASURES[key] else 'null'} as {kind}) as {name}"
+            for name, kind in MEASURE_TYPES.items()
+        ),
+    )
+
+
 def table_profile(
     tables: dict[str, DataFrame], keys: Iterable[str] = REPORTED, apart: bool = False
 ) -> DataFrame:
@@ -164,28 +196,16 @@ def table_profile(
 
     apart: see `_measured`; for reports that use several DISTINCT counts of a table.
     """
-
-    def profile(key: str) -> DataFrame:
-        measures = MEASURES[key]
-        counted = _measured(tables[key], measures, apart)
-        return counted.selectExpr(
-            f"'{key}' as table_key",
-            f"'{TABLES[key].layer}' as layer",
-            f"'{TABLES[key].label}' as table_name",
-            "data_source",
-            "record_count",
-            *(
-                f"cast({name if name in measures else 'null'} as {kind}) as {name}"
-                for name, kind in MEASURE_TYPES.items()
-            ),
-        )
-
-    return reduce(DataFrame.union, map(profile, keys))
+    return reduce(DataFrame.union, (profile_rows(key, _measured(tables[key], MEASURES[key], apart)) for key in keys))
 
 
 def status_table_stats(tables: dict[str, DataFrame]) -> DataFrame:
     """Row count, time span and three figures per table and source."""
-    return table_profile(tables, apart=True).select(
+    return stats_of(table_profile(tables, apart=True))
+
+
+def stats_of(profile: DataFrame) -> DataFrame:
+    return profile.select(
         "layer", "table_name", "data_source", "record_count",
         "oldest_record", "newest_record", "metric_1", "metric_2", "metric_3",
     )
@@ -196,10 +216,18 @@ def status_table_stats(tables: dict[str, DataFrame]) -> DataFrame:
 Line = tuple[str, dict[str, str]]
 
 
-def _lines(tables: dict[str, DataFrame], lines: list[Line], *, flow: bool = False) -> DataFrame:
+#: Gives the profile of the tables that are asked for.
+Profiles = Callable[[list[str]], DataFrame]
+
+
+def _read_profile(tables: dict[str, DataFrame]) -> Profiles:
+    return lambda keys: table_profile(tables, keys)
+
+
+def _lines(profiles: Profiles, lines: list[Line], *, flow: bool = False) -> DataFrame:
     """The lines as rows. Only the tables they are made from are read."""
     needed = {key for key, _ in lines} | (set(FLOW_TARGETS) if flow else set())
-    profile = table_profile(tables, [key for key in REPORTED if key in needed])
+    profile = profiles([key for key in REPORTED if key in needed])
     made = (
         f"case when table_key = '{key}' then struct("
         + ", ".join(f"{text} as {name}" for name, text in columns.items())
@@ -305,23 +333,23 @@ def _as_double(frame: DataFrame, column: str) -> DataFrame:
 
 def status_data_flow(tables: dict[str, DataFrame]) -> DataFrame:
     """How many rows each layer passed on to the next, per source of the earlier layer."""
-    flow = _lines(tables, _flow_lines(), flow=True)
+    flow = _lines(_read_profile(tables), _flow_lines(), flow=True)
     return _as_double(flow, "percent_complete")
 
 
 def status_last_loads(tables: dict[str, DataFrame]) -> DataFrame:
     """Newest load and row count per table and source."""
-    return _lines(tables, _load_lines())
+    return _lines(_read_profile(tables), _load_lines())
 
 
 def status_quality(tables: dict[str, DataFrame]) -> DataFrame:
     """Invalid rows and inactive repositories per source."""
-    return _as_double(_lines(tables, _quality_lines()), "metric_percent")
+    return _as_double(_lines(_read_profile(tables), _quality_lines()), "metric_percent")
 
 
 def status_risk(tables: dict[str, DataFrame]) -> DataFrame:
     """Category counts and average score per source."""
-    return _as_double(_lines(tables, _risk_lines()), "metric_percent")
+    return _as_double(_lines(_read_profile(tables), _risk_lines()), "metric_percent")
 
 
 def _report_line(order: int, section: str, **columns: str) -> dict[str, str]:
@@ -403,24 +431,26 @@ def _report_sections() -> dict[str, list[Line]]:
     }
 
 
-def _report(tables: dict[str, DataFrame], sections: Iterable[str]) -> DataFrame:
+def report_of(profiles: Profiles, sections: Iterable[str] | None = None) -> DataFrame:
+    """The report, or some sections of it, from profiles of the tables."""
     made = _report_sections()
+    sections = tuple(made if sections is None else sections)
     lines = [line for section in sections for line in made[section]]
     order = ("section_order", "data_source", "layer", "table_name", "metric_name")
-    report = _lines(tables, lines, flow=fx.SECTION_FLOW in sections)
+    report = _lines(profiles, lines, flow=fx.SECTION_FLOW in sections)
     return report.orderBy(*(F.col(name).asc_nulls_last() for name in order))
 
 
 def pipeline_status(tables: dict[str, DataFrame]) -> DataFrame:
     """The whole report: five sections as text, in one ten-column frame, sorted."""
-    return _report(tables, tuple(_report_sections()))
+    return report_of(_read_profile(tables))
 
 
 def status_section(tables: dict[str, DataFrame], section: str) -> DataFrame:
     """One section of the report, made from the tables it is about only."""
     if section not in _report_sections():
         raise ValueError(f"unknown section: {section!r}")
-    return _report(tables, (section,))
+    return report_of(_read_profile(tables), (section,))
 
 
 def create_status_view(tables: dict[str, DataFrame], name: str = "pipeline_status") -> None:

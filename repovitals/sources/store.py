@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import time
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from repovitals.schemas import TABLES, conform
 
 #: Rows that were only ever added. Later versions are numbered by time.
 VERSION_0 = "0" * 20
+#: How Spark names the folder of the NULL source.
+NULL_SOURCE = "__HIVE_DEFAULT_PARTITION__"
 SAFE_SOURCE = re.compile(r"[A-Za-z0-9_\-]+")
 
 
@@ -74,6 +77,15 @@ class LayerStore:
         """Numbers of the versions of any folder that readers may see, in order."""
         return [int(name.removeprefix("version=")) for name in self._committed(folder)]
 
+    def current_versions(self, key: str) -> dict[str | None, int]:
+        """The version that readers see of each source of a table; NULL and '' are one."""
+        found = {}
+        for name in self._folders(self.path(key), "data_source="):
+            versions, source = self.committed_versions(f"{self.path(key)}/{name}"), unquote(name.partition("=")[2])
+            if versions:
+                found[None if source == NULL_SOURCE else source] = versions[-1]
+        return found
+
     def drop_versions(self, folder: str, upto: int) -> None:
         """Remove the versions of a folder up to a number."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path

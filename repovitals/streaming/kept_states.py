@@ -21,6 +21,9 @@ FOLD_AFTER = 24
 class KeptStates:
     """States in a folder of a store. What they are, and how they are made and merged, a subclass says."""
 
+    #: Columns by which states are kept in folders, so that readers can leave some out.
+    partition_by: tuple[str, ...] = ()
+
     def __init__(self, store: LayerStore, name: str):
         self.store, self.spark = store, store.spark
         self.folder = f"{store.root}/{name}"
@@ -41,13 +44,20 @@ class KeptStates:
         """States of several batches, of which one key may have several, as one for each key."""
         raise NotImplementedError
 
+    def lasting(self, states: DataFrame) -> DataFrame:
+        """What is worth keeping when versions are folded."""
+        return states
+
+    def _write(self, states: DataFrame, path: str) -> None:
+        states.write.mode("overwrite").partitionBy(*self.partition_by).parquet(path)
+
     def _version(self, part: str, number: int) -> str:
         return f"{self.folder}/{part}/version={number:020d}"
 
     def _read(self, part: str, numbers: list[int]) -> DataFrame:
-        reader = self.spark.read.schema(self.schema())
+        reader = self.spark.read.schema(self.schema()).option("basePath", f"{self.folder}/{part}")
         paths = [self._version(part, number) for number in numbers]
-        return reader.parquet(*paths) if paths else self.spark.createDataFrame([], self.schema())
+        return reader.parquet(*paths).drop("version") if paths else self.spark.createDataFrame([], self.schema())
 
     def _folded_upto(self) -> int:
         return max(self.store.committed_versions(f"{self.folder}/folded"), default=0)
@@ -62,7 +72,7 @@ class KeptStates:
 
         def on_batch(batch: DataFrame, batch_id: int) -> None:
             # Batches count from 0, and a version above 0 is complete only once it is committed.
-            self.reduced(batch).write.mode("overwrite").parquet(self._version("batches", batch_id + 1))
+            self._write(self.reduced(batch), self._version("batches", batch_id + 1))
 
         writer = self.stream(landed).writeStream.foreachBatch(on_batch)
         writer.option("checkpointLocation", f"{self.folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
@@ -77,7 +87,7 @@ class KeptStates:
         if not numbers:
             return
         last = self._folded_upto()
-        self.states().write.mode("overwrite").parquet(self._version("folded", numbers[-1]))
+        self._write(self.lasting(self.states()), self._version("folded", numbers[-1]))
         self.store.drop_versions(f"{self.folder}/folded", last)
         self.store.drop_versions(f"{self.folder}/batches", numbers[-1])
 
