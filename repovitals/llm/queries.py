@@ -163,7 +163,8 @@ def _groups_sql(k: int, percent: int, columns: str) -> str:
     return rf"""
 WITH RECURSIVE docs AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                                                'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS words
+                                                'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS words
     FROM documents
 ), shingles AS (
     SELECT doc_id, unnest(list_distinct(list_transform(range(1, greatest(len(words) - {k - 1}, 1) + 1),
@@ -196,15 +197,16 @@ WITH urls AS (
     SELECT doc_id, max((quality = 0 OR toxic = 1)::INT) AS bad
     FROM labels WHERE quality = 0 OR toxic = 1 OR (quality IS NOT NULL AND toxic IS NOT NULL) GROUP BY doc_id
 ), named AS (
-    SELECT host, bad, string_split(regexp_replace(regexp_extract(host, '(?s)^(?:[^@]*@)?([^:@]*)', 1), '\.+$', ''), '.') AS parts
+    SELECT host, bad, regexp_replace(regexp_extract(host, '(?s)^(?:[^@]*@)?(\[[^\]]*\]|[^:@]*)', 1), '\.+$', '') AS name
     FROM urls LEFT JOIN known ON page_id = doc_id
 ), placed AS (
-    SELECT *, array_to_string(parts[-2:], '.') IN
+    SELECT *, string_split(name, '.') AS parts, regexp_full_match(name, '[0-9.]+') OR starts_with(name, '[') AS address,
+        array_to_string(parts[-2:], '.') IN
         ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'net.au', 'co.jp', 'ne.jp', 'co.nz', 'com.br', 'co.in') AS two
     FROM named
 ), hosts AS (
-    SELECT host, array_to_string(CASE WHEN two THEN parts[-3:] ELSE parts[-2:] END, '.') AS domain,
-           array_to_string(CASE WHEN two THEN parts[-2:] ELSE parts[-1:] END, '.') AS suffix,
+    SELECT host, CASE WHEN address THEN name ELSE array_to_string(CASE WHEN two THEN parts[-3:] ELSE parts[-2:] END, '.') END AS domain,
+           CASE WHEN address THEN '[]' ELSE array_to_string(CASE WHEN two THEN parts[-2:] ELSE parts[-1:] END, '.') END AS suffix,
            count(bad) AS n, coalesce(sum(bad), 0)::BIGINT AS bad
     FROM placed GROUP BY ALL
 ), domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL

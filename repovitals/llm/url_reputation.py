@@ -12,12 +12,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import stored, workspace
+
 ALLOW, BLOCK = "allow", "block"
 #: A host goes if its share of bad pages exceeds the limit by so many posterior standard deviations.
 MAX_BAD = 0.5
 DEVIATIONS = 1.645
 #: Suffixes of two labels under which names are registered; all other suffixes are the last label.
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "net.au", "co.jp", "ne.jp", "co.nz", "com.br", "co.in")
+#: Hosts that are numbers, or in brackets, are no names: each is its own domain, and all share one suffix.
+ADDRESS = r"(?s)^([0-9.]+|\[.*)$"
+ADDRESSES = "[]"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Limits of the estimated correlation within a group: neither no scatter at all nor nothing but it.
 _LEAST_SCATTER, _MOST_SCATTER = 0.001, 0.9
@@ -35,18 +40,20 @@ def url_path(url: Column) -> Column:
 
 def _name(host: Column) -> Column:
     """A host without user, port and final dots."""
-    return F.regexp_replace(F.regexp_extract(host, r"(?s)^(?:[^@]*@)?([^:@]*)", 1), r"\.+$", "")
+    return F.regexp_replace(F.regexp_extract(host, r"(?s)^(?:[^@]*@)?(\[[^\]]*\]|[^:@]*)", 1), r"\.+$", "")
 
 
 def suffix_of(name: Column) -> Column:
     last_two = F.substring_index(name, ".", -2)
-    return F.when(last_two.isin(*TWO_LABEL_SUFFIXES), last_two).otherwise(F.substring_index(name, ".", -1))
+    named = F.when(last_two.isin(*TWO_LABEL_SUFFIXES), last_two).otherwise(F.substring_index(name, ".", -1))
+    return F.when(name.rlike(ADDRESS), ADDRESSES).otherwise(named)
 
 
 def domain_of(name: Column) -> Column:
-    """The suffix and one label before it."""
+    """The suffix and one label before it; an address as a whole."""
     last_two = F.substring_index(name, ".", -2)
-    return F.when(last_two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(name, ".", -3)).otherwise(last_two)
+    named = F.when(last_two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(name, ".", -3)).otherwise(last_two)
+    return F.when(name.rlike(ADDRESS), name).otherwise(named)
 
 
 def rule_for(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:
@@ -84,19 +91,22 @@ def host_reputations(outcomes: DataFrame) -> DataFrame:
     """Rows (host, n_labelled, n_bad, bad_share, bad_bound) of all hosts in outcomes (host, bad).
 
     bad: 1, 0, or NULL where the outcome is not known. bad_share is the posterior mean; bad_bound lies
-    DEVIATIONS posterior standard deviations below it.
+    DEVIATIONS posterior standard deviations below it. Each level is stored, so that its strength and its
+    members' means are made from rows that are there, not from the outcomes again.
     """
+    place = workspace(outcomes.sparkSession)
     hosts = outcomes.groupBy("host").agg(
         F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("bad")
     )
     name = _name(F.col("host"))
     hosts = hosts.select("host", "n", "bad", domain_of(name).alias("domain"), suffix_of(name).alias("suffix"))
+    hosts = stored(hosts, f"{place}/hosts")
     sums = (F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    domains = hosts.groupBy("domain", "suffix").agg(*sums)
-    suffixes = domains.groupBy("suffix").agg(*sums)
-    by_suffix = _shrunk(suffixes, "suffix", None, None)
-    by_domain = _shrunk(domains, "domain", by_suffix, "suffix")
-    met = hosts.join(by_domain, "domain")
+    domains = stored(hosts.groupBy("domain", "suffix").agg(*sums), f"{place}/domains")
+    suffixes = stored(domains.groupBy("suffix").agg(*sums), f"{place}/suffixes")
+    by_suffix = stored(_shrunk(suffixes, "suffix", None, None), f"{place}/by_suffix")
+    by_domain = stored(_shrunk(domains, "domain", by_suffix, "suffix"), f"{place}/by_domain")
+    met = stored(hosts.join(by_domain, "domain"), f"{place}/met")
     strength = _strength(met.where("n > 0"))
     a = F.col("bad") + strength * F.col("mean")
     b = F.col("n") - F.col("bad") + strength * (1 - F.col("mean"))

@@ -53,6 +53,18 @@ def test_names(spark):
     assert got == [("b.co.uk", "co.uk"), ("b.com", "com"), ("com", "com"), ("", "")]
 
 
+def test_addresses_share_no_domain(spark):
+    frame = spark.createDataFrame([("10.0.0.1",), ("7.9.0.1",), ("[::1]",), ("1.example.com",), ("a.10",)], "h string")
+    got = [tuple(r) for r in frame.select(domain_of(F.col("h")), suffix_of(F.col("h"))).collect()]
+    assert got == [("10.0.0.1", "[]"), ("7.9.0.1", "[]"), ("[::1]", "[]"), ("example.com", "com"), ("a.10", "10")]
+    rows = [(i, f"http://{('10.0.0.1', '7.9.0.1:80', 'u@[::1]:8080')[i % 3]}/{i}") for i in range(90)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "page_id long, bad int")
+    judged = judge_urls(spark.createDataFrame(rows, "page_id long, url string"), labels, [])
+    assert {(r.host, r.verdict) for r in judged.collect()} == {
+        ("10.0.0.1", BLOCK), ("7.9.0.1:80", ALLOW), ("u@[::1]:8080", ALLOW)
+    }
+
+
 def vectors(n, size=16, seed=1):
     return np.random.default_rng(seed).standard_normal((n, size)).astype(np.float32)
 
