@@ -81,9 +81,9 @@ class TableStates(KeptStates):
 
     def _beside_current(self, states: DataFrame) -> DataFrame:
         """With the snapshot that readers see of the source; the sources are as few as folders of the table."""
-        seen = self.store.current_versions(self.key)
-        current = self.spark.createDataFrame(list(seen.items()), "source string, current bigint")
-        return states.join(current, states["data_source"].eqNullSafe(current["source"]), "left").drop("source")
+        seen = [F.lit(item) for source, version in self.store.current_versions(self.key).items() for item in (source or "", version)]
+        current = F.create_map(*seen)[F.coalesce("data_source", F.lit(""))] if seen else F.lit(None)
+        return states.withColumn("current", current.cast("bigint"))
 
     def lasting(self, states: DataFrame) -> DataFrame:
         # A snapshot that is newer than the one seen may be about to be committed.
