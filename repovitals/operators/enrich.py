@@ -53,7 +53,7 @@ def _left_join_salted(left: DataFrame, hub: DataFrame, names: DataFrame) -> Data
     are spread and a task run again deals alike.
     """
     known = F.broadcast(
-        frequent_names(hub).join(names.withColumn("wanted", F.lit(True)), "full_name", "left")
+        frequent_names(hub).join(names.withColumn("wanted", F.lit(True)).hint("merge"), "full_name", "left")
     )
     dealt = (
         hub.withColumn("place", F.monotonically_increasing_id())
@@ -66,7 +66,7 @@ def _left_join_salted(left: DataFrame, hub: DataFrame, names: DataFrame) -> Data
     copied = left.join(known, "full_name", "left").withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))
     )
-    joined = copied.join(dealt, ["full_name", "salt"], "left")
+    joined = copied.join(dealt.hint("merge"), ["full_name", "salt"], "left")
     return joined.filter("salts is null or met").drop("salt", "salts", "wanted", "met")
 
 
@@ -99,7 +99,8 @@ def enrich(
 
     Several hub rows of one repository give several output rows. Contributors come as one row per
     repository; each hub is read for its counts of names and for its rows, and joined with frequent
-    names salted.
+    names salted. Both sides of these joins grow with the input, and their files are small for their rows:
+    the merge hint keeps Spark from sending one whole through the driver for the size of its files.
     """
     of_source = F.col("data_source") == source
     valid = stage.filter(of_source & F.col("valid_flag")).drop(
@@ -117,7 +118,7 @@ def enrich(
     hubs = [activity(hub) for hub in (commits, issues, releases)]
 
     names = valid.select("full_name").distinct()
-    joined = valid.join(people, "full_name", "left")
+    joined = valid.join(people.hint("merge"), "full_name", "left")
     for hub in hubs:
         joined = _left_join_salted(joined, hub, names)
 

@@ -104,18 +104,18 @@ class DeltaLayers:
             bucket = self._bucket("full_name").alias("bucket")
             buckets = [row.bucket for row in cleansed.select(bucket).distinct().collect()]
             names = cleansed.select("full_name").distinct()
-            old = self._read("stg_repositories", buckets).select(*columns).join(names, "full_name", "left_semi").select(*columns)
+            old = self._read("stg_repositories", buckets).select(*columns).join(names.hint("merge"), "full_name", "left_semi").select(*columns)
             latest = latest_per_name(old.unionByName(cleansed.select(*columns)))
             before = old.select("full_name", F.struct(*columns).alias("before"))
             same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"before.{c}")) for c in columns if c != "load_timestamp"))
             kind = F.when(F.col("before").isNull(), "new").when(same, "unchanged").otherwise("changed")
-            sorted_out = latest.join(before, "full_name", "left").withColumn("kind", kind)
+            sorted_out = latest.join(before.hint("merge"), "full_name", "left").withColumn("kind", kind)
             sorted_out.select(*columns, bucket, "kind").write.mode("overwrite").parquet(path)
         upserts = self.spark.read.schema(schema).parquet(path)
         changed = upserts.filter("kind <> 'unchanged'")
         buckets = [row.bucket for row in changed.select("bucket").distinct().collect()]
         if buckets:
-            others = self._read("stg_repositories", buckets).select(*columns).join(changed.select("full_name"), "full_name", "left_anti")
+            others = self._read("stg_repositories", buckets).select(*columns).join(changed.select("full_name").hint("merge"), "full_name", "left_anti")
             self._replace("stg_repositories", others.select(*columns).unionByName(changed.select(*columns)), buckets, load)
         return upserts
 
@@ -141,11 +141,11 @@ class DeltaLayers:
 
         def of_touched(key: str, name: str = "full_name") -> DataFrame:
             rows = self._read(key, buckets).select(*TABLES[key].schema.names)
-            return rows.join(touched.withColumnRenamed("full_name", name), name, "left_semi").select(*rows.columns)
+            return rows.join(touched.withColumnRenamed("full_name", name).hint("merge"), name, "left_semi").select(*rows.columns)
 
         def others(key: str) -> DataFrame:
             rows = self._read(key, buckets).select(*TABLES[key].schema.names)
-            return rows.join(touched, "full_name", "left_anti").select(*rows.columns)
+            return rows.join(touched.hint("merge"), "full_name", "left_anti").select(*rows.columns)
 
         hubs = [of_touched(key, name) for key, (_, _, name) in HUBS.items()]
         enriched = enrich(of_touched("stg_repositories"), *hubs, as_of, self.source)

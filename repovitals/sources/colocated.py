@@ -59,7 +59,7 @@ def write_colocated(
         key: hub.filter(of_source).drop("data_source", "load_timestamp").withColumnRenamed("repo", "full_name")
         for key, hub in zip(HUBS, (commits, issues, releases), strict=True)
     }
-    names = valid.select("full_name").distinct().withColumn("wanted", F.lit(True))
+    names = valid.select("full_name").distinct().withColumn("wanted", F.lit(True)).hint("merge")
     salted = F.broadcast(salted_names(hubs, buckets).join(names, "full_name", "left"))
 
     def write(key: str, frame: DataFrame) -> None:

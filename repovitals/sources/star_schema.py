@@ -6,7 +6,8 @@ defects (blanks, NULLs, negative and excessive counters, padded duplicates) exer
 they follow from the keys, so another engine can derive the same rows.
 
 Line items are always reduced to one row per part (and supplier) before they meet another table, so
-a part that holds a large share of all lines is combined in the map tasks.
+a part that holds a large share of all lines is combined in the map tasks. No table is broadcast: the merge
+hints say so, as Spark would go by the size of the files.
 """
 
 from __future__ import annotations
@@ -82,7 +83,7 @@ def raw_repositories(spark: SparkSession, folder: str) -> DataFrame:
 
 def _named(per_part: DataFrame, part: DataFrame) -> DataFrame:
     return per_part.join(
-        part.select("p_partkey", _repository_name().alias("repository")),
+        part.select("p_partkey", _repository_name().alias("repository")).hint("merge"),
         F.col("l_partkey") == F.col("p_partkey"),
     )
 
@@ -146,7 +147,7 @@ def raw_issues(spark: SparkSession, folder: str) -> DataFrame:
     status = F.col("o_orderstatus")
     per_part = (
         table(spark, folder, "lineitem")
-        .join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(table(spark, folder, "orders").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy("l_partkey")
         .agg(
             F.count_if(status == "O").alias("opened"),

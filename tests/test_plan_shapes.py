@@ -8,6 +8,7 @@ from repovitals import fixed_values as fx
 from repovitals.functions.times import ntz
 from repovitals.plans import monitoring
 from repovitals.schemas import TABLES
+from repovitals.sources import star_schema
 
 
 def plan(df):
@@ -94,3 +95,16 @@ def test_as_of_takes_aware_times(spark):
 
     aware = NOW.replace(tzinfo=timezone(timedelta(hours=2)))
     assert spark.range(1).select(ntz(aware).alias("t")).first().t == NOW - timedelta(hours=2)
+
+
+def test_enrich_broadcasts_frequent_names_only(filled, as_of):
+    keys = ("stg_repositories", "hub_contributors", "hub_commits", "hub_issues", "hub_releases")
+    text = plan(rv.enrich(*map(filled.read, keys), as_of))
+    # A hub's frequent names meet its rows and the staged side; nothing else is small at every size.
+    assert text.count("BroadcastHashJoin") == 6 and text.count("SortMergeJoin") == 7
+
+
+def test_raw_tables_are_derived_without_broadcasts(spark):
+    for key in ("raw_contributors", "raw_commits", "raw_issues", "raw_releases"):
+        text = plan(star_schema.RAW_DERIVATIONS[key](spark, "/root/testdata/sf0.001"))
+        assert "Broadcast" not in text and "SortMergeJoin" in text
