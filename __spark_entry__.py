@@ -260,17 +260,20 @@ def _search_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _search_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search pages that land in three arrivals, later pages first, taken after each."""
     store = rv.LayerStore(spark, session_folder(spark))
-    pages, landed = rv.SearchPages(store), f"{store.root}/landed"
-    bodies = star_schema.search_pages(spark, sf_dir).select(
-        F.col("page"), F.concat(F.lit("page_"), F.col("page").cast("string")).alias("file"), F.to_json(F.struct("items")).alias("value")
-    )
+    pages, landed = rv.SearchPages(store, packed=True), f"{store.root}/landed"
+    found = star_schema.search_pages(spark, sf_dir)
     for rest in (2, 0, 1):
-        arrival = bodies.filter(F.col("page") % 3 == rest).drop("page")
-        arrival.repartition("file").write.mode("append").partitionBy("file").text(landed)
-        pages.absorb(f"{landed}/*")
+        _page_lines(found.filter(F.col("page") % 3 == rest)).write.mode("append").text(landed)
+        pages.absorb(landed)
     return pages.repositories()
 
 
+def _page_lines(pages: DataFrame) -> DataFrame:
+    """Search pages as landed in packed files: a line each, with the page's name."""
+    name = F.concat(F.lit("page_"), F.col("page").cast("string")).alias("page")
+    return pages.select(F.to_json(F.struct(name, "items")).alias("value"))
+
+
 def _enrich_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enrich over bucketed tables, written first."""
     store, prefix = full_store(spark, sf_dir), f"colocated_{uuid.uuid4().hex}"
@@ -303,14 +306,10 @@ def _union_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _search_page_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the search pages as JSON documents, one file each, and read them back in their order."""
+    """Write the search pages as JSON documents, many a file, and read them back in the pages' order."""
     folder = session_folder(spark)
-    pages = star_schema.search_pages(spark, sf_dir)
-    body = pages.select(
-        F.concat(F.lit("page_"), F.col("page").cast("string")).alias("file"), F.to_json(F.struct("items")).alias("value")
-    )
-    body.repartition("file").write.partitionBy("file").text(folder)
-    return rv.repos_from_search(rv.read_search_pages(spark, f"{folder}/*"))
+    _page_lines(star_schema.search_pages(spark, sf_dir)).write.text(folder)
+    return rv.repos_from_search(rv.read_search_pages(spark, folder, packed=True))
 
 
 def _enrich_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:

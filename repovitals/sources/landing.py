@@ -14,6 +14,7 @@ from repovitals.schemas import EVENT_LINE, SEARCH_ITEM, TABLES
 
 CORRUPT = "_corrupt"
 _PAGE = StructType([StructField("items", ArrayType(SEARCH_ITEM))])
+_NAMED_PAGE = StructType([StructField("page", StringType()), *_PAGE.fields])
 
 
 def read_event_log(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -50,27 +51,35 @@ def known_events(lines: DataFrame) -> DataFrame:
     return lines.filter(F.col(CORRUPT).isNull() & known).drop(CORRUPT)
 
 
-def read_search_pages(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def read_search_pages(spark: SparkSession, paths: str | list[str], packed: bool = False) -> DataFrame:
     """Landed search responses, one JSON document per file, ordered by path.
 
     Numbers in the path count as numbers: page_2 comes before page_10. Files of equal name in several
     folders are told apart, and ordered, by their whole paths.
+
+    packed: files hold many pages, a JSON document in each line with the page's name in `page`. The name takes
+    the place of the path; pages of equal name are ordered by path. So a large crawl is not as many files.
     """
-    return _placed_pages(spark.read.schema(_PAGE).option("multiLine", True).json(paths))
+    return _placed_pages(_page_options(spark.read, packed).json(paths), packed)
+
+
+def stream_search_pages(spark: SparkSession, paths: str, packed: bool = False) -> DataFrame:
+    """The same as a stream of the files that land below `paths`; a file is known by its whole path."""
+    return _placed_pages(_page_options(spark.readStream, packed).json(paths), packed)
 
 
-def stream_search_pages(spark: SparkSession, paths: str) -> DataFrame:
-    """The same as a stream of the pages that land below `paths`; a page is known by its whole path."""
-    return _placed_pages(spark.readStream.schema(_PAGE).option("multiLine", True).json(paths))
+def _page_options(reader, packed: bool):
+    return reader.schema(_NAMED_PAGE) if packed else reader.schema(_PAGE).option("multiLine", True)
 
 
-def _placed_pages(pages: DataFrame) -> DataFrame:
-    return pages.select(_page_order(F.col("_metadata.file_path")).alias("page"), "items")
+def _placed_pages(pages: DataFrame, packed: bool) -> DataFrame:
+    path = F.col("_metadata.file_path")
+    return pages.select(_page_order(F.col("page") if packed else path, path).alias("page"), "items")
 
 
-def _page_order(path: Column) -> Column:
-    """The path with each number behind its number of digits, so that text order is number order."""
-    parts = F.regexp_extract_all(path, F.lit("[0-9]+|[^0-9]+"), F.lit(0))
+def _page_order(name: Column, path: Column) -> Column:
+    """The name with each number behind its number of digits, so that text order is number order; then the path."""
+    parts = F.regexp_extract_all(name, F.lit("[0-9]+|[^0-9]+"), F.lit(0))
 
     def sortable(part: Column) -> Column:
         digits = F.ltrim(part, F.lit("0"))

@@ -17,17 +17,18 @@ from repovitals.streaming.kept_states import KeptStates
 
 
 class SearchPages(KeptStates):
-    """The first items of all pages taken so far."""
+    """The first items of all pages taken so far. packed: see `read_search_pages`."""
 
-    def __init__(self, store: LayerStore, name: str = "search_pages"):
+    def __init__(self, store: LayerStore, name: str = "search_pages", packed: bool = False):
         super().__init__(store, name)
+        self.packed = packed
 
     def schema(self) -> str:
         place = "struct<page: struct<order: string, path: string>, position: int>"
         return f"id bigint, place {place}, item {SEARCH_ITEM.simpleString()}"
 
     def stream(self, landed: str) -> DataFrame:
-        return stream_search_pages(self.spark, landed)
+        return stream_search_pages(self.spark, landed, self.packed)
 
     def reduced(self, batch: DataFrame) -> DataFrame:
         items = batch.select("page", F.posexplode("items").alias("position", "item"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from repovitals import (
     LayerStore,
+    SearchPages,
     read_event_log,
     read_search_pages,
     repos_from_search,
@@ -187,3 +188,16 @@ def test_a_failed_overwrite_leaves_the_old_rows(store, frame, as_of, mode):
     assert rows(store.read("raw_issues"), "data_source", "repo") == [("git_hub", "a"), ("git_lab", "b")]
     write_raw(store, "raw_issues", frame("raw_issues", [{"repo": "c"}]), as_of, mode)
     assert ("git_hub", "c") in rows(store.read("raw_issues"), "data_source", "repo")
+
+
+def test_packed_pages_are_ordered_by_their_names(spark, tmp_path):
+    def line(page, *ids):
+        return json.dumps({"page": page, "items": [{"id": i, "full_name": f"{page}/{i}"} for i in ids]})
+
+    (tmp_path / "b.json").write_text("\n".join([line("page_10", 1, 2), "no page", line("page_2", 2, 3)]) + "\n")
+    (tmp_path / "a.json").write_text(line("page_10", 2, 4, 1) + "\n")
+    found = repos_from_search(read_search_pages(spark, str(tmp_path), packed=True))
+    assert rows(found, "id", "full_name") == [("1", "page_10/1"), ("2", "page_2/2"), ("3", "page_2/3"), ("4", "page_10/4")]
+    pages = SearchPages(LayerStore(spark, str(tmp_path / "store")), packed=True)
+    pages.absorb(str(tmp_path / "*.json"))
+    assert rows(pages.repositories()) == rows(found)
