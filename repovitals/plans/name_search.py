@@ -2,8 +2,8 @@
 
 A gram is a run of one, two or three characters of an upper-cased name; the empty gram stands for any
 name. The pieces of a term between its wildcards are cut into grams as long as they allow, so each term
-has at least one. The names that hold all grams of a term are found by equality, then held against the
-term by LIKE. No term needs all pairs of terms and names.
+has at least one. The names that hold the rarest gram of a term are found by equality, then held against its
+other grams and the term by LIKE. No term needs all pairs of terms and names.
 """
 
 from __future__ import annotations
@@ -89,7 +89,10 @@ class NameSearch:
         empty = F.lit("")
         held = self.postings().where((F.col("bucket") == self._bucket(empty)) & (F.col("gram") == empty))
         wanted = names.select("full_name").where(F.col("full_name").isNotNull()).distinct()
-        new = wanted.join(held.select("full_name"), "full_name", "left_anti")
+        new = wanted.join(held.select("full_name").hint("merge"), "full_name", "left_anti")
+        # Names are small and make many postings: dealt to as many tasks as a shuffle has, not by their own size.
+        # By a hash, as Spark leaves out a repartition by the column that the join has dealt by.
+        new = new.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("full_name"))
         postings = new.select(F.explode(name_grams(F.col("full_name"))).alias("gram"), "full_name")
         folded, added = self._versions()
         number = max([folded, *added]) + 1
@@ -104,17 +107,18 @@ class NameSearch:
             .where(F.col("term").isNotNull())
             .distinct()
             .withColumn("grams", term_grams(F.col("term")))
-            .select("term", F.size("grams").alias("n_grams"), F.explode("grams").alias("gram"))
+            .select("term", "grams", F.explode("grams").alias("gram"))
             .withColumn("bucket", self._bucket(F.col("gram")))
         )
         buckets = [row.bucket for row in wanted.select("bucket").distinct().collect()]  # at most self.buckets
+        postings = self.postings().where(F.col("bucket").isin(buckets))
+        counts = postings.groupBy("bucket", "gram").agg(F.count(F.lit(1)).alias("n"))
+        fewest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "bucket", "gram", "grams"))
+        rarest = wanted.join(counts, ["bucket", "gram"], "left").groupBy("term").agg(fewest.alias("rarest"))
+        holds_all = F.forall("grams", lambda gram: F.contains(F.upper("full_name"), gram))
         return (
-            self.postings()
-            .where(F.col("bucket").isin(buckets))
-            .join(wanted, ["bucket", "gram"])
-            .groupBy("term", "full_name")
-            .agg(F.count(F.lit(1)).alias("met"), F.max("n_grams").alias("n_grams"))
-            .where(F.col("met") >= F.col("n_grams"))
+            postings.join(rarest.select("term", "rarest.bucket", "rarest.gram", "rarest.grams"), ["bucket", "gram"])
+            .where(holds_all)
             .select("term", "full_name")
         )
 
@@ -130,7 +134,7 @@ class NameSearch:
         return (
             of_source(product, source)
             .select(*FIGURES, "last_updated")
-            .join(found, "full_name")
+            .join(found.hint("merge"), "full_name")
             .withColumn("place", place.cast("long"))
             .where(F.col("place") <= n)
             .select("term", "place", *FIGURES, "last_updated")

@@ -98,3 +98,20 @@ def test_plan_prunes_files_and_has_no_pairs(spark, store, product):
     assert re.search(r"PartitionFilters: \[[^\]]*bucket", plan)
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert "WindowGroupLimit" in plan
+
+
+def test_only_the_rarest_gram_of_a_term_is_looked_up(spark, store, product):
+    index = NameSearch(store)
+    index.add(product)
+    found = index.candidates(terms_of(spark, ["repo-17"]))
+    assert rows(found) == [("repo-17", "brand1/repo-17")]
+    # REP, EPO, PO- and O-1 are in many names, -17 in one: names meet a term once, and are not grouped by it after.
+    above = found._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[0]
+    assert "Aggregate" not in above
+
+
+def test_names_of_an_addition_are_dealt_to_many_tasks(spark, store, monkeypatch):
+    tasks = []
+    monkeypatch.setattr(NameSearch, "_write", lambda self, postings, path: tasks.append(postings.rdd.getNumPartitions()))
+    NameSearch(store).add(spark.range(1000).selectExpr("concat('r', id) as full_name"))
+    assert tasks == [int(spark.conf.get("spark.sql.shuffle.partitions"))]
