@@ -93,7 +93,9 @@ class NameSearch:
         # Names are small and make many postings: dealt to as many tasks as a shuffle has, not by their own size.
         # By a hash, as Spark leaves out a repartition by the column that the join has dealt by.
         new = new.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("full_name"))
-        postings = new.select(F.explode(name_grams(F.col("full_name"))).alias("gram"), "full_name")
+        # There is always a gram; a plain explode would be guarded by a filter that cuts names, and terms, once
+        # more, and each copy of them, as Spark pushes it below the distinct.
+        postings = new.select(F.explode_outer(name_grams(F.col("full_name"))).alias("gram"), "full_name")
         folded, added = self._versions()
         number = max([folded, *added]) + 1
         self._write(postings.withColumn("bucket", self._bucket(F.col("gram"))), self._version("added", number))
@@ -107,7 +109,7 @@ class NameSearch:
             .where(F.col("term").isNotNull())
             .distinct()
             .withColumn("grams", term_grams(F.col("term")))
-            .select("term", "grams", F.explode("grams").alias("gram"))
+            .select("term", "grams", F.explode_outer("grams").alias("gram"))
             .withColumn("bucket", self._bucket(F.col("gram")))
         )
         buckets = [row.bucket for row in wanted.select("bucket").distinct().collect()]  # at most self.buckets

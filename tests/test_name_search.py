@@ -115,3 +115,12 @@ def test_names_of_an_addition_are_dealt_to_many_tasks(spark, store, monkeypatch)
     monkeypatch.setattr(NameSearch, "_write", lambda self, postings, path: tasks.append(postings.rdd.getNumPartitions()))
     NameSearch(store).add(spark.range(1000).selectExpr("concat('r', id) as full_name"))
     assert tasks == [int(spark.conf.get("spark.sql.shuffle.partitions"))]
+
+
+def test_terms_are_cut_into_grams_once_each_and_not_in_every_copy(spark, store, product):
+    index = NameSearch(store)
+    index.add(product)
+    copies = spark.range(100).selectExpr("concat('term', id % 2) as term")
+    text = index.candidates(copies)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in text.splitlines() if "Filter" in line and "split(" in line]
+    assert not filters
