@@ -166,32 +166,40 @@ def _root(of: dict, x: int) -> int:
     return x
 
 
+def _join(of: dict, x: int, y: int) -> None:
+    """Join two components; a component's root is its least node."""
+    one, two = _root(of, x), _root(of, y)
+    of[max(one, two)] = min(one, two)
+
+
+def _stars(of: dict) -> list[tuple[int, int]]:
+    """An edge from every node to the root of its component: a graph that later steps find done."""
+    return [(x, root) for x in list(of) if (root := _root(of, x)) != x]
+
+
 def _sets(texts, k: int) -> list[np.ndarray]:
     return [shingle_set(words, k) for words in word_hashes([text or b"" for text in texts])]
 
 
 def _confirm(k: int, percent: int):
-    """Of the pairs of a block those that link on full sets, less those that others already join."""
+    """Edges (a, b) from a block's sets to the least set they reach over those of its pairs that link on full sets."""
 
     def run(key, pairs, texts):
         import pandas as pd
 
         sets = dict(zip(texts["sid"], _sets(texts["text"], k), strict=True))
         root: dict[int, int] = {}
-        out = []
         for a, b in zip(pairs["a"].tolist(), pairs["b"].tolist(), strict=True):
-            one, two = _root(root, a), _root(root, b)
-            if one != two and a in sets and b in sets and linked(sets[a], sets[b], percent):
-                root[one] = two
-                out.append((a, b))
+            if _root(root, a) != _root(root, b) and a in sets and b in sets and linked(sets[a], sets[b], percent):
+                _join(root, a, b)
         release()
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        return pd.DataFrame(_stars(root), columns=["a", "b"], dtype="int64")
 
     return run
 
 
 def _confirm_blocks(k: int, percent: int):
-    """Links (a, b) between sets of different components in a block, or across two blocks; one for each join.
+    """Edges (a, b) between the labels of components whose sets link in a block, or across two blocks.
 
     Every pair of different components has a member outside the one that is most frequent here, so only
     those count their overlaps with all others.
@@ -202,15 +210,14 @@ def _confirm_blocks(k: int, percent: int):
 
         sets = _sets(frame["text"], k)
         sizes = np.array([len(s) for s in sets])
-        sids, side = frame["sid"].to_numpy(), frame["block"].to_numpy()
-        label = np.unique(frame["label"].to_numpy(), return_inverse=True)[1]
+        side = frame["block"].to_numpy()
+        names, label = np.unique(frame["label"].to_numpy(), return_inverse=True)
         codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
         by_code = np.argsort(codes, kind="stable")
         owners = np.repeat(np.arange(len(sets)), sizes)[by_code]
         bounds = np.searchsorted(codes[by_code], np.arange(codes.max(initial=-1) + 2))
         own = np.split(codes, np.cumsum(sizes)[:-1])
         root: dict[int, int] = {}
-        out = []
         for i in np.flatnonzero(label != np.bincount(label).argmax()).tolist():
             shared = own[i][bounds[own[i] + 1] - bounds[own[i]] > 1].tolist()
             if not shared:
@@ -220,12 +227,9 @@ def _confirm_blocks(k: int, percent: int):
             if key[0] != key[1]:
                 met &= side != side[i]
             for j in np.flatnonzero(met).tolist():
-                one, two = _root(root, int(label[i])), _root(root, int(label[j]))
-                if one != two:
-                    root[one] = two
-                    out.append((sids[i], sids[j]))
+                _join(root, int(label[i]), int(label[j]))
         release()
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        return pd.DataFrame([(names[x], names[y]) for x, y in _stars(root)], columns=["a", "b"], dtype="int64")
 
     return run
 
@@ -295,9 +299,11 @@ def minmax_groups(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     by_hub = _hub_links(pairs, members, sources, k, percent, folder)
     roots = connected_components(by_hub, f"{folder}/hub_components")
     across = _links_across(members, roots, sources, k, percent, folder)
-    components = connected_components(by_hub.unionByName(across), f"{folder}/components")
-    own = classes.select("digest", "sid", "first_id").join(components, F.col("sid") == F.col("node"), "left")
-    own = stored(own.select("digest", "first_id", F.coalesce("root", "sid").alias("root")), f"{folder}/rooted")
+    joined = connected_components(across, f"{folder}/components")
+    joined = joined.select(F.col("node").alias("label"), F.col("root").alias("joined"))
+    own = classes.select("digest", "sid", "first_id").join(roots, F.col("sid") == F.col("node"), "left")
+    own = own.select("digest", "first_id", F.coalesce("root", "sid").alias("label")).join(joined, "label", "left")
+    own = stored(own.select("digest", "first_id", F.coalesce("joined", "label").alias("root")), f"{folder}/rooted")
     least = stored(own.groupBy("root").agg(F.min("first_id").alias("component")), f"{folder}/least")
     answers = stored(own.join(least, "root").select("digest", "component"), f"{folder}/answers")
     component = F.coalesce("component", "doc_id")
@@ -314,7 +320,7 @@ def minmax_groups(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFr
 
 
 def _hub_links(pairs: DataFrame, members: DataFrame, sources: DataFrame, k: int, percent: int, folder: str) -> DataFrame:
-    """Those of the pairs (a, b) that link, less those that others already join."""
+    """Edges (a, b) that join the sets whose pairs link."""
     ends = [members.select(F.col("sid").alias(end), F.col("block").alias(f"block_{end}")) for end in ("a", "b")]
     blocks = F.least("block_a", "block_b").alias("low"), F.greatest("block_a", "block_b").alias("high")
     dealt = stored(pairs.join(ends[1], "b").join(ends[0], "a").select("a", "b", *blocks), f"{folder}/hub_dealt")
@@ -332,7 +338,7 @@ def _hub_links(pairs: DataFrame, members: DataFrame, sources: DataFrame, k: int,
 def _links_across(
     members: DataFrame, roots: DataFrame, sources: DataFrame, k: int, percent: int, folder: str
 ) -> DataFrame:
-    """Links (a, b) that join different components of a bucket.
+    """Edges (a, b) between the labels of components of a bucket whose sets link.
 
     The sets of a bucket's largest component need not meet each other: they go only where the bucket's
     other sets are, and those go wherever it has any.
