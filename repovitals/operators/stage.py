@@ -69,6 +69,11 @@ def cleanse_repositories(raw: DataFrame, as_of: Column, source: str = fx.SOURCE)
     )
 
 
+def _tie_breakers(columns: list[str]) -> list[str]:
+    decided = {"data_source", "full_name", "updated_at", "id", "load_timestamp"}
+    return ["id", *(c for c in columns if c not in decided)]
+
+
 def latest_per_name(cleansed: DataFrame) -> DataFrame:
     """The most recently updated row of each repository name, valid or not.
 
@@ -76,11 +81,8 @@ def latest_per_name(cleansed: DataFrame) -> DataFrame:
     "row number = 1" into a group limit before the shuffle: of a name that holds a third of all
     rows (the placeholder, say) each map task ships one row.
     """
-    decided = {"data_source", "full_name", "updated_at", "id", "load_timestamp"}
-    rest = [F.col(c).asc_nulls_last() for c in cleansed.columns if c not in decided]
-    latest_first = Window.partitionBy("full_name").orderBy(
-        F.desc("updated_at"), F.col("id").asc_nulls_last(), *rest
-    )
+    ties = [F.col(c).asc_nulls_last() for c in _tie_breakers(cleansed.columns)]
+    latest_first = Window.partitionBy("full_name").orderBy(F.desc("updated_at"), *ties)
     return (
         cleansed.select("*", F.row_number().over(latest_first).alias("rank"))
         .filter("rank = 1")
@@ -88,6 +90,18 @@ def latest_per_name(cleansed: DataFrame) -> DataFrame:
     )
 
 
+def is_later(columns: list[str], other: str) -> Column:
+    """Whether a row comes before the row in the struct `other` in the order of `latest_per_name`; False if they tie."""
+    mine, its = F.col("updated_at"), F.col(f"{other}.updated_at")
+
+    def ties(prefix: str) -> Column:
+        values = [F.col(f"{prefix}{c}") for c in _tie_breakers(columns)]
+        return F.struct(*(part for value in values for part in (value.isNull(), value)))
+
+    by_time = F.coalesce(mine > its, mine.isNotNull())
+    return F.when(mine.eqNullSafe(its), ties("") < ties(f"{other}.")).otherwise(by_time)
+
+
 def stage_repositories(raw: DataFrame, as_of: Column, source: str = fx.SOURCE) -> DataFrame:
     staged = latest_per_name(cleanse_repositories(raw, as_of, source))
     return staged.select(*TABLES["stg_repositories"].schema.names)

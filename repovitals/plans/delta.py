@@ -23,7 +23,7 @@ from repovitals.functions.times import now_utc, ntz
 from repovitals.operators.enrich import enrich
 from repovitals.operators.hubs import hub_commits, hub_contributors, hub_issues, hub_releases
 from repovitals.operators.risk import risk_product
-from repovitals.operators.stage import cleanse_repositories, latest_per_name
+from repovitals.operators.stage import cleanse_repositories, is_later, latest_per_name
 from repovitals.schemas import RAW_TABLES, TABLES
 from repovitals.sources.store import LayerStore
 from repovitals.streaming.run_log import entry, log_entries
@@ -41,6 +41,22 @@ BY_NAME = ("stg_repositories", "repo_entryline", "risk_product")
 BUCKETS = 256
 
 
+def merge_latest(staged: DataFrame, cleansed: DataFrame) -> DataFrame:
+    """Of each name that `cleansed` carries, the row the staged table, of one row per name, is to have, and its kind.
+
+    Each side is shuffled and sorted once: the new rows of a name are cut to their latest before they meet
+    the staged one, so a join compares two rows a name. The staged row stays if both tie.
+    """
+    columns = TABLES["stg_repositories"].schema.names
+    rest = [c for c in columns if c != "full_name"]
+    before = staged.select("full_name", F.struct(*rest).alias("before"))
+    both = latest_per_name(cleansed.select(*columns)).join(before.hint("merge"), "full_name", "left")
+    new, later = F.col("before").isNull(), is_later(columns, "before")
+    kind = F.when(new, "new").when(later, "changed").otherwise("unchanged")
+    kept = (F.when(new | later, F.col(c)).otherwise(F.col(f"before.{c}")).alias(c) for c in rest)
+    return both.select("full_name", *kept, kind.alias("kind"))
+
+
 class DeltaLayers:
     """Stage, hubs, enrich and product of one source, by buckets of names, below a folder of a store."""
 
@@ -103,13 +119,7 @@ class DeltaLayers:
         if not done.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(done):
             bucket = self._bucket("full_name").alias("bucket")
             buckets = [row.bucket for row in cleansed.select(bucket).distinct().collect()]
-            names = cleansed.select("full_name").distinct()
-            old = self._read("stg_repositories", buckets).select(*columns).join(names.hint("merge"), "full_name", "left_semi").select(*columns)
-            latest = latest_per_name(old.unionByName(cleansed.select(*columns)))
-            before = old.select("full_name", F.struct(*columns).alias("before"))
-            same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"before.{c}")) for c in columns if c != "load_timestamp"))
-            kind = F.when(F.col("before").isNull(), "new").when(same, "unchanged").otherwise("changed")
-            sorted_out = latest.join(before.hint("merge"), "full_name", "left").withColumn("kind", kind)
+            sorted_out = merge_latest(self._read("stg_repositories", buckets), cleansed)
             sorted_out.select(*columns, bucket, "kind").write.mode("overwrite").parquet(path)
         upserts = self.spark.read.schema(schema).parquet(path)
         changed = upserts.filter("kind <> 'unchanged'")

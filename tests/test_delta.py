@@ -7,6 +7,7 @@ from datetime import datetime
 
 import pytest
 from conftest import NOW, rows
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 import repovitals as rv
@@ -132,6 +133,35 @@ def test_rows_are_new_changed_or_unchanged(store, frame, as_of):
     assert load(2, *second)[0] == kinds and rows(layers.read("stg_repositories")) == before  # the same load again
 
 
+def test_an_upsert_shuffles_and_sorts_each_side_once(store, frame, as_of, monkeypatch):
+    layers, plans, write = rv.DeltaLayers(store, buckets=4), {}, DataFrameWriter.parquet
+
+    def seen(writer, path, *more, **options):
+        plans[path] = writer._df._jdf.queryExecution().executedPlan().toString()
+        return write(writer, path, *more, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", seen)
+    layers.upsert_stage(rv.cleanse_repositories(frame("raw_repositories", [repository("o/1")]), as_of), 0)
+    plan = plans[f"{layers.root}/upserts/load=0"]
+    assert plan.count("Exchange hash") == 2 and plan.count("SortMergeJoin") == 1 and "Broadcast" not in plan
+    # One sort of the new rows before the shuffle, for the group limit, and one of each side after it.
+    assert plan.count("Sort [") == 3 and "WindowGroupLimit" in plan[plan.index("Exchange hash"):]
+
+
+def test_ties_are_broken_alike_within_a_load_and_between_loads(store, frame, as_of):
+    variants = [{}, {"id": None}, {"id": "z"}, {"stars": None}, {"stars": 9}, {"name": None}, {"language": "c"}, {"created_at": datetime(2019, 1, 1)},
+                {"html_url": "u"}, {"forks": -1}, {"updated_at": datetime(2021, 1, 1)}]
+    pairs = [(a, b) for a in range(len(variants)) for b in range(len(variants))]
+    first, second = ([repository(f"o/{pair}") | {"id": "m"} | variants[pair[side]] for pair in pairs] for side in (0, 1))
+    layers = rv.DeltaLayers(store, buckets=2)
+    for number, data in enumerate((first, second)):
+        kinds = dict(rows(layers.upsert_stage(rv.cleanse_repositories(frame("raw_repositories", data), as_of), number), "full_name", "kind"))
+    assert rows(layers.read("stg_repositories")) == rows(rv.stage_repositories(frame("raw_repositories", first + second), as_of))
+    changed = {pair: kinds[f"o/{pair}"] == "changed" for pair in pairs}
+    assert set(kinds.values()) == {"changed", "unchanged"}
+    assert all(changed[a, b] != changed[b, a] for a, b in pairs if a != b) and not any(changed[a, a] for a, _ in pairs)
+
+
 def test_the_second_arrival_is_in_the_sql():
     assert SQL["delta_refresh"].count("union all select 'git_hub'") == 2
 
