@@ -16,6 +16,8 @@ from repovitals.schemas import TABLES, conform
 VERSION_0 = "0" * 20
 #: How Spark names the folder of the NULL source.
 NULL_SOURCE = "__HIVE_DEFAULT_PARTITION__"
+#: Rows of a row group at most, which a task reads whole: rows that compress well would all be in one.
+GROUP_ROWS = {"parquet.block.row.count.limit": 1_000_000}
 SAFE_SOURCE = re.compile(r"[A-Za-z0-9_\-]+")
 
 
@@ -136,7 +138,7 @@ class LayerStore:
         newest = max((int(names[-1].removeprefix("version=")) for names in groups.values() if names), default=0)
         version = f"{max(time.time_ns(), newest + 1):0{len(VERSION_0)}d}"
         rows = frame.select(*TABLES[key].schema.names).withColumn("version", F.lit(version))
-        rows.write.mode("append").partitionBy("data_source", "version").parquet(path)
+        rows.write.options(**GROUP_ROWS).mode("append").partitionBy("data_source", "version").parquet(path)
         files = jvm_path(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
         for name in self._folders(path, "data_source="):
             folder = f"{path}/{name}"
@@ -169,7 +171,7 @@ class LayerStore:
             current = self._current(f"{path}/{name}").removeprefix("version=")
             if current != VERSION_0:
                 version = F.when(F.col("data_source") == name.removeprefix("data_source="), current).otherwise(version)
-        rows.withColumn("version", version).write.mode("append").partitionBy("data_source", "version").parquet(path)
+        rows.withColumn("version", version).write.options(**GROUP_ROWS).mode("append").partitionBy("data_source", "version").parquet(path)
 
 
 def _by_source(key: str) -> bool:

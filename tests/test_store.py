@@ -1,8 +1,10 @@
 import gzip
 import json
+from pathlib import Path
 
 import pytest
 from conftest import NOW, rows
+from pyarrow.parquet import ParquetFile
 from pyspark.sql import functions as F
 
 from repovitals import (
@@ -15,6 +17,7 @@ from repovitals import (
     write_raw,
 )
 from repovitals.schemas import TABLES, conform
+from repovitals.sources import store as store_module
 from repovitals.sources.landing import too_wide
 from repovitals.sources.store import shared_folder
 
@@ -201,3 +204,14 @@ def test_packed_pages_are_ordered_by_their_names(spark, tmp_path):
     pages = SearchPages(LayerStore(spark, str(tmp_path / "store")), packed=True)
     pages.absorb(str(tmp_path / "*.json"))
     assert rows(pages.repositories()) == rows(found)
+
+
+@pytest.mark.parametrize("mode", ["append", "truncate"])
+def test_row_groups_of_raw_tables_are_bounded(spark, store, as_of, monkeypatch, mode):
+    monkeypatch.setattr(store_module, "GROUP_ROWS", {option: 100 for option in store_module.GROUP_ROWS})
+    names = spark.range(0, 950, 1, 1).select(F.lit("git_hub").alias("data_source"), F.col("id").cast("string").alias("repo"))
+    write_raw(store, "raw_releases", names, as_of, mode)
+    (file,) = Path(store.path("raw_releases")).rglob("*.parquet")
+    groups = ParquetFile(file).metadata
+    assert [groups.row_group(i).num_rows for i in range(groups.num_row_groups)] == [100] * 9 + [50]
+    assert store.read("raw_releases").count() == 950
