@@ -26,17 +26,24 @@ from pyspark.sql import functions as F
 from .batches import release, sliced
 from .components import connected_components
 from .storage import stored, workspace
-from .texthash import shingle_set, word_hashes
+from .texthash import distinct, shingle_runs
 
 #: Counters of the frequency sketch: a fixed number, whatever the input. They only decide the order
-#: in which prefixes are cut, which has to be one for all sets, not exact.
-COUNTERS = 1 << 18
+#: in which prefixes are cut, which has to be one for all sets, not exact. With too few, the shingles
+#: that share a counter hide the frequent one among them: lists grow long, and sets without relation
+#: end up in one family.
+SLOT_BITS = 22
+COUNTERS = 1 << SLOT_BITS
+#: Rows in which the counters are added up.
+COUNTER_PARTS = 256
 #: Shingles of one block of relatives; a larger family is joined block by block.
 BLOCK_SHINGLES = 2_000_000
 #: Linked sets share at least so many shingles of their prefixes (or all that they need to share).
 LEAST_SHARED = 3
 #: Lists of up to so many sets give pairs, which must meet in LEAST_SHARED lists; longer ones give forests.
 SHORT_LIST = 128
+#: Up to so many sets are compared pair by pair.
+FEW_SETS = 6
 #: Similar sets whose overlaps are kept for deriving those of others.
 LEADERS = 8
 
@@ -46,27 +53,18 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
 
 
 def _slot(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(64 - 18)).astype(np.int64)
+    return (shingles >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
 def _count_slots(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(COUNTERS, dtype=np.int64)
+        counts = np.zeros(COUNTERS, dtype=np.uint32)
         for batch in batches:
-            waiting: list[np.ndarray] = []
-            size = 0
-            for words in word_hashes(_texts(batch)):
-                waiting.append(_slot(shingle_set(words, k)))
-                size += len(waiting[-1])
-                if size > 1_000_000:
-                    counts += np.bincount(np.concatenate(waiting), minlength=COUNTERS)
-                    waiting, size = [], 0
-            if waiting:
-                counts += np.bincount(np.concatenate(waiting), minlength=COUNTERS)
-        used = np.flatnonzero(counts)
-        if len(used):
-            parts = np.split(counts, 64)
-            rows = [(i, part.tobytes()) for i, part in enumerate(parts) if part.any()]
+            np.add.at(counts, _slot(np.concatenate(list(shingle_runs(_texts(batch), k)))), np.uint32(1))
+        # 65,535 of one task are many enough; sums over tasks go on.
+        parts = np.split(np.minimum(counts, 0xFFFF).astype(np.uint16), COUNTER_PARTS)
+        rows = [(i, part.tobytes()) for i, part in enumerate(parts) if part.any()]
+        if rows:
             yield pa.RecordBatch.from_pydict(
                 {"part": pa.array([i for i, _ in rows], pa.int32()), "counts": [c for _, c in rows]}
             )
@@ -77,23 +75,24 @@ def _count_slots(k: int):
 def _add_counts(frame):
     import pandas as pd
 
-    total = np.zeros(COUNTERS // 64, dtype=np.int64)
+    total = np.zeros(COUNTERS // COUNTER_PARTS, dtype=np.int64)
     for counts in frame["counts"]:
-        total += np.frombuffer(counts, dtype=np.int64)
+        total += np.frombuffer(counts, dtype=np.uint16)
+    total = np.minimum(total, 0xFFFFFFFF).astype(np.uint32)
     return pd.DataFrame({"part": [frame["part"].iloc[0]], "counts": [total.tobytes()]})
 
 
 def slot_counts(texts: DataFrame, k: int) -> np.ndarray:
-    """How many shingles of all texts fall on each counter: 64 rows of fixed size reach the driver."""
+    """How often shingles of all texts fall on each counter: 256 rows of fixed size reach the driver."""
     parts = (
         texts.mapInArrow(sliced(_count_slots(k)), "part int, counts binary")
         .groupBy("part")
         .applyInPandas(_add_counts, "part int, counts binary")
         .collect()
     )
-    counts = np.zeros((64, COUNTERS // 64), dtype=np.int64)
+    counts = np.zeros((COUNTER_PARTS, COUNTERS // COUNTER_PARTS), dtype=np.uint32)
     for part, data in parts:
-        counts[part] = np.frombuffer(data, dtype=np.int64)
+        counts[part] = np.frombuffer(data, dtype=np.uint32)
     return counts.reshape(-1)
 
 
@@ -113,11 +112,11 @@ def _prefixes(k: int, percent: int, counts):
         rank = counts.value
         for batch in batches:
             sizes, digests, prefixes = [], [], []
-            for words in word_hashes(_texts(batch)):
-                shingles = shingle_set(words, k)
+            for runs in shingle_runs(_texts(batch), k):
+                shingles = distinct(runs)
                 n = len(shingles)
                 length = min(n, n - ceil(percent * n / 100) + LEAST_SHARED)
-                order = np.lexsort((shingles, rank[_slot(shingles)]))[:length]
+                order = np.argsort(rank[_slot(shingles)], kind="stable")[:length]
                 sizes.append(n)
                 digests.append(_digest(shingles) if n else None)
                 prefixes.append(shingles[order].view(np.int64))
@@ -143,7 +142,7 @@ def _fits(size_a, place_a, size_b, place_b, percent: int):
 
 
 def _list_edges(percent: int):
-    """Walk index lists sorted by (token, n, pos, sid) and give edges (a, b, need) of possible relatives.
+    """Walk index lists sorted by token, of columns token, place (n * 2^32 + pos) and sid, and give edges (a, b, need) of possible relatives.
 
     Entries of a short list give pairs, and `need` says in how many short lists a pair must meet.
     Of a long list, related blocks get an edge (need 0) between their first members, and the members
@@ -175,8 +174,15 @@ def _list_edges(percent: int):
             others = first[near][_fits(size[near], place[near], size[i], place[i], percent)]
             yield others, np.full(len(others), first[i])
 
-    def walk(token: np.ndarray, n: np.ndarray, pos: np.ndarray, sid: np.ndarray):
-        starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+    def walk(token: np.ndarray, place: np.ndarray, sid: np.ndarray):
+        # Most lists have one entry. The others are sorted here: Spark sorts fastest by one number.
+        same = np.concatenate(([False], token[1:] == token[:-1], [False]))
+        several = np.flatnonzero(same[1:] | same[:-1])
+        token, place, sid = token[several], place[several], sid[several]
+        order = np.lexsort((sid, place, token))
+        token, place, sid = token[order], place[order], sid[order]
+        n, pos = place >> 32, place & 0xFFFFFFFF
+        starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1]))) if len(token) else token
         lengths = np.diff(np.append(starts, len(token)))
         parts = list(short_pairs(n, pos, sid, lengths))
         for start, length in zip(starts.tolist(), lengths.tolist(), strict=True):
@@ -191,7 +197,7 @@ def _list_edges(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = None
         for batch in batches:
-            now = [batch.column(c).to_numpy() for c in ("token", "n", "pos", "sid")]
+            now = [batch.column(c).to_numpy() for c in ("token", "place", "sid")]
             if kept is not None:
                 now = [np.concatenate(pair) for pair in zip(kept, now, strict=True)]
             cut = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
@@ -204,12 +210,31 @@ def _list_edges(percent: int):
     return run
 
 
+def _few_links(sets: list[np.ndarray], sizes: np.ndarray, percent: int, sides: np.ndarray | None):
+    linked: list[list[int]] = [[] for _ in sets]
+    for i, one in enumerate(sets):
+        for j in range(i):
+            least, most = sorted((len(one), len(sets[j])))
+            if 100 * least < percent * most or (sides is not None and sides[i] == sides[j]):
+                continue
+            both = np.sort(np.concatenate((one, sets[j])))
+            overlap = np.count_nonzero(both[1:] == both[:-1])
+            if 100 * overlap >= percent * (least + most - overlap):
+                linked[i].append(j)
+                linked[j].append(i)
+    for i in np.argsort(sizes, kind="stable").tolist():
+        yield i, np.array(sorted(linked[i]), dtype=np.int64)
+
+
 def overlap_links(sets: list[np.ndarray], percent: int, sides: np.ndarray | None = None):
     """Yield (i, positions of the sets linked with set i) for each set, in order of size.
 
     sides: if given, one value per set; only pairs across them count then.
     """
     sizes = np.array([len(s) for s in sets])
+    if len(sets) <= FEW_SETS:
+        yield from _few_links(sets, sizes, percent, sides)
+        return
     codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
     owner = np.repeat(np.arange(len(sets)), sizes)
     by_code = np.argsort(codes, kind="stable")
@@ -221,7 +246,10 @@ def overlap_links(sets: list[np.ndarray], percent: int, sides: np.ndarray | None
     def count(tokens: np.ndarray) -> np.ndarray:
         if not len(tokens):
             return np.zeros(len(sets), dtype=np.int64)
-        met = np.concatenate([lists[bounds[t] : bounds[t + 1]] for t in tokens.tolist()])
+        begin = bounds[tokens]
+        lengths = bounds[tokens + 1] - begin
+        ends = np.cumsum(lengths)
+        met = lists[np.arange(ends[-1]) + np.repeat(begin - ends + lengths, lengths)]
         return np.bincount(met, minlength=len(sets))
 
     leaders: list[tuple[int, np.ndarray]] = []
@@ -251,29 +279,66 @@ def overlap_links(sets: list[np.ndarray], percent: int, sides: np.ndarray | None
         yield i, np.flatnonzero(linked)
 
 
-def _join_family(k: int, percent: int):
-    def run(frame):
-        import pandas as pd
-
-        sets = [shingle_set(words, k) for words in word_hashes([text or b"" for text in frame["text"]])]
-        # Rows of equal doc_id may have other texts: a class is represented by the text it came from.
-        own = [_digest(s) == wanted for s, wanted in zip(sets, frame["digest"], strict=True)]
-        frame, sets = frame[own], [s for s, keep in zip(sets, own, strict=True) if keep]
-        first = ~frame.duplicated(["digest", "block"]).to_numpy()
-        frame, sets = frame[first], [s for s, keep in zip(sets, first, strict=True) if keep]
-        weights = frame["copies"].to_numpy()
-        sids = frame["sid"].to_numpy()
-        label = np.arange(len(sets))
-        links = np.zeros(len(sets), dtype=np.int64)
-        sides = None if frame["within"].all() else frame["block"].to_numpy()
-        for i, others in overlap_links(sets, percent, sides) if sets else ():
-            if len(others):
-                links[i] += weights[others].sum()
-                joined = np.unique(label[np.append(others, i)])
-                if len(joined) > 1:
-                    label[np.isin(label, joined)] = joined[0]
-        release()
-        return pd.DataFrame({"sid": sids, "near": sids[label], "links": links})
+def _links_within(sets: list[np.ndarray], weights: np.ndarray, sides: np.ndarray | None, percent: int):
+    """For each set the first one of its group here, and how many documents it links with."""
+    label = np.arange(len(sets))
+    links = np.zeros(len(sets), dtype=np.int64)
+    for i, others in overlap_links(sets, percent, sides) if len(sets) > 1 else ():
+        if len(others):
+            links[i] += weights[others].sum()
+            joined = np.unique(label[np.append(others, i)])
+            if len(joined) > 1:
+                label[np.isin(label, joined)] = joined[0]
+    return label, links
+
+
+#: What rows of one comparison have in common: a family, and the two blocks of it that meet.
+MEETING = ("family", "low_band", "low_part", "high_band", "high_part")
+
+
+def _join_families(k: int, percent: int):
+    """Rows (sid, near, links) from rows dealt and sorted by MEETING, one comparison after the other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = None
+        sids, copies, blocks, sets, seen = [], [], [], [], set()
+        out: list[list] = [[], [], []]
+
+        def compare() -> None:
+            within = at is not None and at[1:3] == at[3:]
+            label, links = _links_within(sets, np.array(copies), None if within else np.array(blocks), percent)
+            out[0].extend(sids)
+            out[1].extend(sids[first] for first in label.tolist())
+            out[2].extend(links.tolist())
+            for kept in (sids, copies, blocks, sets, seen):
+                kept.clear()
+
+        def answers() -> pa.RecordBatch:
+            found = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["sid", "near", "links"])
+            for column in out:
+                column.clear()
+            return found
+
+        for batch in batches:
+            meetings = zip(*(batch.column(c).to_pylist() for c in MEETING), strict=True)
+            rows = zip(*(batch.column(c).to_pylist() for c in ("sid", "copies", "block", "digest")), strict=True)
+            for meeting, (sid, n_copies, block, digest), runs in zip(
+                meetings, rows, shingle_runs(_texts(batch), k), strict=True
+            ):
+                if meeting != at:
+                    compare()
+                    at = meeting
+                shingles = distinct(runs)
+                # Rows of equal doc_id may have other texts: a class is represented by the text it came from.
+                if (digest, block) not in seen and _digest(shingles) == digest:
+                    seen.add((digest, block))
+                    sids.append(sid)
+                    copies.append(n_copies)
+                    blocks.append(block)
+                    sets.append(shingles)
+            yield answers()
+        compare()
+        yield answers()
 
     return run
 
@@ -300,15 +365,17 @@ def jaccard_groups(documents: DataFrame, k: int = 5, percent: int = 80) -> DataF
         f"{folder}/documents",
     )
     # Sets are compared by their shingles; sid only names a class in the graphs (64 bits of its digest).
+    # Equal sets have one prefix: copies go before prefixes become rows.
     postings = (
         found.where("n > 0")
+        .groupBy("digest", "sid", "n")
+        .agg(F.first("prefix").alias("prefix"))
         .select("sid", "n", F.posexplode("prefix").alias("pos", "token"))
-        .select("token", "n", F.col("pos").cast("long").alias("pos"), "sid")
-        .distinct()
+        .select("token", (F.col("n") * (1 << 32) + F.col("pos")).alias("place"), "sid")
     )
     edges = (
         postings.repartition("token")
-        .sortWithinPartitions("token", "n", "pos", "sid")
+        .sortWithinPartitions("token")
         .mapInArrow(_list_edges(percent), "a long, b long, need long")
         .groupBy("a", "b")
         .agg(F.count("*").alias("met"), F.max("need").alias("need"), F.min("need").alias("least"))
@@ -383,16 +450,19 @@ def _link(members: DataFrame, texts: DataFrame, k: int, percent: int, folder: st
         .withColumn(
             "other", F.explode(F.concat(partners(0, "blocks"), partners(1, "above"), partners(-1, "below")))
         )
+        .withColumn("low", F.least(me, F.col("other")))
+        .withColumn("high", F.greatest(me, F.col("other")))
         .select(
-            "family", F.xxhash64("band", "part").alias("block"), "sid", "copies", "digest", "first_id",
-            F.least(me, F.col("other")).alias("low"), F.greatest(me, F.col("other")).alias("high"),
+            "family", "low.band", "low.part", "high.band", "high.part",
+            F.xxhash64("band", "part"), "sid", "copies", "digest", "first_id",
         )
+        .toDF(*MEETING, "block", "sid", "copies", "digest", "first_id")
     )
     return stored(
         placed.join(texts, F.col("first_id").eqNullSafe(F.col("doc_id")))
-        .withColumn("within", F.col("low") == F.col("high"))
-        .select("family", "low", "high", "within", "block", "sid", "copies", "digest", "text")
-        .groupBy("family", "low", "high")
-        .applyInPandas(_join_family(k, percent), "sid long, near long, links long"),
+        .select(*MEETING, "block", "sid", "copies", "digest", "text")
+        .repartition(*MEETING)
+        .sortWithinPartitions(*MEETING)
+        .mapInArrow(sliced(_join_families(k, percent)), "sid long, near long, links long"),
         f"{folder}/linked",
     )

@@ -4,12 +4,13 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from repovitals.llm import set_join
 from repovitals.llm.components import connected_components
 from repovitals.llm.set_join import jaccard_groups, overlap_links
 from repovitals.llm.storage import workspace
-from repovitals.llm.texthash import shingle_set, word_hashes
+from repovitals.llm.texthash import distinct, shingle_runs, shingle_set, word_hashes
 
 from .conftest import DATA
 
@@ -85,6 +86,38 @@ def test_overlaps_derived_from_similar_sets(sets, percent):
         assert links[i] == want
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.sets(st.integers(0, 12), min_size=1), st.integers(0, 1)), min_size=1, max_size=9))
+def test_links_across_sides_only(rows):
+    arrays = [np.array(sorted(s), dtype=np.uint64) for s, _ in rows]
+    sides = np.array([side for _, side in rows])
+    for i, others in overlap_links(arrays, 60, sides):
+        near = [100 * len(rows[i][0] & s) >= 60 * len(rows[i][0] | s) for s, _ in rows]
+        assert others.tolist() == [j for j, (_, side) in enumerate(rows) if near[j] and side != sides[i]]
+
+
+def test_counters_tell_rare_shingles_from_repeated_ones(spark):
+    """Else prefixes take repeated shingles as the input grows, whose lists tie sets without relation together."""
+    own = F.transform(F.sequence(F.lit(0), F.lit(19_999)), lambda i: F.concat("id", F.lit("x"), i))
+    passage = " ".join(f"again{i}" for i in range(200))
+    text = F.concat(F.array_join(own, " "), F.when(F.col("id") < 10, F.lit(" " + passage)).otherwise(F.lit("")))
+    texts = spark.range(0, 160, 1, 8).select(text.cast("binary").alias("text"))
+    counts = set_join.slot_counts(texts, 3)
+    repeated, once = (
+        counts[set_join._slot(shingle_set(next(word_hashes([t.encode()])), 3))]
+        for t in (passage, " ".join(f"77x{i}" for i in range(20_000)))
+    )
+    assert repeated.min() > np.quantile(once, 0.999)
+
+
+def test_shingles_of_a_run_of_texts():
+    texts = [b"", b"one", b"a B c", b" \n", b"x" * 300_000 + b" tail end of it", b"a b C D e", b"ab " * 70_000, b"A b"]
+    for k in (1, 3, 5):
+        alone = [shingle_set(next(word_hashes([text])), k) for text in texts]
+        for runs, words, want in zip(shingle_runs(texts, k), word_hashes(texts), alone, strict=True):
+            assert distinct(runs).tolist() == shingle_set(words, k).tolist() == want.tolist()
+
+
 def test_words_and_shingles():
     one, two, three = word_hashes([b"A b\tc\x0bD", b"", b"a B c d"])
     assert len(one) == 4 and len(two) == 0 and (one == three).all()
